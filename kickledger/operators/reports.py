@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from kickledger.functions.months import key_to_date
 from kickledger.functions.text import humanize, league_label, slug_title
 from kickledger.operators.joins import drop_members, join_dimension, keep_members
+from kickledger.session import materialize
 
 ID = "domestic_competition_id"
 OTHER = "Other"
@@ -98,14 +99,21 @@ def with_label(df: DataFrame) -> DataFrame:
 
 
 def first_league_report(lve: DataFrame, competitions: DataFrame, stat: str = "total_valuation",
-                        n: int = 5, cutoff: str = "2025-01-01") -> DataFrame:
+                        n: int = 5, cutoff: str = "2025-01-01", materialized: bool = True) -> DataFrame:
     """Yearly series of the top ``n`` first-tier leagues plus an "Other" row.
 
     ``stat="total_valuation", n=5`` is the total-value report;
     ``stat="max_valuation", n=7`` the most-valuable-player report. The
     "Other" rows carry only the chosen statistic (the other is NULL).
+
+    The first-tier ``league x month`` frame feeds five parts of the plan
+    (latest year, league count, top set, yearly rollup, "Other"); it is
+    computed once and checkpointed (``materialized=True``), so the rollup
+    input is scanned once instead of once per part.
     """
     base = report_base(lve, competitions, cutoff)
+    if materialized:
+        base = materialize(base)
     top = top_leagues(base, stat, n)
     yearly = league_year_rollup(base)
     kept = keep_members(yearly, top.select(ID), ID, bounded=True)

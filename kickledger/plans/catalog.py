@@ -15,8 +15,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kickledger.functions import coerce, months
 from kickledger.operators import reports, rollups
+from kickledger.plans import pipeline
+from kickledger.session import shared_path
+from kickledger.sources import ingest
 from kickledger.sources import testdata as td
+from kickledger.sources.warehouse import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -171,3 +176,261 @@ def q_first_league_max(spark, sf):
     ORDER BY avg_valuation DESC NULLS LAST, p.player_id, p.name NULLS LAST, c.name NULLS LAST LIMIT 100""")
 def q_player_top100(spark, sf):
     return reports.player_top100(td.valuations(spark, sf), td.players(spark, sf), td.clubs(spark, sf))
+
+
+# --- scans, sources, sinks ------------------------------------------------------------
+VALUATION_TEXT_SQL = """SELECT player_id, CAST(date AS VARCHAR) AS date, market_value, current_club_id,
+    competition_id FROM valuations"""
+
+
+def _valuation_text(df: DataFrame) -> DataFrame:
+    return df.select("player_id", F.date_format("date", "yyyy-MM-dd").alias("date"), "market_value",
+                     "current_club_id", "competition_id")
+
+
+@register("scan_project", with_views("valuations") + VALUATION_TEXT_SQL)
+def q_scan_project(spark, sf):
+    path = f"{sf.rstrip('/')}/lineitem.parquet"
+    return spark.sql(f"""SELECT l_partkey AS player_id, date_format(l_shipdate, 'yyyy-MM-dd') AS date,
+        l_extendedprice AS market_value, l_suppkey AS current_club_id, l_returnflag AS competition_id
+        FROM parquet.`{path}`""")
+
+
+@register("parquet_roundtrip", with_views("valuations") + VALUATION_TEXT_SQL)
+def q_parquet_roundtrip(spark, sf):
+    path = ingest.write_parquet(td.valuations(spark, sf), shared_path(spark, "parquet_roundtrip"))
+    return _valuation_text(spark.read.parquet(path))
+
+
+# Raw valuation text with bad cells in some lines (chosen by line number).
+RAW_VALUATIONS_SPARK = {
+    "player_id": "CAST(l_partkey AS STRING)",
+    "date": """CASE l_linenumber WHEN 3 THEN 'N/A' WHEN 5 THEN '2015-02-30'
+        WHEN 6 THEN concat(date_format(l_shipdate, 'yyyy-MM-dd'), ' 10:00:00')
+        ELSE date_format(l_shipdate, 'yyyy-MM-dd') END""",
+    "market_value_in_eur": """CASE l_linenumber WHEN 1 THEN concat(CAST(l_orderkey AS STRING), '.5')
+        WHEN 2 THEN concat(CAST(l_orderkey AS STRING), 'd') WHEN 3 THEN concat(CAST(l_orderkey AS STRING), 'e2')
+        WHEN 4 THEN 'n/a' WHEN 6 THEN '1,000' WHEN 7 THEN concat(' ', CAST(l_orderkey AS STRING), ' ')
+        ELSE CAST(l_orderkey AS STRING) END""",
+    "current_club_id": "CAST(l_suppkey AS STRING)",
+    "player_club_domestic_competition_id": "CASE WHEN l_linenumber = 4 THEN NULL ELSE l_returnflag END",
+}
+
+
+@register("csv_ingest", """SELECT l_partkey AS player_id,
+    CASE WHEN l_linenumber IN (3, 5, 6) THEN NULL ELSE strftime(l_shipdate, '%Y-%m-%d') END AS date,
+    CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN l_orderkey * 100 WHEN 4 THEN NULL
+        WHEN 6 THEN NULL ELSE l_orderkey END AS market_value_in_eur,
+    l_suppkey AS current_club_id,
+    CASE WHEN l_linenumber = 4 THEN NULL ELSE l_returnflag END AS player_club_domestic_competition_id
+    FROM lineitem""")
+def q_csv_ingest(spark, sf):
+    raw = td.table(spark, sf, "lineitem").select([F.expr(e).alias(n) for n, e in RAW_VALUATIONS_SPARK.items()])
+    path = shared_path(spark, "csv_ingest")
+    raw.write.mode("overwrite").option("header", True).csv(path)
+    typed = ingest.load_dataset(spark, path, "player_valuations")
+    return typed.select("player_id", F.date_format("date", "yyyy-MM-dd").alias("date"), "market_value_in_eur",
+                        "current_club_id", "player_club_domestic_competition_id")
+
+
+@register("month_partition_write", with_views("valuations") + VALUATION_TEXT_SQL.replace(
+    "competition_id FROM valuations", "competition_id, strftime(date, '%Y-%m') AS partition_date FROM valuations"))
+def q_month_partition_write(spark, sf):
+    path = ingest.split_by_month(td.valuations(spark, sf), "date", shared_path(spark, "month_split"), closed=True)
+    back = ingest.read_months(spark, path)
+    return back.select("player_id", F.date_format("date", "yyyy-MM-dd").alias("date"), "market_value",
+                       "current_club_id", "competition_id", "partition_date")
+
+
+# --- coercion -----------------------------------------------------------------------------
+DATE_TEXT_SQL = """CASE l_linenumber WHEN 3 THEN 'N/A' WHEN 5 THEN '2015-02-30'
+    WHEN 6 THEN strftime(l_shipdate, '%Y-%m-%d') || ' 10:00:00' WHEN 7 THEN NULL
+    ELSE strftime(l_shipdate, '%Y-%m-%d') END"""
+
+
+@register("coerce_dates", f"""SELECT l_orderkey, l_linenumber, raw_date,
+    strftime(try_strptime(raw_date, '%Y-%m-%d'), '%Y-%m-%d') AS date
+    FROM (SELECT l_orderkey, l_linenumber, {DATE_TEXT_SQL} AS raw_date FROM lineitem)""")
+def q_coerce_dates(spark, sf):
+    raw = td.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.expr(
+        DATE_TEXT_SQL.replace("strftime(l_shipdate, '%Y-%m-%d')", "date_format(l_shipdate, 'yyyy-MM-dd')"))
+        .alias("raw_date"))
+    return raw.withColumn("date", F.date_format(coerce.to_date_or_null("raw_date"), "yyyy-MM-dd"))
+
+
+NUMBER_TEXT_SQL = """CASE l_linenumber WHEN 1 THEN CAST(l_orderkey AS VARCHAR) || 'd'
+    WHEN 2 THEN ' ' || CAST(l_orderkey AS VARCHAR) || ' ' WHEN 3 THEN CAST(l_orderkey AS VARCHAR) || 'e2'
+    WHEN 4 THEN 'n/a' WHEN 5 THEN printf('%.2f', l_extendedprice) WHEN 6 THEN '+' || CAST(l_orderkey AS VARCHAR)
+    ELSE '1,' || CAST(l_orderkey AS VARCHAR) END"""
+
+
+@register("coerce_numbers", f"""SELECT l_orderkey, l_linenumber, raw_number,
+    CASE WHEN ok AND d = floor(d) THEN CAST(d AS BIGINT) END AS as_long,
+    CASE WHEN ok THEN d END AS as_double
+    FROM (SELECT *, TRY_CAST(trim(raw_number) AS DOUBLE) AS d,
+        regexp_full_match(raw_number, '{coerce.NUMBER_PATTERN}') AS ok
+      FROM (SELECT l_orderkey, l_linenumber, {NUMBER_TEXT_SQL} AS raw_number FROM lineitem))""")
+def q_coerce_numbers(spark, sf):
+    text = (NUMBER_TEXT_SQL.replace("AS VARCHAR", "AS STRING")
+            .replace("printf('%.2f', l_extendedprice)", "format_string('%.2f', l_extendedprice)"))
+    raw = td.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.expr(text).alias("raw_number"))
+    return raw.select("*", coerce.to_long_or_null("raw_number").alias("as_long"),
+                      coerce.to_double_or_null("raw_number").alias("as_double"))
+
+
+@register("stringify_nulls", """SELECT c_custkey, coalesce(c_name, 'nan') AS c_name, c_nationkey, c_acctbal,
+    coalesce(CASE WHEN c_nationkey < 5 THEN NULL ELSE c_mktsegment END, 'nan') AS c_mktsegment FROM customer""")
+def q_stringify_nulls(spark, sf):
+    c = td.table(spark, sf, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal",
+        F.when(F.col("c_nationkey") >= 5, F.col("c_mktsegment")).alias("c_mktsegment"))
+    return coerce.stringify_text_columns(c)
+
+
+# --- loads into the month-partitioned warehouse ---------------------------------------------
+LOADED_VALUATIONS_SQL = f"""SELECT CAST(player_id AS INTEGER) AS player_id, CAST(date AS VARCHAR) AS date,
+    CAST(market_value AS FLOAT) AS market_value, CAST(current_club_id AS INTEGER) AS current_club_id,
+    competition_id, strftime(date, '%Y-%m') AS partition_date
+    FROM valuations WHERE date >= DATE '{td.START}' AND date < DATE '{td.END}'"""
+
+
+def _loaded_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
+def _load_valuations(spark, sf) -> Warehouse:
+    wh = Warehouse(spark, shared_path(spark, "warehouse"))
+    wh.create_table("player_valuations")
+    rows = pipeline.valuation_load_rows(td.valuations(spark, sf), td.START, td.END)
+    wh.replace_months("player_valuations", rows, on_empty="delete", start=td.START, end=td.END)
+    return wh
+
+
+@register("load_valuations", with_views("valuations") + LOADED_VALUATIONS_SQL)
+def q_load_valuations(spark, sf):
+    return _loaded_text(_load_valuations(spark, sf).read("player_valuations"))
+
+
+APPEARANCES_SQL = f"""SELECT CAST(event_id AS VARCHAR) AS appearance_id, CAST(event_id AS INTEGER) AS game_id,
+    CAST(user_id AS INTEGER) AS player_id, CAST(user_id AS INTEGER) AS player_club_id,
+    CAST(user_id AS INTEGER) AS player_current_club_id, ts + INTERVAL 2 DAY AS date,
+    event_type AS player_name, event_type AS competition_id, CAST(trunc(value) AS INTEGER) AS yellow_cards,
+    0 AS red_cards, CAST(length(props) AS INTEGER) AS goals, 0 AS assists,
+    CAST(round(value) AS INTEGER) AS minutes_played FROM events"""
+
+
+@register("load_appearances", f"""SELECT appearance_id, game_id, player_id, player_club_id, player_current_club_id,
+    strftime(date, '%Y-%m-%d') AS date, player_name, competition_id, yellow_cards, red_cards, goals, assists,
+    minutes_played, strftime(date, '%Y-%m') AS partition_date
+    FROM ({APPEARANCES_SQL}) WHERE date <= CAST(last_day(CAST(date AS DATE)) AS TIMESTAMP)
+      AND date >= TIMESTAMP '{months.CALENDAR_START}' AND date < TIMESTAMP '{months.CALENDAR_END}'""")
+def q_load_appearances(spark, sf):
+    wh = Warehouse(spark, shared_path(spark, "warehouse"))
+    wh.create_table("player_appearances")
+    rows = pipeline.appearance_load_rows(td.appearances(spark, sf), months.CALENDAR_START, months.CALENDAR_END,
+                                        closed=True)
+    wh.replace_months("player_appearances", rows, on_empty="delete",
+                      start=months.CALENDAR_START, end=months.CALENDAR_END)
+    return _loaded_text(wh.read("player_appearances"))
+
+
+def _split_sql(closed: bool) -> str:
+    keep = "AND date <= CAST(last_day(CAST(date AS DATE)) AS TIMESTAMP)" if closed else ""
+    return f"""SELECT appearance_id, date, strftime(date, '%Y-%m') AS partition_date FROM ({APPEARANCES_SQL})
+        WHERE date >= TIMESTAMP '{months.CALENDAR_START}' AND date < TIMESTAMP '{months.CALENDAR_END}' {keep}"""
+
+
+def _split(spark, sf, closed: bool) -> DataFrame:
+    a = td.appearances(spark, sf).where(months.in_window("date", months.CALENDAR_START, months.CALENDAR_END))
+    return months.with_month(a, "date", closed=closed).select("appearance_id", "date", "partition_date")
+
+
+@register("month_split_closed", _split_sql(True))
+def q_month_split_closed(spark, sf):
+    return _split(spark, sf, True)
+
+
+@register("month_split_half_open", _split_sql(False))
+def q_month_split_half_open(spark, sf):
+    return _split(spark, sf, False)
+
+
+# --- month calendar ----------------------------------------------------------------------------
+@register("month_calendar", with_views("valuations") + """SELECT strftime(m, '%Y-%m-%d') AS month,
+    strftime(m, '%Y-%m') AS month_key, strftime(m, '%Y-%m-%d') AS partition_key
+    FROM (SELECT unnest(generate_series(date_trunc('month', min(date)), date_trunc('month', max(date)),
+        INTERVAL 1 MONTH)) AS m FROM valuations)""")
+def q_month_calendar(spark, sf):
+    cal = months.calendar_of(td.valuations(spark, sf), "date")
+    return cal.withColumn("month", F.date_format("month", "yyyy-MM-dd"))
+
+
+@register("missing_months", with_views("valuations") + f"""SELECT strftime(m, '%Y-%m-%d') AS month,
+    strftime(m, '%Y-%m') AS month_key, strftime(m, '%Y-%m-%d') AS partition_key
+    FROM (SELECT unnest(generate_series(DATE '{td.START}', DATE '{td.END}' - INTERVAL 1 MONTH,
+        INTERVAL 1 MONTH)) AS m)
+    WHERE strftime(m, '%Y-%m') NOT IN (SELECT DISTINCT strftime(date, '%Y-%m') FROM valuations
+        WHERE date IS NOT NULL)""")
+def q_missing_months(spark, sf):
+    cal = months.calendar(spark, td.START, td.END)
+    gap = months.missing_months(cal, td.valuations(spark, sf), "date")
+    return gap.withColumn("month", F.date_format("month", "yyyy-MM-dd"))
+
+
+STORED_LVE_SQL = with_views("lve") + """SELECT domestic_competition_id, CAST(total_valuation AS FLOAT) AS total_valuation,
+    CAST(min_valuation AS FLOAT) AS min_valuation, CAST(max_valuation AS FLOAT) AS max_valuation,
+    player_count, partition_date FROM lve"""
+
+
+@register("backfill_rollup", STORED_LVE_SQL)
+def q_backfill_rollup(spark, sf):
+    wh = Warehouse(spark, shared_path(spark, "warehouse"))
+    v, c = td.valuations(spark, sf), td.clubs(spark, sf)
+    pipeline.backfill_league_rollup(wh, v, c, td.START, td.END)
+    # Running a part of the range again replaces those months with equal rows.
+    pipeline.backfill_league_rollup(wh, v, c, "1997-01-01", "1999-01-01")
+    return wh.read("league_valuation_evolution")
+
+
+# --- warehouse table semantics -------------------------------------------------------------------
+@register("ctas_if_not_exists", with_views("clubs") + "SELECT * FROM clubs")
+def q_ctas_if_not_exists(spark, sf):
+    wh = Warehouse(spark, shared_path(spark, "warehouse"))
+    first = td.clubs(spark, sf)
+    wh.ctas_if_absent("clubs", first)
+    wh.ctas_if_absent("clubs", first.withColumn("name", F.upper("name")))  # no effect: first load wins
+    return wh.read("clubs")
+
+
+REPLACED_MONTH = "1998-03"
+
+
+@register("month_replace", with_views("valuations") + LOADED_VALUATIONS_SQL.replace(
+    "CAST(market_value AS FLOAT) AS market_value",
+    f"CAST(CASE WHEN strftime(date, '%Y-%m') = '{REPLACED_MONTH}' THEN market_value * 2 ELSE market_value END"
+    " AS FLOAT) AS market_value"))
+def q_month_replace(spark, sf):
+    wh = _load_valuations(spark, sf)
+    fresh = pipeline.valuation_load_rows(td.valuations(spark, sf), td.START, td.END)
+    fresh = fresh.withColumn("market_value", F.col("market_value") * 2)
+    wh.replace_month("player_valuations", fresh, REPLACED_MONTH, on_empty="delete")
+    return _loaded_text(wh.read("player_valuations"))
+
+
+@register("month_replace_empty", with_views("valuations") + LOADED_VALUATIONS_SQL
+          + f" AND strftime(date, '%Y-%m') <> '{REPLACED_MONTH}'")
+def q_month_replace_empty(spark, sf):
+    wh = _load_valuations(spark, sf)
+    empty = pipeline.valuation_load_rows(td.valuations(spark, sf), td.START, td.END).limit(0)
+    wh.replace_month("player_valuations", empty, REPLACED_MONTH, on_empty="delete")
+    return _loaded_text(wh.read("player_valuations"))
+
+
+@register("month_replace_keep", STORED_LVE_SQL)
+def q_month_replace_keep(spark, sf):
+    wh = Warehouse(spark, shared_path(spark, "warehouse"))
+    v, c = td.valuations(spark, sf), td.clubs(spark, sf)
+    pipeline.backfill_league_rollup(wh, v, c, td.START, td.END)
+    empty = rollups.league_valuation_evolution(v, c, td.START, td.END).limit(0)
+    wh.replace_month("league_valuation_evolution", empty, "1998-03-01", on_empty="keep")
+    return wh.read("league_valuation_evolution")

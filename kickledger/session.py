@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning: AQE coalesces tiny shuffle partitions, converts a
 # sort-merge join to a broadcast join when the measured side is small, and
@@ -23,6 +23,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -64,3 +65,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/kickledger/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    For small frames that several parts of one plan read (the league x
+    month rollup of a report). A reliable checkpoint: the files outlive a
+    lost executor, unlike a cache or a local checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -47,7 +47,7 @@ def write_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
-def split_by_month(df: DataFrame, ts_col: str, path: str, closed: bool = True) -> str:
+def split_by_month(df: DataFrame, ts_col: str, path: str, closed: bool = False) -> str:
     """Write one Parquet folder per month (``partition_date=YYYY-MM``) in one pass.
 
     ``closed=True`` repeats the reference's month filter (up to 00:00 on the
