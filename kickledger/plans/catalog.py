@@ -15,10 +15,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kickledger.functions import coerce, months
+from kickledger.functions import coerce, months, text
+from kickledger.operators import pages as page_ops
 from kickledger.operators import reports, rollups
 from kickledger.plans import pipeline
-from kickledger.session import shared_path
+from kickledger.session import materialize, shared_path
 from kickledger.sources import ingest
 from kickledger.sources import testdata as td
 from kickledger.sources.warehouse import Warehouse
@@ -434,3 +435,189 @@ def q_month_replace_keep(spark, sf):
     empty = rollups.league_valuation_evolution(v, c, td.START, td.END).limit(0)
     wh.replace_month("league_valuation_evolution", empty, "1998-03-01", on_empty="keep")
     return wh.read("league_valuation_evolution")
+
+
+# --- report parts --------------------------------------------------------------------------------
+def _base(spark, sf) -> DataFrame:
+    return materialize(reports.report_base(_rollup(spark, sf), td.competitions(spark, sf), td.CUTOFF))
+
+
+BASE_COLUMNS = ["domestic_competition_id", "total_valuation", "max_valuation", "partition_date",
+                "competition_name", "country_name", "year"]
+
+
+@register("first_tier_join", with_views("lve", "competitions") + """SELECT l.domestic_competition_id,
+    l.total_valuation, l.max_valuation, l.partition_date, c.name AS competition_name, c.country_name
+    FROM lve l JOIN competitions c ON l.domestic_competition_id = c.competition_id
+    WHERE c.sub_type = 'first_tier' ORDER BY l.partition_date""")
+def q_first_tier_join(spark, sf):
+    rows = reports.first_tier_months(_rollup(spark, sf), td.competitions(spark, sf))
+    return rows.orderBy(F.asc_nulls_last("partition_date"))
+
+
+@register("latest_year_slice", with_views("base") + f"""SELECT {', '.join(BASE_COLUMNS)} FROM base
+    WHERE year = (SELECT max(year) FROM base)""")
+def q_latest_year_slice(spark, sf):
+    return reports.latest_year_slice(_base(spark, sf)).select(*BASE_COLUMNS)
+
+
+@register("league_count", with_views("base") + """SELECT CAST(count(DISTINCT domestic_competition_id) AS INTEGER)
+    AS league_count, CAST(max(year) AS INTEGER) AS latest_year FROM base""")
+def q_league_count(spark, sf):
+    base = _base(spark, sf)
+    return base.agg(F.count_distinct(reports.ID).cast("int").alias("league_count"),
+                    F.max("year").cast("int").alias("latest_year"))
+
+
+@register("top_leagues_total", with_views("base") + top_sql("total_valuation", 5))
+def q_top_leagues_total(spark, sf):
+    return reports.top_leagues(_base(spark, sf), "total_valuation", 5)
+
+
+@register("top_leagues_max", with_views("base") + top_sql("max_valuation", 7))
+def q_top_leagues_max(spark, sf):
+    return reports.top_leagues(_base(spark, sf), "max_valuation", 7)
+
+
+@register("league_year_rollup", with_views("yearly") + "SELECT * FROM yearly")
+def q_league_year_rollup(spark, sf):
+    return reports.league_year_rollup(_base(spark, sf))
+
+
+@register("other_bucket", report_sql("total_valuation", 5).split("report AS (")[0].rstrip().rstrip(",")
+          + "\nSELECT domestic_competition_id, year, total_valuation, competition_name, country_name FROM other")
+def q_other_bucket(spark, sf):
+    base = _base(spark, sf)
+    top = reports.top_leagues(base, "total_valuation", 5)
+    return reports.other_bucket(reports.league_year_rollup(base), top, "total_valuation", reports.league_count(base))
+
+
+@register("union_missing", report_sql("max_valuation", 7).split("SELECT *, competition_name ||")[0]
+          + "SELECT * FROM report")
+def q_union_missing(spark, sf):
+    base = _base(spark, sf)
+    top = reports.top_leagues(base, "max_valuation", 7)
+    yearly = reports.league_year_rollup(base)
+    kept = reports.keep_members(yearly, top.select(reports.ID), reports.ID, bounded=True)
+    other = reports.other_bucket(yearly, top, "max_valuation", reports.league_count(base))
+    return kept.unionByName(other, allowMissingColumns=True)
+
+
+def _chart_sql(body: str) -> str:
+    return report_sql("total_valuation", 5).replace(
+        "SELECT *, competition_name || ' (' || country_name || ')' AS league_label FROM report",
+        ", labelled AS (SELECT *, competition_name || ' (' || country_name || ')' AS league_label FROM report)\n"
+        + body)
+
+
+@register("legend_order", _chart_sql("""SELECT league_label, domestic_competition_id, s AS total_valuation,
+    CAST(row_number() OVER (ORDER BY s DESC NULLS LAST, league_label, domestic_competition_id) AS INTEGER)
+      AS position
+    FROM (SELECT league_label, domestic_competition_id, max(total_valuation) AS s FROM labelled
+      WHERE league_label IS NOT NULL GROUP BY 1, 2)"""))
+def q_legend_order(spark, sf):
+    return reports.legend_order(_report(spark, sf, "total_valuation", 5), "total_valuation")
+
+
+@register("series_mean", _chart_sql("""SELECT league_label, year, avg(total_valuation) AS total_valuation
+    FROM labelled WHERE league_label IS NOT NULL GROUP BY 1, 2"""))
+def q_series_mean(spark, sf):
+    return reports.series_mean(_report(spark, sf, "total_valuation", 5), "total_valuation")
+
+
+@register("player_valuation_stats", with_views("valuations", "players", "clubs") + """
+    SELECT p.player_id, p.name,
+        CAST(sum(CAST(v.market_value AS DECIMAL(18,2))) AS DOUBLE) / count(v.market_value) AS avg_valuation,
+        max(v.market_value) AS max_valuation, min(v.market_value) AS min_valuation, c.name AS club_name
+    FROM valuations v JOIN players p ON v.player_id = p.player_id JOIN clubs c ON v.current_club_id = c.club_id
+    GROUP BY p.player_id, p.name, c.name""")
+def q_player_valuation_stats(spark, sf):
+    return reports.player_valuation_stats(td.valuations(spark, sf), td.players(spark, sf), td.clubs(spark, sf))
+
+
+@register("club_ordinal", with_views("valuations", "players", "clubs") + """, top AS (
+    SELECT p.player_id, p.name,
+        CAST(sum(CAST(v.market_value AS DECIMAL(18,2))) AS DOUBLE) / count(v.market_value) AS avg_valuation,
+        c.name AS club_name
+    FROM valuations v JOIN players p ON v.player_id = p.player_id JOIN clubs c ON v.current_club_id = c.club_id
+    GROUP BY p.player_id, p.name, c.name
+    ORDER BY avg_valuation DESC NULLS LAST, p.player_id, p.name NULLS LAST, c.name NULLS LAST LIMIT 100),
+    ranked AS (SELECT club_name, row_number() OVER (ORDER BY avg_valuation DESC NULLS LAST, player_id,
+        name NULLS LAST, club_name NULLS LAST) AS position FROM top),
+    firsts AS (SELECT club_name, CAST(min(position) AS INTEGER) AS first_position FROM ranked GROUP BY club_name)
+    SELECT club_name, first_position,
+        CAST(row_number() OVER (ORDER BY first_position) - 1 AS INTEGER) AS color_index FROM firsts""")
+def q_club_ordinal(spark, sf):
+    top = reports.player_top100(td.valuations(spark, sf), td.players(spark, sf), td.clubs(spark, sf))
+    return reports.club_ordinal(top)
+
+
+# --- text functions -------------------------------------------------------------------------------
+@register("slug_title", """SELECT p_partkey, slug,
+    array_to_string(list_transform(string_split(slug, '-'),
+        lambda s: upper(substring(s, 1, 1)) || lower(substring(s, 2))), ' ') AS title
+    FROM (SELECT p_partkey, p_name || '-' || p_type || '--' || p_brand AS slug FROM part)""")
+def q_slug_title(spark, sf):
+    p = td.table(spark, sf, "part").select(
+        "p_partkey", F.concat("p_name", F.lit("-"), "p_type", F.lit("--"), "p_brand").alias("slug"))
+    return p.withColumn("title", text.slug_title("slug"))
+
+
+@register("humanize", with_views("lve") + """SELECT domestic_competition_id, partition_date, total_valuation,
+    CAST(CAST(round_even(total_valuation / 1000000000.0, 0) AS BIGINT) AS VARCHAR) || 'B' AS total_billions,
+    CAST(CAST(round_even(total_valuation / 1000000.0, 0) AS BIGINT) AS VARCHAR) || 'M' AS total_millions,
+    CAST(CAST(round_even(max_valuation / 1000.0, 0) AS BIGINT) AS VARCHAR) || 'K' AS max_thousands
+    FROM lve""")
+def q_humanize(spark, sf):
+    lve = _rollup(spark, sf)
+    return lve.select("domestic_competition_id", "partition_date", "total_valuation",
+                      text.humanize("total_valuation", 1_000_000_000).alias("total_billions"),
+                      text.humanize("total_valuation", 1_000_000).alias("total_millions"),
+                      text.humanize("max_valuation", 1_000).alias("max_thousands"))
+
+
+@register("base64_embed", """SELECT page_id,
+    '![Image](data:image/jpeg;base64,' || to_base64(encode(html)) || ')' AS markdown FROM pages""")
+def q_base64_embed(spark, sf):
+    pg = td.pages(spark, sf)
+    return pg.select("page_id", text.data_uri_markdown(spark, F.col("html").cast("binary")).alias("markdown"))
+
+
+# --- pages and logos --------------------------------------------------------------------------------
+LEAGUE_PAGES_SQL = "SELECT DISTINCT CAST(page_id AS VARCHAR) AS competition_id, url FROM pages"
+
+
+def _league_pages(spark, sf) -> DataFrame:
+    return td.pages(spark, sf).select(F.col("page_id").cast("string").alias("competition_id"), "url")
+
+
+@register("distinct_urls", LEAGUE_PAGES_SQL)
+def q_distinct_urls(spark, sf):
+    return page_ops.distinct_urls(_league_pages(spark, sf))
+
+
+@register("pending_logos", f"""SELECT competition_id, url, 'data/logos/leagues/' || competition_id || '.png'
+    AS logo_path FROM ({LEAGUE_PAGES_SQL})
+    WHERE competition_id NOT IN (SELECT CAST(item_id AS VARCHAR) FROM benchmark WHERE item_id IS NOT NULL)""")
+def q_pending_logos(spark, sf):
+    done = td.table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("competition_id"))
+    return page_ops.logo_paths(page_ops.pending(page_ops.distinct_urls(_league_pages(spark, sf)), done))
+
+
+EXTRACT_SQL = r"""SELECT page_id, url,
+    CASE WHEN status = 'ok' THEN link END AS link, status FROM (
+    SELECT page_id, url, link,
+      CASE WHEN nav IS NULL THEN 'no_container' WHEN a_tag IS NULL THEN 'no_child'
+           WHEN link IS NULL OR link = '' THEN 'no_attr' ELSE 'ok' END AS status
+    FROM (SELECT *, nullif(regexp_extract(a_tag, '\shref\s*=\s*"([^"]*)"', 1), '') AS link FROM (
+      SELECT *, nullif(regexp_extract(nav, '<a(\s[^>]*)?>', 0), '') AS a_tag FROM (
+        SELECT page_id, url,
+          nullif(regexp_extract(html, '(?s)<nav(\s[^>]*)?>(.*?)(</nav>|$)', 2), '') AS nav_body,
+          CASE WHEN regexp_matches(html, '<nav(\s[^>]*)?>') THEN
+            coalesce(regexp_extract(html, '(?s)<nav(\s[^>]*)?>(.*?)(</nav>|$)', 2), '') END AS nav
+        FROM pages))))"""
+
+
+@register("extract_link", EXTRACT_SQL)
+def q_extract_link(spark, sf):
+    return page_ops.extract_links(td.pages(spark, sf), container="nav", css_class=None, child="a", attr="href")
