@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from kickledger.functions.months import key_to_date
 from kickledger.functions.text import humanize, league_label, slug_title
 from kickledger.operators.joins import drop_members, join_dimension, keep_members
+from kickledger.operators.rollups import cents
 from kickledger.session import materialize
 
 ID = "domestic_competition_id"
@@ -148,21 +149,21 @@ def axis_labels(report: DataFrame, stat: str, step: float) -> DataFrame:
 def player_valuation_stats(valuations: DataFrame, players: DataFrame, clubs: DataFrame) -> DataFrame:
     """Average, highest and lowest valuation per (player id, player name, club name).
 
-    Valuations are first folded per (player id, club id): sum, count, max,
-    min. Those partials combine exactly after the joins, even when a player
+    Valuations are first folded per (player id, club id): sum of cents,
+    count, max, min. Those partials combine exactly after the joins, even when a player
     id or club id is duplicated in its table, so the joins and the second
     aggregation see one row per pair instead of one per valuation.
     """
     v = valuations.where(F.col("player_id").isNotNull() & F.col("current_club_id").isNotNull())
     folded = v.groupBy("player_id", "current_club_id").agg(
-        F.sum(F.col("market_value").cast("decimal(18,2)")).alias("value_sum"),
+        F.sum(cents("market_value")).alias("value_cents"),
         F.count("market_value").alias("value_count"),
         F.max("market_value").alias("value_max"),
         F.min("market_value").alias("value_min"))
     p = players.select("player_id", "name")
     c = clubs.select(F.col("club_id").alias("current_club_id"), F.col("name").alias("club_name"))
     joined = join_dimension(join_dimension(folded, p, "player_id"), c, "current_club_id")
-    total = F.sum("value_sum").cast("double")
+    total = F.sum("value_cents") / F.lit(100.0)
     count = F.sum("value_count")
     return (joined.groupBy("player_id", "name", "club_name")
             .agg((total / count).alias("avg_valuation"),

@@ -67,12 +67,17 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}/kickledger/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Compute ``df`` once into a Parquet table in the shared folder and read it back.
 
     For small frames that several parts of one plan read (the league x
-    month rollup of a report). A reliable checkpoint: the files outlive a
-    lost executor, unlike a cache or a local checkpoint.
+    month rollup of a report): the plan above it scans the stored rows
+    instead of recomputing them per use. The files outlive a lost executor,
+    unlike a cache or a local checkpoint, and one job both computes and
+    stores the rows (an eager ``checkpoint()`` of an unpersisted frame
+    computes it twice).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

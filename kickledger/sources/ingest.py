@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from kickledger.functions.coerce import coerce_columns, stringify_text_columns
 from kickledger.functions.months import with_month
 from kickledger.schemas import RAW_TYPES
+from kickledger.sources.warehouse import cluster_by_month
 
 DATASETS = tuple(RAW_TYPES)
 
@@ -51,14 +52,13 @@ def split_by_month(df: DataFrame, ts_col: str, path: str, closed: bool = False)
     """Write one Parquet folder per month (``partition_date=YYYY-MM``) in one pass.
 
     ``closed=True`` repeats the reference's month filter (up to 00:00 on the
-    last day); ``closed=False`` is the half-open month. There is no shuffle:
-    each task sorts its own rows by month and writes them folder by folder,
-    so a month holding a third of all rows is still written by many tasks
-    (hash-partitioning by month would give it one task). A month without
-    rows gets no folder; readers see zero rows for it either way. Months
-    already present are replaced, others kept.
+    last day); ``closed=False`` is the half-open month. Rows are rebalanced
+    by month first (see ``cluster_by_month``: few files per month, and a
+    hot month is split over several tasks). A month without rows gets no
+    folder; readers see zero rows for it either way. Months already
+    present are replaced, others kept.
     """
-    tagged = with_month(df, ts_col, closed=closed)
+    tagged = cluster_by_month(with_month(df, ts_col, closed=closed))
     (tagged.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("partition_date").parquet(path))
     return path

@@ -40,6 +40,18 @@ def _month_keys(start: str, end: str, day_key: bool) -> list[str]:
     return keys
 
 
+def cluster_by_month(df: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame:
+    """Gather each month's rows into few tasks before a partitioned write.
+
+    A rebalance, not a plain hash repartition: rows of one month land in
+    the same shuffle partition (one file per month instead of one per
+    task and month), and AQE splits a partition that grows past the
+    advisory size, so a month holding a third of all rows is written by
+    many tasks rather than one.
+    """
+    return df.hint("rebalance", column)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType] | None = None):
         self.spark = spark
@@ -106,7 +118,7 @@ class Warehouse:
         key per calendar month comes back to the driver).
         """
         rows = self.conform(name, df) if name in self.schemas else df
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (cluster_by_month(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(PARTITION_COLUMN).parquet(self.location(name)))
         if on_empty == "delete":
             if start is None or end is None:
