@@ -93,7 +93,8 @@ _DEPENDS = {
 }
 
 
-def with_views(*names: str) -> str:
+def with_views(*names: str, overrides: dict[str, str] | None = None) -> str:
+    views = {**VIEWS, **(overrides or {})}
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -104,7 +105,7 @@ def with_views(*names: str) -> str:
 
     for n in names:
         visit(n)
-    return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in order) + "\n"
+    return "WITH " + ",\n".join(f"{n} AS ({views[n]})" for n in order) + "\n"
 
 
 def top_sql(stat: str, n: int) -> str:
@@ -113,9 +114,9 @@ def top_sql(stat: str, n: int) -> str:
         ORDER BY {stat} DESC NULLS LAST, domestic_competition_id LIMIT {n}"""
 
 
-def report_sql(stat: str, n: int) -> str:
+def report_sql(stat: str, n: int, overrides: dict[str, str] | None = None) -> str:
     other_stat = "max_valuation" if stat == "total_valuation" else "total_valuation"
-    return with_views("yearly") + f""", top AS ({top_sql(stat, n)}),
+    return with_views("yearly", overrides=overrides) + f""", top AS ({top_sql(stat, n)}),
     kept AS (SELECT * FROM yearly WHERE domestic_competition_id IN (SELECT domestic_competition_id FROM top)),
     other AS (SELECT 'Other' AS domestic_competition_id, year, max({stat}) AS {stat},
         CAST(NULL AS DOUBLE) AS {other_stat}, 'Other' AS competition_name,
@@ -643,3 +644,59 @@ def q_stream_league_rollup(spark, sf):
     month_stream.run_available(spark, source, schema, wh, td.clubs(spark, sf), td.START, td.END,
                                shared_path(spark, "stream_checkpoint"), max_files_per_trigger=1)
     return wh.read("league_valuation_evolution")
+
+
+# --- the whole pipeline, from raw CSV files ------------------------------------------------------------
+RAW_CSV_SPARK = {
+    "player_valuations": ("lineitem", {
+        "player_id": "CAST(l_partkey AS STRING)",
+        "date": "date_format(l_shipdate, 'yyyy-MM-dd')",
+        "market_value_in_eur": "CAST(CAST(rint(l_extendedprice * 100) AS BIGINT) AS STRING)",
+        "current_club_id": "CAST(l_suppkey AS STRING)",
+        "player_club_domestic_competition_id": "l_returnflag"}),
+    "clubs": ("supplier", {
+        "club_id": "CAST(s_suppkey AS STRING)", "name": "s_name",
+        "domestic_competition_id": "CAST(s_nationkey AS STRING)",
+        "total_market_value": "CAST(CAST(rint(s_acctbal) AS BIGINT) AS STRING)",
+        "average_age": "CAST(s_acctbal AS STRING)", "foreigners_percentage": "'n/a'"}),
+    "players": ("part", {"player_id": "CAST(p_partkey AS STRING)", "name": "p_name"}),
+    "appearances": ("events", {
+        "appearance_id": "CAST(event_id AS STRING)", "game_id": "CAST(event_id AS STRING)",
+        "player_id": "CAST(user_id AS STRING)", "player_club_id": "CAST(user_id AS STRING)",
+        "player_current_club_id": "CAST(user_id AS STRING)", "date": "date_format(ts, 'yyyy-MM-dd')",
+        "player_name": "event_type", "competition_id": "event_type", "yellow_cards": "'0'",
+        "red_cards": "'0'", "goals": "CAST(length(props) AS STRING)", "assists": "'0'",
+        "minutes_played": "CAST(CAST(value AS BIGINT) AS STRING)"}),
+    "games": ("orders", {"game_id": "CAST(o_orderkey AS STRING)", "date": "date_format(o_orderdate, 'yyyy-MM-dd')",
+                         "home_club_id": "CAST(o_custkey AS STRING)", "round": "o_orderpriority"}),
+}
+
+STORED_PIPELINE_VIEWS = {
+    "valuations": """SELECT l_partkey AS player_id, CAST(l_shipdate AS DATE) AS date,
+        CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS FLOAT) AS market_value, l_suppkey AS current_club_id,
+        l_returnflag AS competition_id FROM lineitem""",
+    "lve": """SELECT domestic_competition_id,
+        CAST(CAST(coalesce(sum(CAST(market_value AS DECIMAL(18,2))), 0) AS DOUBLE) AS FLOAT) AS total_valuation,
+        min(market_value) AS min_valuation, max(market_value) AS max_valuation,
+        CAST(count(market_value) AS INTEGER) AS player_count,
+        strftime(date, '%Y-%m-01') AS partition_date
+        FROM vrows WHERE domestic_competition_id IS NOT NULL GROUP BY 1, 6""",
+}
+
+
+def write_raw_csvs(spark: SparkSession, sf: str, raw_dir: str) -> None:
+    """The six raw datasets as CSV files with a header, derived from the given tables."""
+    for dataset, (table, columns) in RAW_CSV_SPARK.items():
+        df = td.table(spark, sf, table).select([F.expr(e).alias(n) for n, e in columns.items()])
+        df.write.mode("overwrite").option("header", True).csv(f"{raw_dir}/{pipeline.RAW_FILES[dataset]}")
+    comp = td.competitions(spark, sf).withColumn("url", F.concat(F.lit("https://leagues.example/"),
+                                                                 F.col("competition_id")))
+    comp.write.mode("overwrite").option("header", True).csv(f"{raw_dir}/{pipeline.RAW_FILES['competitions']}")
+
+
+@register("pipeline_first_league_total", report_sql("total_valuation", 5, STORED_PIPELINE_VIEWS))
+def q_pipeline_first_league_total(spark, sf):
+    raw_dir = shared_path(spark, "raw")
+    write_raw_csvs(spark, sf, raw_dir)
+    result = pipeline.run(spark, raw_dir, shared_path(spark, "warehouse"), td.START, td.END, td.CUTOFF)
+    return result.first_league_total
