@@ -83,14 +83,25 @@ class _FirstLink(HTMLParser):
                 self.done = True
 
 
+FEED_CHUNK = 16384
+
+
 def first_link(html: str | None, container: str = LOGO_CONTAINER_TAG,
                css_class: str | None = LOGO_CONTAINER_CLASS, child: str = LOGO_CHILD_TAG,
                attr: str = LOGO_ATTRIBUTE) -> tuple[str | None, str]:
-    """``(link, status)`` for one page."""
+    """``(link, status)`` for one page.
+
+    The page is fed in chunks and parsing stops as soon as the answer is
+    fixed (link found, or the container closed without one); a page without
+    a match is read to its end.
+    """
     if html is None:
         return None, NO_CONTAINER
     parser = _FirstLink(container, css_class, child, attr)
-    parser.feed(html)
+    for at in range(0, len(html), FEED_CHUNK):
+        parser.feed(html[at:at + FEED_CHUNK])
+        if parser.done:
+            return parser.link, parser.status
     parser.close()
     return parser.link, parser.status
 

@@ -700,3 +700,23 @@ def q_pipeline_first_league_total(spark, sf):
     write_raw_csvs(spark, sf, raw_dir)
     result = pipeline.run(spark, raw_dir, shared_path(spark, "warehouse"), td.START, td.END, td.CUTOFF)
     return result.first_league_total
+
+
+EXTRACT_BY_CLASS_SQL = r"""SELECT page_id, url, CASE WHEN status = 'ok' THEN link END AS link, status FROM (
+    SELECT page_id, url, link,
+      CASE WHEN body IS NULL THEN 'no_container' WHEN img IS NULL THEN 'no_child'
+           WHEN link IS NULL THEN 'no_attr' ELSE 'ok' END AS status
+    FROM (SELECT *, nullif(regexp_extract(img, '\ssrc\s*=\s*"([^"]*)"', 1), '') AS link FROM (
+      SELECT *, nullif(regexp_extract(body, '<img(\s[^>]*)?>', 0), '') AS img FROM (
+        SELECT page_id, url,
+          CASE WHEN regexp_matches(html, '<div\s[^>]*class="([^"]*\s)?ad(\s[^"]*)?"') THEN
+            coalesce(regexp_extract(html,
+              '(?s)<div\s[^>]*class="(?:[^"]*\s)?ad(?:\s[^"]*)?"[^>]*>(.*?)(</div>|$)', 1), '') END AS body
+        FROM pages))))"""
+
+
+@register("extract_by_class", EXTRACT_BY_CLASS_SQL)
+def q_extract_by_class(spark, sf):
+    """The reference's shape (a div picked by class token, its first img, the src) on the
+    test pages, whose only classed div holds no image."""
+    return page_ops.extract_links(td.pages(spark, sf), container="div", css_class="ad", child="img", attr="src")
