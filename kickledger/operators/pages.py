@@ -12,10 +12,12 @@ Spark function offers, so the per-page step is a small stdlib
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,6 +118,9 @@ def extract_links(pages: DataFrame, container: str = LOGO_CONTAINER_TAG,
     """
     if on_error not in ("status", "raise"):
         raise ValueError("on_error must be 'status' or 'raise'")
+    # Ship this module's code with the task, so Python workers need no
+    # import path to the package (they may start in another directory).
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from kickledger.functions.months import key_to_date
 from kickledger.functions.text import humanize, league_label, slug_title
-from kickledger.operators.joins import drop_members, join_dimension, keep_members
+from kickledger.operators.joins import drop_members, is_bounded, join_dimension, keep_members, row_bound
 from kickledger.operators.rollups import cents
 from kickledger.session import materialize
 
@@ -38,10 +38,15 @@ def first_tier_months(lve: DataFrame, competitions: DataFrame, sub_type: str = "
 
 
 def before_cutoff(rows: DataFrame, cutoff: str) -> DataFrame:
-    """Rows of months before ``cutoff``, with the month as a date and its year."""
-    month = key_to_date("partition_date")
-    return (rows.withColumn("month", month).where(F.col("month") < F.lit(cutoff).cast("date"))
-            .withColumn("year", F.year("month")))
+    """Rows of months before ``cutoff`` (``YYYY-MM-DD``), with the year.
+
+    The test compares month-key text (``YYYY-MM-01`` sorts like the date),
+    so where Catalyst pushes it below the rollup's aggregation it costs one
+    string comparison per input row, not a date parse.
+    """
+    first_day = F.concat(F.substring("partition_date", 1, 7), F.lit("-01"))
+    return (rows.where(first_day < F.lit(cutoff))
+            .withColumn("year", F.year(key_to_date("partition_date"))))
 
 
 def report_base(lve: DataFrame, competitions: DataFrame, cutoff: str) -> DataFrame:
@@ -149,27 +154,34 @@ def axis_labels(report: DataFrame, stat: str, step: float) -> DataFrame:
 def player_valuation_stats(valuations: DataFrame, players: DataFrame, clubs: DataFrame) -> DataFrame:
     """Average, highest and lowest valuation per (player id, player name, club name).
 
-    Valuations are first folded per (player id, club id): sum of cents,
-    count, max, min. Those partials combine exactly after the joins, even when a player
-    id or club id is duplicated in its table, so the joins and the second
-    aggregation see one row per pair instead of one per valuation.
+    When both dimensions are measured small they are broadcast and the
+    aggregation runs once after the joins (its map-side combine folds the
+    rows before the only shuffle). Otherwise the joins must shuffle, so
+    valuations are first folded per (player id, club id) (sum of cents,
+    count, max, min); those partials combine exactly after the joins, even
+    when an id is duplicated in its table, and the shuffle joins move one
+    row per pair instead of one per valuation.
     """
     v = valuations.where(F.col("player_id").isNotNull() & F.col("current_club_id").isNotNull())
-    folded = v.groupBy("player_id", "current_club_id").agg(
-        F.sum(cents("market_value")).alias("value_cents"),
-        F.count("market_value").alias("value_count"),
-        F.max("market_value").alias("value_max"),
-        F.min("market_value").alias("value_min"))
     p = players.select("player_id", "name")
     c = clubs.select(F.col("club_id").alias("current_club_id"), F.col("name").alias("club_name"))
-    joined = join_dimension(join_dimension(folded, p, "player_id"), c, "current_club_id")
-    total = F.sum("value_cents") / F.lit(100.0)
-    count = F.sum("value_count")
-    return (joined.groupBy("player_id", "name", "club_name")
-            .agg((total / count).alias("avg_valuation"),
-                 F.max("value_max").alias("max_valuation"),
-                 F.min("value_min").alias("min_valuation"))
-            .select("player_id", "name", "avg_valuation", "max_valuation", "min_valuation", "club_name"))
+    keys = ["player_id", "name", "club_name"]
+    if is_bounded(p, row_bound(p)) and is_bounded(c, row_bound(c)):
+        joined = v.join(F.broadcast(p), "player_id").join(F.broadcast(c), "current_club_id")
+        stats = joined.groupBy(*keys).agg(
+            (F.sum(cents("market_value")) / F.lit(100.0) / F.count("market_value")).alias("avg_valuation"),
+            F.max("market_value").alias("max_valuation"), F.min("market_value").alias("min_valuation"))
+    else:
+        folded = v.groupBy("player_id", "current_club_id").agg(
+            F.sum(cents("market_value")).alias("value_cents"),
+            F.count("market_value").alias("value_count"),
+            F.max("market_value").alias("value_max"),
+            F.min("market_value").alias("value_min"))
+        joined = folded.join(p, "player_id").join(c, "current_club_id")
+        stats = joined.groupBy(*keys).agg(
+            (F.sum("value_cents") / F.lit(100.0) / F.sum("value_count")).alias("avg_valuation"),
+            F.max("value_max").alias("max_valuation"), F.min("value_min").alias("min_valuation"))
+    return stats.select("player_id", "name", "avg_valuation", "max_valuation", "min_valuation", "club_name")
 
 
 def top_players(stats: DataFrame, n: int = 100) -> DataFrame:

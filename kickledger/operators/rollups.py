@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kickledger.functions.coerce import nan_to_null
-from kickledger.functions.months import in_window, month_key, month_start_key
+from kickledger.functions.months import in_window, month_key, month_start
 from kickledger.operators.joins import join_dimension
 
 LEAGUE_COLUMNS = ["domestic_competition_id", "total_valuation", "min_valuation",
@@ -62,37 +62,52 @@ def valuation_rows(valuations: DataFrame, clubs: DataFrame, start: str, end: str
     return join_dimension(v, c, "current_club_id")
 
 
+def with_month_key(grouped: DataFrame) -> DataFrame:
+    """``partition_date`` text (``YYYY-MM-01``) from the ``month`` date key.
+
+    Grouping by the date and formatting afterwards formats one value per
+    group instead of one per input row.
+    """
+    return grouped.withColumn("partition_date", F.date_format("month", "yyyy-MM-dd"))
+
+
 def league_rollup(rows: DataFrame) -> DataFrame:
     """Sum, min, max and count of valuations per league and month.
 
     ``player_count`` counts valuation rows with a value (a player valued
     twice in a month counts twice). Rows without a league are dropped.
     """
-    return (rows.where(F.col("domestic_competition_id").isNotNull())
-            .groupBy("domestic_competition_id", month_start_key("date").alias("partition_date"))
-            .agg(exact_sum("market_value").alias("total_valuation"),
-                 F.min("market_value").alias("min_valuation"),
-                 F.max("market_value").alias("max_valuation"),
-                 F.count("market_value").cast("int").alias("player_count"))
-            .select(*LEAGUE_COLUMNS))
+    return with_month_key(
+        rows.where(F.col("domestic_competition_id").isNotNull())
+        .groupBy("domestic_competition_id", month_start("date").alias("month"))
+        .agg(exact_sum("market_value").alias("total_valuation"),
+             F.min("market_value").alias("min_valuation"),
+             F.max("market_value").alias("max_valuation"),
+             F.count("market_value").cast("int").alias("player_count"))).select(*LEAGUE_COLUMNS)
 
 
 def club_rollup(rows: DataFrame) -> DataFrame:
     """Sum, min, max and count per club name and month.
 
     Clubs that share a name merge. The league is the valuation's own league
-    code of the earliest valuation (by date, then player id) that has one.
+    code of the earliest valuation that has one (on the same day, the
+    smaller code). Rows are first folded per (club, month, league code) by
+    a hash aggregation; only those few rows reach the "earliest" step, which
+    needs a struct minimum and hence a sort-based aggregation.
     """
     cid = F.col("competition_id")
-    earliest = F.min(F.when(cid.isNotNull(), F.struct("date", "player_id", "competition_id")))
-    return (rows.where(F.col("club_name").isNotNull())
-            .groupBy("club_name", month_start_key("date").alias("partition_date"))
-            .agg(exact_sum("market_value").alias("total_valuation"),
-                 F.min("market_value").alias("min_valuation"),
-                 F.max("market_value").alias("max_valuation"),
-                 F.count("market_value").cast("int").alias("squad_size"),
-                 earliest.getField("competition_id").alias("domestic_competition_id"))
-            .select(*CLUB_COLUMNS))
+    per_league = (rows.where(F.col("club_name").isNotNull())
+                  .groupBy("club_name", month_start("date").alias("month"), "competition_id")
+                  .agg(F.sum(cents("market_value")).alias("cents"),
+                       F.min("market_value").alias("lo"), F.max("market_value").alias("hi"),
+                       F.count("market_value").alias("n"), F.min("date").alias("first_date")))
+    earliest = F.min(F.when(cid.isNotNull(), F.struct("first_date", "competition_id")))
+    return with_month_key(
+        per_league.groupBy("club_name", "month")
+        .agg(F.coalesce(F.sum("cents") / F.lit(100.0), F.lit(0.0)).alias("total_valuation"),
+             F.min("lo").alias("min_valuation"), F.max("hi").alias("max_valuation"),
+             F.sum("n").cast("int").alias("squad_size"),
+             earliest.getField("competition_id").alias("domestic_competition_id"))).select(*CLUB_COLUMNS)
 
 
 def league_valuation_evolution(valuations: DataFrame, clubs: DataFrame, start: str, end: str) -> DataFrame:

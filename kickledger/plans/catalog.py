@@ -66,7 +66,7 @@ VIEWS = {
         min(market_value) AS min_valuation, max(market_value) AS max_valuation,
         CAST(count(market_value) AS INTEGER) AS squad_size,
         (min(CASE WHEN competition_id IS NOT NULL THEN
-             {'date': date, 'player_id': player_id, 'competition_id': competition_id} END)).competition_id
+             {'date': date, 'competition_id': competition_id} END)).competition_id
           AS domestic_competition_id,
         strftime(date, '%Y-%m-01') AS partition_date
         FROM vrows WHERE club_name IS NOT NULL GROUP BY club_name, strftime(date, '%Y-%m-01')""",

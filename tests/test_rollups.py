@@ -44,12 +44,12 @@ def test_months_in_one_job(spark):
 
 
 def test_club_rollup_merges_names_and_takes_earliest_league(spark):
-    v = spark.createDataFrame([(2, dt.date(2020, 1, 9), 1.0, 10, "B"), (1, dt.date(2020, 1, 9), 2.0, 20, "C"),
+    v = spark.createDataFrame([(2, dt.date(2020, 1, 9), 1.0, 10, "C"), (1, dt.date(2020, 1, 9), 2.0, 20, "B"),
                                (3, dt.date(2020, 1, 2), 4.0, 20, None), (4, dt.date(2020, 1, 20), 8.0, 10, "A")],
                               V_DDL)
     c = spark.createDataFrame([(10, "Same", "L1"), (20, "Same", "L2")], C_DDL)
     r = rollups.club_valuation_evolution(v, c, "2020-01-01", "2020-02-01").first()
-    assert (r.club_name, r.total_valuation, r.squad_size, r.domestic_competition_id) == ("Same", 15.0, 4, "C")
+    assert (r.club_name, r.total_valuation, r.squad_size, r.domestic_competition_id) == ("Same", 15.0, 4, "B")
 
 
 def test_sum_invariant_over_testdata(spark):
