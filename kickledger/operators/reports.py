@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from kickledger.functions.months import key_to_date
 from kickledger.functions.text import humanize, league_label, slug_title
-from kickledger.operators.joins import drop_members, is_bounded, join_dimension, keep_members, row_bound
+from kickledger.operators.joins import (DEFAULT_BROADCAST_BYTES, drop_members, is_bounded, join_dimension,
+                                        keep_members, row_bound)
 from kickledger.operators.rollups import cents
 from kickledger.session import materialize
 
@@ -151,7 +152,8 @@ def axis_labels(report: DataFrame, stat: str, step: float) -> DataFrame:
 
 
 # --- top players ----------------------------------------------------------------
-def player_valuation_stats(valuations: DataFrame, players: DataFrame, clubs: DataFrame) -> DataFrame:
+def player_valuation_stats(valuations: DataFrame, players: DataFrame, clubs: DataFrame,
+                           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Average, highest and lowest valuation per (player id, player name, club name).
 
     When both dimensions are measured small they are broadcast and the
@@ -166,7 +168,7 @@ def player_valuation_stats(valuations: DataFrame, players: DataFrame, clubs: Dat
     p = players.select("player_id", "name")
     c = clubs.select(F.col("club_id").alias("current_club_id"), F.col("name").alias("club_name"))
     keys = ["player_id", "name", "club_name"]
-    if is_bounded(p, row_bound(p)) and is_bounded(c, row_bound(c)):
+    if is_bounded(p, row_bound(p, max_broadcast_bytes)) and is_bounded(c, row_bound(c, max_broadcast_bytes)):
         joined = v.join(F.broadcast(p), "player_id").join(F.broadcast(c), "current_club_id")
         stats = joined.groupBy(*keys).agg(
             (F.sum(cents("market_value")) / F.lit(100.0) / F.count("market_value")).alias("avg_valuation"),

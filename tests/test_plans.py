@@ -19,12 +19,13 @@ def test_rollup_scan_pushes_date_filter_and_reads_three_columns(spark):
     assert "partial_sum" in plan  # map-side combine before the shuffle
 
 
-def test_top_players_folds_before_joining(spark):
-    df = reports.player_top100(td.valuations(spark, SF_SMOKE), td.players(spark, SF_SMOKE),
-                               td.clubs(spark, SF_SMOKE))
-    plan = plan_of(df)
-    assert "TakeOrderedAndProject" in plan
-    assert plan.count("HashAggregate") >= 3
+def test_top_players_join_first_when_small_fold_first_when_large(spark):
+    v, p, c = td.valuations(spark, SF_SMOKE), td.players(spark, SF_SMOKE), td.clubs(spark, SF_SMOKE)
+    small = plan_of(reports.top_players(reports.player_valuation_stats(v, p, c)))
+    assert "TakeOrderedAndProject" in small
+    assert small.count("BroadcastHashJoin") == 2 and small.count("HashAggregate") == 2
+    large = plan_of(reports.player_valuation_stats(v, p, c, max_broadcast_bytes=1))
+    assert large.count("HashAggregate") >= 4  # folded per (player, club), then per (player, name, club)
 
 
 def test_no_python_outside_link_extraction(spark):
