@@ -1,12 +1,13 @@
 """Joins against dimension tables, broadcast only behind a size check.
 
 A dimension (clubs, players, competitions) is broadcast when a bounded
-count proves it small: ``limit(max_rows + 1).count()`` never reads more
-than ``max_rows + 1`` rows per partition, so the check itself is cheap
-even on a huge table. Beyond the bound the join is a shuffle join; AQE
-still switches it to a broadcast join if the side turns out small at run
-time, and splits a skewed partition (one key with a third of all rows)
-into several tasks.
+count proves it small: ``limit(max_rows + 1).count()`` stops each
+partition after ``max_rows + 1`` rows and reads no column the dimension's
+projection does not need (for a plain Parquet dimension, row counts only),
+so the check stays cheap next to the fact scan even on a huge table.
+Beyond the bound the join is a shuffle join; AQE still switches it to a
+broadcast join if the side turns out small at run time, and splits a
+skewed partition (one key with a third of all rows) into several tasks.
 """
 
 from __future__ import annotations

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,6 +106,15 @@ class Warehouse:
         schema = self.schemas[name]
         return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
+    def stored_months(self, name: str) -> set[str]:
+        """Month keys that hold files, read from the file listing (no job)."""
+        try:
+            files = self.read(name).inputFiles()
+        except AnalysisException:
+            return set()
+        marker = f"/{PARTITION_COLUMN}="
+        return {f.split(marker, 1)[1].split("/", 1)[0] for f in files if marker in f}
+
     def replace_months(self, name: str, df: DataFrame, on_empty: str = "keep",
                        start: str | None = None, end: str | None = None,
                        day_key: bool = False) -> None:
@@ -113,24 +123,26 @@ class Warehouse:
         With ``on_empty="delete"`` and a range ``[start, end)``, months of the
         range that ``df`` does not hold are cleared as well, so the range ends
         up holding exactly ``df``. ``day_key`` says the table keys months as
-        ``YYYY-MM-01`` rather than ``YYYY-MM``. Finding the months to clear
-        reads only the month column of ``df`` and of the table (at most one
-        key per calendar month comes back to the driver).
+        ``YYYY-MM-01`` rather than ``YYYY-MM``. Stored months come from the
+        file listing; only when some stored month of the range might need
+        clearing is the month column of ``df`` read once more to find the
+        months it holds (at most one key per calendar month reaches the
+        driver).
         """
-        rows = self.conform(name, df) if name in self.schemas else df
-        (cluster_by_month(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(PARTITION_COLUMN).parquet(self.location(name)))
+        if on_empty not in ("delete", "keep"):
+            raise ValueError(f"on_empty must be 'delete' or 'keep', not {on_empty!r}")
+        candidates: set[str] = set()
         if on_empty == "delete":
             if start is None or end is None:
                 raise ValueError("on_empty='delete' needs the month range start and end")
-            wanted = _month_keys(start, end, day_key)
+            candidates = self.stored_months(name) & set(_month_keys(start, end, day_key))
+        rows = self.conform(name, df) if name in self.schemas else df
+        (cluster_by_month(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(PARTITION_COLUMN).parquet(self.location(name)))
+        if candidates:
             present = {r[0] for r in rows.select(PARTITION_COLUMN).distinct().collect()}
-            stored = {r[0] for r in self.read(name).select(PARTITION_COLUMN).distinct().collect()}
-            for key in wanted:
-                if key in stored and key not in present:
-                    self._overwrite_month(name, rows.limit(0), key)
-        elif on_empty != "keep":
-            raise ValueError(f"on_empty must be 'delete' or 'keep', not {on_empty!r}")
+            for key in sorted(candidates - present):
+                self._overwrite_month(name, rows.limit(0), key)
 
     def replace_month(self, name: str, df: DataFrame, month: str, on_empty: str = "delete") -> None:
         """Replace one month with the rows of ``df`` that belong to it."""
