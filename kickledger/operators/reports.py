@@ -207,3 +207,21 @@ def club_ordinal(top: DataFrame) -> DataFrame:
         F.asc_nulls_last("club_name"))))
     firsts = ranked.groupBy("club_name").agg(F.min("position").cast("int").alias("first_position"))
     return firsts.withColumn("color_index", (F.row_number().over(Window.orderBy("first_position")) - 1).cast("int"))
+
+
+def player_bars(top: DataFrame, step: float = 1_000_000) -> DataFrame:
+    """Bar-chart frame of a top-N list: rank, bar slot, club colour, value label.
+
+    Bars are drawn in reverse rank order, so ``bar_index`` 0 is the lowest
+    of the list. ``top`` is bounded (the top-N list), so the unpartitioned
+    windows sort at most N rows; the colour table has at most N rows and is
+    broadcast.
+    """
+    order = Window.orderBy(F.desc_nulls_last("avg_valuation"), F.asc("player_id"), F.asc_nulls_last("name"),
+                           F.asc_nulls_last("club_name"))
+    ranked = (top.withColumn("position", F.row_number().over(order).cast("int"))
+              .withColumn("bar_index", (F.count("*").over(Window.partitionBy()) - F.col("position")).cast("int")))
+    colours = F.broadcast(club_ordinal(top).select(F.col("club_name").alias("colour_club"), "color_index"))
+    return (ranked.join(colours, ranked["club_name"].eqNullSafe(colours["colour_club"]), "left")
+            .select("player_id", "name", "club_name", "avg_valuation", "position", "bar_index", "color_index",
+                    humanize("avg_valuation", step).alias("value_label")))

@@ -554,6 +554,30 @@ def q_club_ordinal(spark, sf):
     return reports.club_ordinal(top)
 
 
+TOP100_SQL = """top AS (
+    SELECT p.player_id, p.name,
+        CAST(sum(CAST(v.market_value AS DECIMAL(18,2))) AS DOUBLE) / count(v.market_value) AS avg_valuation,
+        c.name AS club_name
+    FROM valuations v JOIN players p ON v.player_id = p.player_id JOIN clubs c ON v.current_club_id = c.club_id
+    GROUP BY p.player_id, p.name, c.name
+    ORDER BY avg_valuation DESC NULLS LAST, p.player_id, p.name NULLS LAST, c.name NULLS LAST LIMIT 100)"""
+
+
+@register("player_bars", with_views("valuations", "players", "clubs") + ", " + TOP100_SQL + """,
+    ranked AS (SELECT *, CAST(row_number() OVER (ORDER BY avg_valuation DESC NULLS LAST, player_id,
+        name NULLS LAST, club_name NULLS LAST) AS INTEGER) AS position FROM top),
+    firsts AS (SELECT club_name, min(position) AS first_position FROM ranked GROUP BY club_name),
+    colours AS (SELECT club_name, CAST(row_number() OVER (ORDER BY first_position) - 1 AS INTEGER) AS color_index
+        FROM firsts)
+    SELECT r.player_id, r.name, r.club_name, r.avg_valuation, r.position,
+        CAST(count(*) OVER () - r.position AS INTEGER) AS bar_index, c.color_index,
+        CAST(CAST(round_even(r.avg_valuation / 1000000.0, 0) AS BIGINT) AS VARCHAR) || 'M' AS value_label
+    FROM ranked r LEFT JOIN colours c ON r.club_name IS NOT DISTINCT FROM c.club_name""")
+def q_player_bars(spark, sf):
+    top = reports.player_top100(td.valuations(spark, sf), td.players(spark, sf), td.clubs(spark, sf))
+    return reports.player_bars(top)
+
+
 # --- text functions -------------------------------------------------------------------------------
 @register("slug_title", """SELECT p_partkey, slug,
     array_to_string(list_transform(string_split(slug, '-'),

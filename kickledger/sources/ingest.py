@@ -69,3 +69,22 @@ def read_months(spark: SparkSession, path: str, schema=None) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(path)
     return df.withColumn("partition_date", F.col("partition_date").cast("string"))
+
+
+def read_binary_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Files as rows (``path``, ``modificationTime``, ``length``, ``content``).
+
+    File content is read only when the ``content`` column is used, so a
+    listing (which logos exist) costs no data reads.
+    """
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(path)
+
+
+def stored_ids(spark: SparkSession, folder: str, suffix: str = ".png") -> DataFrame:
+    """Ids of the files ``<folder>/<id><suffix>`` that exist (e.g. stored logos)."""
+    files = read_binary_files(spark, folder, f"*{suffix}").select("path")
+    pattern = r"([^/]+)" + suffix.replace(".", r"\.") + "$"
+    return files.select(F.regexp_extract("path", pattern, 1).alias("competition_id")).distinct()

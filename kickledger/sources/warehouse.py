@@ -18,7 +18,9 @@ written by one job.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -96,6 +98,33 @@ class Warehouse:
         df.createOrReplaceTempView(view or name)
         return df
 
+    def sql(self, query: str, tables: list[str] | None = None) -> DataFrame:
+        """Run Spark SQL with warehouse tables visible under their own names.
+
+        The views stay registered for the session (the returned DataFrame
+        resolves them when it runs).
+        """
+        for name in tables if tables is not None else list(self.schemas):
+            with contextlib.suppress(AnalysisException):
+                self.register(name)
+        return self.spark.sql(query)
+
+    @contextlib.contextmanager
+    def frame_view(self, df: DataFrame, prefix: str = "frame"):
+        """Register ``df`` as a uniquely named temporary view for the block,
+        then drop it (register, insert from it, unregister)."""
+        view = f"{prefix}_{uuid.uuid4().hex[:12]}"
+        df.createOrReplaceTempView(view)
+        try:
+            yield view
+        finally:
+            self.spark.catalog.dropTempView(view)
+
+    def insert_select(self, name: str, select_sql: str, on_empty: str = "keep",
+                      start: str | None = None, end: str | None = None) -> None:
+        """Replace the months that a SQL ``SELECT`` yields (columns matched by name)."""
+        self.replace_months(name, self.spark.sql(select_sql), on_empty=on_empty, start=start, end=end)
+
     # --- write ------------------------------------------------------------
     def conform(self, name: str, df: DataFrame) -> DataFrame:
         """Select the table's columns by name and cast to the stored types.
