@@ -7,7 +7,9 @@ over Arrow batches, so it runs on every executor in parallel and each page
 is handled inside one task (nothing goes through the driver). HTML needs a
 real tokenizer (nesting, attribute quoting, entities), which no built-in
 Spark function offers, so the per-page step is a small stdlib
-``html.parser`` handler.
+``html.parser`` handler. Arrow batches handed to the handler are capped
+by ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB by default), so
+large pages do not blow up a Python worker.
 """
 
 from __future__ import annotations

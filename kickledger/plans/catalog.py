@@ -290,6 +290,50 @@ def q_stringify_nulls(spark, sf):
     return coerce.stringify_text_columns(c)
 
 
+RAW_CLUBS_SPARK = {
+    "club_id": "CAST(s_suppkey AS STRING)",
+    "name": "CASE WHEN s_nationkey = 3 THEN NULL ELSE s_name END",
+    "domestic_competition_id": "CASE WHEN s_nationkey = 4 THEN NULL ELSE CAST(s_nationkey AS STRING) END",
+    "total_market_value": """CASE WHEN s_nationkey < 5 THEN 'n/a'
+        WHEN s_nationkey < 10 THEN concat(CAST(s_suppkey AS STRING), '.0')
+        WHEN s_nationkey < 12 THEN concat(CAST(s_suppkey AS STRING), '.5')
+        ELSE CAST(CAST(rint(s_acctbal * 100) AS BIGINT) AS STRING) END""",
+    "average_age": """CASE WHEN s_nationkey < 8 THEN CAST(s_acctbal AS STRING)
+        WHEN s_nationkey < 12 THEN concat(CAST(s_acctbal AS STRING), 'd')
+        ELSE concat(' ', CAST(s_acctbal AS STRING), ' ') END""",
+    "foreigners_percentage": "CASE WHEN s_nationkey < 15 THEN '12.5' ELSE '1,5' END",
+}
+
+
+@register("csv_ingest_clubs", """SELECT s_suppkey AS club_id,
+    coalesce(CASE WHEN s_nationkey = 3 THEN NULL ELSE s_name END, 'nan') AS name,
+    coalesce(CASE WHEN s_nationkey = 4 THEN NULL ELSE CAST(s_nationkey AS VARCHAR) END, 'nan')
+      AS domestic_competition_id,
+    CASE WHEN s_nationkey < 5 THEN NULL WHEN s_nationkey < 10 THEN s_suppkey WHEN s_nationkey < 12 THEN NULL
+         ELSE CAST(round(s_acctbal * 100) AS BIGINT) END AS total_market_value,
+    CASE WHEN s_nationkey >= 8 AND s_nationkey < 12 THEN NULL ELSE s_acctbal END AS average_age,
+    CASE WHEN s_nationkey < 15 THEN 12.5 END AS foreigners_percentage
+    FROM supplier""")
+def q_csv_ingest_clubs(spark, sf):
+    """Club file typing with missing text stored as ``nan`` (the reference's form)."""
+    raw = td.table(spark, sf, "supplier").select([F.expr(e).alias(n) for n, e in RAW_CLUBS_SPARK.items()])
+    path = shared_path(spark, "csv_clubs")
+    raw.write.mode("overwrite").option("header", True).csv(path)
+    return ingest.load_dataset(spark, path, "clubs", null_strings="nan")
+
+
+@register("league_valuation_evolution_nan", with_views("lve", overrides={
+    "clubs": """SELECT s_suppkey AS club_id, s_name AS name,
+        coalesce(CASE WHEN s_nationkey IN (3, 4) THEN NULL ELSE CAST(s_nationkey AS VARCHAR) END, 'nan')
+          AS domestic_competition_id FROM supplier"""}) + "SELECT * FROM lve")
+def q_league_valuation_evolution_nan(spark, sf):
+    """Clubs without a league, stored as ``nan`` text: the rollup keeps them as league ``nan``."""
+    clubs = td.clubs(spark, sf).withColumn("domestic_competition_id", F.when(
+        ~F.col("domestic_competition_id").isin("3", "4"), F.col("domestic_competition_id")))
+    return rollups.league_valuation_evolution(td.valuations(spark, sf), coerce.stringify_text_columns(clubs),
+                                              td.START, td.END)
+
+
 # --- loads into the month-partitioned warehouse ---------------------------------------------
 LOADED_VALUATIONS_SQL = f"""SELECT CAST(player_id AS INTEGER) AS player_id, CAST(date AS VARCHAR) AS date,
     CAST(market_value AS FLOAT) AS market_value, CAST(current_club_id AS INTEGER) AS current_club_id,
