@@ -42,3 +42,26 @@ def test_report_reads_materialized_frame(spark):
     from kickledger.plans import catalog
     plan = plan_of(catalog.QUERIES["first_league_total"](spark, SF_SMOKE))
     assert "lineitem" not in plan  # the rollup was computed once and stored
+
+
+def test_stream_refresh_prunes_to_touched_months(spark, scratch):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from kickledger.plans.pipeline import valuation_load_rows
+    from kickledger.sources.warehouse import Warehouse
+    from kickledger.streaming import month_stream
+
+    wh = Warehouse(spark, scratch)
+    ddl = "player_id long, date date, market_value double, current_club_id long, competition_id string"
+    rows = spark.createDataFrame([(i, dt.date(2020, m, 3), 1.0, 10, "A") for i in range(2) for m in (1, 2, 3)], ddl)
+    (valuation_load_rows(rows, "2020-01-01", "2021-01-01").withColumn("load_batch", F.lit(0).cast("long"))
+     .write.partitionBy("partition_date", "load_batch").parquet(wh.location(month_stream.STREAM_TABLE)))
+    stored = month_stream.read_stream_rows(wh, rows.schema)
+    touched = spark.createDataFrame([("2020-03",)], "partition_date string")
+    clubs = spark.createDataFrame([(10, "c", "L")], "club_id long, name string, domestic_competition_id string")
+    affected = stored.join(F.broadcast(touched), "partition_date", "left_semi")
+    df = rollups.league_valuation_evolution(affected, clubs, "2020-01-01", "2021-01-01")
+    assert [r.partition_date for r in df.collect()] == ["2020-03-01"]
+    assert "dynamicpruning" in plan_of(df)
