@@ -48,17 +48,18 @@ def write_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
-def split_by_month(df: DataFrame, ts_col: str, path: str, closed: bool = False) -> str:
+def split_by_month(df: DataFrame, ts_col: str, path: str, closed: bool = False, cluster: bool = True) -> str:
     """Write one Parquet folder per month (``partition_date=YYYY-MM``) in one pass.
 
     ``closed=True`` repeats the reference's month filter (up to 00:00 on the
     last day); ``closed=False`` is the half-open month. Rows are rebalanced
     by month first (see ``cluster_by_month``: few files per month, and a
-    hot month is split over several tasks). A month without rows gets no
+    hot month is split over several tasks; ``cluster=False`` skips that
+    shuffle for input already in time order). A month without rows gets no
     folder; readers see zero rows for it either way. Months already
     present are replaced, others kept.
     """
-    tagged = cluster_by_month(with_month(df, ts_col, closed=closed))
+    tagged = cluster_by_month(with_month(df, ts_col, closed=closed), enabled=cluster)
     (tagged.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("partition_date").parquet(path))
     return path

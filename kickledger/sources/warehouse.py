@@ -43,16 +43,18 @@ def _month_keys(start: str, end: str, day_key: bool) -> list[str]:
     return keys
 
 
-def cluster_by_month(df: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame:
+def cluster_by_month(df: DataFrame, column: str = PARTITION_COLUMN, enabled: bool = True) -> DataFrame:
     """Gather each month's rows into few tasks before a partitioned write.
 
     A rebalance, not a plain hash repartition: rows of one month land in
     the same shuffle partition (one file per month instead of one per
     task and month), and AQE splits a partition that grows past the
     advisory size, so a month holding a third of all rows is written by
-    many tasks rather than one.
+    many tasks rather than one. It costs one shuffle of the rows; input
+    that already arrives in time order (each task holding one or two
+    months) can skip it with ``enabled=False``.
     """
-    return df.hint("rebalance", column)
+    return df.hint("rebalance", column) if enabled else df
 
 
 class Warehouse:
@@ -146,7 +148,7 @@ class Warehouse:
 
     def replace_months(self, name: str, df: DataFrame, on_empty: str = "keep",
                        start: str | None = None, end: str | None = None,
-                       day_key: bool = False) -> None:
+                       day_key: bool = False, cluster: bool = True) -> None:
         """Replace every month present in ``df`` in one job.
 
         With ``on_empty="delete"`` and a range ``[start, end)``, months of the
@@ -166,8 +168,8 @@ class Warehouse:
                 raise ValueError("on_empty='delete' needs the month range start and end")
             candidates = self.stored_months(name) & set(_month_keys(start, end, day_key))
         rows = self.conform(name, df) if name in self.schemas else df
-        (cluster_by_month(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(PARTITION_COLUMN).parquet(self.location(name)))
+        (cluster_by_month(rows, enabled=cluster).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COLUMN).parquet(self.location(name)))
         if candidates:
             present = {r[0] for r in rows.select(PARTITION_COLUMN).distinct().collect()}
             for key in sorted(candidates - present):
