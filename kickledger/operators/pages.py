@@ -157,3 +157,13 @@ def pending(targets: DataFrame, done: DataFrame, key: str = "competition_id") ->
 
 def logo_paths(df: DataFrame, key: str = "competition_id", template: str = LOGO_PATH_TEMPLATE) -> DataFrame:
     return df.withColumn("logo_path", fill_template(template, F.col(key)))
+
+
+def pending_links(targets: DataFrame, done: DataFrame, pages: DataFrame, **where) -> DataFrame:
+    """Logo links still to fetch: pending targets joined to their stored page
+    by ``url``, then the link extraction. ``where`` passes the container,
+    class, child tag and attribute to ``extract_links``."""
+    todo = pending(targets, done).select("competition_id", "url")
+    pages_todo = pages.select("page_id", "url", "html").join(todo, "url")
+    links = extract_links(pages_todo.select("page_id", "url", "html"), **where)
+    return links.join(todo, "url").select("competition_id", "url", "link", "status")

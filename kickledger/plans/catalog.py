@@ -770,6 +770,18 @@ def q_pipeline_first_league_total(spark, sf):
     return result.first_league_total
 
 
+@register("pending_logo_links", "SELECT competition_id, e.url, link, status FROM (" + EXTRACT_SQL + """) e
+    JOIN (""" + LEAGUE_PAGES_SQL + """) c ON e.url = c.url
+    WHERE competition_id NOT IN (SELECT CAST(item_id AS VARCHAR) FROM benchmark WHERE item_id IS NOT NULL)""")
+def q_pending_logo_links(spark, sf):
+    """Fetch step of the logo flow on stored pages: targets without a stored
+    logo, their page, and the link found on it."""
+    done = td.table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("competition_id"))
+    targets = page_ops.distinct_urls(_league_pages(spark, sf))
+    return page_ops.pending_links(targets, done, td.pages(spark, sf), container="nav", css_class=None,
+                                  child="a", attr="href")
+
+
 EXTRACT_BY_CLASS_SQL = r"""SELECT page_id, url, CASE WHEN status = 'ok' THEN link END AS link, status FROM (
     SELECT page_id, url, link,
       CASE WHEN body IS NULL THEN 'no_container' WHEN img IS NULL THEN 'no_child'
