@@ -3,8 +3,8 @@ the SQL that computes the same rows independently (run by DuckDB).
 
 Every query reads whole tables (the football views of
 ``kickledger.sources.testdata``); none filters to a subset to make the
-check cheaper. Columns carry the same names on both sides. Dates in
-outputs are rendered as ``YYYY-MM-DD`` text so both engines hand back the
+check cheaper. Columns carry the same names on both sides. Dates and
+times in outputs are rendered as ISO text so both engines hand back the
 same value type.
 """
 
@@ -383,13 +383,15 @@ def q_load_appearances(spark, sf):
 
 def _split_sql(closed: bool) -> str:
     keep = "AND date <= CAST(last_day(CAST(date AS DATE)) AS TIMESTAMP)" if closed else ""
-    return f"""SELECT appearance_id, date, strftime(date, '%Y-%m') AS partition_date FROM ({APPEARANCES_SQL})
+    return f"""SELECT appearance_id, strftime(date, '%Y-%m-%d %H:%M:%S.%f') AS date,
+        strftime(date, '%Y-%m') AS partition_date FROM ({APPEARANCES_SQL})
         WHERE date >= TIMESTAMP '{months.CALENDAR_START}' AND date < TIMESTAMP '{months.CALENDAR_END}' {keep}"""
 
 
 def _split(spark, sf, closed: bool) -> DataFrame:
     a = td.appearances(spark, sf).where(months.in_window("date", months.CALENDAR_START, months.CALENDAR_END))
-    return months.with_month(a, "date", closed=closed).select("appearance_id", "date", "partition_date")
+    return months.with_month(a, "date", closed=closed).select(
+        "appearance_id", F.date_format("date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("date"), "partition_date")
 
 
 @register("month_split_closed", _split_sql(True))
