@@ -89,14 +89,17 @@ def league_year_rollup(base: DataFrame) -> DataFrame:
             .withColumn("competition_name", slug_title("competition_name")))
 
 
-def other_bucket(yearly: DataFrame, top: DataFrame, stat: str, leagues) -> DataFrame:
+def other_bucket(yearly: DataFrame, top: DataFrame, stat: str, leagues, other_agg: str = "max") -> DataFrame:
     """One "Other" row per year: the highest ``stat`` among leagues outside
-    the top set (the maximum, not the sum). Its country text is the number
-    of leagues left out."""
+    the top set (the reference's rule; ``other_agg="sum"`` adds them up
+    instead). Its country text is the number of leagues left out."""
+    if other_agg not in ("max", "sum"):
+        raise ValueError("other_agg must be 'max' or 'sum'")
     top_ids = top.select(ID)
     left_out = F.lit(leagues) - top_ids.agg(F.count("*")).scalar()
+    combine = F.max(stat) if other_agg == "max" else F.sum(stat)
     return (drop_members(yearly, top_ids, ID, bounded=True)
-            .groupBy("year").agg(F.max(stat).alias(stat))
+            .groupBy("year").agg(combine.alias(stat))
             .select(F.lit(OTHER).alias(ID), "year", stat, F.lit(OTHER).alias("competition_name"),
                     left_out.cast("string").alias("country_name")))
 
@@ -106,7 +109,8 @@ def with_label(df: DataFrame) -> DataFrame:
 
 
 def first_league_report(lve: DataFrame, competitions: DataFrame, stat: str = "total_valuation",
-                        n: int = 5, cutoff: str = "2025-01-01", materialized: bool = True) -> DataFrame:
+                        n: int = 5, cutoff: str = "2025-01-01", materialized: bool = True,
+                        other_agg: str = "max") -> DataFrame:
     """Yearly series of the top ``n`` first-tier leagues plus an "Other" row.
 
     ``stat="total_valuation", n=5`` is the total-value report;
@@ -124,7 +128,7 @@ def first_league_report(lve: DataFrame, competitions: DataFrame, stat: str = "to
     top = top_leagues(base, stat, n)
     yearly = league_year_rollup(base)
     kept = keep_members(yearly, top.select(ID), ID, bounded=True)
-    other = other_bucket(yearly, top, stat, league_count(base))
+    other = other_bucket(yearly, top, stat, league_count(base), other_agg)
     return with_label(kept.unionByName(other, allowMissingColumns=True)).select(*REPORT_COLUMNS)
 
 

@@ -24,6 +24,13 @@ def test_other_is_max_not_sum(spark):
     assert kept.competition_name == "League 0" and kept.league_label == "League 0 (C0)"
 
 
+def test_other_can_sum(spark):
+    rows = [("L0", 100.0, 1.0, "2020-01-01"), ("L1", 10.0, 1.0, "2020-01-01"), ("L2", 30.0, 1.0, "2020-01-01")]
+    lve, comp = frames(spark, rows, 3)
+    out = reports.first_league_report(lve, comp, "total_valuation", 1, "2025-01-01", other_agg="sum")
+    assert out.where("domestic_competition_id = 'Other'").first().total_valuation == 40.0
+
+
 def test_fewer_leagues_than_n_gives_no_other(spark):
     rows = [(f"L{i}", float(i), 1.0, "2020-01-01") for i in range(3)]
     lve, comp = frames(spark, rows, 3)
