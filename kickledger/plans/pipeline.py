@@ -77,53 +77,63 @@ class RunResult:
     pending_logos: DataFrame
 
 
-def run(spark: SparkSession, raw_dir: str, warehouse_root: str, start: str = CALENDAR_START,
-        end: str = CALENDAR_END, cutoff: str = "2025-01-01", closed: bool = False,
-        null_strings: str | None = None, logo_ids: DataFrame | None = None,
-        out_dir: str | None = None) -> RunResult:
-    """Materialise every table for the months in ``[start, end)`` and build the reports.
-
-    ``closed=True`` uses the reference's month split (rows after 00:00 on a
-    month's last day belong to no month); ``null_strings="nan"`` stores
-    missing text as ``nan`` like the reference. ``logo_ids`` lists the
-    competitions whose logo is stored already. With ``out_dir`` the reports
-    are also written as JSON lines.
-    """
-    wh = Warehouse(spark, warehouse_root)
+# --- steps (each can run alone; each reads and writes the warehouse) -----------------
+def ingest_raw(spark: SparkSession, wh: Warehouse, raw_dir: str, null_strings: str | None = None) -> None:
+    """Raw CSV files -> typed Parquet under ``<warehouse>/raw/<dataset>``."""
     raw_dir = raw_dir.rstrip("/")
-    typed = {}
     for dataset, file_name in RAW_FILES.items():
         df = ingest.load_dataset(spark, f"{raw_dir}/{file_name}", dataset, null_strings)
-        typed[dataset] = ingest.write_parquet(df, wh.location(f"raw/{dataset}"))
+        ingest.write_parquet(df, wh.location(f"raw/{dataset}"))
+
 
-    def raw(dataset: str) -> DataFrame:
-        return spark.read.parquet(typed[dataset])
+def raw_table(wh: Warehouse, dataset: str) -> DataFrame:
+    return wh.spark.read.parquet(wh.location(f"raw/{dataset}"))
 
-    # Month folders, then base tables: all months of the range per job.
-    val_split = ingest.split_by_month(rename_raw_valuations(raw("player_valuations")), "date",
-                                      wh.location("raw/valuation_partitions"), closed=closed)
-    app_split = ingest.split_by_month(raw("appearances"), "date",
-                                      wh.location("raw/appearance_partitions"), closed=closed)
+
+def split_months(wh: Warehouse, closed: bool = False) -> None:
+    """Month folders of the valuations and appearances (one job each)."""
+    ingest.split_by_month(rename_raw_valuations(raw_table(wh, "player_valuations")), "date",
+                          wh.location("raw/valuation_partitions"), closed=closed)
+    ingest.split_by_month(raw_table(wh, "appearances"), "date",
+                          wh.location("raw/appearance_partitions"), closed=closed)
+
+
+def load_base_tables(wh: Warehouse, start: str, end: str, closed: bool = False) -> None:
+    """Replace the months of ``[start, end)`` in both base tables from the month folders."""
+    spark = wh.spark
     wh.create_table("player_valuations")
     wh.replace_months("player_valuations",
-                      valuation_load_rows(ingest.read_months(spark, val_split), start, end, closed),
+                      valuation_load_rows(ingest.read_months(spark, wh.location("raw/valuation_partitions")),
+                                          start, end, closed),
                       on_empty="delete", start=start, end=end)
     wh.create_table("player_appearances")
     wh.replace_months("player_appearances",
-                      appearance_load_rows(ingest.read_months(spark, app_split), start, end, closed),
+                      appearance_load_rows(ingest.read_months(spark, wh.location("raw/appearance_partitions")),
+                                           start, end, closed),
                       on_empty="delete", start=start, end=end)
 
+
+def load_static_tables(wh: Warehouse, refresh: bool = False) -> None:
+    """Competitions, players, clubs, games: the first load wins unless ``refresh``."""
     for name in STATIC_TABLES:
-        wh.ctas_if_absent(name, raw(name))
+        wh.ctas_if_absent(name, raw_table(wh, name), refresh=refresh)
 
+
+def rollup_months(wh: Warehouse, start: str, end: str) -> None:
+    """League and club rollups for every month of ``[start, end)`` (one job each)."""
     valuations, clubs = wh.read("player_valuations"), wh.read("clubs")
     backfill_league_rollup(wh, valuations, clubs, start, end)
     backfill_club_rollup(wh, valuations, clubs, start, end)
 
+
+def build_reports(wh: Warehouse, cutoff: str = "2025-01-01", logo_ids: DataFrame | None = None,
+                  out_dir: str | None = None) -> RunResult:
+    """Reports from the stored tables; with ``out_dir`` also written as JSON lines."""
+    spark = wh.spark
     lve, competitions = wh.read("league_valuation_evolution"), wh.read("competitions")
     total = reports.first_league_report(lve, competitions, "total_valuation", 5, cutoff)
     most = reports.first_league_report(lve, competitions, "max_valuation", 7, cutoff)
-    top = reports.player_top100(valuations, wh.read("players"), clubs)
+    top = reports.player_top100(wh.read("player_valuations"), wh.read("players"), wh.read("clubs"))
     targets = page_ops.distinct_urls(competitions)
     done = logo_ids if logo_ids is not None else spark.createDataFrame([], "competition_id string")
     pending = page_ops.logo_paths(page_ops.pending(targets, done))
@@ -131,3 +141,24 @@ def run(spark: SparkSession, raw_dir: str, warehouse_root: str, start: str = CAL
         for name, df in (("first_league_total", total), ("first_league_max", most), ("player_top100", top)):
             df.write.mode("overwrite").json(f"{out_dir.rstrip('/')}/{name}")
     return RunResult(wh, total, most, top, pending)
+
+
+def run(spark: SparkSession, raw_dir: str, warehouse_root: str, start: str = CALENDAR_START,
+        end: str = CALENDAR_END, cutoff: str = "2025-01-01", closed: bool = False,
+        null_strings: str | None = None, logo_ids: DataFrame | None = None,
+        out_dir: str | None = None) -> RunResult:
+    """Every step in dependency order, for the months in ``[start, end)``.
+
+    ``closed=True`` uses the reference's month split (rows after 00:00 on a
+    month's last day belong to no month); ``null_strings="nan"`` stores
+    missing text as ``nan`` like the reference. ``logo_ids`` lists the
+    competitions whose logo is stored already. With ``out_dir`` the reports
+    are also written as JSON lines.
+    """
+    wh = Warehouse(spark, warehouse_root)
+    ingest_raw(spark, wh, raw_dir, null_strings)
+    split_months(wh, closed)
+    load_base_tables(wh, start, end, closed)
+    load_static_tables(wh)
+    rollup_months(wh, start, end)
+    return build_reports(wh, cutoff, logo_ids, out_dir)

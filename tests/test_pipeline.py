@@ -35,3 +35,22 @@ def test_pipeline_with_reference_options(spark):
     assert again.warehouse.read("clubs").where(F.col("name") == "nan").count() == \
         wh.read("clubs").where(F.col("name") == "nan").count()
     assert again.first_league_total.count() == len(total)
+
+
+def test_command_line_steps(spark):
+    from kickledger.__main__ import main
+    from kickledger.sources.warehouse import Warehouse
+
+    raw = shared_path(spark, "raw")
+    catalog.write_raw_csvs(spark, SF_SMOKE, raw)
+    wh_root = shared_path(spark, "wh")
+    out = shared_path(spark, "out")
+    common = ["--warehouse", wh_root, "--start", td.START, "--end", td.END, "--cutoff", td.CUTOFF]
+    for step in ("ingest", "split", "load", "static", "rollup", "report"):
+        main([step, "--raw", raw, "--out", out, *common])
+    assert Warehouse(spark, wh_root).read("league_valuation_evolution").count() > 0
+    assert spark.read.json(f"{out}/player_top100").count() == 100
+    # Re-running one month range of the rollup leaves the table the same.
+    before = Warehouse(spark, wh_root).read("league_valuation_evolution").count()
+    main(["rollup", "--warehouse", wh_root, "--start", "1998-01-01", "--end", "1998-04-01"])
+    assert Warehouse(spark, wh_root).read("league_valuation_evolution").count() == before
