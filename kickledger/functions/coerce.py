@@ -26,15 +26,29 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def to_timestamp_or_null(col, fmt: str = DATE_FORMAT) -> Column:
-    """Parse text with one explicit format; anything else (impossible dates
-    such as 2015-02-30, other layouts, junk) is NULL."""
-    c = _c(col)
-    return F.try_to_timestamp(c.cast("string"), F.lit(fmt)).cast(T.TimestampNTZType())
+def _iso_date_or_null(text: Column) -> Column:
+    """``yyyy-MM-dd`` text to a date without a formatter: the exact shape is
+    checked with string functions (ten characters, dashes at 5 and 8, digits
+    elsewhere), the calendar by the cast (2015-02-30 is NULL)."""
+    shaped = ((F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+              & (F.translate(text, "0123456789", "") == "--"))
+    return F.when(shaped, text.try_cast("date"))
 
 
 def to_date_or_null(col, fmt: str = DATE_FORMAT) -> Column:
-    return to_timestamp_or_null(col, fmt).cast(T.DateType())
+    """Parse text with one explicit format; anything else (impossible dates
+    such as 2015-02-30, other layouts, a time of day, junk) is NULL."""
+    text = _c(col).cast("string")
+    if fmt == DATE_FORMAT:
+        return _iso_date_or_null(text)
+    return F.try_to_timestamp(text, F.lit(fmt)).cast(T.DateType())
+
+
+def to_timestamp_or_null(col, fmt: str = DATE_FORMAT) -> Column:
+    text = _c(col).cast("string")
+    if fmt == DATE_FORMAT:
+        return _iso_date_or_null(text).cast(T.TimestampNTZType())
+    return F.try_to_timestamp(text, F.lit(fmt)).cast(T.TimestampNTZType())
 
 
 def _numeric_text(col) -> Column:

@@ -10,9 +10,14 @@ def one_column(spark, values, ddl="s string"):
 
 
 def test_bad_dates_become_null(spark):
-    values = ["2015-01-01", "bad", "2015-02-30", "2015-01-01 10:00:00", None]
+    values = ["2015-01-01", "bad", "2015-02-30", "2015-01-01 10:00:00", None, "2015-1-01", "2015-01-1 ",
+              "2015/01/01", "2015-01", "20150-1-01", "2024-02-29", "2023-02-29"]
     out = one_column(spark, values).select(coerce.to_date_or_null("s").cast("string").alias("d")).collect()
-    assert [r.d for r in out] == ["2015-01-01", None, None, None, None]
+    assert [r.d for r in out] == ["2015-01-01", None, None, None, None, None, None, None, None, None,
+                                  "2024-02-29", None]
+    other = one_column(spark, ["01.02.2015", "2015-01-01"]).select(
+        coerce.to_date_or_null("s", "dd.MM.yyyy").cast("string").alias("d")).collect()
+    assert [r.d for r in other] == ["2015-02-01", None]
 
 
 def test_bad_numbers_become_null(spark):
