@@ -59,3 +59,24 @@ def test_sum_invariant_over_testdata(spark):
     total = rows.agg(rollups.exact_sum("market_value").alias("t")).first().t
     by_league = rollups.league_rollup(rows).agg(F.sum("total_valuation").alias("t")).first().t
     assert abs(total - by_league) < 1e-6 * max(1.0, total)
+
+
+def test_backfill_in_one_job_equals_month_by_month(spark):
+    from kickledger.plans import pipeline
+    from kickledger.session import shared_path
+    from kickledger.sources import testdata as td
+    from kickledger.sources.warehouse import Warehouse
+
+    sf = "/root/testdata/sf0.001"
+    v, c = td.valuations(spark, sf), td.clubs(spark, sf)
+    one = Warehouse(spark, shared_path(spark, "wh"))
+    pipeline.backfill_league_rollup(one, v, c, "1996-01-01", "1996-04-01")
+    many = Warehouse(spark, shared_path(spark, "wh"))
+    for start, end in (("1996-01-01", "1996-02-01"), ("1996-02-01", "1996-03-01"), ("1996-03-01", "1996-04-01")):
+        pipeline.backfill_league_rollup(many, v, c, start, end)
+
+    def rows(wh):
+        return sorted(tuple(r) for r in wh.read("league_valuation_evolution").collect())
+
+    assert rows(one) == rows(many)
+    assert {r[-1] for r in rows(one)} == {"1996-01-01", "1996-02-01", "1996-03-01"}
