@@ -13,7 +13,9 @@ Structured Streaming picks up new files in a folder and, per micro-batch:
    rollup tables.
 
 Progress (which files were read) lives in the checkpoint location, so a
-restarted query continues where it stopped.
+restarted query continues where it stopped. There is no watermark: a
+watermark would drop rows that arrive too late, while recomputing the
+touched months from stored rows keeps every late row in its month.
 """
 
 from __future__ import annotations
@@ -58,7 +60,7 @@ def refresh_months(wh: Warehouse, rows: DataFrame, clubs: DataFrame, touched: Da
 def start_month_stream(spark: SparkSession, source_dir: str, valuation_schema: T.StructType, wh: Warehouse,
                        clubs: DataFrame, start: str, end: str, checkpoint_location: str,
                        available_now: bool = True, max_files_per_trigger: int | None = None,
-                       processing_time: str = "1 minute") -> StreamingQuery:
+                       processing_time: str = "1 minute", closed: bool = False) -> StreamingQuery:
     """Start the stream over Parquet files of valuations (columns
     ``player_id, date, market_value, current_club_id, competition_id``).
 
@@ -72,7 +74,8 @@ def start_month_stream(spark: SparkSession, source_dir: str, valuation_schema: T
     clubs_dim = clubs.select("club_id", "name", "domestic_competition_id")
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        tagged = valuation_load_rows(batch, start, end).withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
+        tagged = valuation_load_rows(batch, start, end, closed).withColumn(BATCH_COLUMN,
+                                                                          F.lit(batch_id).cast("long"))
         tagged = tagged.persist()
         try:
             (cluster_by_month(tagged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -90,10 +93,10 @@ def start_month_stream(spark: SparkSession, source_dir: str, valuation_schema: T
 
 def run_available(spark: SparkSession, source_dir: str, valuation_schema: T.StructType, wh: Warehouse,
                   clubs: DataFrame, start: str, end: str, checkpoint_location: str,
-                  max_files_per_trigger: int | None = None) -> None:
+                  max_files_per_trigger: int | None = None, closed: bool = False) -> None:
     """Process every file present now, then stop."""
     query = start_month_stream(spark, source_dir, valuation_schema, wh, clubs, start, end, checkpoint_location,
-                               available_now=True, max_files_per_trigger=max_files_per_trigger)
+                               available_now=True, max_files_per_trigger=max_files_per_trigger, closed=closed)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
