@@ -229,3 +229,19 @@ def player_bars(top: DataFrame, step: float = 1_000_000) -> DataFrame:
     return (ranked.join(colours, ranked["club_name"].eqNullSafe(colours["colour_club"]), "left")
             .select("player_id", "name", "club_name", "avg_valuation", "position", "bar_index", "color_index",
                     humanize("avg_valuation", step).alias("value_label")))
+
+
+# The logo file pattern and the fallback logo's name.
+LOGO_TEMPLATE = "data/logos/leagues/{}.png"
+DEFAULT_LOGO = "default"
+
+
+def legend_logos(legend: DataFrame, stored_ids: DataFrame, template: str = LOGO_TEMPLATE) -> DataFrame:
+    """The logo file of each legend entry: the league's own when it is
+    stored, else the default logo. ``stored_ids`` is a one-column frame of
+    ids (``competition_id``) with a stored logo."""
+    have = stored_ids.select(F.col("competition_id").alias(ID)).distinct().withColumn("has_logo", F.lit(True))
+    joined = legend.join(have, ID, "left")
+    own = F.format_string(template.replace("{}", "%s"), F.col(ID))
+    fallback = F.lit(template.replace("{}", DEFAULT_LOGO))
+    return joined.select(*legend.columns, F.when(F.col("has_logo"), own).otherwise(fallback).alias("logo_path"))

@@ -567,6 +567,24 @@ def q_legend_order(spark, sf):
     return reports.legend_order(_report(spark, sf, "total_valuation", 5), "total_valuation")
 
 
+@register("legend_logos", _chart_sql("""SELECT l.*, CASE WHEN s.competition_id IS NOT NULL
+        THEN 'data/logos/leagues/' || l.domestic_competition_id || '.png'
+        ELSE 'data/logos/leagues/default.png' END AS logo_path
+    FROM (SELECT league_label, domestic_competition_id, s AS total_valuation,
+        CAST(row_number() OVER (ORDER BY s DESC NULLS LAST, league_label, domestic_competition_id) AS INTEGER)
+          AS position
+      FROM (SELECT league_label, domestic_competition_id, max(total_valuation) AS s FROM labelled
+        WHERE league_label IS NOT NULL GROUP BY 1, 2)) l
+    LEFT JOIN (SELECT DISTINCT CAST(item_id AS VARCHAR) AS competition_id FROM benchmark) s
+      ON l.domestic_competition_id = s.competition_id"""))
+def q_legend_logos(spark, sf):
+    """Legend of the total-value report with each league's logo file, or the
+    default logo where none is stored (stored ids stand in as ``benchmark`` ids)."""
+    legend = reports.legend_order(_report(spark, sf, "total_valuation", 5), "total_valuation")
+    stored = td.table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("competition_id"))
+    return reports.legend_logos(legend, stored)
+
+
 @register("series_mean", _chart_sql("""SELECT league_label, year, avg(total_valuation) AS total_valuation
     FROM labelled WHERE league_label IS NOT NULL GROUP BY 1, 2"""))
 def q_series_mean(spark, sf):
