@@ -8,6 +8,9 @@ so the check stays cheap next to the fact scan even on a huge table.
 Beyond the bound the join is a shuffle join; AQE still switches it to a
 broadcast join if the side turns out small at run time, and splits a
 skewed partition (one key with a third of all rows) into several tasks.
+Where AQE is off (or on request) hot keys are salted instead: found on a
+sample, their fact rows spread over several buckets, their dimension rows
+copied per bucket.
 """
 
 from __future__ import annotations
@@ -55,13 +58,60 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES, skew: str = "auto",
+                   salt_buckets: int = 16) -> DataFrame:
     """Join a large fact table to a dimension, broadcasting the dimension if small.
 
     ``dim`` should already be projected to the columns the join needs, so
-    the check and the broadcast carry only those.
+    the check and the broadcast carry only those. When the dimension is too
+    big to broadcast, a hot key is handled by AQE's skew-join split
+    (``skew="aqe"``) or by salting the hot keys (``skew="salt"``, see
+    ``salted_join``); ``"auto"`` salts only when AQE is off in the session.
     """
-    return fact.join(broadcast_if_small(dim, max_bytes), on, how)
+    if is_bounded(dim, row_bound(dim, max_bytes)):
+        return fact.join(F.broadcast(dim), on, how)
+    if skew == "auto":
+        aqe = fact.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+        skew = "aqe" if aqe else "salt"
+    if skew == "salt" and isinstance(on, str) and how in ("inner", "left"):
+        return salted_join(fact, dim, on, how, salt_buckets)
+    return fact.join(dim, on, how)
+
+
+def hot_keys(fact: DataFrame, key: str, fraction: float = 0.01, share: float = 0.01,
+             max_keys: int = 1000, seed: int = 7) -> DataFrame:
+    """Keys that hold at least ``share`` of a sample's rows (at most ``max_keys``).
+
+    One sampled aggregation; the result is bounded by ``max_keys`` (a key
+    can only pass the share test if it is one of the few largest).
+    """
+    sample = fact.select(key).where(F.col(key).isNotNull()).sample(fraction=fraction, seed=seed)
+    counts = sample.groupBy(key).agg(F.count("*").alias("n"))
+    total = sample.agg(F.count("*")).scalar()
+    return (counts.where(F.col("n") >= F.lit(share) * total)
+            .orderBy(F.desc("n"), F.asc(key)).limit(max_keys).select(key))
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", buckets: int = 16,
+                hot: DataFrame | None = None) -> DataFrame:
+    """Shuffle join where the rows of hot keys are spread over ``buckets`` tasks.
+
+    Fact rows of a hot key get a salt from a hash of the whole row
+    (deterministic, so a retried task sends each row to the same bucket);
+    the dimension rows of hot keys are copied once per bucket. Other keys
+    keep salt 0 and join as usual, so only the hot keys' dimension rows are
+    multiplied. Results equal a plain join.
+    """
+    hot = hot_keys(fact, key) if hot is None else hot
+    flagged = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))  # at most max_keys rows
+    f = fact.join(flagged, key, "left")
+    f = f.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]),
+                                                              F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
+    d = dim.join(flagged, key, "left")
+    d = d.withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                        .otherwise(F.array(F.lit(0)))))
+    joined = f.drop("_hot").join(d.drop("_hot"), [key, "_salt"], how)
+    return joined.drop("_salt")
 
 
 def keep_members(df: DataFrame, members: DataFrame, on, bounded: bool = False) -> DataFrame:

@@ -39,3 +39,33 @@ def test_hot_player_top_stats_same_on_both_strategies(spark):
     b = {tuple(r[k] for k in key): (r.avg_valuation, r.max_valuation, r.min_valuation) for r in shuffled.collect()}
     assert a == b
     assert a[(7, "p7", "club1")][1] == 96.25
+
+
+def test_salted_join_equals_plain_join(spark):
+    from kickledger.operators import joins
+
+    v = skewed(spark)
+    clubs = spark.createDataFrame([(c, f"club{c}") for c in range(1, 42)] + [(1, "club1-dup")],
+                                  "current_club_id long, club_name string")
+    hot = joins.hot_keys(v, "current_club_id", fraction=0.5)
+    assert [r.current_club_id for r in hot.collect()][0] == 1  # the key with a third of all rows
+    for how in ("inner", "left"):
+        salted = joins.salted_join(v, clubs, "current_club_id", how, buckets=8)
+        plain = v.join(clubs, "current_club_id", how)
+        assert salted.columns == plain.columns
+        assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_join_dimension_salts_when_aqe_is_off(spark):
+    from kickledger.operators import joins
+
+    v = skewed(spark)
+    clubs = spark.createDataFrame([(c, f"club{c}") for c in range(1, 42)], "current_club_id long, club_name string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = joins.join_dimension(v, clubs, "current_club_id", max_bytes=1)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "_salt" in plan and "BroadcastHashJoin" in plan  # hot-key flags broadcast, salted main join
+        assert out.count() == v.count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
