@@ -245,3 +245,12 @@ def legend_logos(legend: DataFrame, stored_ids: DataFrame, template: str = LOGO_
     own = F.format_string(template.replace("{}", "%s"), F.col(ID))
     fallback = F.lit(template.replace("{}", DEFAULT_LOGO))
     return joined.select(*legend.columns, F.when(F.col("has_logo"), own).otherwise(fallback).alias("logo_path"))
+
+
+def to_pandas_bounded(df: DataFrame, max_rows: int = 1000):
+    """A report frame as pandas for drawing, refusing anything larger than
+    ``max_rows`` (reads at most ``max_rows + 1`` rows to find out)."""
+    pdf = df.limit(max_rows + 1).toPandas()
+    if len(pdf) > max_rows:
+        raise ValueError(f"frame has more than {max_rows} rows; write it out instead of collecting it")
+    return pdf

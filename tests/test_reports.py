@@ -81,3 +81,12 @@ def test_top_players_preaggregation_matches_direct_group(spark):
     ranks = reports.club_ordinal(reports.top_players(fast, 100)).orderBy("color_index").collect()
     assert [r.color_index for r in ranks] == list(range(len(ranks)))
     assert [r.first_position for r in ranks] == sorted(r.first_position for r in ranks)
+
+
+def test_to_pandas_bounded(spark):
+    import pytest
+
+    small = spark.range(5)
+    assert len(reports.to_pandas_bounded(small, 10)) == 5
+    with pytest.raises(ValueError):
+        reports.to_pandas_bounded(spark.range(20), 10)
