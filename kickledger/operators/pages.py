@@ -36,13 +36,25 @@ OK, NO_CONTAINER, NO_CHILD, NO_ATTR = "ok", "no_container", "no_child", "no_attr
 LINK_SCHEMA = "page_id long, url string, link string, status string"
 
 
+# HTML void elements (they never hold content and need no end tag).
+VOID_ELEMENTS = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
+                           "param", "source", "track", "wbr"})
+
+
 class _FirstLink(HTMLParser):
-    """Finds the first ``child`` tag inside the first matching container."""
+    """Finds the first ``child`` tag inside the first matching container.
+
+    Open elements are kept on a stack; an end tag closes the most recent
+    open element of that name and everything opened after it (an end tag
+    with no open match is ignored), so an unclosed container ends where its
+    parent ends.
+    """
 
     def __init__(self, container: str, css_class: str | None, child: str, attr: str):
         super().__init__(convert_charrefs=True)
         self.container, self.css_class, self.child, self.attr = container, css_class, child, attr
-        self.depth = 0          # open containers of the same tag, once found
+        self.stack: list[str] = []
+        self.container_at: int | None = None   # stack position of the container once found
         self.found = False
         self.done = False
         self.link: str | None = None
@@ -57,34 +69,44 @@ class _FirstLink(HTMLParser):
                     return True
         return False
 
+    def _take_child(self, attrs) -> None:
+        value = dict(attrs).get(self.attr)
+        self.link, self.status = (value, OK) if value else (None, NO_ATTR)
+        self.done = True
+
     def handle_starttag(self, tag, attrs):
         if self.done:
             return
-        if not self.found:
-            if tag == self.container and self._matches(attrs):
-                self.found, self.depth, self.status = True, 1, NO_CHILD
-            return
-        if tag == self.child:
-            value = dict(attrs).get(self.attr)
-            self.link, self.status = (value, OK) if value else (None, NO_ATTR)
-            self.done = True
+        if self.found and tag == self.child:
+            self._take_child(attrs)
             return
-        if tag == self.container:
-            self.depth += 1
+        if not self.found and tag == self.container and self._matches(attrs):
+            self.found, self.status = True, NO_CHILD
+            if tag in VOID_ELEMENTS:
+                self.done = True
+                return
+            self.container_at = len(self.stack)
+        if tag not in VOID_ELEMENTS:
+            self.stack.append(tag)
 
     def handle_startendtag(self, tag, attrs):
-        # A self-closed container holds nothing; a self-closed child counts.
-        if not self.found and tag == self.container:
-            if self._matches(attrs):
-                self.found, self.done, self.status = True, True, NO_CHILD
+        # A self-closed element opens nothing; a self-closed container holds nothing.
+        if self.done:
             return
-        self.handle_starttag(tag, attrs)
+        if self.found and tag == self.child:
+            self._take_child(attrs)
+        elif not self.found and tag == self.container and self._matches(attrs):
+            self.found, self.done, self.status = True, True, NO_CHILD
 
     def handle_endtag(self, tag):
-        if self.found and not self.done and tag == self.container:
-            self.depth -= 1
-            if self.depth == 0:
-                self.done = True
+        if self.done:
+            return
+        for at in range(len(self.stack) - 1, -1, -1):
+            if self.stack[at] == tag:
+                del self.stack[at:]
+                if self.container_at is not None and at <= self.container_at:
+                    self.done = True
+                return
 
 
 FEED_CHUNK = 16384

@@ -11,6 +11,8 @@ PAGES = [
     (4, "u4", f'<div class="{CLASS}"><img alt="no src"></div>'),
     (5, "u5", None),
     (6, "u6", f'<div class="{CLASS}"><div><img src="/nested.png?a=1&amp;b=2"/></div></div>'),
+    (7, "u7", f'<section><div class="{CLASS}"><p>x</section><img src="/after.png">'),
+    (8, "u8", f'<div class="{CLASS}"><br><hr/></span><img src="/ok8.png"></div>'),
 ]
 
 
@@ -18,7 +20,8 @@ def test_first_link_statuses(spark):
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     out = {r.page_id: (r.link, r.status) for r in pages.extract_links(df).collect()}
     assert out == {1: ("/logo1.png", "ok"), 2: (None, "no_container"), 3: (None, "no_child"),
-                   4: (None, "no_attr"), 5: (None, "no_container"), 6: ("/nested.png?a=1&b=2", "ok")}
+                   4: (None, "no_attr"), 5: (None, "no_container"), 6: ("/nested.png?a=1&b=2", "ok"),
+                   7: (None, "no_child"), 8: ("/ok8.png", "ok")}
 
 
 def test_raise_mode(spark):
