@@ -86,33 +86,52 @@ def league_rollup(rows: DataFrame) -> DataFrame:
              F.count("market_value").cast("int").alias("player_count"))).select(*LEAGUE_COLUMNS)
 
 
-def club_rollup(rows: DataFrame) -> DataFrame:
-    """Sum, min, max and count per club name and month.
-
-    Clubs that share a name merge. The league is the valuation's own league
-    code of the earliest valuation that has one (on the same day, the
-    smaller code). Rows are first folded per (club, month, league code) by
-    a hash aggregation; only those few rows reach the "earliest" step, which
-    needs a struct minimum and hence a sort-based aggregation.
-    """
+def _club_parts(rows: DataFrame, club_key: str) -> DataFrame:
+    """Rows folded per (club key, month, league code) by a hash aggregation."""
+    return (rows.where(F.col(club_key).isNotNull())
+            .groupBy(club_key, month_start("date").alias("month"), "competition_id")
+            .agg(F.sum(cents("market_value")).alias("cents"),
+                 F.min("market_value").alias("lo"), F.max("market_value").alias("hi"),
+                 F.count("market_value").alias("n"), F.min("date").alias("first_date")))
+
+
+def _club_totals(parts: DataFrame) -> DataFrame:
+    """Combine the parts per (club name, month); the league is that of the
+    earliest valuation (on the same day, the smaller code). Only this step
+    needs a struct minimum (a sort-based aggregation), and it runs on the
+    folded parts."""
     cid = F.col("competition_id")
-    per_league = (rows.where(F.col("club_name").isNotNull())
-                  .groupBy("club_name", month_start("date").alias("month"), "competition_id")
-                  .agg(F.sum(cents("market_value")).alias("cents"),
-                       F.min("market_value").alias("lo"), F.max("market_value").alias("hi"),
-                       F.count("market_value").alias("n"), F.min("date").alias("first_date")))
     earliest = F.min(F.when(cid.isNotNull(), F.struct("first_date", "competition_id")))
     return with_month_key(
-        per_league.groupBy("club_name", "month")
+        parts.groupBy("club_name", "month")
         .agg(F.coalesce(F.sum("cents") / F.lit(100.0), F.lit(0.0)).alias("total_valuation"),
              F.min("lo").alias("min_valuation"), F.max("hi").alias("max_valuation"),
              F.sum("n").cast("int").alias("squad_size"),
              earliest.getField("competition_id").alias("domestic_competition_id"))).select(*CLUB_COLUMNS)
 
 
+def club_rollup(rows: DataFrame) -> DataFrame:
+    """Sum, min, max and count per club name and month, from valuation rows
+    already joined to their club (``club_name``). Clubs that share a name
+    merge."""
+    return _club_totals(_club_parts(rows, "club_name"))
+
+
 def league_valuation_evolution(valuations: DataFrame, clubs: DataFrame, start: str, end: str) -> DataFrame:
     return league_rollup(valuation_rows(valuations, clubs, start, end))
 
 
 def club_valuation_evolution(valuations: DataFrame, clubs: DataFrame, start: str, end: str) -> DataFrame:
-    return club_rollup(valuation_rows(valuations, clubs, start, end))
+    """Club rollup for ``[start, end)``, folded per club id before the join.
+
+    The first shuffle is keyed by integers and the join to club names sees
+    one row per (club id, month, league code) instead of one per valuation.
+    Partials of a club id listed twice in ``clubs`` are counted twice, as a
+    join of every valuation would count them.
+    """
+    v = month_prune(valuations, start, end, "partition_date").where(in_window("date", start, end))
+    v = v.select("player_id", "date", nan_to_null("market_value").alias("market_value"),
+                 "current_club_id", "competition_id")
+    names = clubs.select(F.col("club_id").alias("current_club_id"), F.col("name").alias("club_name"))
+    parts = join_dimension(_club_parts(v, "current_club_id"), names, "current_club_id")
+    return _club_totals(parts.where(F.col("club_name").isNotNull()))
