@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kickledger.functions.months import key_to_date
-from kickledger.functions.text import humanize, league_label, slug_title
+from kickledger.functions.text import fill_template, humanize, league_label, slug_title
 from kickledger.operators.joins import DEFAULT_BROADCAST_BYTES, drop_members, join_dimension, keep_members
+from kickledger.operators.pages import LOGO_PATH_TEMPLATE
 from kickledger.operators.rollups import cents
 from kickledger.session import materialize
 
@@ -225,18 +226,17 @@ def player_bars(top: DataFrame, step: float = 1_000_000) -> DataFrame:
                     humanize("avg_valuation", step).alias("value_label")))
 
 
-# The logo file pattern and the fallback logo's name.
-LOGO_TEMPLATE = "data/logos/leagues/{}.png"
+# Fixed value: the name of the fallback logo.
 DEFAULT_LOGO = "default"
 
 
-def legend_logos(legend: DataFrame, stored_ids: DataFrame, template: str = LOGO_TEMPLATE) -> DataFrame:
+def legend_logos(legend: DataFrame, stored_ids: DataFrame, template: str = LOGO_PATH_TEMPLATE) -> DataFrame:
     """The logo file of each legend entry: the league's own when it is
     stored, else the default logo. ``stored_ids`` is a one-column frame of
     ids (``competition_id``) with a stored logo."""
     have = stored_ids.select(F.col("competition_id").alias(ID)).distinct().withColumn("has_logo", F.lit(True))
     joined = legend.join(have, ID, "left")
-    own = F.format_string(template.replace("{}", "%s"), F.col(ID))
+    own = fill_template(template, F.col(ID))
     fallback = F.lit(template.replace("{}", DEFAULT_LOGO))
     return joined.select(*legend.columns, F.when(F.col("has_logo"), own).otherwise(fallback).alias("logo_path"))
 
