@@ -75,7 +75,9 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     instead of recomputing them per use. The files outlive a lost executor,
     unlike a cache or a local checkpoint, and one job both computes and
     stores the rows (an eager ``checkpoint()`` of an unpersisted frame
-    computes it twice).
+    computes it twice). Each call leaves one small folder under the shared
+    checkpoint folder; the returned DataFrame reads it lazily, so it is not
+    removed here. Expire that scratch area by age, as for checkpoints.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
