@@ -108,6 +108,16 @@ def with_label(df: DataFrame) -> DataFrame:
     return df.withColumn("league_label", league_label("competition_name", "country_name"))
 
 
+def report_from_base(base: DataFrame, stat: str = "total_valuation", n: int = 5,
+                     other_agg: str = "max") -> DataFrame:
+    """The report from a first-tier base frame (see ``report_base``)."""
+    top = top_leagues(base, stat, n)
+    yearly = league_year_rollup(base)
+    kept = keep_members(yearly, top.select(ID), ID, bounded=True)
+    other = other_bucket(yearly, top, stat, league_count(base), other_agg)
+    return with_label(kept.unionByName(other, allowMissingColumns=True)).select(*REPORT_COLUMNS)
+
+
 def first_league_report(lve: DataFrame, competitions: DataFrame, stat: str = "total_valuation",
                         n: int = 5, cutoff: str = "2025-01-01", materialized: bool = True,
                         other_agg: str = "max") -> DataFrame:
@@ -119,17 +129,21 @@ def first_league_report(lve: DataFrame, competitions: DataFrame, stat: str = "to
 
     The first-tier ``league x month`` frame feeds five parts of the plan
     (latest year, league count, top set, yearly rollup, "Other"); it is
-    computed once and checkpointed (``materialized=True``), so the rollup
-    input is scanned once instead of once per part.
+    computed once and stored (``materialized=True``), so the rollup input is
+    scanned once instead of once per part.
     """
     base = report_base(lve, competitions, cutoff)
     if materialized:
         base = materialize(base)
-    top = top_leagues(base, stat, n)
-    yearly = league_year_rollup(base)
-    kept = keep_members(yearly, top.select(ID), ID, bounded=True)
-    other = other_bucket(yearly, top, stat, league_count(base), other_agg)
-    return with_label(kept.unionByName(other, allowMissingColumns=True)).select(*REPORT_COLUMNS)
+    return report_from_base(base, stat, n, other_agg)
+
+
+def first_league_reports(lve: DataFrame, competitions: DataFrame, cutoff: str = "2025-01-01",
+                         specs: tuple[tuple[str, int], ...] = (("total_valuation", 5), ("max_valuation", 7)),
+                         other_agg: str = "max") -> dict[str, DataFrame]:
+    """Several reports (statistic, N) from one stored first-tier base frame."""
+    base = materialize(report_base(lve, competitions, cutoff))
+    return {stat: report_from_base(base, stat, n, other_agg) for stat, n in specs}
 
 
 # --- chart frames -------------------------------------------------------------

@@ -131,8 +131,8 @@ def build_reports(wh: Warehouse, cutoff: str = "2025-01-01", logo_ids: DataFrame
     """Reports from the stored tables; with ``out_dir`` also written as JSON lines."""
     spark = wh.spark
     lve, competitions = wh.read("league_valuation_evolution"), wh.read("competitions")
-    total = reports.first_league_report(lve, competitions, "total_valuation", 5, cutoff)
-    most = reports.first_league_report(lve, competitions, "max_valuation", 7, cutoff)
+    both = reports.first_league_reports(lve, competitions, cutoff)
+    total, most = both["total_valuation"], both["max_valuation"]
     top = reports.player_top100(wh.read("player_valuations"), wh.read("players"), wh.read("clubs"))
     targets = page_ops.distinct_urls(competitions)
     done = logo_ids if logo_ids is not None else spark.createDataFrame([], "competition_id string")
