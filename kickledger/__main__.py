@@ -29,6 +29,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", help="folder for report JSON files")
     ap.add_argument("--master", default=None, help="Spark master for local runs, e.g. local[8]")
     a = ap.parse_args(argv)
+    if a.step in ("run", "ingest") and not a.raw:
+        ap.error(f"{a.step} needs --raw")
 
     spark = build_session(a.master) if a.master else build_session_from_cluster()
     wh = Warehouse(spark, a.warehouse)

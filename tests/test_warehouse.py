@@ -81,3 +81,25 @@ def test_month_filter_prunes_partitions(spark, scratch):
     plan = wh.read("player_valuations").where("partition_date = '2020-02'")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters: [isnotnull(partition_date" in plan
+
+
+def test_day_keyed_delete_range(spark, scratch):
+    wh = Warehouse(spark, scratch)
+    ddl = ("domestic_competition_id string, total_valuation double, min_valuation double, max_valuation double, "
+           "player_count int, partition_date string")
+    rows = spark.createDataFrame([("L", float(m), 1.0, 1.0, 1, f"2020-0{m}-01") for m in (1, 2, 3)], ddl)
+    wh.replace_months("league_valuation_evolution", rows)
+    fresh = rows.where("partition_date <> '2020-02-01'")
+    wh.replace_months("league_valuation_evolution", fresh, on_empty="delete", start="2020-01-01",
+                      end="2020-04-01", day_key=True)
+    assert sorted(r.partition_date for r in wh.read("league_valuation_evolution").collect()) == [
+        "2020-01-01", "2020-03-01"]
+
+
+def test_command_line_needs_raw_for_ingest():
+    import pytest
+
+    from kickledger.__main__ import main
+
+    with pytest.raises(SystemExit):
+        main(["ingest", "--warehouse", "/nowhere"])
