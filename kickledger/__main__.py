@@ -19,7 +19,8 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="kickledger")
     ap.add_argument("step", choices=["run", "ingest", "split", "load", "static", "rollup", "report"])
     ap.add_argument("--warehouse", required=True, help="shared folder holding the tables")
-    ap.add_argument("--raw", help="folder with the six raw CSV datasets")
+    ap.add_argument("--raw", help="folder with the six raw datasets")
+    ap.add_argument("--raw-format", choices=["csv", "parquet"], default="csv")
     ap.add_argument("--start", default=CALENDAR_START)
     ap.add_argument("--end", default=CALENDAR_END)
     ap.add_argument("--cutoff", default="2025-01-01")
@@ -36,9 +37,10 @@ def main(argv: list[str] | None = None) -> None:
     wh = Warehouse(spark, a.warehouse)
     nan = "nan" if a.nan_text else None
     if a.step == "run":
-        pipeline.run(spark, a.raw, a.warehouse, a.start, a.end, a.cutoff, a.closed, nan, out_dir=a.out)
+        pipeline.run(spark, a.raw, a.warehouse, a.start, a.end, a.cutoff, a.closed, nan, out_dir=a.out,
+                     raw_format=a.raw_format)
     elif a.step == "ingest":
-        pipeline.ingest_raw(spark, wh, a.raw, nan)
+        pipeline.ingest_raw(spark, wh, a.raw, nan, a.raw_format)
     elif a.step == "split":
         pipeline.split_months(wh, a.closed)
     elif a.step == "load":

@@ -111,15 +111,42 @@ KIND_CASTS = {
 }
 
 
+_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def _typed_cast(col: Column, dtype: T.DataType, kind: str) -> Column:
+    """Kind cast for a column that is already typed (a Parquet source):
+    numbers and times convert directly; a fraction or NaN headed for an
+    integer column, or a NaN headed for a double column, becomes NULL."""
+    if kind in ("timestamp", "date") and isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return col.cast(T.TimestampNTZType() if kind == "timestamp" else T.DateType())
+    if kind == "long" and isinstance(dtype, _NUMERIC):
+        if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
+            d = col.cast("double")
+            whole = ~F.isnan(d) & (d == F.floor(d)) & (d >= -_TWO_63) & (d < _TWO_63)
+            return F.when(whole, d.cast("bigint"))
+        return col.cast("bigint")
+    if kind == "double" and isinstance(dtype, _NUMERIC):
+        return nan_to_null(col.cast("double"))
+    return KIND_CASTS[kind](col)
+
+
 def coerce_columns(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """Type the named columns by kind in one projection; others pass through.
 
-    Named columns that the input lacks are skipped, so an optional column
-    (such as the competitions ``date``) is coerced only when present.
+    Text columns go through the tolerant parsers; columns that already carry
+    a number or time type convert directly. Named columns that the input
+    lacks are skipped, so an optional column (such as the competitions
+    ``date``) is coerced only when present.
     """
     exprs = []
-    for name in df.columns:
-        kind = kinds.get(name)
-        col = F.col(f"`{name}`")
-        exprs.append(KIND_CASTS[kind](col).alias(name) if kind else col)
+    for field in df.schema.fields:
+        kind = kinds.get(field.name)
+        col = F.col(f"`{field.name}`")
+        if not kind:
+            exprs.append(col)
+        elif isinstance(field.dataType, T.StringType) or kind == "string":
+            exprs.append(KIND_CASTS[kind](col).alias(field.name))
+        else:
+            exprs.append(_typed_cast(col, field.dataType, kind).alias(field.name))
     return df.select(exprs)

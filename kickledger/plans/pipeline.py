@@ -78,11 +78,15 @@ class RunResult:
 
 
 # --- steps (each can run alone; each reads and writes the warehouse) -----------------
-def ingest_raw(spark: SparkSession, wh: Warehouse, raw_dir: str, null_strings: str | None = None) -> None:
-    """Raw CSV files -> typed Parquet under ``<warehouse>/raw/<dataset>``."""
+def ingest_raw(spark: SparkSession, wh: Warehouse, raw_dir: str, null_strings: str | None = None,
+               raw_format: str = "csv") -> None:
+    """Raw files (``<dataset>.csv``, or ``<dataset>.parquet`` with
+    ``raw_format="parquet"``) -> typed Parquet under ``<warehouse>/raw/<dataset>``."""
     raw_dir = raw_dir.rstrip("/")
     for dataset, file_name in RAW_FILES.items():
-        df = ingest.load_dataset(spark, f"{raw_dir}/{file_name}", dataset, null_strings)
+        if raw_format == "parquet":
+            file_name = file_name.rsplit(".", 1)[0] + ".parquet"
+        df = ingest.load_dataset(spark, f"{raw_dir}/{file_name}", dataset, null_strings, fmt=raw_format)
         ingest.write_parquet(df, wh.location(f"raw/{dataset}"))
 
 
@@ -146,7 +150,7 @@ def build_reports(wh: Warehouse, cutoff: str = "2025-01-01", logo_ids: DataFrame
 def run(spark: SparkSession, raw_dir: str, warehouse_root: str, start: str = CALENDAR_START,
         end: str = CALENDAR_END, cutoff: str = "2025-01-01", closed: bool = False,
         null_strings: str | None = None, logo_ids: DataFrame | None = None,
-        out_dir: str | None = None) -> RunResult:
+        out_dir: str | None = None, raw_format: str = "csv") -> RunResult:
     """Every step in dependency order, for the months in ``[start, end)``.
 
     ``closed=True`` uses the reference's month split (rows after 00:00 on a
@@ -156,7 +160,7 @@ def run(spark: SparkSession, raw_dir: str, warehouse_root: str, start: str = CAL
     are also written as JSON lines.
     """
     wh = Warehouse(spark, warehouse_root)
-    ingest_raw(spark, wh, raw_dir, null_strings)
+    ingest_raw(spark, wh, raw_dir, null_strings, raw_format)
     split_months(wh, closed)
     load_base_tables(wh, start, end, closed)
     load_static_tables(wh)

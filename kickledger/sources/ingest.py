@@ -38,8 +38,13 @@ def type_dataset(df: DataFrame, dataset: str, null_strings: str | None = None) -
     return typed
 
 
-def load_dataset(spark: SparkSession, path: str, dataset: str, null_strings: str | None = None) -> DataFrame:
-    return type_dataset(read_csv_text(spark, path), dataset, null_strings)
+def load_dataset(spark: SparkSession, path: str, dataset: str, null_strings: str | None = None,
+                 fmt: str | None = None) -> DataFrame:
+    """Read and type one raw dataset. ``fmt`` is ``"csv"`` or ``"parquet"``;
+    by default a path ending in ``.parquet`` is Parquet, anything else CSV."""
+    fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
+    raw = spark.read.parquet(path) if fmt == "parquet" else read_csv_text(spark, path)
+    return type_dataset(raw, dataset, null_strings)
 
 
 def write_parquet(df: DataFrame, path: str) -> str:

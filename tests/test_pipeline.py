@@ -54,3 +54,15 @@ def test_command_line_steps(spark):
     before = Warehouse(spark, wh_root).read("league_valuation_evolution").count()
     main(["rollup", "--warehouse", wh_root, "--start", "1998-01-01", "--end", "1998-04-01"])
     assert Warehouse(spark, wh_root).read("league_valuation_evolution").count() == before
+
+
+def test_pipeline_from_parquet_raw_files(spark):
+    csv_dir = shared_path(spark, "raw")
+    catalog.write_raw_csvs(spark, SF_SMOKE, csv_dir)
+    pq_dir = shared_path(spark, "rawpq")
+    for dataset, file_name in pipeline.RAW_FILES.items():
+        typed = ingest.load_dataset(spark, f"{csv_dir}/{file_name}", dataset)
+        typed.write.parquet(f"{pq_dir}/{dataset}.parquet")
+    a = pipeline.run(spark, csv_dir, shared_path(spark, "wh"), td.START, td.END, td.CUTOFF)
+    b = pipeline.run(spark, pq_dir, shared_path(spark, "wh"), td.START, td.END, td.CUTOFF, raw_format="parquet")
+    assert sorted(map(tuple, a.first_league_total.collect())) == sorted(map(tuple, b.first_league_total.collect()))

@@ -51,3 +51,18 @@ def test_sql_views_and_frame_view(spark, scratch):
         assert spark.catalog.tableExists(view)
     assert not spark.catalog.tableExists(view)
     assert wh.read("league_valuation_evolution").count() == 1
+
+
+def test_parquet_raw_input_is_typed_directly(spark, scratch):
+    import datetime as dt
+
+    raw = spark.createDataFrame(
+        [(1, dt.datetime(2020, 1, 2, 0, 0), 1000.0, 7.0, "GB1"), (2, dt.datetime(2020, 2, 3, 0, 0), 12.5, None, None),
+         (3, None, float("nan"), 9.0, "ES1")],
+        "player_id long, date timestamp_ntz, market_value_in_eur double, current_club_id double, "
+        "player_club_domestic_competition_id string")
+    path = scratch + "/player_valuations.parquet"
+    raw.write.parquet(path)
+    typed = ingest.load_dataset(spark, path, "player_valuations").orderBy("player_id").collect()
+    assert [(r.market_value_in_eur, r.current_club_id) for r in typed] == [(1000, 7), (None, None), (None, 9)]
+    assert str(typed[0].date) == "2020-01-02 00:00:00" and typed[2].date is None
