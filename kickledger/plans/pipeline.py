@@ -103,18 +103,23 @@ def split_months(wh: Warehouse, closed: bool = False) -> None:
 
 
 def load_base_tables(wh: Warehouse, start: str, end: str, closed: bool = False) -> None:
-    """Replace the months of ``[start, end)`` in both base tables from the month folders."""
+    """Replace the months of ``[start, end)`` in both base tables from the month folders.
+
+    The input is read from the month folders, so every scan task already
+    holds one month and writes into one month folder: no rebalance (and no
+    shuffle of the base table) is needed here.
+    """
     spark = wh.spark
     wh.create_table("player_valuations")
     wh.replace_months("player_valuations",
                       valuation_load_rows(ingest.read_months(spark, wh.location("raw/valuation_partitions")),
                                           start, end, closed),
-                      on_empty="delete", start=start, end=end)
+                      on_empty="delete", start=start, end=end, cluster=False)
     wh.create_table("player_appearances")
     wh.replace_months("player_appearances",
                       appearance_load_rows(ingest.read_months(spark, wh.location("raw/appearance_partitions")),
                                            start, end, closed),
-                      on_empty="delete", start=start, end=end)
+                      on_empty="delete", start=start, end=end, cluster=False)
 
 
 def load_static_tables(wh: Warehouse, refresh: bool = False) -> None:
