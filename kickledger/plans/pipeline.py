@@ -105,9 +105,10 @@ def split_months(wh: Warehouse, closed: bool = False) -> None:
 def load_base_tables(wh: Warehouse, start: str, end: str, closed: bool = False) -> None:
     """Replace the months of ``[start, end)`` in both base tables from the month folders.
 
-    The input is read from the month folders, so every scan task already
-    holds one month and writes into one month folder: no rebalance (and no
-    shuffle of the base table) is needed here.
+    The input is read from the month folders, so each scan task reads a
+    split of one month's files (small files of neighbouring months may be
+    packed together) and writes into one or a few month folders: no
+    rebalance, and so no shuffle of the base table, is needed here.
     """
     spark = wh.spark
     wh.create_table("player_valuations")
