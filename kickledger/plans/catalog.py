@@ -236,6 +236,23 @@ def q_csv_ingest(spark, sf):
                         "current_club_id", "player_club_domestic_competition_id")
 
 
+@register("parquet_ingest", """SELECT l_partkey AS player_id, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS date,
+    CASE WHEN l_extendedprice = floor(l_extendedprice) THEN CAST(l_extendedprice AS BIGINT) END
+      AS market_value_in_eur,
+    l_suppkey AS current_club_id, l_returnflag AS player_club_domestic_competition_id FROM lineitem""")
+def q_parquet_ingest(spark, sf):
+    """Raw valuations that arrive as typed Parquet: the typed columns convert
+    directly (a fractional value for an integer column is NULL)."""
+    raw = td.table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("player_id"), F.col("l_shipdate").alias("date"),
+        F.col("l_extendedprice").alias("market_value_in_eur"), F.col("l_suppkey").alias("current_club_id"),
+        F.col("l_returnflag").alias("player_club_domestic_competition_id"))
+    path = shared_path(spark, "raw") + "/player_valuations.parquet"
+    raw.write.parquet(path)
+    typed = ingest.load_dataset(spark, path, "player_valuations")
+    return typed.withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+
+
 @register("month_partition_write", with_views("valuations") + VALUATION_TEXT_SQL.replace(
     "competition_id FROM valuations", "competition_id, strftime(date, '%Y-%m') AS partition_date FROM valuations"))
 def q_month_partition_write(spark, sf):
