@@ -1,8 +1,10 @@
 """Command line: ``python -m kickledger <step> ...`` (or the same via spark-submit).
 
 Steps: ``run`` (everything), ``ingest``, ``split``, ``load``, ``static``,
-``rollup`` (recompute a month range), ``report``. Every step reads and
-writes the warehouse folder, so any step can be re-run alone.
+``rollup`` (recompute a month range), ``report``, and ``stream`` (load new
+valuation files from ``--source`` and refresh the months they touch; with
+``--keep-running`` it stays up). Every step reads and writes the warehouse
+folder, so any step can be re-run alone.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from kickledger.sources.warehouse import Warehouse
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="kickledger")
-    ap.add_argument("step", choices=["run", "ingest", "split", "load", "static", "rollup", "report"])
+    ap.add_argument("step", choices=["run", "ingest", "split", "load", "static", "rollup", "report", "stream"])
     ap.add_argument("--warehouse", required=True, help="shared folder holding the tables")
     ap.add_argument("--raw", help="folder with the six raw datasets")
     ap.add_argument("--raw-format", choices=["csv", "parquet"], default="csv")
@@ -29,9 +31,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--refresh", action="store_true", help="reload static tables")
     ap.add_argument("--out", help="folder for report JSON files")
     ap.add_argument("--master", default=None, help="Spark master for local runs, e.g. local[8]")
+    ap.add_argument("--source", help="stream: folder where new valuation Parquet files arrive")
+    ap.add_argument("--checkpoint", help="stream: progress folder (shared storage)")
+    ap.add_argument("--keep-running", action="store_true", help="stream: keep polling instead of one pass")
     a = ap.parse_args(argv)
     if a.step in ("run", "ingest") and not a.raw:
         ap.error(f"{a.step} needs --raw")
+    if a.step == "stream" and not (a.source and a.checkpoint):
+        ap.error("stream needs --source and --checkpoint")
 
     spark = build_session(a.master) if a.master else build_session_from_cluster()
     wh = Warehouse(spark, a.warehouse)
@@ -51,6 +58,14 @@ def main(argv: list[str] | None = None) -> None:
         pipeline.rollup_months(wh, a.start, a.end)
     elif a.step == "report":
         pipeline.build_reports(wh, a.cutoff, out_dir=a.out)
+    elif a.step == "stream":
+        from kickledger.streaming import month_stream
+
+        schema = spark.read.parquet(a.source).schema
+        query = month_stream.start_month_stream(spark, a.source, schema, wh, wh.read("clubs"), a.start, a.end,
+                                                a.checkpoint, available_now=not a.keep_running,
+                                                closed=a.closed)
+        query.awaitTermination()
 
 
 def build_session_from_cluster():

@@ -34,3 +34,16 @@ def test_restart_picks_up_new_files_and_late_rows(spark):
     month_stream.run_available(spark, source, schema, wh, clubs, "2020-01-01", "2021-01-01", ckpt)
     assert totals(wh) == {("L1", "2020-01-01"): (5.0, 2), ("L2", "2020-02-01"): (2.0, 1)}
     assert wh.read("club_valuation_evolution").count() == 2
+
+
+def test_stream_step_on_the_command_line(spark):
+    from kickledger.__main__ import main
+
+    source = shared_path(spark, "src")
+    wh = Warehouse(spark, shared_path(spark, "wh"))
+    wh.ctas_if_absent("clubs", spark.createDataFrame([(10, "c10", "L1")],
+                                                     "club_id long, name string, domestic_competition_id string"))
+    spark.createDataFrame([(1, dt.date(2020, 1, 5), 3.0, 10, "A")], V_DDL).write.parquet(source)
+    main(["stream", "--warehouse", wh.root, "--source", source, "--checkpoint", shared_path(spark, "ck"),
+          "--start", "2020-01-01", "--end", "2021-01-01"])
+    assert totals(wh) == {("L1", "2020-01-01"): (3.0, 1)}
