@@ -112,7 +112,3 @@ TABLE_SCHEMAS = {
     "league_valuation_evolution": LEAGUE_VALUATION_EVOLUTION,
     "club_valuation_evolution": CLUB_VALUATION_EVOLUTION,
 }
-
-
-def to_ddl(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

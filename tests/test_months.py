@@ -62,3 +62,10 @@ def test_month_end_and_next(spark):
     row = spark.range(1).select(months.month_end(F.lit("2024-02-10")).alias("e"),
                                 months.next_month(F.lit("2024-01-31")).alias("n")).first()
     assert row.e == dt.date(2024, 2, 29) and row.n == dt.date(2024, 2, 29)
+
+
+def test_half_open_and_closed_month_predicates(spark):
+    df = ts_frame(spark, ["2024-01-31 10:00:00", "2024-02-01 00:00:00"])
+    m = F.lit("2024-01-01")
+    out = df.select(months.half_open_month("ts", m).alias("h"), months.closed_month("ts", m).alias("c")).collect()
+    assert [(r.h, r.c) for r in out] == [(True, False), (False, False)]

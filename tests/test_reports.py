@@ -90,3 +90,10 @@ def test_to_pandas_bounded(spark):
     assert len(reports.to_pandas_bounded(small, 10)) == 5
     with pytest.raises(ValueError):
         reports.to_pandas_bounded(spark.range(20), 10)
+
+
+def test_axis_labels(spark):
+    rep = spark.createDataFrame([("a (x)", 2020, 2_500_000_000.0), ("a (x)", 2021, 3_500_000.0)],
+                                "league_label string, year int, total_valuation double")
+    out = {r.year: r.axis_label for r in reports.axis_labels(rep, "total_valuation", 1_000_000).collect()}
+    assert out == {2020: "2500M", 2021: "4M"}

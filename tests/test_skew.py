@@ -69,3 +69,13 @@ def test_join_dimension_salts_when_aqe_is_off(spark):
         assert out.count() == v.count()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_broadcast_if_small(spark):
+    from kickledger.operators import joins
+
+    small = spark.range(10)
+    assert joins.is_bounded(small, 10) and not joins.is_bounded(small, 9)
+    hinted = joins.broadcast_if_small(small)
+    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
+    assert joins.broadcast_if_small(small, max_bytes=1) is small  # over the budget: no hint
