@@ -27,3 +27,12 @@ def shuffle_width(spark: SparkSession) -> int:
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``: the fixed train / held-out split."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % F.lit(modulus), F.lit(0))
+
+
+def worker_cache(name: str) -> dict:
+    """A dict that lives as long as its Python worker, across the tasks it serves. Callers bound its size."""
+    import sys
+    import types
+
+    holder = sys.modules.setdefault("_kickledger_worker_cache", types.ModuleType("_kickledger_worker_cache"))
+    return holder.__dict__.setdefault(name, {})

@@ -101,9 +101,10 @@ def train(samples: DataFrame) -> list[float]:
 def sample_from(docs: DataFrame, limit: int = SAMPLE_DOCS) -> DataFrame:
     """Labelled samples (text, label) of documents: values in secret-shaped spans, and other words.
 
-    Label 1: what the base patterns find (of an assignment, its value). Label
-    0: other distinct words of six letters or more. At most ``limit``
-    documents are used per class, those with the smallest id hashes.
+    Label 1: what the base patterns find (of an assignment, its value), and
+    ``limit`` base-64 digests of counters, random by construction, for keys of
+    mixed case. Label 0: other distinct words of six letters or more. At most
+    ``limit`` documents are used per class, those with the smallest id hashes.
     """
     rows = common.ids_and_texts(docs)
     order = F.xxhash64("doc_id"), F.col("doc_id")
@@ -113,10 +114,13 @@ def sample_from(docs: DataFrame, limit: int = SAMPLE_DOCS) -> DataFrame:
         F.transform(_matches(F.col("text"), p), lambda m: m["found"]) for p in (ASSIGN, ACCESS, HEX)])).alias("found")) \
         .select(F.when(value != "", value).otherwise(F.col("found")).alias("text")) \
         .filter(F.length("text") >= 12).distinct().withColumn("label", F.lit(1))
+    digests = docs.sparkSession.range(limit).select(
+        F.base64(F.unhex(F.sha2(F.col("id").cast("string").cast("binary"), 256))).alias("text"),
+        F.lit(1).alias("label"))
     calm = rows.filter(~F.col("text").rlike(f"{ACCESS}|{HEX}|{ASSIGN}")).orderBy(*order).limit(limit)
     words = F.regexp_extract_all("text", F.lit(r"[A-Za-z_]{6,}"), F.lit(0))
     ordinary = calm.select(F.explode(words).alias("text")).distinct().withColumn("label", F.lit(0))
-    return random.unionByName(ordinary)
+    return random.unionByName(digests).unionByName(ordinary)
 
 
 def score(found: Column, model: list[float]) -> Column:
