@@ -121,7 +121,10 @@ def merge_words(t: dict, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         moved = np.cumsum(left) - 1
         symbols, place, segment, rank, merged = (x[left] for x in (symbols, place, segment, rank, merged))
         again = moved[chosen]
-        again = np.unique(np.concatenate([again, again[again > 0] - 1]))
+        beside = np.zeros(len(symbols), bool)
+        beside[again] = True
+        beside[again[again > 0] - 1] = True
+        again = np.flatnonzero(beside)
         same = np.zeros(len(again), bool)
         inside = again + 1 < len(symbols)
         same[inside] = segment[again[inside]] == segment[again[inside] + 1]
