@@ -29,11 +29,13 @@ MAX_BITS = 18
 BLOCK_IDS = 1 << 17
 LANE_IDS = 128
 CHUNK_UNITS = 200_000
-KNOWN_UNITS = 300_000
+KNOWN_UNITS = 700_000
+JOINED_UNITS = 256
 END_ID = 2
 
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
-_UNEVEN = re.compile(r"\s\s|^\s|\s$")
+_PLAIN = re.compile(r" \S+")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
 def units_of(text: str) -> list[str]:
@@ -42,7 +44,9 @@ def units_of(text: str) -> list[str]:
     Byte-level pre-tokenization always parts before a space between two
     non-space characters, so parts encode independently.
     """
-    first, *rest = (_SPLIT.split(text) if _UNEVEN.search(text) else text.split(" "))
+    even = not (text[:1].isspace() or text[-1:].isspace() or "  " in text or " \n" in text or "\n " in text
+                or _OTHER_SPACE.search(text))
+    first, *rest = text.split(" ") if even else _SPLIT.split(text)
     return [first, *[" " + r for r in rest]] if first or rest else []
 
 
@@ -54,7 +58,10 @@ class UnitEncoder:
 
         self.tokenizer = known.get("tokenizer") or Tokenizer.from_str(tokenizer_json)
         self.known = known
-        known["tokenizer"] = self.tokenizer
+        if "tokenizer" not in known:
+            spaced = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+            spaced[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("Ġ")]] = True
+            known.update(tokenizer=self.tokenizer, spaced=spaced)
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids with the end id after each text, ids per text)."""
@@ -68,9 +75,7 @@ class UnitEncoder:
             units.append(None)
             ends.append(len(units))
         if fresh := [u for u in set(units) if u not in at]:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum()))
+            flat, sizes = self._encode_units(fresh)
             at.update(zip(fresh, range(len(at), len(at) + len(fresh))))
             known["starts"] = np.concatenate([known["starts"], np.cumsum(sizes) - sizes + len(known["ids"])])
             known["sizes"] = np.concatenate([known["sizes"], sizes])
@@ -81,6 +86,31 @@ class UnitEncoder:
         return ids, np.diff(np.append(0, np.cumsum(sizes)[np.array(ends, np.int64) - 1]))
 
 
+    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, ids per unit) of distinct units.
+
+        Units of a space and one run of other characters are joined, many to
+        a call: only a unit's first token begins with a space, so the ids
+        show where the next unit begins.
+        """
+        plain = [k for k, u in enumerate(units) if _PLAIN.fullmatch(u)]
+        odd = sorted(set(range(len(units))).difference(plain))
+        texts = ["".join(units[k] for k in plain[at:at + JOINED_UNITS]) for at in range(0, len(plain), JOINED_UNITS)]
+        texts += [units[k] for k in odd]
+        found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        joined = len(texts) - len(odd)
+        flat = np.concatenate([np.empty(0, np.int32), *found])
+        heads = self.known["spaced"][flat]
+        done = sum(map(len, found[:joined]))
+        heads[done:] = False
+        heads[done + np.cumsum([0, *map(len, found[joined:])])[:-1].astype(np.int64)] = True
+        heads = np.flatnonzero(heads)
+        assert len(heads) == len(units), "a tokenizer that joins across spaces isn't supported"
+        sizes = np.diff(np.append(heads, len(flat)))
+        back = np.argsort(np.array(plain + odd, np.int64))
+        return flat[_ranges(heads[back], sizes[back])], sizes[back]
+
+
 def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
 
