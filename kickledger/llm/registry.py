@@ -1,10 +1,11 @@
 """The queries of this subpackage, and SQL for those that SQL can express."""
 
-from . import exact_dedup, decontaminate, licenses, pieces, secrets, sharding, simhash, token_store
+from . import (decontaminate, exact_dedup, licenses, pieces, quality, secrets, sharding, simhash, token_store,
+               toxicity)
 
 QUERIES = {f.__name__: f for f in (
-    sharding.op1_jump_sharding, licenses.op2_sentence_licenses, secrets.op4_markov_secrets,
-    exact_dedup.op5_exact_dedup, token_store.op6_huffman_ids, pieces.op8_sentencepiece, simhash.op9_simhash,
-    decontaminate.op10_fm_decontamination)}
+    sharding.op1_jump_sharding, licenses.op2_sentence_licenses, toxicity.op3_gru_toxicity,
+    secrets.op4_markov_secrets, exact_dedup.op5_exact_dedup, token_store.op6_huffman_ids, quality.op7_crf_quality,
+    pieces.op8_sentencepiece, simhash.op9_simhash, decontaminate.op10_fm_decontamination)}
 
 ORACLES = {"op2_sentence_licenses": licenses.OP2_SQL, "op5_exact_dedup": exact_dedup.OP5_SQL}
