@@ -55,11 +55,9 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each SimHash component, the row with the smallest doc_id stays (and of its texts, the smallest digest)."""
-    found = simhash.near_dedup(docs).select("doc_id", "component_id").distinct()
-    least = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    stays = docs.select(docs["doc_id"].cast("long").alias("doc_id"), exact_dedup.same_text().alias("text_sha256")) \
-        .join(least, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text_sha256").alias("text_sha256"))
-    return _rows_of(docs, materialize(stays, "simhash-kept"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_sha256")).alias("first")
+    stays = simhash.near_dedup(docs).groupBy("component").agg(first).select("first.doc_id", "first.text_sha256")
+    return _once(_rows_of(docs, materialize(stays, "simhash-kept")))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

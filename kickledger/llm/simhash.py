@@ -59,15 +59,18 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long) per row; fp holds the 64 bits as a signed long."""
+    """(doc_id, text_sha256, fp long) per row; fp holds the 64 bits as a signed long."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t.as_buffer().to_pybytes(), shingle_words) for t in batch.column(1)),
+            fps = np.fromiter((fingerprint(t.as_buffer().to_pybytes(), shingle_words) for t in batch.column(2)),
                               np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps.view(np.int64))],
+                                             ["doc_id", "text_sha256", "fp"])
 
     rows = common.ids_and_texts(docs, id_col, text_col)
-    return rows.select("doc_id", F.col("text").cast("binary").alias("body")).mapInArrow(of, "doc_id long, fp long")
+    return rows.select("doc_id", common.sha256_hex(F.col("text")).alias("text_sha256"),
+                       F.col("text").cast("binary").alias("body")).mapInArrow(
+        of, "doc_id long, text_sha256 string, fp long")
 
 
 def covering_masks(radius: int, seed: int) -> list[int]:
@@ -176,7 +179,10 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                bucket_rows: int = BUCKET_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) per row: rows linked at ``max_bits`` or fewer differing bits, transitively.
+    """(doc_id, text_sha256, fp, component, component_id) per row: rows linked at ``max_bits`` differing bits or fewer.
+
+    Links count transitively; ``component`` numbers a component, and is its
+    smallest doc_id, ``component_id``, where one of its rows has an id.
 
     Null, empty and blank texts have fingerprint zero and link like any
     other. Repeated rows share a fingerprint. A row without an id links too;
@@ -189,7 +195,7 @@ def near_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: in
     nodes = materialize(nodes, "simhash-nodes")
     linked = components(edges(nodes, max_bits, bucket_rows))
     named = nodes.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    return rows.join(named, "fp").select("doc_id", "fp", F.when(
+    return rows.join(named, "fp").select("doc_id", "text_sha256", "fp", "component", F.when(
         F.col("component") < F.lit(_NO_ID), F.col("component")).alias("component_id"))
 
 
