@@ -29,6 +29,20 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % F.lit(modulus), F.lit(0))
 
 
+def few(rows: DataFrame, limit: int, *keys: str) -> DataFrame:
+    """At most ``limit`` rows, those with the smallest hashes of their first key, in an order fixed by the keys.
+
+    A bound on the hash, set from the row count, leaves about half as many
+    rows again as are wanted, so the sort gets a bounded number of rows
+    however many tasks read the table.
+    """
+    total = rows.count()
+    bound = min(1 << 31, ((3 * limit // 2 + 100) << 31) // max(1, total))
+    mixed = F.xxhash64(keys[0])
+    return rows.filter(F.pmod(mixed, F.lit(1 << 31)) < F.lit(bound)) \
+        .orderBy(F.pmod(mixed, F.lit(1 << 31)), *keys).limit(limit)
+
+
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as its Python worker, across the tasks it serves. Callers bound its size."""
     import sys

@@ -20,7 +20,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, longest: i
     wanted = wanted.filter(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1))
     if usable is not None:
         wanted = wanted.filter(usable)
-    wanted = wanted.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows)
+    wanted = common.few(wanted, rows, "doc_id", "y")
     texts = common.ids_and_texts(docs).filter(F.length("text") <= longest)
     found = texts.join(F.broadcast(wanted), "doc_id").select("text", "y", "doc_id") \
         .orderBy(F.xxhash64("doc_id"), "doc_id", "y", "text").limit(rows).collect()

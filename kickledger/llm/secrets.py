@@ -28,7 +28,7 @@ KINDS = ["assign", "access", "hex", "markov"]
 RUN = r"[A-Za-z0-9+/_=-]{16,}"  # what the Markov models judge
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SIZE = len(ALPHABET) + 1        # the last class is every other character
-SAMPLE_DOCS = 4000              # documents the samples of each class are taken from, at most
+SAMPLE_DOCS = 8000              # documents the samples are taken from, at most
 MARGIN = 0.35                   # mean log likelihood ratio per transition, in nats, above which a run is a secret
 
 
@@ -103,12 +103,15 @@ def sample_from(docs: DataFrame, limit: int = SAMPLE_DOCS) -> DataFrame:
 
     Label 1: what the base patterns find (of an assignment, its value), and
     ``limit`` base-64 digests of counters, random by construction, for keys of
-    mixed case. Label 0: other distinct words of six letters or more. At most
-    ``limit`` documents are used per class, those with the smallest id hashes.
+    mixed case. Label 0: distinct words of six letters or more of documents
+    without such spans. At most ``limit`` documents are used, those with the
+    smallest id hashes.
     """
     rows = common.ids_and_texts(docs)
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    hot = rows.filter(F.col("text").rlike(f"{ACCESS}|{HEX}|{ASSIGN}")).orderBy(*order).limit(limit)
+    chosen = common.few(rows.select("doc_id"), limit, "doc_id").distinct()
+    rows = rows.join(F.broadcast(chosen), "doc_id")
+    shaped = F.col("text").rlike(f"{ACCESS}|{HEX}|{ASSIGN}")
+    hot, calm = rows.filter(shaped), rows.filter(~shaped)
     value = F.regexp_extract("found", ASSIGN, 2)
     random = hot.select(F.explode(F.concat(*[
         F.transform(_matches(F.col("text"), p), lambda m: m["found"]) for p in (ASSIGN, ACCESS, HEX)])).alias("found")) \
@@ -117,7 +120,6 @@ def sample_from(docs: DataFrame, limit: int = SAMPLE_DOCS) -> DataFrame:
     digests = docs.sparkSession.range(limit).select(
         F.base64(F.unhex(F.sha2(F.col("id").cast("string").cast("binary"), 256))).alias("text"),
         F.lit(1).alias("label"))
-    calm = rows.filter(~F.col("text").rlike(f"{ACCESS}|{HEX}|{ASSIGN}")).orderBy(*order).limit(limit)
     words = F.regexp_extract_all("text", F.lit(r"[A-Za-z_]{6,}"), F.lit(0))
     ordinary = calm.select(F.explode(words).alias("text")).distinct().withColumn("label", F.lit(0))
     return random.unionByName(digests).unionByName(ordinary)
