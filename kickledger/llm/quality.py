@@ -23,7 +23,7 @@ from .labelled import sample
 SAMPLE_ROWS = 9000       # labelled documents the model is trained on, at most
 SAMPLE_CHARS = 20_000    # the longest of them
 ROUNDS = 160
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 HELD_OUT = (3, 1)        # ids with crc32 % 3 == 1 are never learned from
 
 # Byte classes: other, lower, upper, digit, space, full stop and comma, other sentence marks, bar, symbols, from 0x80.
@@ -126,7 +126,7 @@ def train(texts: list[str], labels: list[int], rounds: int = ROUNDS) -> dict:
     share = (sum(labels) + 1) / (len(labels) + 2)
     if len(set(labels)) < 2:
         return {"blank": float(share)}
-    x, lines, sizes = line_features([t.encode() for t in texts])
+    x, lines, sizes = (np.concatenate(p) for p in zip(*map(line_features, _chunks([t.encode() for t in texts]))))
     mean, spread = x.mean(0), np.maximum(x.std(0), 1e-3)
     mean[-1], spread[-1] = 0, 1
     x = (x - mean) / spread
@@ -168,16 +168,23 @@ def score_texts(model: dict, texts: list[bytes]) -> np.ndarray:
     """Probability of good quality per text."""
     if "blank" in model or not texts:
         return np.full(len(texts), model.get("blank", 0.0))
-    out, at = [], 0
+    out = []
+    for part in _chunks(texts):
+        raw = _logits(model, *line_features(part))
+        out.append(1 / (1 + np.exp(-(model["a"] * raw + model["b"]))))
+    return np.concatenate(out)
+
+
+def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Runs of texts of about ``CHUNK_BYTES``, at least one text each."""
+    at = 0
     while at < len(texts):
         end, size = at, 0
         while end < len(texts) and size < CHUNK_BYTES:
             size += len(texts[end]) + 1
             end += 1
-        raw = _logits(model, *line_features(texts[at:end]))
-        out.append(1 / (1 + np.exp(-(model["a"] * raw + model["b"]))))
+        yield texts[at:end]
         at = end
-    return np.concatenate(out)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, longest: int = SAMPLE_CHARS, usable=None) -> dict:
