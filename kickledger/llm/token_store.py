@@ -34,20 +34,24 @@ JOINED_UNITS = 256
 END_ID = 2
 
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
-_PLAIN = re.compile(r" \S+")
+_MARKS = ".,"
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
-def units_of(text: str) -> list[str]:
-    """A text's parts between single spaces, each but the first with its space in front.
+def units_of(text: str) -> list:
+    """A text's parts between single spaces; the first, which no space precedes, as a tuple.
 
     Byte-level pre-tokenization always parts before a space between two
-    non-space characters, so parts encode independently.
+    non-space characters, so parts encode independently, each with the space
+    before it.
     """
+    if not text:
+        return []
     even = not (text[:1].isspace() or text[-1:].isspace() or "  " in text or " \n" in text or "\n " in text
                 or _OTHER_SPACE.search(text))
-    first, *rest = text.split(" ") if even else _SPLIT.split(text)
-    return [first, *[" " + r for r in rest]] if first or rest else []
+    units = text.split(" ") if even else _SPLIT.split(text)
+    units[0] = (units[0],)
+    return units
 
 
 class UnitEncoder:
@@ -89,14 +93,48 @@ class UnitEncoder:
     def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, ids per unit) of distinct units.
 
-        Units of a space and one run of other characters are joined, many to
-        a call: only a unit's first token begins with a space, so the ids
-        show where the next unit begins.
+        Units of one run of non-space characters are joined, many to a call:
+        only a unit's first token begins with a space, so the ids show where
+        the next unit begins. A word with one stop or comma after it takes
+        the ids of the word and of the mark, which are always parted.
         """
-        plain = [k for k, u in enumerate(units) if _PLAIN.fullmatch(u)]
-        odd = sorted(set(range(len(units))).difference(plain))
-        texts = ["".join(units[k] for k in plain[at:at + JOINED_UNITS]) for at in range(0, len(plain), JOINED_UNITS)]
-        texts += [units[k] for k in odd]
+        ended = [k for k, u in enumerate(units) if type(u) is str and u[-1:] in _MARKS and u[:-1].isalpha()]
+        apart = set(ended)
+        plain = [k for k in range(len(units)) if k not in apart]
+        known, whole = self.known, [units[k] for k in plain]
+        bare = {units[k][:-1] for k in ended}.difference(whole).difference(known["at"])
+        run = [*whole, *bare, *((m,) for m in _MARKS)]
+        flat, sizes = self._encode_runs(run)
+        heads = np.cumsum(sizes) - sizes
+        place = dict(zip(run, zip(heads.tolist(), (heads + sizes).tolist())))
+        parts, at = [flat], len(flat)
+        starts, lengths = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        starts[plain], lengths[plain] = heads[:len(whole)], sizes[:len(whole)]
+        for k in ended:
+            word, mark = units[k][:-1], units[k][-1]
+            if word in place:
+                ids = flat[slice(*place[word])]
+            else:
+                j = known["at"][word]
+                ids = known["ids"][known["starts"][j]:known["starts"][j] + known["sizes"][j]]
+            parts += [ids, flat[slice(*place[mark,])]]
+            starts[k], lengths[k] = at, len(ids) + len(parts[-1])
+            at += lengths[k]
+        return np.concatenate(parts)[_ranges(starts, lengths)], lengths
+
+    def _encode_runs(self, units: list) -> tuple[np.ndarray, np.ndarray]:
+        plain, odd = [], []
+        for at in range(0, len(units), JOINED_UNITS):
+            some = range(at, min(len(units), at + JOINED_UNITS))
+            words = [units[k] for k in some]
+            if not any(type(w) is tuple for w in words) and " ".join(words).split() == words:
+                plain += some
+            else:
+                fits = [type(w) is str and w.split() == [w] for w in words]
+                plain += [k for k, fit in zip(some, fits) if fit]
+                odd += [k for k, fit in zip(some, fits) if not fit]
+        texts = [" " + " ".join(units[k] for k in plain[at:at + JOINED_UNITS]) for at in range(0, len(plain), JOINED_UNITS)]
+        texts += [units[k][0] if type(units[k]) is tuple else " " + units[k] for k in odd]
         found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         joined = len(texts) - len(odd)
         flat = np.concatenate([np.empty(0, np.int32), *found])
