@@ -60,16 +60,16 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
                    max_bytes: int = DEFAULT_BROADCAST_BYTES, skew: str = "auto",
                    salt_buckets: int = 16) -> DataFrame:
-    """Join a large fact table to a dimension, broadcasting the dimension if small.
+    """Join a large fact table to a dimension; no job runs while the frame is built.
 
-    ``dim`` should already be projected to the columns the join needs, so
-    the check and the broadcast carry only those. When the dimension is too
-    big to broadcast, a hot key is handled by AQE's skew-join split
+    ``dim`` should already be projected to the columns the join needs. The
+    planner broadcasts it where its statistics, or the sizes AQE measures,
+    stay below ``spark.sql.autoBroadcastJoinThreshold``; nothing is forced.
+    A hot key of a shuffle join is handled by AQE's skew-join split
     (``skew="aqe"``) or by salting the hot keys (``skew="salt"``, see
     ``salted_join``); ``"auto"`` salts only when AQE is off in the session.
+    ``max_bytes`` bounds what the salted join broadcasts.
     """
-    if is_bounded(dim, row_bound(dim, max_bytes)):
-        return fact.join(F.broadcast(dim), on, how)
     if skew == "auto":
         aqe = fact.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
         skew = "aqe" if aqe else "salt"

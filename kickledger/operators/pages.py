@@ -182,10 +182,10 @@ def logo_paths(df: DataFrame, key: str = "competition_id", template: str = LOGO_
 
 
 def pending_links(targets: DataFrame, done: DataFrame, pages: DataFrame, **where) -> DataFrame:
-    """Logo links still to fetch: pending targets joined to their stored page
-    by ``url``, then the link extraction. ``where`` passes the container,
+    """Logo links still to fetch: the stored pages of pending targets' urls,
+    each parsed once, joined to the targets by ``url``. ``where`` passes the container,
     class, child tag and attribute to ``extract_links``."""
     todo = pending(targets, done).select("competition_id", "url")
-    pages_todo = pages.select("page_id", "url", "html").join(todo, "url")
+    pages_todo = pages.select("page_id", "url", "html").join(todo.select("url").distinct(), "url", "left_semi")
     links = extract_links(pages_todo.select("page_id", "url", "html"), **where)
     return links.join(todo, "url").select("competition_id", "url", "link", "status")

@@ -42,13 +42,16 @@ def month_prune(df: DataFrame, start: str, end: str, partition_col: str | None)
     """Add a filter on the month key column so whole month folders are skipped.
 
     The date filter alone cannot prune partition folders; this repeats it on
-    the partition column (``YYYY-MM`` text sorts like the dates).
+    the partition column (``YYYY-MM`` text sorts like the dates). The
+    month of the last day before ``end`` is kept whole, and keys that carry a
+    day, ``YYYY-MM-01``, compare by their month.
     """
     if not partition_col or partition_col not in df.columns:
         return df
     first = month_key(F.lit(start).cast("date"))
-    last = month_key(F.add_months(F.lit(end).cast("date"), -1))
-    return df.where((F.col(partition_col) >= first) & (F.col(partition_col) <= last))
+    last = month_key(F.date_sub(F.lit(end).cast("date"), 1))
+    month = F.substring(F.col(partition_col), 1, 7)
+    return df.where((month >= first) & (month <= last))
 
 
 def valuation_rows(valuations: DataFrame, clubs: DataFrame, start: str, end: str,

@@ -837,3 +837,87 @@ def q_extract_by_class(spark, sf):
     """The reference's shape (a div picked by class token, its first img, the src) on the
     test pages, whose only classed div holds no image."""
     return page_ops.extract_links(td.pages(spark, sf), container="div", css_class="ad", child="img", attr="src")
+
+
+# --- month replacement and reads that must not lose rows --------------------------------------------
+@register("month_replace_self", with_views("valuations") + LOADED_VALUATIONS_SQL.replace(
+    "CAST(market_value AS FLOAT) AS market_value",
+    f"CAST(CASE WHEN strftime(date, '%Y-%m') = '{REPLACED_MONTH}' THEN market_value * 2 ELSE market_value END"
+    " AS FLOAT) AS market_value"))
+def q_month_replace_self(spark, sf):
+    """A stored month replaced by rows computed from itself."""
+    wh = _load_valuations(spark, sf)
+    doubled = wh.read("player_valuations").withColumn("market_value", F.col("market_value") * 2)
+    wh.replace_month("player_valuations", doubled, REPLACED_MONTH, on_empty="delete")
+    return _loaded_text(wh.read("player_valuations"))
+
+
+@register("month_range_only", with_views("valuations") + LOADED_VALUATIONS_SQL.replace(
+    "CAST(market_value AS FLOAT) AS market_value",
+    "CAST(CASE WHEN date >= DATE '1998-03-01' AND date < DATE '1998-05-01' THEN market_value * 2 ELSE market_value END"
+    " AS FLOAT) AS market_value"))
+def q_month_range_only(spark, sf):
+    """A frame of all months, written for two of them: the others keep their stored rows."""
+    wh = _load_valuations(spark, sf)
+    fresh = pipeline.valuation_load_rows(td.valuations(spark, sf), td.START, td.END)
+    wh.replace_months("player_valuations", fresh.withColumn("market_value", F.col("market_value") * 2),
+                      on_empty="delete", start="1998-03-01", end="1998-05-01")
+    return _loaded_text(wh.read("player_valuations"))
+
+
+@register("month_resplit_shrunk", with_views("valuations") + LOADED_VALUATIONS_SQL
+          + f" AND strftime(date, '%Y-%m') <> '{REPLACED_MONTH}'")
+def q_month_resplit_shrunk(spark, sf):
+    """Split and load twice; the second time the raw data has lost a month."""
+    wh = Warehouse(spark, shared_path(spark, "warehouse"))
+    wh.create_table("player_valuations")
+    raw, folder = td.valuations(spark, sf), wh.location("raw/valuation_partitions")
+    for rows in (raw, raw.where(F.date_format("date", "yyyy-MM") != REPLACED_MONTH)):
+        ingest.split_by_month(rows, "date", folder)
+        wh.replace_months("player_valuations",
+                          pipeline.valuation_load_rows(ingest.read_months(spark, folder), td.START, td.END),
+                          on_empty="delete", start=td.START, end=td.END)
+    return _loaded_text(wh.read("player_valuations"))
+
+
+@register("csv_quoted_text", """SELECT doc_id, lang || ' "' || source || '", ' || chr(10) || '"x"' AS name FROM documents""")
+def q_csv_quoted_text(spark, sf):
+    """Quotes, commas and line breaks inside quoted cells survive the CSV scan."""
+    path = shared_path(spark, "csv-quoted")
+    name = F.concat("lang", F.lit(' "'), "source", F.lit('", \n"x"'))
+    td.table(spark, sf, "documents").select("doc_id", name.alias("name")).write \
+        .option("header", True).option("escape", '"').csv(path)
+    return ingest.read_csv_text(spark, path, multi_line=True).select(F.col("doc_id").cast("long").alias("doc_id"), "name")
+
+
+@register("pending_logo_links_shared", "SELECT competition_id || s.suffix AS competition_id, e.url, link, status FROM ("
+          + EXTRACT_SQL + """) e JOIN (""" + LEAGUE_PAGES_SQL + """) c ON e.url = c.url
+    CROSS JOIN (VALUES ('a'), ('b'), ('c')) s(suffix)""")
+def q_pending_logo_links_shared(spark, sf):
+    """Three competitions share every page: one row each, every page parsed once."""
+    targets = page_ops.distinct_urls(_league_pages(spark, sf)).withColumn(
+        "competition_id", F.explode(F.transform(F.array(F.lit("a"), F.lit("b"), F.lit("c")),
+                                                lambda s: F.concat("competition_id", s))))
+    done = targets.limit(0)
+    return page_ops.pending_links(targets, done, td.pages(spark, sf), container="nav", css_class=None,
+                                  child="a", attr="href")
+
+
+@register("half_open_next_month", """SELECT l_orderkey, l_linenumber,
+    strftime(l_shipdate + INTERVAL 1 MONTH, '%Y-%m-%d') AS next_month,
+    date_trunc('month', l_shipdate) = DATE '1998-03-01' AS in_march FROM lineitem WHERE l_shipdate IS NOT NULL""")
+def q_half_open_next_month(spark, sf):
+    lines = td.table(spark, sf, "lineitem").where(F.col("l_shipdate").isNotNull())
+    return lines.select("l_orderkey", "l_linenumber",
+                        F.date_format(months.next_month("l_shipdate"), "yyyy-MM-dd").alias("next_month"),
+                        months.half_open_month("l_shipdate", F.lit("1998-03-01")).alias("in_march"))
+
+
+@register("sql_view_insert", with_views("valuations") + LOADED_VALUATIONS_SQL)
+def q_sql_view_insert(spark, sf):
+    """Rows registered as a view, inserted by SELECT from it, the view dropped after."""
+    wh = Warehouse(spark, shared_path(spark, "warehouse"))
+    wh.create_table("player_valuations")
+    with wh.frame_view(pipeline.valuation_load_rows(td.valuations(spark, sf), td.START, td.END)) as view:
+        wh.insert_select("player_valuations", f"SELECT * FROM {view}")
+    return _loaded_text(wh.read("player_valuations"))

@@ -18,7 +18,7 @@ from kickledger.functions.months import CALENDAR_END, CALENDAR_START, in_window,
 from kickledger.operators import pages as page_ops
 from kickledger.operators import reports, rollups
 from kickledger.sources import ingest
-from kickledger.sources.warehouse import Warehouse
+from kickledger.sources.warehouse import Warehouse, whole_months
 
 RAW_FILES = {
     "player_valuations": "player_valuations.csv",
@@ -57,15 +57,17 @@ def backfill_league_rollup(wh: Warehouse, valuations: DataFrame, clubs: DataFram
     empty-month rule).
     """
     wh.create_table("league_valuation_evolution")
+    whole_months(start, end)
     lve = rollups.league_valuation_evolution(valuations, clubs, start, end)
-    wh.replace_months("league_valuation_evolution", lve, on_empty="keep")
+    wh.replace_months("league_valuation_evolution", lve, on_empty="keep", start=start, end=end, day_key=True)
 
 
 def backfill_club_rollup(wh: Warehouse, valuations: DataFrame, clubs: DataFrame,
                          start: str, end: str) -> None:
     wh.create_table("club_valuation_evolution")
+    whole_months(start, end)
     cve = rollups.club_valuation_evolution(valuations, clubs, start, end)
-    wh.replace_months("club_valuation_evolution", cve, on_empty="keep")
+    wh.replace_months("club_valuation_evolution", cve, on_empty="keep", start=start, end=end, day_key=True)
 
 
 @dataclass
@@ -111,6 +113,7 @@ def load_base_tables(wh: Warehouse, start: str, end: str, closed: bool = False)
     rebalance, and so no shuffle of the base table, is needed here.
     """
     spark = wh.spark
+    whole_months(start, end)
     wh.create_table("player_valuations")
     wh.replace_months("player_valuations",
                       valuation_load_rows(ingest.read_months(spark, wh.location("raw/valuation_partitions")),

@@ -14,19 +14,21 @@ from pyspark.sql import functions as F
 from kickledger.functions.coerce import coerce_columns, stringify_text_columns
 from kickledger.functions.months import with_month
 from kickledger.schemas import RAW_TYPES
-from kickledger.sources.warehouse import cluster_by_month
+from kickledger.sources.warehouse import clear_month, month_folders, write_months
 
 DATASETS = tuple(RAW_TYPES)
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """A CSV file or folder with a header, every column as text.
 
-    Empty cells are NULL. Malformed lines are kept with NULLs in the cells
+    A quote inside a quoted cell is written twice. ``multi_line`` allows line
+    breaks inside quoted cells; each file is then read by one task. Empty
+    cells are NULL. Malformed lines are kept with NULLs in the cells
     that could not be read (PERMISSIVE mode).
     """
     return (spark.read.option("header", True).option("inferSchema", False)
-            .option("mode", "PERMISSIVE").option("multiLine", False).csv(path))
+            .option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line).csv(path))
 
 
 def type_dataset(df: DataFrame, dataset: str, null_strings: str | None = None) -> DataFrame:
@@ -39,11 +41,11 @@ def type_dataset(df: DataFrame, dataset: str, null_strings: str | None = None) -
 
 
 def load_dataset(spark: SparkSession, path: str, dataset: str, null_strings: str | None = None,
-                 fmt: str | None = None) -> DataFrame:
+                 fmt: str | None = None, multi_line: bool = False) -> DataFrame:
     """Read and type one raw dataset. ``fmt`` is ``"csv"`` or ``"parquet"``;
     by default a path ending in ``.parquet`` is Parquet, anything else CSV."""
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
-    raw = spark.read.parquet(path) if fmt == "parquet" else read_csv_text(spark, path)
+    raw = spark.read.parquet(path) if fmt == "parquet" else read_csv_text(spark, path, multi_line)
     return type_dataset(raw, dataset, null_strings)
 
 
@@ -60,13 +62,16 @@ def split_by_month(df: DataFrame, ts_col: str, path: str, closed: bool = False,
     last day); ``closed=False`` is the half-open month. Rows are rebalanced
     by month first (see ``cluster_by_month``: few files per month, and a
     hot month is split over several tasks; ``cluster=False`` skips that
-    shuffle for input already in time order). A month without rows gets no
-    folder; readers see zero rows for it either way. Months already
-    present are replaced, others kept.
+    shuffle for input already in time order). ``df`` is the whole dataset: a
+    month it has no rows for gets no folder, and a folder that an earlier
+    split left for such a month is emptied.
     """
-    tagged = cluster_by_month(with_month(df, ts_col, closed=closed), enabled=cluster)
-    (tagged.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("partition_date").parquet(path))
+    spark = df.sparkSession
+    before = month_folders(spark, path)
+    tagged = with_month(df, ts_col, closed=closed).where(F.col("partition_date").isNotNull())
+    written = write_months(tagged, path, cluster)
+    for month in sorted(before - written):
+        clear_month(spark, path, tagged.schema, month)
     return path
 
 

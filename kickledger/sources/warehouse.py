@@ -23,7 +23,7 @@ import datetime as _dt
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +57,41 @@ def cluster_by_month(df: DataFrame, column: str = PARTITION_COLUMN, enabled: boo
     return df.hint("rebalance", column) if enabled else df
 
 
+def whole_months(start: str, end: str) -> tuple[str, str]:
+    """``start`` and ``end`` as given, if both are the first of a month; a range that cuts a month is an error.
+
+    Months are replaced whole, so a cut range would drop the stored rows of
+    its first or last month that lie outside it.
+    """
+    for day in (start, end):
+        if _dt.date.fromisoformat(str(day)).day != 1:
+            raise ValueError(f"{day} is not the first day of a month; month tables change by whole months")
+    return start, end
+
+
+def month_folders(spark: SparkSession, path: str) -> set[str]:
+    """Month keys of the folders under ``path``; at most one per calendar month."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/{PARTITION_COLUMN}=*")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return {status.getPath().getName().split("=", 1)[1] for status in found}
+
+
+def write_months(rows: DataFrame, path: str, cluster: bool = True) -> set[str]:
+    """Write month folders, replacing those present in ``rows``; returns their keys, observed on the write."""
+    seen = Observation()
+    observed = rows.observe(seen, F.collect_set(F.col(PARTITION_COLUMN).cast("string")).alias("months"))
+    (cluster_by_month(observed, enabled=cluster).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COLUMN).parquet(path))
+    return set(seen.get.get("months") or ())
+
+
+def clear_month(spark: SparkSession, path: str, schema: T.StructType, month: str) -> None:
+    """Leave a month's folder without rows."""
+    kept = T.StructType([f for f in schema.fields if f.name != PARTITION_COLUMN])
+    spark.createDataFrame([], kept).write.mode("overwrite").parquet(f"{path}/{PARTITION_COLUMN}={month}")
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType] | None = None):
         self.spark = spark
@@ -138,57 +173,50 @@ class Warehouse:
         return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
     def stored_months(self, name: str) -> set[str]:
-        """Month keys that hold files, read from the file listing (no job)."""
-        try:
-            files = self.read(name).inputFiles()
-        except AnalysisException:
-            return set()
-        marker = f"/{PARTITION_COLUMN}="
-        return {f.split(marker, 1)[1].split("/", 1)[0] for f in files if marker in f}
+        """Month keys that have a folder: one listing of the table's folder, no job and no file paths."""
+        return month_folders(self.spark, self.location(name))
 
     def replace_months(self, name: str, df: DataFrame, on_empty: str = "keep",
                        start: str | None = None, end: str | None = None,
                        day_key: bool = False, cluster: bool = True) -> None:
         """Replace every month present in ``df`` in one job.
 
-        With ``on_empty="delete"`` and a range ``[start, end)``, months of the
-        range that ``df`` does not hold are cleared as well, so the range ends
-        up holding exactly ``df``. ``day_key`` says the table keys months as
-        ``YYYY-MM-01`` rather than ``YYYY-MM``. Stored months come from the
-        file listing; only when some stored month of the range might need
-        clearing is the month column of ``df`` read once more to find the
-        months it holds (at most one key per calendar month reaches the
-        driver).
+        A range ``[start, end)`` of whole months limits what is written as
+        well as what is cleared: rows of other months are left out. With
+        ``on_empty="delete"`` months of the range that ``df`` does not hold
+        are cleared, so the range ends up holding exactly ``df``'s rows of
+        it. ``day_key`` says the table keys months as ``YYYY-MM-01`` rather
+        than ``YYYY-MM``. The months written are observed on the write
+        itself; ``df`` is computed once, and may read this very table, since
+        the new files take the old ones' place only when the job commits.
         """
         if on_empty not in ("delete", "keep"):
             raise ValueError(f"on_empty must be 'delete' or 'keep', not {on_empty!r}")
-        candidates: set[str] = set()
-        if on_empty == "delete":
-            if start is None or end is None:
-                raise ValueError("on_empty='delete' needs the month range start and end")
-            candidates = self.stored_months(name) & set(_month_keys(start, end, day_key))
+        if on_empty == "delete" and (start is None or end is None):
+            raise ValueError("on_empty='delete' needs the month range start and end")
         rows = self.conform(name, df) if name in self.schemas else df
-        (cluster_by_month(rows, enabled=cluster).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COLUMN).parquet(self.location(name)))
-        if candidates:
-            present = {r[0] for r in rows.select(PARTITION_COLUMN).distinct().collect()}
-            for key in sorted(candidates - present):
-                self._overwrite_month(name, rows.limit(0), key)
+        in_range: list[str] = []
+        if start is not None and end is not None:
+            in_range = _month_keys(*whole_months(start, end), day_key)
+            key = F.col(PARTITION_COLUMN)
+            rows = rows.where((key >= F.lit(in_range[0])) & (key <= F.lit(in_range[-1])) if in_range else F.lit(False))
+        candidates = self.stored_months(name) & set(in_range) if on_empty == "delete" else set()
+        written = write_months(rows, self.location(name), cluster)
+        for key in sorted(candidates - written):
+            self._clear_month(name, rows.schema, key)
 
     def replace_month(self, name: str, df: DataFrame, month: str, on_empty: str = "delete") -> None:
         """Replace one month with the rows of ``df`` that belong to it."""
         rows = self.conform(name, df) if name in self.schemas else df
         rows = rows.where(F.col(PARTITION_COLUMN) == F.lit(month))
-        if on_empty == "delete":
-            self._overwrite_month(name, rows, month)
-        elif on_empty == "keep":
-            self.replace_months(name, rows, on_empty="keep")
-        else:
+        if on_empty not in ("delete", "keep"):
             raise ValueError(f"on_empty must be 'delete' or 'keep', not {on_empty!r}")
+        written = write_months(rows, self.location(name), cluster=False)
+        if on_empty == "delete" and not written and month in self.stored_months(name):
+            self._clear_month(name, rows.schema, month)
 
-    def _overwrite_month(self, name: str, rows: DataFrame, month: str) -> None:
-        folder = f"{self.location(name)}/{PARTITION_COLUMN}={month}"
-        rows.drop(PARTITION_COLUMN).write.mode("overwrite").parquet(folder)
+    def _clear_month(self, name: str, schema: T.StructType, month: str) -> None:
+        clear_month(self.spark, self.location(name), schema, month)
 
 
 def month_keys(start: str, end: str, day_key: bool = False) -> list[str]:
