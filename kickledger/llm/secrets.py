@@ -4,7 +4,7 @@ Three base patterns (assign, access, hex) find spans by shape. The method
 adds spans of kind ``markov``: runs of key-like characters whose characters
 follow each other as in random strings rather than as in ordinary
 identifiers. Two first-order character models, one per class, are counted
-from labelled samples with add-one smoothing; a run's score is the mean log
+from labelled samples, backing off to single characters; a run's score is the mean log
 likelihood ratio of its transitions, and it is a secret where that exceeds a
 threshold. The model is a matrix of alphabet x alphabet log ratios (a fixed
 size, independent of the corpus), carried as an array literal.
@@ -29,7 +29,9 @@ RUN = r"[A-Za-z0-9+/_=-]{16,}"  # what the Markov models judge
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SIZE = len(ALPHABET) + 1        # the last class is every other character
 SAMPLE_DOCS = 8000              # documents the samples are taken from, at most
-MARGIN = 0.35                   # mean log likelihood ratio per transition, in nats, above which a run is a secret
+BACK_OFF = 5.0                  # weight, in counts, of a character's own share against its share after another
+FLOOR = 0.05                    # part of that share spread evenly, so that what neither class holds tells nothing
+MARGIN = 1.0                    # mean log likelihood ratio per transition, in nats, above which a run is a secret
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -89,13 +91,13 @@ def train(samples: DataFrame) -> list[float]:
     sample. Without samples every ratio is 0, so nothing is found.
     """
     counts = {(r["label"], r["a"], r["b"]): r["n"] for r in transitions(samples).collect()}
-    model = []
-    for a in range(SIZE):
-        totals = [sum(counts.get((label, a, b), 0) for b in range(SIZE)) + SIZE for label in (0, 1)]
-        for b in range(SIZE):
-            model.append(math.log((counts.get((1, a, b), 0) + 1) / totals[1])
-                         - math.log((counts.get((0, a, b), 0) + 1) / totals[0]))
-    return model
+    logs = []
+    for label in (0, 1):
+        pairs = [[counts.get((label, a, b), 0) for b in range(SIZE)] for a in range(SIZE)]
+        total = sum(map(sum, pairs))
+        alone = [(1 - FLOOR) * sum(row[b] for row in pairs) / max(1, total) + FLOOR / SIZE for b in range(SIZE)]
+        logs.append([math.log((row[b] + BACK_OFF * alone[b]) / (sum(row) + BACK_OFF)) for row in pairs for b in range(SIZE)])
+    return [random - ordinary for ordinary, random in zip(*logs)]
 
 
 def sample_from(docs: DataFrame, limit: int = SAMPLE_DOCS) -> DataFrame:
