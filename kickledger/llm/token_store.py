@@ -54,6 +54,19 @@ def units_of(text: str) -> list:
     return units
 
 
+class _Places(dict):
+    """Unit to its number; a unit not seen before gets the next number and waits in ``fresh``."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.fresh: list = []
+
+    def __missing__(self, unit) -> int:
+        self[unit] = at = len(self)
+        self.fresh.append(unit)
+        return at
+
+
 class UnitEncoder:
     """Encodes texts with the tokenizers library; a unit seen before is taken from a bounded table."""
 
@@ -71,69 +84,66 @@ class UnitEncoder:
         """(flat ids with the end id after each text, ids per text)."""
         known = self.known
         if "at" not in known or len(known["at"]) > KNOWN_UNITS:
-            known.update(at={None: 0}, ids=np.array([end_id], np.int32), starts=np.zeros(1, np.int64),
+            known.update(at=_Places({None: 0}), ids=np.array([end_id], np.int32), starts=np.zeros(1, np.int64),
                          sizes=np.ones(1, np.int64))
         at, units, ends = known["at"], [], []
         for text in texts:
             units += units_of(text)
             units.append(None)
             ends.append(len(units))
-        if fresh := [u for u in set(units) if u not in at]:
-            flat, sizes = self._encode_units(fresh)
-            at.update(zip(fresh, range(len(at), len(at) + len(fresh))))
-            known["starts"] = np.concatenate([known["starts"], np.cumsum(sizes) - sizes + len(known["ids"])])
-            known["sizes"] = np.concatenate([known["sizes"], sizes])
-            known["ids"] = np.concatenate([known["ids"], flat])
-        index = np.fromiter(map(at.__getitem__, units), np.int64, len(units))
+        try:
+            index = np.fromiter(map(at.__getitem__, units), np.int64, len(units))
+            if at.fresh:
+                flat, starts, sizes = self._encode_units(at.fresh)
+                known["starts"] = np.concatenate([known["starts"], starts + len(known["ids"])])
+                known["sizes"] = np.concatenate([known["sizes"], sizes])
+                known["ids"] = np.concatenate([known["ids"], flat])
+                at.fresh = []
+        except BaseException:
+            del known["at"]      # units with numbers but without ids: the table starts anew
+            raise
         sizes = known["sizes"][index]
         ids = known["ids"][_ranges(known["starts"][index], sizes)]
         return ids, np.diff(np.append(0, np.cumsum(sizes)[np.array(ends, np.int64) - 1]))
 
-
-    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(flat ids, ids per unit) of distinct units.
+    def _encode_units(self, units: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where a unit's ids start, how many they are) of distinct units, the newest of the table.
 
         Units of one run of non-space characters are joined, many to a call:
         only a unit's first token begins with a space, so the ids show where
         the next unit begins. A word with one stop or comma after it takes
         the ids of the word and of the mark, which are always parted.
         """
+        known, at = self.known, self.known["at"]
+        old = len(known["sizes"])
         ended = [k for k, u in enumerate(units) if type(u) is str and u[-1:] in _MARKS and u[:-1].isalpha()]
-        apart = set(ended)
-        plain = [k for k in range(len(units)) if k not in apart]
-        known, whole = self.known, [units[k] for k in plain]
-        bare = {units[k][:-1] for k in ended}.difference(whole).difference(known["at"])
-        run = [*whole, *bare, *((m,) for m in _MARKS)]
-        flat, sizes = self._encode_runs(run)
-        heads = np.cumsum(sizes) - sizes
-        place = dict(zip(run, zip(heads.tolist(), (heads + sizes).tolist())))
-        parts, at = [flat], len(flat)
-        starts, lengths = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
-        starts[plain], lengths[plain] = heads[:len(whole)], sizes[:len(whole)]
-        for k in ended:
-            word, mark = units[k][:-1], units[k][-1]
-            if word in place:
-                ids = flat[slice(*place[word])]
-            else:
-                j = known["at"][word]
-                ids = known["ids"][known["starts"][j]:known["starts"][j] + known["sizes"][j]]
-            parts += [ids, flat[slice(*place[mark,])]]
-            starts[k], lengths[k] = at, len(ids) + len(parts[-1])
-            at += lengths[k]
-        return np.concatenate(parts)[_ranges(starts, lengths)], lengths
-
-    def _encode_runs(self, units: list) -> tuple[np.ndarray, np.ndarray]:
-        plain, odd = [], []
-        for at in range(0, len(units), JOINED_UNITS):
-            some = range(at, min(len(units), at + JOINED_UNITS))
-            words = [units[k] for k in some]
-            if not any(type(w) is tuple for w in words) and " ".join(words).split() == words:
-                plain += some
-            else:
-                fits = [type(w) is str and w.split() == [w] for w in words]
-                plain += [k for k, fit in zip(some, fits) if fit]
-                odd += [k for k, fit in zip(some, fits) if not fit]
-        texts = [" " + " ".join(units[k] for k in plain[at:at + JOINED_UNITS]) for at in range(0, len(plain), JOINED_UNITS)]
+        is_plain = np.ones(len(units), bool)
+        is_plain[ended] = False
+        plain = np.flatnonzero(is_plain)
+        bare: dict[str, int] = {}            # words that only a mark has followed so far
+        words = [units[k][:-1] for k in ended]
+        slots = np.array([at[w] if w in at else -1 - bare.setdefault(w, len(bare)) for w in words], np.int64)
+        run = [*(units[k] for k in plain.tolist()), *bare, *((m,) for m in _MARKS)]
+        flat, heads, counts = self._encode_runs(run)
+        # Slots: units known before, then this run.
+        new = slots >= old
+        slots[new] = old + (np.cumsum(is_plain) - 1)[slots[new] - old]
+        slots[slots < 0] = old + len(plain) - 1 - slots[slots < 0]
+        marks = np.array([_MARKS.index(units[k][-1]) for k in ended], np.int64) + old + len(run) - len(_MARKS)
+        pairs = np.stack([slots, marks], 1).ravel()
+        firsts = np.concatenate([known["starts"] + len(flat), heads])[pairs]
+        lengths = np.concatenate([known["sizes"], counts])[pairs]
+        added = np.concatenate([flat, known["ids"]])[_ranges(firsts, lengths)]
+        starts, sizes = np.empty(len(units), np.int64), np.empty(len(units), np.int64)
+        starts[plain], sizes[plain] = heads[:len(plain)], counts[:len(plain)]
+        sizes[ended] = lengths.reshape(-1, 2).sum(1)
+        starts[ended] = len(flat) + np.cumsum(sizes[ended]) - sizes[ended]
+        return np.concatenate([flat, added]), starts, sizes
+
+    def _encode_runs(self, units: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        fits = np.fromiter((type(u) is str and (u.isalpha() or u.split() == [u]) for u in units), bool, len(units))
+        plain, odd = np.flatnonzero(fits).tolist(), np.flatnonzero(~fits).tolist()
+        texts = [" " + " ".join([units[k] for k in plain[at:at + JOINED_UNITS]]) for at in range(0, len(plain), JOINED_UNITS)]
         texts += [units[k][0] if type(units[k]) is tuple else " " + units[k] for k in odd]
         found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         joined = len(texts) - len(odd)
@@ -146,7 +156,7 @@ class UnitEncoder:
         assert len(heads) == len(units), "a tokenizer that joins across spaces isn't supported"
         sizes = np.diff(np.append(heads, len(flat)))
         back = np.argsort(np.array(plain + odd, np.int64))
-        return flat[_ranges(heads[back], sizes[back])], sizes[back]
+        return flat, heads[back], sizes[back]
 
 
 def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
