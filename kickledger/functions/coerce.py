@@ -19,6 +19,10 @@ NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 DATE_FORMAT = "yyyy-MM-dd"
 MISSING_TEXT = "nan"
 
+# Cells that stand for a missing value.
+MISSING_MARKERS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+                   "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
 _TWO_63 = 9223372036854775808.0
 
 
@@ -68,8 +72,8 @@ def to_long_or_null(col, on_fraction: str = "null") -> Column:
     shapes ('1e3', '5.') go through double. A fractional value is NULL, or
     raises a task error with ``on_fraction="raise"``.
     """
-    text = _numeric_text(col)
-    direct = text.try_cast("bigint")
+    text = F.trim(_c(col).cast("string"))
+    direct = text.try_cast("bigint")      # clean cells need no pattern
     as_double = text.try_cast("double")
     whole = (as_double == F.floor(as_double)) & (as_double >= -_TWO_63) & (as_double < _TWO_63)
     if on_fraction == "raise":
@@ -79,7 +83,7 @@ def to_long_or_null(col, on_fraction: str = "null") -> Column:
         fallback = F.when(whole, as_double.cast("bigint"))
     else:
         raise ValueError(f"on_fraction must be 'null' or 'raise', not {on_fraction!r}")
-    return F.coalesce(direct, fallback)
+    return F.coalesce(direct, F.when(text.rlike(NUMBER_PATTERN), fallback))
 
 
 def nan_to_null(col) -> Column:
@@ -131,21 +135,28 @@ def _typed_cast(col: Column, dtype: T.DataType, kind: str) -> Column:
     return KIND_CASTS[kind](col)
 
 
-def coerce_columns(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+def coerce_columns(df: DataFrame, kinds: dict[str, str], date_format: str = DATE_FORMAT,
+                   missing: tuple[str, ...] = ()) -> DataFrame:
     """Type the named columns by kind in one projection; others pass through.
 
     Text columns go through the tolerant parsers; columns that already carry
     a number or time type convert directly. Named columns that the input
     lacks are skipped, so an optional column (such as the competitions
-    ``date``) is coerced only when present.
+    ``date``) is coerced only when present. Text dates follow
+    ``date_format``; text equal to one of ``missing`` becomes NULL.
     """
     exprs = []
     for field in df.schema.fields:
         kind = kinds.get(field.name)
         col = F.col(f"`{field.name}`")
-        if not kind:
+        is_text = isinstance(field.dataType, T.StringType)
+        if is_text and missing and kind in (None, "string"):
+            exprs.append(F.when(~col.isin(*missing), col).alias(field.name))
+        elif not kind:
             exprs.append(col)
-        elif isinstance(field.dataType, T.StringType) or kind == "string":
+        elif is_text and kind in ("timestamp", "date"):
+            exprs.append(KIND_CASTS[kind](col, date_format).alias(field.name))
+        elif is_text or kind == "string":
             exprs.append(KIND_CASTS[kind](col).alias(field.name))
         else:
             exprs.append(_typed_cast(col, field.dataType, kind).alias(field.name))

@@ -20,7 +20,7 @@ from kickledger.functions.coerce import nan_to_null
 from kickledger.functions.text import fill_template, humanize, league_label, slug_title
 from kickledger.operators.joins import DEFAULT_BROADCAST_BYTES, drop_members, join_dimension, keep_members
 from kickledger.operators.pages import LOGO_PATH_TEMPLATE
-from kickledger.operators.rollups import cents
+from kickledger.operators.rollups import merged_total, part_sums
 from kickledger.session import materialize
 
 ID = "domestic_competition_id"
@@ -175,7 +175,7 @@ def player_valuation_stats(valuations: DataFrame, players: DataFrame, clubs: Dat
                            max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Average, highest and lowest valuation per (player id, player name, club name).
 
-    Valuations are first folded per (player id, club id): sum of cents,
+    Valuations are first folded per (player id, club id): exact sum,
     count, max, min. The big shuffle then carries narrow integer keys, and
     the joins to the player and club names (broadcast when their measured
     size allows) see one row per pair instead of one per valuation. The
@@ -187,7 +187,7 @@ def player_valuation_stats(valuations: DataFrame, players: DataFrame, clubs: Dat
     v = valuations.where(F.col("player_id").isNotNull() & F.col("current_club_id").isNotNull()) \
         .withColumn("market_value", nan_to_null("market_value"))
     folded = v.groupBy("player_id", "current_club_id").agg(
-        F.sum(cents("market_value")).alias("value_cents"),
+        *part_sums("market_value", "value"),
         F.count("market_value").alias("value_count"),
         F.max("market_value").alias("value_max"),
         F.min("market_value").alias("value_min"))
@@ -196,7 +196,7 @@ def player_valuation_stats(valuations: DataFrame, players: DataFrame, clubs: Dat
     joined = join_dimension(join_dimension(folded, p, "player_id", max_bytes=max_broadcast_bytes),
                             c, "current_club_id", max_bytes=max_broadcast_bytes)
     stats = joined.groupBy("player_id", "name", "club_name").agg(
-        (F.sum("value_cents") / F.lit(100.0) / F.sum("value_count")).alias("avg_valuation"),
+        (merged_total("value") / F.sum("value_count")).alias("avg_valuation"),
         F.max("value_max").alias("max_valuation"), F.min("value_min").alias("min_valuation"))
     return stats.select("player_id", "name", "avg_valuation", "max_valuation", "min_valuation", "club_name")
 

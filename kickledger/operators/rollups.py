@@ -10,6 +10,8 @@ combine folds its rows before the shuffle.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,19 +25,44 @@ CLUB_COLUMNS = ["club_name", "total_valuation", "min_valuation", "max_valuation"
                 "squad_size", "domestic_competition_id", "partition_date"]
 
 
-def cents(col) -> Column:
-    """A money value as whole cents (``bigint``), rounding half-cents to even."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.rint(c.cast("double") * F.lit(100.0)).cast("bigint")
+WIDE = 1 << 20
+MICROS = 1_000_000
+
+
+def money_parts(col) -> list[Column]:
+    """A money value as three whole numbers: multiples of 2**20, the units beyond, and millionths.
+
+    Each part adds up in a 64-bit sum (primitive in generated code), so a
+    group's total may reach 9e24 over 8e12 rows, and six decimals of every
+    value count.
+    """
+    c = (F.col(col) if isinstance(col, str) else col).cast("double")
+    wide = F.floor(c / F.lit(float(WIDE)))
+    rest = c - wide * F.lit(float(WIDE))
+    units = F.floor(rest)
+    return [wide, units, F.rint((rest - units) * F.lit(float(MICROS))).cast("bigint")]
+
+
+def part_sums(col, prefix: str) -> list[Column]:
+    return [F.sum(part).alias(f"{prefix}_{k}") for k, part in enumerate(money_parts(col))]
+
+
+def total_of(sums: list[Column]) -> Column:
+    """The exact total of summed parts, as the nearest double; NULL where nothing was added."""
+    wide, units, micros = (s.cast("decimal(20,0)") for s in sums)
+    return (wide * F.lit(WIDE).cast("decimal(7,0)") + units + micros * F.lit(Decimal("0.000001"))).cast("double")
+
+
+def merged_total(prefix: str) -> Column:
+    """Total over rows that carry ``part_sums``."""
+    return total_of([F.sum(f"{prefix}_{k}") for k in range(3)])
 
 
 def exact_sum(col) -> Column:
-    """Sum of money values, exact: whole cents are added as 64-bit integers,
-    so the result does not depend on how rows are split over tasks (a
-    double sum does), and the adds stay primitive in generated code (a
-    decimal sum of this width is about six times slower). Overflow fails
-    under ANSI mode rather than wrapping. An empty or all-NULL group is 0."""
-    return F.coalesce(F.sum(cents(col)) / F.lit(100.0), F.lit(0.0))
+    """Sum of money values to six decimals, exact: it does not depend on how
+    rows are split over tasks, as a double sum does. An empty or all-NULL
+    group is 0; an infinite value fails."""
+    return F.coalesce(total_of([F.sum(part) for part in money_parts(col)]), F.lit(0.0))
 
 
 def month_prune(df: DataFrame, start: str, end: str, partition_col: str | None) -> DataFrame:
@@ -93,7 +120,7 @@ def _club_parts(rows: DataFrame, club_key: str) -> DataFrame:
     """Rows folded per (club key, month, league code) by a hash aggregation."""
     return (rows.where(F.col(club_key).isNotNull())
             .groupBy(club_key, month_start("date").alias("month"), "competition_id")
-            .agg(F.sum(cents("market_value")).alias("cents"),
+            .agg(*part_sums("market_value", "value"),
                  F.min("market_value").alias("lo"), F.max("market_value").alias("hi"),
                  F.count("market_value").alias("n"), F.min("date").alias("first_date")))
 
@@ -107,7 +134,7 @@ def _club_totals(parts: DataFrame) -> DataFrame:
     earliest = F.min(F.when(cid.isNotNull(), F.struct("first_date", "competition_id")))
     return with_month_key(
         parts.groupBy("club_name", "month")
-        .agg(F.coalesce(F.sum("cents") / F.lit(100.0), F.lit(0.0)).alias("total_valuation"),
+        .agg(F.coalesce(merged_total("value"), F.lit(0.0)).alias("total_valuation"),
              F.min("lo").alias("min_valuation"), F.max("hi").alias("max_valuation"),
              F.sum("n").cast("int").alias("squad_size"),
              earliest.getField("competition_id").alias("domestic_competition_id"))).select(*CLUB_COLUMNS)

@@ -733,21 +733,36 @@ def q_extract_link(spark, sf):
 # --- incremental loads (Structured Streaming) -------------------------------------------------------
 @register("stream_league_rollup", STORED_LVE_SQL)
 def q_stream_league_rollup(spark, sf):
-    """Valuations arrive as two files that both span every month (lines 1-3,
-    then the rest); the second micro-batch brings late rows for months the
-    first one already loaded. The stored rollup must equal a full batch run."""
-    source = shared_path(spark, "stream_source")
+    """Valuations arrive in two halves that both span every month; the second
+    run brings late rows for months the first one already loaded. The stored
+    rollup must equal a full batch run."""
+    source, checkpoint = shared_path(spark, "stream_source"), shared_path(spark, "stream_checkpoint")
+    wh = Warehouse(spark, shared_path(spark, "warehouse"))
+    for half in _valuation_halves(spark, sf):
+        half.write.mode("append").parquet(source)
+        month_stream.run_available(spark, source, half.schema, wh, td.clubs(spark, sf), td.START, td.END, checkpoint)
+    return wh.read("league_valuation_evolution")
+
+
+def _valuation_halves(spark, sf):
+    """The valuations of lines 1 to 3, and the rest."""
     v = td.table(spark, sf, "lineitem")
-    for part in (F.col("l_linenumber") <= 3, ~(F.col("l_linenumber") <= 3) | F.col("l_linenumber").isNull()):
-        chunk = v.where(part).select(*[F.col(c).alias(a) for c, a in (
-            ("l_partkey", "player_id"), ("l_shipdate", "date"), ("l_extendedprice", "market_value"),
-            ("l_suppkey", "current_club_id"), ("l_returnflag", "competition_id"))])
-        chunk = chunk.withColumn("date", F.col("date").cast("date"))
-        chunk.coalesce(1).write.mode("append").parquet(source)
-    schema = spark.read.parquet(source).schema
+    early = F.coalesce(F.col("l_linenumber") <= 3, F.lit(False))
+    return [v.where(part).select(
+        F.col("l_partkey").alias("player_id"), F.col("l_shipdate").cast("date").alias("date"),
+        F.col("l_extendedprice").alias("market_value"), F.col("l_suppkey").alias("current_club_id"),
+        F.col("l_returnflag").alias("competition_id")) for part in (early, ~early)]
+
+
+@register("stream_two_sources", ORACLES["stream_league_rollup"])
+def q_stream_two_sources(spark, sf):
+    """Two streams, each with its own source and checkpoint, load one warehouse."""
     wh = Warehouse(spark, shared_path(spark, "warehouse"))
-    month_stream.run_available(spark, source, schema, wh, td.clubs(spark, sf), td.START, td.END,
-                               shared_path(spark, "stream_checkpoint"), max_files_per_trigger=1)
+    for half in _valuation_halves(spark, sf):
+        source = shared_path(spark, "stream_source")
+        half.write.parquet(source)
+        month_stream.run_available(spark, source, half.schema, wh, td.clubs(spark, sf), td.START, td.END,
+                                   shared_path(spark, "stream_checkpoint"))
     return wh.read("league_valuation_evolution")
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kickledger.functions.coerce import coerce_columns, stringify_text_columns
+from kickledger.functions.coerce import DATE_FORMAT, MISSING_MARKERS, coerce_columns, stringify_text_columns
 from kickledger.functions.months import with_month
 from kickledger.schemas import RAW_TYPES
 from kickledger.sources.warehouse import clear_month, month_folders, write_months
@@ -31,22 +31,30 @@ def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> D
             .option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line).csv(path))
 
 
-def type_dataset(df: DataFrame, dataset: str, null_strings: str | None = None) -> DataFrame:
+def type_dataset(df: DataFrame, dataset: str, null_strings: str | None = None, date_format: str = DATE_FORMAT,
+                 missing: tuple[str, ...] = (), types: dict[str, str] | None = None) -> DataFrame:
     """Type the columns ``dataset`` names; optionally write missing text as
-    ``null_strings`` (``"nan"`` gives the reference's stored text)."""
-    typed = coerce_columns(df, RAW_TYPES[dataset])
+    ``null_strings`` (``"nan"`` gives the reference's stored text).
+
+    ``date_format`` is the layout of text dates, ``missing`` the cells that
+    stand for a missing value, ``types`` the kinds of further columns (those
+    of ``games``, say); a column without a kind stays as it is.
+    """
+    typed = coerce_columns(df, RAW_TYPES[dataset] | (types or {}), date_format, missing)
     if null_strings is not None:
         typed = stringify_text_columns(typed, null_strings)
     return typed
 
 
 def load_dataset(spark: SparkSession, path: str, dataset: str, null_strings: str | None = None,
-                 fmt: str | None = None, multi_line: bool = False) -> DataFrame:
+                 fmt: str | None = None, multi_line: bool = False, date_format: str = DATE_FORMAT,
+                 missing: tuple[str, ...] = MISSING_MARKERS, types: dict[str, str] | None = None) -> DataFrame:
     """Read and type one raw dataset. ``fmt`` is ``"csv"`` or ``"parquet"``;
-    by default a path ending in ``.parquet`` is Parquet, anything else CSV."""
+    by default a path ending in ``.parquet`` is Parquet, anything else CSV.
+    ``missing`` applies to CSV cells only; see ``type_dataset`` for the rest."""
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     raw = spark.read.parquet(path) if fmt == "parquet" else read_csv_text(spark, path, multi_line)
-    return type_dataset(raw, dataset, null_strings)
+    return type_dataset(raw, dataset, null_strings, date_format, missing if fmt == "csv" else (), types)
 
 
 def write_parquet(df: DataFrame, path: str) -> str:

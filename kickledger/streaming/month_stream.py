@@ -3,10 +3,11 @@
 The batch pipeline re-runs a month when its data changes. As a stream,
 Structured Streaming picks up new files in a folder and, per micro-batch:
 
-1. writes the batch's rows under ``partition_date=<month>/load_batch=<id>``
+1. writes the batch's rows under ``partition_date=<month>/load_batch=<stream>-<id>``
    with a dynamic partition overwrite. A micro-batch that is retried after
    a failure (``foreachBatch`` is at-least-once) overwrites its own folders
-   instead of adding its rows twice;
+   instead of adding its rows twice, and streams with checkpoints of their own
+   never share a folder;
 2. recomputes the league and club rollups for just the months the batch
    touched, from all stored rows of those months (late rows for an old
    month therefore update that month), and replaces those months in the
@@ -20,7 +21,9 @@ touched months from stored rows keeps every late row in its month.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -34,10 +37,10 @@ BATCH_COLUMN = "load_batch"
 
 
 def stream_rows_schema(valuation_schema: T.StructType) -> T.StructType:
-    """Stored row schema: the source columns (``date`` as a date), month key, batch id."""
+    """Stored row schema: the source columns (``date`` as a date), month key, stream and batch id."""
     fields = [T.StructField(f.name, T.DateType() if f.name == "date" else f.dataType)
               for f in valuation_schema.fields if f.name not in (PARTITION_COLUMN, BATCH_COLUMN)]
-    fields += [T.StructField(PARTITION_COLUMN, T.StringType()), T.StructField(BATCH_COLUMN, T.LongType())]
+    fields += [T.StructField(PARTITION_COLUMN, T.StringType()), T.StructField(BATCH_COLUMN, T.StringType())]
     return T.StructType(fields)
 
 
@@ -73,18 +76,20 @@ def start_month_stream(spark: SparkSession, source_dir: str, valuation_schema: T
     source = reader.parquet(source_dir)
     clubs_dim = clubs.select("club_id", "name", "domestic_competition_id")
 
+    stream_id = hashlib.sha256(checkpoint_location.rstrip("/").encode()).hexdigest()[:16]
+
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        tagged = valuation_load_rows(batch, start, end, closed).withColumn(BATCH_COLUMN,
-                                                                          F.lit(batch_id).cast("long"))
-        tagged = tagged.persist()
-        try:
-            (cluster_by_month(tagged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(PARTITION_COLUMN, BATCH_COLUMN).parquet(wh.location(STREAM_TABLE)))
-            touched = tagged.select(PARTITION_COLUMN).distinct()
-            stored = read_stream_rows(wh, valuation_schema)
-            refresh_months(wh, stored, clubs_dim, touched, start, end)
-        finally:
-            tagged.unpersist()
+        seen = Observation()
+        tagged = valuation_load_rows(batch, start, end, closed) \
+            .withColumn(BATCH_COLUMN, F.lit(f"{stream_id}-{batch_id}")) \
+            .observe(seen, F.collect_set(PARTITION_COLUMN).alias("months"))
+        (cluster_by_month(tagged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(PARTITION_COLUMN, BATCH_COLUMN).parquet(wh.location(STREAM_TABLE)))
+        months = sorted(seen.get.get("months") or ())     # at most one per calendar month
+        if not months:
+            return
+        touched = spark.createDataFrame([(m,) for m in months], f"{PARTITION_COLUMN} string")
+        refresh_months(wh, read_stream_rows(wh, valuation_schema), clubs_dim, touched, start, end)
 
     writer = source.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

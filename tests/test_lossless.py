@@ -95,3 +95,23 @@ def test_dimension_join_builds_without_a_job(spark):
                                   "current_club_id", skew="aqe")
     assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == list(before)
     assert "SinglePartition" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sums_keep_small_decimals_and_hold_large_totals(spark):
+    rows = spark.range(1000).select(F.col("id").cast("int").alias("player_id"), F.lit("a").alias("g"),
+                                    F.when(F.col("id") < 999, F.lit(0.004)).alias("v"))
+    assert rows.groupBy("g").agg(rollups.exact_sum("v").alias("t")).first().t == 3.996
+    large = spark.range(300).select(F.lit(1.5e17).alias("v"), F.lit(-0.25).alias("w"), F.lit(None).cast("double").alias("n"))
+    got = large.agg(rollups.exact_sum("v").alias("v"), rollups.exact_sum("w").alias("w"), rollups.exact_sum("n").alias("n")).first()
+    assert (got.v, got.w, got.n) == (4.5e19, -75.0, 0.0)
+
+
+def test_date_layout_missing_markers_and_declared_types(spark, scratch):
+    spark.createDataFrame([("1", "2020-01-05 10:00:00", "NA", "7"), ("2", "2020-01-06", "x", "1.5"), ("3", None, "null", None)],
+                          "game_id string, date string, round string, goals string") \
+        .write.option("header", True).csv(scratch)
+    types = {"game_id": "long", "date": "timestamp", "goals": "double"}
+    got = ingest.load_dataset(spark, scratch, "games", date_format="yyyy-MM-dd HH:mm:ss", types=types)
+    assert dict(got.dtypes) == {"game_id": "bigint", "date": "timestamp_ntz", "round": "string", "goals": "double"}
+    assert sorted(tuple(r) for r in got.collect()) == [(1, dt.datetime(2020, 1, 5, 10), None, 7.0), (2, None, "x", 1.5),
+                                                       (3, None, None, None)]

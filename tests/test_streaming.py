@@ -47,3 +47,15 @@ def test_stream_step_on_the_command_line(spark):
     main(["stream", "--warehouse", wh.root, "--source", source, "--checkpoint", shared_path(spark, "ck"),
           "--start", "2020-01-01", "--end", "2021-01-01"])
     assert totals(wh) == {("L1", "2020-01-01"): (3.0, 1)}
+
+
+def test_two_streams_load_one_warehouse(spark):
+    wh = Warehouse(spark, shared_path(spark, "wh"))
+    clubs = spark.createDataFrame([(10, "c10", "L1")], "club_id long, name string, domestic_competition_id string")
+    for player, value in ((1, 5.0), (2, 7.0)):
+        source = shared_path(spark, "src")
+        rows = spark.createDataFrame([(player, dt.date(2020, 1, 5), value, 10, "A")], V_DDL)
+        rows.write.parquet(source)
+        month_stream.run_available(spark, source, rows.schema, wh, clubs, "2020-01-01", "2021-01-01",
+                                   shared_path(spark, "ckpt"))
+    assert totals(wh) == {("L1", "2020-01-01"): (12.0, 2)}
