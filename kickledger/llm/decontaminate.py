@@ -134,7 +134,7 @@ def scan_texts(texts: list[bytes], phrases: Phrases, shard_words: int = SHARD_WO
                 counts = phrases.owner_counts[seen]
                 of = phrases.owners[np.arange(counts.sum()) + np.repeat(
                     phrases.owner_starts[seen] - (np.cumsum(counts) - counts), counts)]
-                items[k] = items[k] | {phrases.ids[i] for i in np.unique(of)}
+                items[k] = items[k] | {phrases.ids[i] for i in np.unique(of)} - {None}
         pieces, total = [], 0
 
     code = phrases.vocabulary.__getitem__
@@ -180,7 +180,7 @@ def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Phr
     blocks = size // block_bytes + 1
     for k in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        yield Phrases([(r[0], r[1]) for r in block.collect() if r[0] is not None], window)
+        yield Phrases([(r[0], r[1]) for r in block.collect()], window)
 
 
 _FOUND = "n_words long, spans array<struct<first:long,last:long>>, items array<string>"
@@ -210,7 +210,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
     """(doc_id, n_words, spans, items) per row: hit spans [first, last) of words, and the items found.
 
     An item shorter than the window is one window; an item without words is
-    none. Null and empty texts have no words and no hits; repeated rows give
+    none; one without an id hits words but is not listed in ``items``. Null and empty texts have no words and no hits; repeated rows give
     a row each; an empty table gives no rows, an empty benchmark no hits.
     """
     rows = common.ids_and_texts(docs, id_col, text_col).withColumn("text", F.col("text").cast("binary"))
