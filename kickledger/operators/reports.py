@@ -109,14 +109,39 @@ def with_label(df: DataFrame) -> DataFrame:
     return df.withColumn("league_label", league_label("competition_name", "country_name"))
 
 
+def report_from_yearly(yearly: DataFrame, stat: str = "total_valuation", n: int = 5,
+                       other_agg: str = "max") -> DataFrame:
+    """The report from the league-year rollup of a first-tier base frame.
+
+    The latest year's leagues are ranked once; every row is then flagged as
+    of a top league or not, and one aggregation per (flag, series, year)
+    passes the former through and folds the latter into "Other". A league's
+    statistic in the latest year is its row of that year, so nothing but
+    ``yearly`` is read. The broadcast holds at most ``n`` ids.
+    """
+    if other_agg not in ("max", "sum"):
+        raise ValueError("other_agg must be 'max' or 'sum'")
+    unused = "max_valuation" if stat == "total_valuation" else "total_valuation"
+    top = (latest_year_slice(yearly).orderBy(F.desc_nulls_last(stat), F.asc(ID)).limit(n)
+           .select(F.col(ID).alias("top_id")))
+    left_out = league_count(yearly) - top.agg(F.count("*")).scalar()
+    is_top = F.col("top_id").isNotNull()
+    combine = F.max if other_agg == "max" else F.sum
+    series = (yearly.join(F.broadcast(top), yearly[ID] == F.col("top_id"), "left")
+              .groupBy(is_top.alias("is_top"), F.coalesce("top_id", F.lit(OTHER)).alias(ID), "year")
+              .agg(combine(stat).alias(stat), F.max(F.when(is_top, F.col(unused))).alias(unused),
+                   F.min("competition_name").alias("competition_name"),
+                   F.min("country_name").alias("country_name")))
+    named = (series.withColumn("competition_name", F.when(F.col("is_top"), F.col("competition_name")).otherwise(OTHER))
+             .withColumn("country_name", F.when(F.col("is_top"), F.col("country_name"))
+                         .otherwise(left_out.cast("string"))))
+    return with_label(named).select(*REPORT_COLUMNS)
+
+
 def report_from_base(base: DataFrame, stat: str = "total_valuation", n: int = 5,
                      other_agg: str = "max") -> DataFrame:
     """The report from a first-tier base frame (see ``report_base``)."""
-    top = top_leagues(base, stat, n)
-    yearly = league_year_rollup(base)
-    kept = keep_members(yearly, top.select(ID), ID, bounded=True)
-    other = other_bucket(yearly, top, stat, league_count(base), other_agg)
-    return with_label(kept.unionByName(other, allowMissingColumns=True)).select(*REPORT_COLUMNS)
+    return report_from_yearly(league_year_rollup(base), stat, n, other_agg)
 
 
 def first_league_report(lve: DataFrame, competitions: DataFrame, stat: str = "total_valuation",
@@ -128,23 +153,23 @@ def first_league_report(lve: DataFrame, competitions: DataFrame, stat: str = "to
     ``stat="max_valuation", n=7`` the most-valuable-player report. The
     "Other" rows carry only the chosen statistic (the other is NULL).
 
-    The first-tier ``league x month`` frame feeds five parts of the plan
-    (latest year, league count, top set, yearly rollup, "Other"); it is
-    computed once and stored (``materialized=True``), so the rollup input is
-    scanned once instead of once per part.
+    The first-tier ``league x year`` frame feeds four parts of the plan
+    (latest year, league count, top set, series); it is computed once and
+    stored (``materialized=True``), so the rollup input is scanned once
+    instead of once per part.
     """
-    base = report_base(lve, competitions, cutoff)
+    yearly = league_year_rollup(report_base(lve, competitions, cutoff))
     if materialized:
-        base = materialize(base)
-    return report_from_base(base, stat, n, other_agg)
+        yearly = materialize(yearly)
+    return report_from_yearly(yearly, stat, n, other_agg)
 
 
 def first_league_reports(lve: DataFrame, competitions: DataFrame, cutoff: str = "2025-01-01",
                          specs: tuple[tuple[str, int], ...] = (("total_valuation", 5), ("max_valuation", 7)),
                          other_agg: str = "max") -> dict[str, DataFrame]:
-    """Several reports (statistic, N) from one stored first-tier base frame."""
-    base = materialize(report_base(lve, competitions, cutoff))
-    return {stat: report_from_base(base, stat, n, other_agg) for stat, n in specs}
+    """Several reports (statistic, N) from one stored league-year frame."""
+    yearly = materialize(league_year_rollup(report_base(lve, competitions, cutoff)))
+    return {stat: report_from_yearly(yearly, stat, n, other_agg) for stat, n in specs}
 
 
 # --- chart frames -------------------------------------------------------------

@@ -936,3 +936,139 @@ def q_sql_view_insert(spark, sf):
     with wh.frame_view(pipeline.valuation_load_rows(td.valuations(spark, sf), td.START, td.END)) as view:
         wh.insert_select("player_valuations", f"SELECT * FROM {view}")
     return _loaded_text(wh.read("player_valuations"))
+
+
+# --- stored rollups, fine sums, further inputs ---------------------------------------------------------
+@register("club_rollup_stored", with_views("cve") + """SELECT club_name, CAST(total_valuation AS FLOAT) AS total_valuation,
+    CAST(min_valuation AS FLOAT) AS min_valuation, CAST(max_valuation AS FLOAT) AS max_valuation,
+    squad_size, domestic_competition_id, partition_date FROM cve""")
+def q_club_rollup_stored(spark, sf):
+    wh = Warehouse(spark, shared_path(spark, "warehouse"))
+    pipeline.backfill_club_rollup(wh, td.valuations(spark, sf), td.clubs(spark, sf), td.START, td.END)
+    return wh.read("club_valuation_evolution")
+
+
+WHOLE_EUROS = {"valuations": VIEWS["valuations"].replace("l_extendedprice", "round_even(l_extendedprice, 0)")}
+
+
+@register("league_rollup_stored", STORED_LVE_SQL.replace(VIEWS["valuations"], WHOLE_EUROS["valuations"]))
+def q_league_rollup_stored(spark, sf):
+    """The rollup of months read from the partitioned base table."""
+    wh = Warehouse(spark, shared_path(spark, "warehouse"))
+    wh.create_table("player_valuations")
+    whole = td.valuations(spark, sf).withColumn("market_value", F.rint("market_value"))
+    wh.replace_months("player_valuations", pipeline.valuation_load_rows(whole, td.START, td.END),
+                      on_empty="delete", start=td.START, end=td.END)
+    pipeline.backfill_league_rollup(wh, wh.read("player_valuations"), td.clubs(spark, sf), td.START, td.END)
+    return wh.read("league_valuation_evolution")
+
+
+@register("league_rollup_fine", with_views("lve", overrides={
+    "valuations": VIEWS["valuations"].replace("l_extendedprice", "l_extendedprice / 10000"),
+    "lve": VIEWS["lve"].replace("DECIMAL(18,2)", "DECIMAL(18,6)")}) + "SELECT * FROM lve")
+def q_league_rollup_fine(spark, sf):
+    """Values with six decimals, summed without loss."""
+    fine = td.valuations(spark, sf).withColumn("market_value", F.col("market_value") / 10000)
+    return rollups.league_valuation_evolution(fine, td.clubs(spark, sf), td.START, td.END)
+
+
+@register("player_stats_nan", ORACLES["player_valuation_stats"].replace(
+    "l_extendedprice AS market_value", "CASE WHEN day(l_shipdate) > 10 THEN l_extendedprice END AS market_value"))
+def q_player_stats_nan(spark, sf):
+    """Values that are not a number count as missing."""
+    some = td.valuations(spark, sf).withColumn("market_value", F.when(
+        F.dayofmonth("date") > 10, F.col("market_value")).otherwise(F.lit(float("nan"))))
+    return reports.player_valuation_stats(some, td.players(spark, sf), td.clubs(spark, sf))
+
+
+@register("csv_datetime_layout", """SELECT l_partkey AS player_id,
+    strftime(l_shipdate + to_hours(l_linenumber), '%Y-%m-%d %H:%M:%S') AS date, l_suppkey AS current_club_id,
+    CASE WHEN l_linenumber <> 2 THEN l_returnflag END AS player_club_domestic_competition_id FROM lineitem""")
+def q_csv_datetime_layout(spark, sf):
+    """CSV dates with a time of day, and cells that mark a missing value."""
+    path = shared_path(spark, "csv-layout")
+    td.table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("player_id"),
+        F.date_format(F.expr("timestampadd(HOUR, l_linenumber, CAST(l_shipdate AS TIMESTAMP_NTZ))"),
+                      "dd.MM.yyyy HH:mm:ss").alias("date"),
+        F.col("l_suppkey").alias("current_club_id"),
+        F.when(F.col("l_linenumber") == 2, F.lit("N/A")).otherwise(F.col("l_returnflag"))
+        .alias("player_club_domestic_competition_id")).write.option("header", True).csv(path)
+    typed = ingest.load_dataset(spark, path, "player_valuations", date_format="dd.MM.yyyy HH:mm:ss")
+    return typed.withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+
+
+GAME_TYPES = {"game_id": "long", "home_club_id": "long", "home_club_goals": "double", "date": "timestamp"}
+
+
+@register("games_typed", """SELECT home_club_id, count(*) AS games, sum(home_club_goals) AS goals,
+    min(date) AS first_date, max(game_id) AS last_game FROM (SELECT o_orderkey AS game_id, o_custkey AS home_club_id,
+      CAST(o_orderkey % 7 AS DOUBLE) AS home_club_goals, strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders)
+    GROUP BY home_club_id""")
+def q_games_typed(spark, sf):
+    """Columns of ``games`` with declared kinds add up and sort as numbers and dates."""
+    path = shared_path(spark, "csv-games")
+    td.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("game_id"), F.col("o_custkey").alias("home_club_id"),
+        (F.col("o_orderkey") % 7).alias("home_club_goals"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")
+    ).write.option("header", True).csv(path)
+    games = ingest.load_dataset(spark, path, "games", types=GAME_TYPES)
+    return games.groupBy("home_club_id").agg(
+        F.count("*").alias("games"), F.sum("home_club_goals").alias("goals"),
+        F.date_format(F.min("date"), "yyyy-MM-dd").alias("first_date"), F.max("game_id").alias("last_game"))
+
+
+def _pipeline_result(spark, sf) -> pipeline.RunResult:
+    raw_dir = shared_path(spark, "raw")
+    write_raw_csvs(spark, sf, raw_dir)
+    return pipeline.run(spark, raw_dir, shared_path(spark, "warehouse"), td.START, td.END, td.CUTOFF)
+
+
+@register("pipeline_first_league_max", report_sql("max_valuation", 7, STORED_PIPELINE_VIEWS))
+def q_pipeline_first_league_max(spark, sf):
+    return _pipeline_result(spark, sf).first_league_max
+
+
+@register("pipeline_top100", ORACLES["player_top100"].replace(
+    VIEWS["valuations"], STORED_PIPELINE_VIEWS["valuations"]
+    + f" WHERE l_shipdate >= DATE '{td.START}' AND l_shipdate < DATE '{td.END}'"))
+def q_pipeline_top100(spark, sf):
+    return _pipeline_result(spark, sf).player_top100
+
+
+# Logo boxes put before the given pages: one with a logo, one whose image has no source, one without an image, none.
+LOGO_BOXES = ["'<div class=\"row logo-box\"><img alt=\"x\" src=\"logos/' || page_id || '.png\"></div>'",
+              "'<div class=\"logo-box\"><img alt=\"x\"></div>'", "'<div class=\"logo-box\">text</div>'", "''"]
+
+
+@register("extract_logo_src", """SELECT page_id, url,
+    CASE WHEN page_id % 4 = 0 THEN 'logos/' || page_id || '.png' END AS link,
+    CASE page_id % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'no_attr' WHEN 2 THEN 'no_child' ELSE 'no_container' END AS status
+    FROM pages""")
+def q_extract_logo_src(spark, sf):
+    """A div picked by one of its classes, its first image, the image's source: all four outcomes."""
+    box = " ".join(f"WHEN {k} THEN {html}" for k, html in enumerate(LOGO_BOXES))
+    boxed = td.pages(spark, sf).withColumn("html", F.expr(f"concat(CASE page_id % 4 {box} END, html)"))
+    return page_ops.extract_links(boxed, container="div", css_class="logo-box", child="img", attr="src")
+
+
+@register("binary_files", "SELECT page_id, octet_length(encode(html)) AS length, md5(html) AS digest FROM pages")
+def q_binary_files(spark, sf):
+    """One file per page, read back as bytes with its length."""
+    path = shared_path(spark, "binary-files")
+    td.pages(spark, sf).select("page_id", "html").write.partitionBy("page_id").option("lineSep", "\u0001").text(path)
+    files = ingest.read_binary_files(spark, path, "*.txt")
+    return files.select(F.col("page_id").cast("long").alias("page_id"), (F.col("length") - 1).alias("length"),
+                        F.md5(F.expr("substring(content, 1, CAST(length AS INT) - 1)")).alias("digest"))
+
+
+@register("humanize_scaled", with_views("lve") + """SELECT domestic_competition_id, partition_date,
+    CAST(CAST(round_even(total_valuation * 12345 / 1000000000.0, 0) AS BIGINT) AS VARCHAR) || 'B' AS total_billions,
+    CAST(CAST(round_even(player_count * 500000 / 1000000.0, 0) AS BIGINT) AS VARCHAR) || 'M' AS count_millions
+    FROM lve""")
+def q_humanize_scaled(spark, sf):
+    """Axis labels that vary, halves included."""
+    return _rollup(spark, sf).select(
+        "domestic_competition_id", "partition_date",
+        text.humanize(F.col("total_valuation") * 12345, 1_000_000_000).alias("total_billions"),
+        text.humanize(F.col("player_count") * 500000, 1_000_000).alias("count_millions"))
