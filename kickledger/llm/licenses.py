@@ -1,13 +1,20 @@
 """Licence scanning by sentence rules, in built-in expressions.
 
 A text is cut into sentences, each normalised (lower case, comment marks and
-punctuation to spaces, single spaces). Known licence sentences map to
-identifiers; a document's identifiers in order form a sequence, against
-which the licence rules are matched in their stated order. A rule is a run
-of consecutive identifiers; what it matches is taken from the sequence, so
-the longer rules, stated first, win over the shorter ones they contain.
-Sentences that speak of licensing but are not known count as unknown, and
-part a sequence.
+punctuation to spaces, single spaces). Known licence sentences are found
+anywhere in the document's sequence of words, leftmost and longest first,
+across line ends and sentence ends alike, so neither the wrapping of a text
+nor a colon inside a known sentence hides one; what is left around them
+stays cut as it was. Known sentences map to identifiers; a document's
+identifiers in order form a sequence, against which the licence rules are
+matched in their stated order. A rule is a run of consecutive identifiers;
+what it matches is taken from the sequence, so the longer rules, stated
+first, win over the shorter ones they contain. Sentences that speak of
+licensing but are not known count as unknown, and part a sequence.
+
+``OP2_SQL`` only knows sentences that stand whole between two of its cuts.
+It agrees where every known sentence of a text does so; where a cut falls
+inside one, or other words share its sentence, it loses the sentence.
 """
 
 from __future__ import annotations
@@ -85,9 +92,13 @@ OPENERS = r"\n[ \t]*(" + "|".join(sorted({" ".join(s.split()[:2]).replace(" ", r
 SPEAKS = r"licen[cs]ed? |copyright|redistribut|all rights|warrant"
 BREAK = "\u0001"
 
+# A known sentence among normalised words, with a space or a sentence end between each two (Java only: it looks around).
+KNOWN = rf"(?<![^ {BREAK}])(?:" + "|".join(
+    s.replace(" ", f"[ {BREAK}]") for s in sorted(SENTENCES, key=len, reverse=True)) + rf")(?![^ {BREAK}])"
 
-def sentences(text: Column) -> Column:
-    """array<string> of the normalised, non-empty sentences of a text."""
+
+def cut_sentences(text: Column) -> Column:
+    """array<string> of the normalised, non-empty sentences of a text, as its marks and empty lines cut it."""
     lower = F.concat(F.lit("\n"), F.regexp_replace(F.lower(F.regexp_replace(text, BREAK, " ")), LINE, "\n"))
     marked = F.regexp_replace(F.regexp_replace(lower, MARKS, "\n"), GAP, BREAK)
     cut = F.regexp_replace(F.regexp_replace(marked, OPENERS, BREAK + "$1"), END, "$1" + BREAK)
@@ -95,6 +106,21 @@ def sentences(text: Column) -> Column:
     return F.filter(plain, lambda s: s != "")
 
 
+def sentences(words: Column) -> Column:
+    """array<string> of sentences, known ones whole, from ``cut_sentences`` joined by BREAK.
+
+    ``split`` and ``regexp_extract_all`` walk the same matches: each known
+    sentence stands between two pieces, which keep their own cuts.
+    """
+    whole = F.split(words, BREAK, -1)
+    pieces = F.arrays_zip(F.split(words, KNOWN, -1).alias("rest"),
+                          F.regexp_extract_all(words, F.lit(KNOWN), F.lit(0)).alias("known"))
+    parted = F.flatten(F.transform(pieces, lambda p: F.concat(
+        F.transform(F.split(p["rest"], BREAK, -1), lambda s: F.trim(s)),
+        F.array(F.coalesce(F.translate(p["known"], BREAK, " "), F.lit(""))))))
+    return F.filter(F.when(words.rlike(KNOWN), parted).otherwise(whole), lambda s: s != "")
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, sequence, licenses, n_sentences, n_unknown) per row.
 
@@ -105,7 +131,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     rows = common.ids_and_texts(docs, id_col, text_col)
-    found = rows.select("doc_id", sentences(F.col("text")).alias("sentences"))
+    words = rows.select("doc_id", F.array_join(cut_sentences(F.col("text")), BREAK).alias("words"))
+    found = words.select("doc_id", sentences(F.col("words")).alias("sentences"))
     ids = F.transform("sentences", lambda s: F.coalesce(
         F.try_element_at(known, s), F.when(F.concat(s, F.lit(" ")).rlike(SPEAKS), F.lit(UNKNOWN))))
     marks = F.transform(F.filter(ids, lambda i: i.isNotNull()), lambda i: F.concat(F.lit("<"), i, F.lit(">")))

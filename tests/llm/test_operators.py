@@ -240,3 +240,57 @@ def test_pipeline_stages_keep_columns_and_rows(spark, docs):
     assert kept.columns == docs.columns and kept.count() == len({t or "" for _, t in TEXTS})
     near = corpus_pipeline.simhash_near_dedup(spark, kept, "")
     assert near.columns == docs.columns and near.count() == simhash.near_dedup(kept).select("component").distinct().count()
+
+
+# The headers as their authors publish them, by the licences and identifiers they hold.
+HEADERS = [
+    ("MIT", "<MitGrant><MitNotice><MitAsIs>", 'Permission is hereby granted, free of charge, to any person obtaining a copy of '
+     'this software and associated documentation files (the "Software"), to deal in the Software without restriction, '
+     'including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell '
+     'copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following '
+     'conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial '
+     'portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, '
+     'INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND '
+     'NONINFRINGEMENT.'),
+    ("BSD-3-Clause", "<BsdPre><BsdSource><BsdBinary><BsdEndorse>", "{bsd}\n\n3. Neither the name of the copyright holder nor "
+     "the names of its contributors may be used to endorse or promote products derived from this software without "
+     "specific prior written permission."),
+    ("BSD-2-Clause", "<BsdPre><BsdSource><BsdBinary>", "{bsd}"),
+    ("Apache-2.0", "<Apache2Ref><Apache2Comply><Apache2Copy>", 'Licensed under the Apache License, Version 2.0 (the '
+     '"License"); you may not use this file except in compliance with the License. You may obtain a copy of the License '
+     'at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n'),
+    ("Apache-2.0", "<Apache2Ref>", "Licensed under the Apache License, Version 2.0."),
+    ("GPL-3.0-or-later", "<Gpl3Plus>", "This program is free software: you can redistribute it and/or modify it under the "
+     "terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the "
+     "License, or (at your option) any later version."),
+    ("GPL-2.0-or-later", "<Gpl2Plus>", "This program is free software; you can redistribute it and/or modify it under the "
+     "terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the "
+     "License, or (at your option) any later version."),
+    ("GPL-3.0", "<Gpl3Ref>", "This work is licensed under the GNU General Public License, version 3."),
+    ("MIT", "<MitRef>", "Released under the MIT License."),
+    ("MIT", "<MitRef>", "Licensed under the MIT License."),
+    ("ISC", "<IscGrant>", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+     "fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("CC-BY-NC-4.0", "<CcByNc4Ref>", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-SA-4.0", "<CcBySa4Ref>", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-4.0", "<CcBy4Ref>", "Licensed under CC BY 4.0."),
+    ("Proprietary", "<AllRights>", "All rights reserved."),
+]
+BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+       "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this "
+       "list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above "
+       "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+       "provided with the distribution.")
+
+
+def licenses_of(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: r for r in licenses.scan(rows).collect()}
+
+
+def test_every_licence_rule_on_its_official_header(spark):
+    assert {name for name, _ in licenses.RULES} == {name for name, _, _ in HEADERS}
+    assert {"".join(f"<{i}>" for i in rule) for _, rule in licenses.RULES} <= {ids for _, ids, _ in HEADERS}
+    got = licenses_of(spark, [text.format(bsd=BSD) for _, _, text in HEADERS])
+    assert [(got[k].licenses, got[k].sequence, got[k].n_unknown) for k in range(len(HEADERS))] \
+        == [(name, ids, 0) for name, ids, _ in HEADERS]
