@@ -82,8 +82,8 @@ RULES = [
 ]
 UNKNOWN = "Unknown"
 
-# Patterns that Java and RE2 read alike. A sentence ends at . ! ? ; : before white space, at an empty line, and before
-# a line that begins as a known sentence does.
+# Patterns that Java and RE2 read alike. A sentence ends at . ! ? ; : before white space and at an empty line; for the
+# SQL, which finds no sentence inside another, also before a line that begins as a known sentence does.
 LINE = r"\r\n?"
 MARKS = r"\n[ \t]*(//+|/\*+|\*+/?|#+|--+|;+|%+|>+)[ \t]*"
 END = r"([.!?;:])(\s|$)"
@@ -101,7 +101,7 @@ def cut_sentences(text: Column) -> Column:
     """array<string> of the normalised, non-empty sentences of a text, as its marks and empty lines cut it."""
     lower = F.concat(F.lit("\n"), F.regexp_replace(F.lower(F.regexp_replace(text, BREAK, " ")), LINE, "\n"))
     marked = F.regexp_replace(F.regexp_replace(lower, MARKS, "\n"), GAP, BREAK)
-    cut = F.regexp_replace(F.regexp_replace(marked, OPENERS, BREAK + "$1"), END, "$1" + BREAK)
+    cut = F.regexp_replace(marked, END, "$1" + BREAK)
     plain = F.transform(F.split(cut, BREAK, -1), lambda s: F.trim(F.regexp_replace(s, r"[^a-z0-9]+", " ")))
     return F.filter(plain, lambda s: s != "")
 

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -294,3 +295,18 @@ def test_every_licence_rule_on_its_official_header(spark):
     got = licenses_of(spark, [text.format(bsd=BSD) for _, _, text in HEADERS])
     assert [(got[k].licenses, got[k].sequence, got[k].n_unknown) for k in range(len(HEADERS))] \
         == [(name, ids, 0) for name, ids, _ in HEADERS]
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# "])
+def test_licences_do_not_depend_on_line_wrapping(spark, mark):
+    def wrapped(text, width):
+        lines = [x for p in text.split("\n\n") for x in (*textwrap.wrap(p, width, break_long_words=False), "")]
+        return "\n".join(mark + x for x in lines)
+
+    texts = [f"The software of the above kind. {text.format(bsd=BSD)} It may be\n\nThe software walks." for _, _, text in HEADERS]
+    widths = (16, 23, 31, 44, 60, 72, 79, 10_000)
+    got = licenses_of(spark, [wrapped(t, w) for t in texts for w in widths])
+    for k, (name, ids, _) in enumerate(HEADERS):
+        rows = [got[k * len(widths) + j] for j in range(len(widths))]
+        assert {(r.licenses, r.sequence) for r in rows} == {(name, ids)}
+        assert len({(r.n_sentences, r.n_unknown) for r in rows}) == 1
