@@ -16,7 +16,8 @@ sent at once stays bounded however large the benchmark gets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -205,6 +206,15 @@ def _scan(rows: DataFrame, phrases: Phrases, shard_words: int) -> DataFrame:
     return rows.mapInArrow(of, f"`{key.name}` long, {_FOUND}")
 
 
+def _scan_blocks(rows: DataFrame, blocks: Iterable[Phrases], shard_words: int) -> DataFrame:
+    """rows (row, text) to (row, n_words, spans, items), a row for each block, stored block by block."""
+    parts = None
+    for phrases in blocks:
+        part = materialize(_scan(rows, phrases, shard_words), "decontamination-block")
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
          shard_words: int = SHARD_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, spans, items) per row: hit spans [first, last) of words, and the items found.
@@ -220,10 +230,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
     if second is None:
         return _scan(rows, first, shard_words)
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "decontamination-rows")
-    parts = None
-    for phrases in (first, second, *blocks):
-        part = materialize(_scan(rows.select("row", "text"), phrases, shard_words), "decontamination-block")
-        parts = part if parts is None else parts.unionByName(part)
+    parts = _scan_blocks(rows.select("row", "text"), chain((first, second), blocks), shard_words)
     whole = parts.groupBy("row").agg(
         F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
@@ -241,32 +248,50 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_by
     """The documents, all columns and rows kept, with every hit span cut from the text.
 
     Texts without a hit, and nulls, come back unchanged; where a text changes,
-    ``count_col`` (if there is one) is set to its new length. A benchmark of
-    several blocks is removed block by block over stored results. Windows are
-    cut as they stand in the text a block finds.
+    ``count_col`` (if there is one) is set to its new length. For a benchmark
+    of several blocks, each block's spans are found in the original text,
+    merged over all blocks, and cut at once: where blocks part changes nothing.
     """
     names = docs.columns
     at, count = names.index(text_col), names.index(count_col) if count_col in names else None
-    for done, phrases in enumerate(_blocks(benchmark, window, block_bytes)):
-        sent = docs.sparkSession.sparkContext.broadcast(phrases.state())
-        docs = materialize(docs, "decontaminated") if done else docs
 
-        def of(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+    def cleaned(batch: pa.RecordBatch, spans_of: Callable[[list[bytes]], list[np.ndarray]]) -> pa.RecordBatch:
+        columns = batch.columns[:len(names)]
+        texts = [t.as_buffer().to_pybytes() if t.is_valid else None for t in columns[at].cast(pa.binary())]
+        spans = spans_of([t or b"" for t in texts])
+        texts = [cut(t, s) if len(s) else t for t, s in zip(texts, spans)]
+        columns[at] = pa.array(texts, pa.binary()).cast(columns[at].type)
+        if count is not None:
+            old = columns[count].to_pylist()
+            columns[count] = pa.array([len(t.decode()) if len(s) else n for t, s, n in zip(texts, spans, old)],
+                                      columns[count].type)
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    blocks = _blocks(benchmark, window, block_bytes)
+    first = next(blocks)
+    second = next(blocks, None)
+    if second is None:
+        sent = docs.sparkSession.sparkContext.broadcast(first.state())
+
+        def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             wanted = Phrases.of(sent.value)
             for batch in batches:
-                texts = [t.as_buffer().to_pybytes() if t.is_valid else None for t in batch.column(at).cast(pa.binary())]
-                found = scan_texts([t or b"" for t in texts], wanted, shard_words)
-                columns = batch.columns
-                texts = [cut(t, f[1]) if len(f[1]) else t for t, f in zip(texts, found)]
-                columns[at] = pa.array(texts, pa.binary()).cast(columns[at].type)
-                if count is not None:
-                    old = columns[count].to_pylist()
-                    columns[count] = pa.array([len(t.decode()) if len(f[1]) else n for t, f, n in zip(texts, found, old)],
-                                              columns[count].type)
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-        docs = docs.mapInArrow(of, docs.schema)
-    return docs
+                yield cleaned(batch, lambda texts: [f[1] for f in scan_texts(texts, wanted, shard_words)])
+
+        return docs.mapInArrow(of, docs.schema)
+
+    def at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = [np.array([(s["first"], s["last"]) for s in found or ()], np.int64).reshape(-1, 2)
+                     for found in batch.column(len(names)).to_pylist()]
+            yield cleaned(batch, lambda _, spans=spans: [merged(s) for s in spans])
+
+    places = [f"c{k}" for k in range(len(names))]
+    rows = materialize(docs.toDF(*places).withColumn("row", F.monotonically_increasing_id()), "decontamination-rows")
+    texts = rows.select("row", F.coalesce(F.col(places[at]).cast("string"), F.lit("")).cast("binary").alias("text"))
+    parts = _scan_blocks(texts, chain((first, second), blocks), shard_words)
+    whole = parts.filter(F.size("spans") > 0).groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return rows.join(whole, "row", "left").select(*places, "spans").mapInArrow(at_once, docs.schema)
 
 
 def op10_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,6 +112,26 @@ def test_decontamination(spark, docs, empty, block_bytes, shard_words):
     assert decontaminate.find(empty, items).count() == 0 and decontaminate.find(docs, items.limit(0)).count() == len(TEXTS)
 
 
+def test_removal_does_not_depend_on_blocks(spark):
+    words = [f"w{k}" for k in range(1, 41)]
+    body = " ".join(words)
+    items = [(k, " ".join(words[a:b])) for k, (a, b) in enumerate([(0, 10), (5, 15), (14, 24), (30, 40)])]
+    near = " ".join(words[18:24] + words[:10] + words[24:30])           # a cut of w1 to w10 makes item 4's window
+    items.append((4, " ".join(words[18:30])))
+    rows = [(1, body, len(body)), (2, near, len(near)), (2, near, len(near)), (3, None, 7), (None, "no hit", 6),
+            (5, body, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int").withColumn("row", F.lit("z")) \
+        .withColumn("spans", F.lit("z")).withColumn("c0", F.lit("z"))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    whole = decontaminate.remove(docs, benchmark)
+    want = sorted(map(str, whole.collect()))
+    assert {(r.doc_id, r.text) for r in whole.collect()} >= {(1, ""), (2, " ".join(words[18:24]) + "  " + " ".join(words[24:30]))}
+    for block_bytes in (25, 60):
+        got = decontaminate.remove(docs, benchmark, block_bytes=block_bytes)
+        assert got.columns == docs.columns
+        assert sorted(map(str, got.collect())) == want
+
+
 def test_pieces_equal_the_library():
     import sentencepiece
 
