@@ -25,7 +25,8 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"   # equals AKIA[A-Z0-9]+ with failing matches of u
 HEX = r"[0-9a-f]{16,}"          # equals [0-9a-f]+ with failing matches of under 16 characters dropped
 KINDS = ["assign", "access", "hex", "markov"]
 
-RUN = r"[A-Za-z0-9+/_=-]{16,}"  # what the Markov models judge
+SHORTEST = 16
+RUN = rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"  # what the Markov models judge, less base spans
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SIZE = len(ALPHABET) + 1        # the last class is every other character
 SAMPLE_DOCS = 8000              # documents the samples are taken from, at most
@@ -139,18 +140,38 @@ def score(found: Column, model: list[float]) -> Column:
     return total / (F.length(found) - 1)
 
 
+def uncovered(run: Column, base: Column) -> Column:
+    """array<struct(start, end, found)>: what base spans, sorted by start, leave of a run, in rests of SHORTEST or more."""
+    none = F.array().cast("array<struct<start:int,end:int,found:string>>")
+
+    def rest(start: Column, end: Column) -> Column:
+        return F.when(end - start >= SHORTEST, F.array(F.struct(
+            start.alias("start"), end.alias("end"),
+            F.substring(run["found"], start - run["start"] + 1, end - start).alias("found")))).otherwise(none)
+
+    over = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    parted = F.aggregate(
+        over, F.struct(run["start"].alias("at"), none.alias("out")),
+        lambda s, b: F.struct(F.greatest(s["at"], b["end"]).alias("at"),
+                              F.concat(s["out"], rest(s["at"], b["start"])).alias("out")),
+        lambda s: F.concat(s["out"], rest(s["at"], run["end"])))
+    return F.when(F.size(over) > 0, parted).otherwise(F.array(run))
+
+
 def scan(docs: DataFrame, model: list[float], margin: float = MARGIN, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """(doc_id, base, added) per document: arrays of struct(start, kind, end).
 
-    ``added`` holds the runs the Markov models take for random, unless a base
-    span overlaps them. Null and empty texts have no spans; repeated rows
-    give a row each; an empty table gives none.
+    ``added`` holds what the Markov models take for random of the runs, less
+    what base spans cover of them: each rest of ``SHORTEST`` characters or
+    more is judged by itself. Null and empty texts have no spans; repeated
+    rows give a row each; an empty table gives none.
     """
     rows = common.ids_and_texts(docs, id_col, text_col)
     based = rows.select("doc_id", base_spans(F.col("text")).alias("base"), _matches(F.col("text"), RUN).alias("runs"))
-    fresh = F.filter("runs", lambda r: ~F.exists(
-        "base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])) & (score(r["found"], model) > margin))
+    rests = F.flatten(F.transform("runs", lambda r: uncovered(r, F.col("base"))))
+    based = based.select("doc_id", "base", rests.alias("rests"))
+    fresh = F.filter("rests", lambda r: score(r["found"], model) > margin)
     return based.select("doc_id", "base", F.transform(fresh, lambda r: F.struct(
         r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end"))).alias("added"))
 
