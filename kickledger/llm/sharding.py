@@ -13,6 +13,8 @@ every product is formed from parts that stay below 2**63.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -66,6 +68,21 @@ def key_of(*cols: Column) -> Column:
     return F.xxhash64(*cols)
 
 
+def parts_of_copies(stored: DataFrame, rows_per_block: int) -> DataFrame:
+    """The stored rows with ``copies`` and ``part``: 0 and 0, but where over ``rows_per_block`` rows are alike, their hash
+    and one of as many parts as keep to that number. Parts of one hash follow each other, so which row gets which
+    part changes no result."""
+    alike = ["doc_id", "text_crc32", "size"]
+    common_rows = materialize(stored.groupBy(*alike).agg(F.count("*").alias("n")).filter(F.col("n") > rows_per_block).select(
+        *[F.col(c).alias(f"of_{c}") for c in alike], F.xxhash64(*alike).alias("copies"),
+        F.ceil(F.col("n") / rows_per_block).cast("long").alias("parts")), "shards-copies")
+    same = functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in alike])
+    part = F.pmod(F.xxhash64("row"), F.col("parts"))
+    return stored.join(common_rows, same, "left").select(
+        *alike, "shard", "grown_shard", "block", F.coalesce("copies", F.lit(0)).alias("copies"),
+        F.coalesce(part, F.lit(0)).alias("part"))
+
+
 def assign(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
            rows_per_block: int = ROWS_PER_SLOT_BLOCK) -> DataFrame:
     """One row per document: its shard, a gapless slot in the shard, and its shard once one is appended.
@@ -76,25 +93,30 @@ def assign(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_c
     rows keep a row and a slot each. An empty table gives no rows.
 
     Slots are numbered in two levels, because a shard holds rows / shards
-    rows, too many for one task: ids hash to blocks of about
-    ``rows_per_block`` rows, rows are numbered inside (shard, block), and the
-    counts of a shard's blocks, summed in block order, give each block's
-    first slot. Only narrow rows are shuffled, never texts.
+    rows, too many for one task: ids and text checksums hash to blocks of
+    about ``rows_per_block`` rows, so a common id spreads over the blocks of
+    its shard; rows are numbered inside (shard, block), and the counts of a
+    shard's blocks, summed in block order, give each block's first slot. Rows
+    alike in id, checksum and size can't be told apart: more of them than a
+    block holds are dealt by stored row number to parts of their own. Only
+    narrow rows are shuffled, never texts.
     """
     rows = common.ids_and_texts(docs, id_col, text_col)
     blocks = max(1, rows.count() // (rows_per_block * shards) + 1)
     key = key_of(F.col("doc_id"))
-    block = F.pmod(F.xxhash64(key, F.lit("slot")), F.lit(blocks)).cast("int")
+    crc = F.crc32(F.col("text").cast("binary"))
+    block = F.pmod(F.xxhash64(key, crc, F.lit("slot")), F.lit(blocks)).cast("int")
     placed = rows.select(
-        "doc_id", (F.octet_length("text") + 8).cast("long").alias("size"),
-        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
-        shard_of(key, shards).alias("shard"), shard_of(key, shards + 1).alias("grown_shard"), block.alias("block"))
-    stored = materialize(placed, "shards")
-    in_order = W.partitionBy("shard").orderBy("block").rowsBetween(W.unboundedPreceding, W.currentRow)
-    firsts = stored.groupBy("shard", "block").agg(F.count("*").alias("n")).select(
-        "shard", "block", (F.sum("n").over(in_order) - F.col("n")).alias("first_slot"))
-    place = F.row_number().over(W.partitionBy("shard", "block").orderBy("doc_id", "text_crc32", "size")) - 1
-    return stored.withColumn("place", place).join(firsts, ["shard", "block"]).select(
+        "doc_id", (F.octet_length("text") + 8).cast("long").alias("size"), crc.alias("text_crc32"),
+        shard_of(key, shards).alias("shard"), shard_of(key, shards + 1).alias("grown_shard"), block.alias("block"),
+        F.monotonically_increasing_id().alias("row"))
+    parted = parts_of_copies(materialize(placed, "shards"), rows_per_block)
+    cell = ["shard", "block", "copies", "part"]
+    in_order = W.partitionBy("shard").orderBy(*cell[1:]).rowsBetween(W.unboundedPreceding, W.currentRow)
+    firsts = parted.groupBy(*cell).agg(F.count("*").alias("n")).select(
+        *cell, (F.sum("n").over(in_order) - F.col("n")).alias("first_slot"))
+    place = F.row_number().over(W.partitionBy(*cell).orderBy("doc_id", "text_crc32", "size")) - 1
+    return parted.withColumn("place", place).join(firsts, cell).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
         (F.col("first_slot") + F.col("place")).cast("long").alias("slot"), "grown_shard")
 

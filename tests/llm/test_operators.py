@@ -56,6 +56,26 @@ def test_jump_hash_against_plain_arithmetic(spark, docs, empty):
     assert {r["size"] for r in rows if r["doc_id"] == 2} == {8}
 
 
+def test_a_common_id_spreads_over_slot_blocks(spark, monkeypatch):
+    cells = []
+    parts_of_copies = sharding.parts_of_copies
+
+    def seen(stored, rows_per_block):
+        cells.append(parts_of_copies(stored, rows_per_block))
+        return cells[-1]
+
+    monkeypatch.setattr(sharding, "parts_of_copies", seen)
+    rows = spark.range(6000).selectExpr("IF(id % 3 = 0, null, IF(id % 3 = 1, 7, id)) AS doc_id",
+                                        "IF(id % 3 = 1, 'same', CAST(id AS string)) AS text")
+    runs = [sorted(map(str, sharding.assign(rows.repartition(n), rows_per_block=50).collect())) for n in (3, 7)]
+    assert runs[0] == runs[1] and len(runs[0]) == 6000
+    for r in cells:
+        assert r.groupBy("shard", "block", "copies", "part").count().agg(F.max("count")).first()[0] < 1000
+    slots = sharding.assign(rows, rows_per_block=50).groupBy("shard").agg(
+        F.count("*").alias("n"), F.countDistinct("slot").alias("k"), F.max("slot").alias("last")).collect()
+    assert all(r.n == r.k == r["last"] + 1 for r in slots)
+
+
 def test_exact_dedup(docs, empty):
     rows = exact_dedup.dedup(docs).collect()
     groups = {}
