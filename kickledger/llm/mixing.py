@@ -27,7 +27,7 @@ WEIGHTS = (5, 2, 1)
 BUDGET = (3, 2)          # the mix holds 3 / 2 of all words
 MAX_EPOCHS = 2
 SEED = 20
-ROWS_PER_BLOCK = 65536
+ROWS_PER_BLOCK = 1024    # at least; a source of n rows has blocks of about sqrt(n), as many as rows in one
 COPIES_A_ROW = 1 << 16   # rows alike leave one entry in this many pieces before they are written out again
 _WIDE = "decimal(38,0)"
 
@@ -123,7 +123,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: tuple[int,
     some = F.greatest(F.col("source_size"), F.lit(1))
     filled = filled.withColumn("some", some).withColumn("whole", F.expr("wanted div some")).select(
         "source", "source_size", "target", "whole", (F.col("wanted") - F.col("whole") * F.col("some")).alias("extra"),
-        F.expr(f"1 + n_rows div {rows_per_block}L").alias("blocks"))
+        F.expr(f"1 + n_rows div greatest({rows_per_block}L, CAST(sqrt(n_rows) AS BIGINT))").alias("blocks"))
     filled = materialize(filled, "mix-targets")
 
     spot = F.conv(F.substring("mark", 1, 8), 16, 10).cast("long")
