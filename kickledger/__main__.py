@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 
+from kickledger.functions.coerce import KIND_CASTS
 from kickledger.functions.months import CALENDAR_END, CALENDAR_START
 from kickledger.plans import pipeline
 from kickledger.session import build_session
@@ -23,6 +24,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--warehouse", required=True, help="shared folder holding the tables")
     ap.add_argument("--raw", help="folder with the six raw datasets")
     ap.add_argument("--raw-format", choices=["csv", "parquet"], default="csv")
+    ap.add_argument("--date-format", help="layout of CSV dates (default: found from the data)")
+    ap.add_argument("--layout-rule", choices=["first", "vote"], default="first",
+                    help="which cells decide a layout that is found: the first, or most")
+    ap.add_argument("--unknown-layout", choices=["raise", "null"], default="raise",
+                    help="dates that no known layout reads")
+    ap.add_argument("--multi-line", action="store_true", help="CSV cells may hold line breaks")
+    ap.add_argument("--missing", action="append", help="a CSV cell that means missing (repeat; default: the usual markers)")
+    ap.add_argument("--types", action="append", default=[], metavar="DATASET.COLUMN=KIND",
+                    help="kind of a further column: long, double, boolean, date, timestamp or string (repeat)")
+    ap.add_argument("--no-infer", action="store_true", help="CSV columns without a kind stay text")
     ap.add_argument("--start", default=CALENDAR_START)
     ap.add_argument("--end", default=CALENDAR_END)
     ap.add_argument("--cutoff", default="2025-01-01")
@@ -40,14 +51,15 @@ def main(argv: list[str] | None = None) -> None:
     if a.step == "stream" and not (a.source and a.checkpoint):
         ap.error("stream needs --source and --checkpoint")
 
+    options = csv_options(a, ap)
     spark = build_session(a.master) if a.master else build_session_from_cluster()
     wh = Warehouse(spark, a.warehouse)
     nan = "nan" if a.nan_text else None
     if a.step == "run":
         pipeline.run(spark, a.raw, a.warehouse, a.start, a.end, a.cutoff, a.closed, nan, out_dir=a.out,
-                     raw_format=a.raw_format)
+                     raw_format=a.raw_format, options=options)
     elif a.step == "ingest":
-        pipeline.ingest_raw(spark, wh, a.raw, nan, a.raw_format)
+        pipeline.ingest_raw(spark, wh, a.raw, nan, a.raw_format, options)
     elif a.step == "split":
         pipeline.split_months(wh, a.closed)
     elif a.step == "load":
@@ -68,6 +80,20 @@ def main(argv: list[str] | None = None) -> None:
         query.awaitTermination()
 
 
+def csv_options(a: argparse.Namespace, ap: argparse.ArgumentParser) -> dict:
+    """Keyword arguments of ``ingest.load_dataset`` from the command line."""
+    types: dict[str, dict[str, str]] = {}
+    for text in a.types:
+        column, _, kind = text.partition("=")
+        dataset, _, column = column.partition(".")
+        if dataset not in pipeline.RAW_FILES or not column or kind not in KIND_CASTS:
+            ap.error(f"--types {text}: expected DATASET.COLUMN=KIND")
+        types.setdefault(dataset, {})[column] = kind
+    options = {"types": types, "date_format": a.date_format, "multi_line": a.multi_line, "infer_types": not a.no_infer,
+               "layout_rule": a.layout_rule, "on_unknown_layout": a.unknown_layout}
+    return options | ({"missing": tuple(a.missing)} if a.missing else {})
+
+
 def build_session_from_cluster():
     """The session spark-submit configured; only the checkpoint folder is checked."""
     from pyspark.sql import SparkSession

@@ -86,6 +86,19 @@ def to_long_or_null(col, on_fraction: str = "null") -> Column:
     return F.coalesce(direct, F.when(text.rlike(NUMBER_PATTERN), fallback))
 
 
+def to_loader_double(col) -> Column:
+    """Numbers, and ``inf`` with or without a sign, as the loader reads them."""
+    text = F.trim(_c(col).cast("string"))
+    return F.when(F.lower(text).rlike("^[+-]?inf(inity)?$"), F.when(text.startswith("-"), F.lit(float("-inf")))
+                  .otherwise(F.lit(float("inf")))).otherwise(to_double_or_null(col))
+
+
+def to_boolean_or_null(col) -> Column:
+    """``true`` and ``false`` in any of the loader's three spellings; anything else is NULL."""
+    text = _c(col).cast("string")
+    return F.when(text.isin("True", "TRUE", "true"), F.lit(True)).when(text.isin("False", "FALSE", "false"), F.lit(False))
+
+
 def nan_to_null(col) -> Column:
     """Spark keeps NaN as a value (the largest one in max); make it missing."""
     c = _c(col)
@@ -111,6 +124,8 @@ KIND_CASTS = {
     "date": to_date_or_null,
     "long": to_long_or_null,
     "double": to_double_or_null,
+    "loader_double": to_loader_double,
+    "boolean": to_boolean_or_null,
     "string": lambda c: _c(c).cast("string"),
 }
 
@@ -135,7 +150,7 @@ def _typed_cast(col: Column, dtype: T.DataType, kind: str) -> Column:
     return KIND_CASTS[kind](col)
 
 
-def coerce_columns(df: DataFrame, kinds: dict[str, str], date_format: str = DATE_FORMAT,
+def coerce_columns(df: DataFrame, kinds: dict[str, str], date_format: str | dict[str, str] = DATE_FORMAT,
                    missing: tuple[str, ...] = ()) -> DataFrame:
     """Type the named columns by kind in one projection; others pass through.
 
@@ -143,9 +158,12 @@ def coerce_columns(df: DataFrame, kinds: dict[str, str], date_format: str = DATE
     a number or time type convert directly. Named columns that the input
     lacks are skipped, so an optional column (such as the competitions
     ``date``) is coerced only when present. Text dates follow
-    ``date_format``; text equal to one of ``missing`` becomes NULL.
+    ``date_format``, one layout or one per column; text equal to one of
+    ``missing`` becomes NULL.
     """
     exprs = []
+    layouts = date_format if isinstance(date_format, dict) else {}
+    usual = DATE_FORMAT if isinstance(date_format, dict) else date_format
     for field in df.schema.fields:
         kind = kinds.get(field.name)
         col = F.col(f"`{field.name}`")
@@ -155,7 +173,7 @@ def coerce_columns(df: DataFrame, kinds: dict[str, str], date_format: str = DATE
         elif not kind:
             exprs.append(col)
         elif is_text and kind in ("timestamp", "date"):
-            exprs.append(KIND_CASTS[kind](col, date_format).alias(field.name))
+            exprs.append(KIND_CASTS[kind](col, layouts.get(field.name, usual)).alias(field.name))
         elif is_text or kind == "string":
             exprs.append(KIND_CASTS[kind](col).alias(field.name))
         else:

@@ -1018,6 +1018,49 @@ def q_games_typed(spark, sf):
         F.date_format(F.min("date"), "yyyy-MM-dd").alias("first_date"), F.max("game_id").alias("last_game"))
 
 
+GAMES_INFERRED_SQL = """SELECT o_orderkey AS game_id,
+    CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS home_club_id, o_totalprice AS attendance,
+    o_orderstatus = 'F' AS played, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey % 2 = 0 END AS neutral,
+    strftime(o_orderdate, '%Y-%m-%d') AS date, CAST(NULL AS DOUBLE) AS season,
+    CAST(o_orderkey AS VARCHAR) || '0000000000000000000' AS wide_id,
+    CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE o_orderpriority END AS round,
+    'bigint,double,double,boolean,string,string,double,string,string' AS types FROM orders"""
+
+
+@register("games_inferred", GAMES_INFERRED_SQL.replace(
+    "ELSE o_orderkey % 2 = 0 END", "WHEN o_orderkey % 2 = 0 THEN 'True' ELSE 'False' END"))
+def q_games_inferred(spark, sf):
+    """Columns of ``games`` without a declared kind: each gets the type the loader gives its cells."""
+    path = shared_path(spark, "csv-games-inferred")
+    td.table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS game_id", "CASE WHEN o_custkey % 11 = 0 THEN 'N/A' ELSE CAST(o_custkey AS STRING) END AS home_club_id",
+        "o_totalprice AS attendance", "CASE WHEN o_orderstatus = 'F' THEN 'TRUE' ELSE 'False' END AS played",
+        "CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN 'True' ELSE 'False' END AS neutral",
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS date", "'nan' AS season",
+        "concat(o_orderkey, '0000000000000000000') AS wide_id",
+        "CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS STRING) ELSE o_orderpriority END AS round"
+    ).write.option("header", True).csv(path)
+    games = ingest.load_dataset(spark, path, "games")
+    return games.withColumn("types", F.concat_ws(",", *[F.typeof(n) for n in games.columns]))
+
+
+@register("csv_layout_found", with_views("valuations") + """SELECT player_id, CAST(date AS VARCHAR) AS date, layout
+    FROM valuations, (SELECT unnest(['text month', 'time of day', 'day first']) AS layout)""")
+def q_csv_layout_found(spark, sf):
+    """Three files, each with a date layout of its own that no option names; the third is ambiguous until all
+    cells vote."""
+    parts = None
+    for name, layout, rule in (("text month", "MMM d, yyyy", "first"), ("time of day", "yyyy-MM-dd HH:mm:ss", "first"),
+                               ("day first", "dd/MM/yyyy", "vote")):
+        path = shared_path(spark, "csv-layouts")
+        td.valuations(spark, sf).select("player_id", F.date_format("date", layout).alias("date")) \
+            .write.option("header", True).csv(path)
+        part = ingest.load_dataset(spark, path, "player_valuations", layout_rule=rule).select(
+            "player_id", F.date_format("date", "yyyy-MM-dd").alias("date"), F.lit(name).alias("layout"))
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
 def _pipeline_result(spark, sf) -> pipeline.RunResult:
     raw_dir = shared_path(spark, "raw")
     write_raw_csvs(spark, sf, raw_dir)

@@ -81,14 +81,23 @@ class RunResult:
 
 # --- steps (each can run alone; each reads and writes the warehouse) -----------------
 def ingest_raw(spark: SparkSession, wh: Warehouse, raw_dir: str, null_strings: str | None = None,
-               raw_format: str = "csv") -> None:
+               raw_format: str = "csv", options: dict | None = None) -> None:
     """Raw files (``<dataset>.csv``, or ``<dataset>.parquet`` with
-    ``raw_format="parquet"``) -> typed Parquet under ``<warehouse>/raw/<dataset>``."""
+    ``raw_format="parquet"``) -> typed Parquet under ``<warehouse>/raw/<dataset>``.
+
+    ``options`` are keyword arguments of ``ingest.load_dataset`` for all six
+    files: ``date_format``, ``multi_line``, ``missing``, ``infer_types``,
+    ``layout_rule``, ``on_unknown_layout``; ``types`` maps a dataset to the
+    kinds of its further columns.
+    """
     raw_dir = raw_dir.rstrip("/")
+    options = dict(options or {})
+    types = options.pop("types", {})
     for dataset, file_name in RAW_FILES.items():
         if raw_format == "parquet":
             file_name = file_name.rsplit(".", 1)[0] + ".parquet"
-        df = ingest.load_dataset(spark, f"{raw_dir}/{file_name}", dataset, null_strings, fmt=raw_format)
+        df = ingest.load_dataset(spark, f"{raw_dir}/{file_name}", dataset, null_strings, fmt=raw_format,
+                                 types=types.get(dataset), **options)
         ingest.write_parquet(df, wh.location(f"raw/{dataset}"))
 
 
@@ -159,17 +168,17 @@ def build_reports(wh: Warehouse, cutoff: str = "2025-01-01", logo_ids: DataFrame
 def run(spark: SparkSession, raw_dir: str, warehouse_root: str, start: str = CALENDAR_START,
         end: str = CALENDAR_END, cutoff: str = "2025-01-01", closed: bool = False,
         null_strings: str | None = None, logo_ids: DataFrame | None = None,
-        out_dir: str | None = None, raw_format: str = "csv") -> RunResult:
+        out_dir: str | None = None, raw_format: str = "csv", options: dict | None = None) -> RunResult:
     """Every step in dependency order, for the months in ``[start, end)``.
 
     ``closed=True`` uses the reference's month split (rows after 00:00 on a
     month's last day belong to no month); ``null_strings="nan"`` stores
     missing text as ``nan`` like the reference. ``logo_ids`` lists the
     competitions whose logo is stored already. With ``out_dir`` the reports
-    are also written as JSON lines.
+    are also written as JSON lines. ``options`` are those of ``ingest_raw``.
     """
     wh = Warehouse(spark, warehouse_root)
-    ingest_raw(spark, wh, raw_dir, null_strings, raw_format)
+    ingest_raw(spark, wh, raw_dir, null_strings, raw_format, options)
     split_months(wh, closed)
     load_base_tables(wh, start, end, closed)
     load_static_tables(wh)

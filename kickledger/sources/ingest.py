@@ -1,9 +1,10 @@
 """Raw files in, typed Parquet out.
 
 The six raw datasets arrive as CSV files with a header. Every column is
-read as text (no schema inference pass over the data), then the columns
-the pipeline uses are typed with try-casts in one projection; other
-columns pass through as text.
+read as text, then typed with try-casts in one projection. The columns the
+pipeline uses have fixed types; the types of other columns and the layout of
+dates are taken from the data (``sources.infer``: one aggregate over just
+these columns) unless they are given.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from kickledger.functions.coerce import DATE_FORMAT, MISSING_MARKERS, coerce_columns, stringify_text_columns
 from kickledger.functions.months import with_month
 from kickledger.schemas import RAW_TYPES
+from kickledger.sources import infer
 from kickledger.sources.warehouse import clear_month, month_folders, write_months
 
 DATASETS = tuple(RAW_TYPES)
@@ -31,14 +33,16 @@ def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> D
             .option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line).csv(path))
 
 
-def type_dataset(df: DataFrame, dataset: str, null_strings: str | None = None, date_format: str = DATE_FORMAT,
-                 missing: tuple[str, ...] = (), types: dict[str, str] | None = None) -> DataFrame:
+def type_dataset(df: DataFrame, dataset: str, null_strings: str | None = None,
+                 date_format: str | dict[str, str] = DATE_FORMAT, missing: tuple[str, ...] = (),
+                 types: dict[str, str] | None = None) -> DataFrame:
     """Type the columns ``dataset`` names; optionally write missing text as
     ``null_strings`` (``"nan"`` gives the reference's stored text).
 
-    ``date_format`` is the layout of text dates, ``missing`` the cells that
-    stand for a missing value, ``types`` the kinds of further columns (those
-    of ``games``, say); a column without a kind stays as it is.
+    ``date_format`` is the layout of text dates (one, or one per column),
+    ``missing`` the cells that stand for a missing value, ``types`` the kinds
+    of further columns (those of ``games``, say); a column without a kind
+    stays as it is.
     """
     typed = coerce_columns(df, RAW_TYPES[dataset] | (types or {}), date_format, missing)
     if null_strings is not None:
@@ -46,15 +50,42 @@ def type_dataset(df: DataFrame, dataset: str, null_strings: str | None = None, d
     return typed
 
 
+def profile_dataset(raw: DataFrame, dataset: str, date_format: str | dict[str, str] | None = None,
+                    missing: tuple[str, ...] = MISSING_MARKERS, types: dict[str, str] | None = None,
+                    infer_types: bool = True) -> infer.Profile:
+    """What the data says of the columns without a given type, and of the dates without a given layout."""
+    kinds = RAW_TYPES[dataset] | (types or {})
+    given = date_format if isinstance(date_format, dict) else {}
+    open_dates = [] if isinstance(date_format, str) else [
+        n for n in raw.columns if kinds.get(n) in ("timestamp", "date") and n not in given]
+    untyped = [n for n in raw.columns if n not in kinds] if infer_types else []
+    return infer.profile(raw, untyped, open_dates, missing)
+
+
 def load_dataset(spark: SparkSession, path: str, dataset: str, null_strings: str | None = None,
-                 fmt: str | None = None, multi_line: bool = False, date_format: str = DATE_FORMAT,
-                 missing: tuple[str, ...] = MISSING_MARKERS, types: dict[str, str] | None = None) -> DataFrame:
+                 fmt: str | None = None, multi_line: bool = False,
+                 date_format: str | dict[str, str] | None = None, missing: tuple[str, ...] = MISSING_MARKERS,
+                 types: dict[str, str] | None = None, infer_types: bool = True, layout_rule: str = "first",
+                 on_unknown_layout: str = "raise") -> DataFrame:
     """Read and type one raw dataset. ``fmt`` is ``"csv"`` or ``"parquet"``;
     by default a path ending in ``.parquet`` is Parquet, anything else CSV.
-    ``missing`` applies to CSV cells only; see ``type_dataset`` for the rest."""
+
+    For CSV, columns without a fixed or given type get the loader's type for
+    their cells (``infer_types=False``: text), and date columns without a
+    given layout the one of their first cell (``layout_rule="vote"``: the one
+    that reads most cells); see ``infer.Profile.layouts`` for cells that no
+    layout reads. Both come from one pass over these columns; where there
+    are none, no pass is made. ``missing`` applies to CSV cells only.
+    """
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
-    raw = spark.read.parquet(path) if fmt == "parquet" else read_csv_text(spark, path, multi_line)
-    return type_dataset(raw, dataset, null_strings, date_format, missing if fmt == "csv" else (), types)
+    if fmt == "parquet":
+        return type_dataset(spark.read.parquet(path), dataset, null_strings, date_format or DATE_FORMAT, (), types)
+    raw = read_csv_text(spark, path, multi_line)
+    found = profile_dataset(raw, dataset, date_format, missing, types, infer_types)
+    kinds = {n: "loader_double" if kind == "double" else kind for n, kind in found.kinds().items()}
+    if not isinstance(date_format, str):
+        date_format = found.layouts(layout_rule, on_unknown_layout) | (date_format or {})
+    return type_dataset(raw, dataset, null_strings, date_format, missing, kinds | (types or {}))
 
 
 def write_parquet(df: DataFrame, path: str) -> str:

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from kickledger.plans import catalog
 from tests.conftest import SF_SMOKE
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -40,13 +41,14 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(catalog.ORACLES) == set(catalog.QUERIES)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(catalog.ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    got = _rows(entry.queries()[name](spark, SF_SMOKE).toPandas())
-    want = _rows(duck.execute(entry.oracle_sql()[name]).df())
+    got = _rows(catalog.QUERIES[name](spark, SF_SMOKE).toPandas())
+    want = _rows(duck.execute(catalog.ORACLES[name]).df())
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]
