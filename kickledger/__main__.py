@@ -40,6 +40,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--closed", action="store_true", help="closed month windows (the reference's split)")
     ap.add_argument("--nan-text", action="store_true", help="store missing text as 'nan'")
     ap.add_argument("--refresh", action="store_true", help="reload static tables")
+    ap.add_argument("--changed-only", action="store_true", help="rollup: only months whose rows or clubs changed")
     ap.add_argument("--out", help="folder for report JSON files")
     ap.add_argument("--master", default=None, help="Spark master for local runs, e.g. local[8]")
     ap.add_argument("--source", help="stream: folder where new valuation Parquet files arrive")
@@ -67,7 +68,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.step == "static":
         pipeline.load_static_tables(wh, a.refresh)
     elif a.step == "rollup":
-        pipeline.rollup_months(wh, a.start, a.end)
+        pipeline.rollup_months(wh, a.start, a.end, a.changed_only)
     elif a.step == "report":
         pipeline.build_reports(wh, a.cutoff, out_dir=a.out)
     elif a.step == "stream":

@@ -125,7 +125,7 @@ def _club_parts(rows: DataFrame, club_key: str) -> DataFrame:
                  F.count("market_value").alias("n"), F.min("date").alias("first_date")))
 
 
-def _club_totals(parts: DataFrame) -> DataFrame:
+def club_totals(parts: DataFrame) -> DataFrame:
     """Combine the parts per (club name, month); the league is that of the
     earliest valuation (on the same day, the smaller code). Only this step
     needs a struct minimum (a sort-based aggregation), and it runs on the
@@ -144,7 +144,7 @@ def club_rollup(rows: DataFrame) -> DataFrame:
     """Sum, min, max and count per club name and month, from valuation rows
     already joined to their club (``club_name``). Clubs that share a name
     merge."""
-    return _club_totals(_club_parts(rows, "club_name"))
+    return club_totals(_club_parts(rows, "club_name"))
 
 
 def league_valuation_evolution(valuations: DataFrame, clubs: DataFrame, start: str, end: str) -> DataFrame:
@@ -164,4 +164,4 @@ def club_valuation_evolution(valuations: DataFrame, clubs: DataFrame, start: str
                  "current_club_id", "competition_id")
     names = clubs.select(F.col("club_id").alias("current_club_id"), F.col("name").alias("club_name"))
     parts = join_dimension(_club_parts(v, "current_club_id"), names, "current_club_id")
-    return _club_totals(parts.where(F.col("club_name").isNotNull()))
+    return club_totals(parts.where(F.col("club_name").isNotNull()))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from kickledger.functions import coerce, months, text
 from kickledger.operators import pages as page_ops
-from kickledger.operators import reports, rollups
+from kickledger.operators import reports, rollup_state, rollups
 from kickledger.plans import pipeline
 from kickledger.session import materialize, shared_path
 from kickledger.sources import ingest
@@ -766,6 +766,49 @@ def q_stream_two_sources(spark, sf):
     return wh.read("league_valuation_evolution")
 
 
+# --- changed months, late rows ---------------------------------------------------------------------------
+CHANGED_MONTH = "1996-03"
+CHANGED_VIEWS = {"valuations": VIEWS["valuations"] + f""" UNION ALL SELECT l_partkey, CAST(l_shipdate AS DATE),
+    l_extendedprice * 2, l_suppkey, l_returnflag FROM lineitem WHERE strftime(l_shipdate, '%Y-%m') = '{CHANGED_MONTH}'"""}
+
+
+@register("backfill_changed_only", STORED_LVE_SQL.replace(VIEWS["valuations"], CHANGED_VIEWS["valuations"]).replace(
+    "player_count, partition_date FROM lve", f"""player_count, partition_date,
+    partition_date = '{CHANGED_MONTH}-01' AS recomputed FROM lve"""))
+def q_backfill_changed_only(spark, sf):
+    """A second backfill, after one month got further rows, computes that month alone."""
+    wh = Warehouse(spark, shared_path(spark, "warehouse"))
+    v, c = td.valuations(spark, sf), td.clubs(spark, sf)
+    pipeline.backfill_changed(wh, v, c, td.START, td.END)
+    more = v.where(months.month_key("date") == CHANGED_MONTH).withColumn("market_value", F.col("market_value") * 2)
+    again = pipeline.backfill_changed(wh, v.unionByName(more), c, td.START, td.END)
+    return wh.read("league_valuation_evolution").withColumn(
+        "recomputed", F.substring("partition_date", 1, 7).isin(again))
+
+
+def _late_rows(spark, sf) -> Warehouse:
+    """Rollups of one half of the valuations, to which the other half, of the same months, comes late, and twice."""
+    wh = Warehouse(spark, shared_path(spark, "warehouse"))
+    early, late = _valuation_halves(spark, sf)
+    clubs = td.clubs(spark, sf)
+    rollup_state.rebuild(wh, early, td.START, td.END)
+    for _ in range(2):  # a batch that is added again counts once
+        pipeline.add_late_valuations(wh, late, clubs, "late-1", td.START, td.END)
+    return wh
+
+
+@register("rollup_late_rows", STORED_LVE_SQL)
+def q_rollup_late_rows(spark, sf):
+    return _late_rows(spark, sf).read("league_valuation_evolution")
+
+
+@register("rollup_late_rows_clubs", with_views("cve") + """SELECT club_name,
+    CAST(total_valuation AS FLOAT) AS total_valuation, CAST(min_valuation AS FLOAT) AS min_valuation,
+    CAST(max_valuation AS FLOAT) AS max_valuation, squad_size, domestic_competition_id, partition_date FROM cve""")
+def q_rollup_late_rows_clubs(spark, sf):
+    return _late_rows(spark, sf).read("club_valuation_evolution")
+
+
 # --- the whole pipeline, from raw CSV files ------------------------------------------------------------
 RAW_CSV_SPARK = {
     "player_valuations": ("lineitem", {

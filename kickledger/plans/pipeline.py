@@ -14,10 +14,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kickledger.functions.months import CALENDAR_END, CALENDAR_START, in_window, with_month
+from kickledger.functions.months import CALENDAR_END, CALENDAR_START, in_window, month_key, with_month
 from kickledger.operators import pages as page_ops
-from kickledger.operators import reports, rollups
-from kickledger.sources import ingest
+from kickledger.operators import reports, rollup_state, rollups
+from kickledger.sources import digests, ingest
 from kickledger.sources.warehouse import Warehouse, whole_months
 
 RAW_FILES = {
@@ -70,6 +70,44 @@ def backfill_club_rollup(wh: Warehouse, valuations: DataFrame, clubs: DataFrame,
     wh.replace_months("club_valuation_evolution", cve, on_empty="keep", start=start, end=end, day_key=True)
 
 
+def backfill_changed(wh: Warehouse, valuations: DataFrame, clubs: DataFrame, start: str, end: str) -> list[str]:
+    """Recompute both rollups for the months of ``[start, end)`` whose valuations, or the clubs, have changed.
+
+    One aggregate over the columns the rollups use gives each month's digest;
+    months whose digest is the stored one are neither read again nor written.
+    Months that lost all their rows keep their stored rollup, as in a full
+    backfill. Returns the months recomputed (``YYYY-MM``).
+    """
+    whole_months(start, end)
+    store = digests.MonthDigests(wh, "valuation_rollups")
+    used = ["date", "market_value", "current_club_id", "competition_id"]
+    rows = rollups.month_prune(valuations, start, end, "partition_date")
+    months, now = store.changed(digests.month_digests(rows, "date", used, start, end), digests.table_digest(
+        clubs, ["club_id", "name", "domestic_competition_id"]))
+    if months:
+        wanted = rows.where(month_key("date").isin(months))
+        if "partition_date" in rows.columns:  # whole month folders are skipped
+            wanted = wanted.where(F.substring("partition_date", 1, 7).isin(months))
+        for name, build in (("league_valuation_evolution", rollups.league_valuation_evolution),
+                            ("club_valuation_evolution", rollups.club_valuation_evolution)):
+            wh.create_table(name)
+            wh.replace_months(name, build(wanted, clubs, start, end), on_empty="keep")
+    store.store(now, start, end)
+    return months
+
+
+def add_late_valuations(wh: Warehouse, late: DataFrame, clubs: DataFrame, batch: str, start: str, end: str) -> list[str]:
+    """Late valuations of ``[start, end)`` join the stored rollups; returns the months they touch.
+
+    Only the new rows and the stored state of their months are read
+    (``rollup_state``); ``rollup_state.rebuild`` makes that state from rows
+    loaded otherwise. A batch that is added again counts once.
+    """
+    months = rollup_state.add(wh, late, batch, *whole_months(start, end))
+    rollup_state.refresh(wh, clubs, months)
+    return months
+
+
 @dataclass
 class RunResult:
     warehouse: Warehouse
@@ -141,9 +179,12 @@ def load_static_tables(wh: Warehouse, refresh: bool = False) -> None:
         wh.ctas_if_absent(name, raw_table(wh, name), refresh=refresh)
 
 
-def rollup_months(wh: Warehouse, start: str, end: str) -> None:
-    """League and club rollups for every month of ``[start, end)`` (one job each)."""
+def rollup_months(wh: Warehouse, start: str, end: str, changed_only: bool = False) -> None:
+    """League and club rollups for every month of ``[start, end)`` (one job each), or those with changed inputs."""
     valuations, clubs = wh.read("player_valuations"), wh.read("clubs")
+    if changed_only:
+        backfill_changed(wh, valuations, clubs, start, end)
+        return
     backfill_league_rollup(wh, valuations, clubs, start, end)
     backfill_club_rollup(wh, valuations, clubs, start, end)
 

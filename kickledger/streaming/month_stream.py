@@ -8,31 +8,35 @@ Structured Streaming picks up new files in a folder and, per micro-batch:
    a failure (``foreachBatch`` is at-least-once) overwrites its own folders
    instead of adding its rows twice, and streams with checkpoints of their own
    never share a folder;
-2. recomputes the league and club rollups for just the months the batch
-   touched, from all stored rows of those months (late rows for an old
-   month therefore update that month), and replaces those months in the
-   rollup tables.
+2. adds the batch to the stored rollup state of the months it touches
+   (``rollup_state``: sums, minimum, maximum, count and first date per club
+   and code) and takes both rollups of just these months from that state.
+   Late rows for an old month therefore update that month at the cost of the
+   new rows and the month's state; rows stored before are not read again.
 
 Progress (which files were read) lives in the checkpoint location, so a
 restarted query continues where it stopped. There is no watermark: a
-watermark would drop rows that arrive too late, while recomputing the
-touched months from stored rows keeps every late row in its month.
+watermark would drop rows that arrive too late, while the state of a
+month takes every late row, whenever it comes.
 """
 
 from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from kickledger.operators import rollups
+from kickledger.operators import rollup_state
 from kickledger.plans.pipeline import valuation_load_rows
 from kickledger.sources.warehouse import PARTITION_COLUMN, Warehouse, cluster_by_month
 
 STREAM_TABLE = "player_valuations_stream"
+STREAM_STATE = "player_valuations_stream_state"
+MAX_FILES = 1000
 BATCH_COLUMN = "load_batch"
 
 
@@ -48,27 +52,28 @@ def read_stream_rows(wh: Warehouse, valuation_schema: T.StructType) -> DataFrame
     return wh.spark.read.schema(stream_rows_schema(valuation_schema)).parquet(wh.location(STREAM_TABLE))
 
 
-def refresh_months(wh: Warehouse, rows: DataFrame, clubs: DataFrame, touched: DataFrame,
-                   start: str, end: str) -> None:
-    """Recompute both rollups for the months in ``touched`` (one column of
-    ``YYYY-MM`` keys, one row per month) and replace them."""
-    months = F.broadcast(touched)  # at most one row per calendar month
-    affected = rows.join(months, PARTITION_COLUMN, "left_semi")
-    for name, build in (("league_valuation_evolution", rollups.league_valuation_evolution),
-                        ("club_valuation_evolution", rollups.club_valuation_evolution)):
-        wh.create_table(name)
-        wh.replace_months(name, build(affected, clubs, start, end), on_empty="keep")
+def ensure_state(wh: Warehouse, valuation_schema: T.StructType, start: str, end: str) -> None:
+    """Where rows were streamed before there was a state, make it from them, once, each row under its batch."""
+    if rollup_state.has_state(wh, STREAM_STATE):
+        return
+    try:
+        rows = read_stream_rows(wh, valuation_schema)
+    except AnalysisException:  # nothing streamed yet
+        return
+    rollup_state.rebuild(wh, rows, start, end, batch=None, table=STREAM_STATE)
 
 
 def start_month_stream(spark: SparkSession, source_dir: str, valuation_schema: T.StructType, wh: Warehouse,
                        clubs: DataFrame, start: str, end: str, checkpoint_location: str,
-                       available_now: bool = True, max_files_per_trigger: int | None = None,
+                       available_now: bool = True, max_files_per_trigger: int | None = MAX_FILES,
                        processing_time: str = "1 minute", closed: bool = False) -> StreamingQuery:
     """Start the stream over Parquet files of valuations (columns
     ``player_id, date, market_value, current_club_id, competition_id``).
 
     ``available_now=True`` processes what is there and stops (a scheduled
-    run); otherwise the query keeps running with ``processing_time``.
+    run); otherwise the query keeps running with ``processing_time``. A batch
+    takes ``max_files_per_trigger`` files at most (None: all there are), so a
+    backlog is worked off in bounded batches.
     """
     reader = spark.readStream.schema(valuation_schema)
     if max_files_per_trigger:
@@ -79,18 +84,16 @@ def start_month_stream(spark: SparkSession, source_dir: str, valuation_schema: T
     stream_id = hashlib.sha256(checkpoint_location.rstrip("/").encode()).hexdigest()[:16]
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()
-        tagged = valuation_load_rows(batch, start, end, closed) \
-            .withColumn(BATCH_COLUMN, F.lit(f"{stream_id}-{batch_id}")) \
-            .observe(seen, F.collect_set(PARTITION_COLUMN).alias("months"))
+        batch_tag = f"{stream_id}-{batch_id}"
+        tagged = valuation_load_rows(batch, start, end, closed).withColumn(BATCH_COLUMN, F.lit(batch_tag))
         (cluster_by_month(tagged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(PARTITION_COLUMN, BATCH_COLUMN).parquet(wh.location(STREAM_TABLE)))
-        months = sorted(seen.get.get("months") or ())     # at most one per calendar month
-        if not months:
-            return
-        touched = spark.createDataFrame([(m,) for m in months], f"{PARTITION_COLUMN} string")
-        refresh_months(wh, read_stream_rows(wh, valuation_schema), clubs_dim, touched, start, end)
+        # Only the batch that runs can be run again; what this stream added before is folded.
+        months = rollup_state.add(wh, valuation_load_rows(batch, start, end, closed), batch_tag, start, end,
+                                  STREAM_STATE, fold_earlier=f"{stream_id}-")
+        rollup_state.refresh(wh, clubs_dim, months, STREAM_STATE)
 
+    ensure_state(wh, valuation_schema, start, end)
     writer = source.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
@@ -98,7 +101,7 @@ def start_month_stream(spark: SparkSession, source_dir: str, valuation_schema: T
 
 def run_available(spark: SparkSession, source_dir: str, valuation_schema: T.StructType, wh: Warehouse,
                   clubs: DataFrame, start: str, end: str, checkpoint_location: str,
-                  max_files_per_trigger: int | None = None, closed: bool = False) -> None:
+                  max_files_per_trigger: int | None = MAX_FILES, closed: bool = False) -> None:
     """Process every file present now, then stop."""
     query = start_month_stream(spark, source_dir, valuation_schema, wh, clubs, start, end, checkpoint_location,
                                available_now=True, max_files_per_trigger=max_files_per_trigger, closed=closed)
