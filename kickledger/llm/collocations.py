@@ -180,8 +180,8 @@ def phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT,
 
     The row of the empty phrase (0 words) holds the number of words of its
     language. Edges are dealt by their source node, so a node's flow is added
-    up where its edges are; a very frequent node sends a row per chunk and
-    following word at most. Other rows than these are not stored.
+    up where its edges are, without a further shuffle; a very frequent node
+    sends a row per chunk and following word at most. Rarer phrases are not stored.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(docs[text_col].cast("string")))).first()[0] or 0
@@ -190,13 +190,18 @@ def phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT,
         .groupBy("node", "last").agg(F.sum("n").alias("n"))
     tail = F.substring_index("node", "\t", -1)
     lang = F.col("node").substr(F.lit(1), F.length("node") - F.length(tail) - 1)
-    nodes = edges.groupBy("node").agg(F.sum("n").alias("f")).filter(
-        (F.col("f") >= min_count) | (tail == "")).select(lang.alias("lang"), tail.alias("phrase"), "f")
-    longer = edges.filter(F.col("last").isNotNull() & (F.col("n") >= min_count)).select(
-        lang.alias("lang"), F.concat_ws(" ", tail, "last").alias("phrase"), F.col("n").alias("f"))
+    node = W.partitionBy("node")
+    flow = edges.withColumn("f", F.sum("n").over(node)).withColumn(
+        "leads", F.row_number().over(node.orderBy(F.col("last").asc_nulls_first())) == 1)
+    whole = F.col("leads") & ((F.col("f") >= min_count) | (tail == ""))
+    edge = F.col("last").isNotNull() & (F.col("n") >= min_count)
+    both = flow.filter(whole | edge).select(lang.alias("lang"), F.explode(F.array(
+        F.when(whole, F.struct(tail.alias("phrase"), F.col("f").alias("f"))),
+        F.when(edge, F.struct(F.concat_ws(" ", tail, "last").alias("phrase"), F.col("n").alias("f"))))).alias("row")) \
+        .filter(F.col("row").isNotNull()).select("lang", "row.*")
     words = F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.replace(
         "phrase", F.lit(" "), F.lit(""))) + 1)
-    return materialize(nodes.unionByName(longer).withColumn("words", words), "phrases")
+    return materialize(both.withColumn("words", words), "phrases")
 
 
 def _all_but_last(phrase: str) -> Column:
