@@ -24,6 +24,7 @@ SAMPLE_ROWS = 9000       # labelled documents the model is trained on, at most
 SAMPLE_CHARS = 20_000    # the longest of them
 ROUNDS = 160
 CHUNK_BYTES = 1 << 20
+CHUNK_LINES = 20_000     # lines whose features are held at once; a text of more is one chain in blocks
 HELD_OUT = (3, 1)        # ids with crc32 % 3 == 1 are never learned from
 
 # Byte classes: other, lower, upper, digit, space, full stop and comma, other sentence marks, bar, symbols, from 0x80.
@@ -121,6 +122,71 @@ def forward_backward(scores: np.ndarray, moves: np.ndarray, lines: np.ndarray) -
     return both - total, np.exp(pair - total[nexts][:, :, None]).sum(0)
 
 
+def long_chain(scores: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Marginal of good per line of one chain, as ``forward_backward`` gives it, for chains of any length.
+
+    The chain is cut into about sqrt(n) segments that run side by side, a
+    line of each per step: first each segment's product of 2 x 2 matrices,
+    then the messages between segments one after the other, then the messages
+    inside all segments. Messages are kept as shares, so nothing overflows.
+    """
+    n = len(scores)
+    length = max(1, int(np.ceil(np.sqrt(n))))
+    many = -(-n // length)
+    top = np.maximum(scores, 0)
+    emit = np.ones((many * length, 2))
+    emit[:n, 0], emit[:n, 1] = np.exp(-top), np.exp(scores - top)
+    emit = emit.reshape(many, length, 2)
+    step, still = np.exp(moves - moves.max()), np.eye(2)
+
+    def matrix(j: int) -> np.ndarray:
+        """What line j of every segment does to the message before it; beyond the chain, and before its first line, nothing."""
+        at = np.where(((np.arange(many) * length + j < n) & (np.arange(many) * length + j > 0))[:, None, None], step, still)
+        return at * emit[:, j, None, :]
+
+    whole = np.broadcast_to(still, (many, 2, 2)).copy()
+    for j in range(length):
+        whole = whole @ matrix(j)
+        whole /= whole.max((1, 2), keepdims=True)
+    ahead, behind = np.full((many, 2), 0.5), np.full((many, 2), 0.5)
+    for k in range(1, many):
+        now = ahead[k - 1] @ whole[k - 1]
+        ahead[k] = now / now.sum()
+    for k in range(many - 2, -1, -1):
+        now = whole[k + 1] @ behind[k + 1]
+        behind[k] = now / now.sum()
+    good, after = np.empty((many, length)), np.empty((many, length))
+    for j in range(length):
+        ahead = (ahead[:, None, :] @ matrix(j))[:, 0]
+        ahead /= ahead.sum(1, keepdims=True)
+        good[:, j] = ahead[:, 1]
+    for j in range(length - 1, -1, -1):
+        after[:, j] = behind[:, 1]
+        behind = (matrix(j) @ behind[:, :, None])[:, :, 0]
+        behind /= behind.sum(1, keepdims=True)
+    good, after = good.ravel()[:n], after.ravel()[:n]
+    both = good * after
+    return both / (both + (1 - good) * (1 - after))
+
+
+def _long_logit(model: dict, text: bytes) -> float:
+    """``_logits`` of one text of any number of lines: features in blocks of lines, each with its neighbour lines."""
+    ends = np.append(np.flatnonzero(np.frombuffer(text, np.uint8) == 10), len(text))
+    n = len(ends)
+    scores, sizes = np.empty(n), np.diff(np.append(-1, ends)) - 1
+    at = 0
+    while at < n:
+        # As many lines as fit both bounds, one at least.
+        stop = int(np.searchsorted(ends, (ends[at - 1] + 1 if at else 0) + CHUNK_BYTES, side="right"))
+        stop = min(n, at + CHUNK_LINES, max(stop, at + 1))
+        low, high = max(0, at - 1), min(n, stop + 1)
+        x, _, _ = line_features([text[ends[low - 1] + 1 if low else 0:ends[high - 1]]])
+        scores[at:stop] = x[at - low:stop - low] @ model["weight"] + model["shift"]
+        at = stop
+    good = long_chain(scores, model["moves"])
+    return float(np.clip(np.log((good * (sizes + 1)).sum() + 1e-300) - np.log(((1 - good) * (sizes + 1)).sum() + 1e-300), -30, 30))
+
+
 def train(texts: list[str], labels: list[int], rounds: int = ROUNDS) -> dict:
     """The model as plain arrays. Without samples of both labels it scores every text by the share of label 1."""
     share = (sum(labels) + 1) / (len(labels) + 2)
@@ -168,23 +234,24 @@ def score_texts(model: dict, texts: list[bytes]) -> np.ndarray:
     """Probability of good quality per text."""
     if "blank" in model or not texts:
         return np.full(len(texts), model.get("blank", 0.0))
-    out = []
-    for part in _chunks(texts):
-        raw = _logits(model, *line_features(part))
-        out.append(1 / (1 + np.exp(-(model["a"] * raw + model["b"]))))
-    return np.concatenate(out)
+    raw = [np.array([_long_logit(model, part[0])]) if len(part) == 1 and part[0].count(b"\n") >= CHUNK_LINES
+           else _logits(model, *line_features(part)) for part in _chunks(texts)]
+    return 1 / (1 + np.exp(-(model["a"] * np.concatenate(raw) + model["b"])))
 
 
 def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
-    """Runs of texts of about ``CHUNK_BYTES``, at least one text each."""
-    at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and size < CHUNK_BYTES:
-            size += len(texts[end]) + 1
-            end += 1
-        yield texts[at:end]
-        at = end
+    """Runs of texts of about ``CHUNK_BYTES`` and at most ``CHUNK_LINES`` lines; a text of more lines by itself."""
+    held, size, lines = [], 0, 0
+    for text in texts:
+        more = text.count(b"\n") + 1
+        if held and (size >= CHUNK_BYTES or lines + more > CHUNK_LINES):
+            yield held
+            held, size, lines = [], 0, 0
+        held.append(text)
+        size += len(text) + 1
+        lines += more
+    if held:
+        yield held
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, longest: int = SAMPLE_CHARS, usable=None) -> dict:
@@ -208,7 +275,11 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
 
 
 def keep_good(docs: DataFrame, model: dict, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows, all columns kept, whose text scores ``least`` or more."""
+    """The rows, all columns kept, whose text scores ``least`` or more.
+
+    Null texts score as empty ones and stay null; repeated rows stay or go
+    together; an empty table stays empty.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
