@@ -1,117 +1,84 @@
-"""Joins against dimension tables, broadcast only behind a size check.
-
-A dimension (clubs, players, competitions) is broadcast when a bounded
-count proves it small: ``limit(max_rows + 1).count()`` stops each
-partition after ``max_rows + 1`` rows and reads no column the dimension's
-projection does not need (for a plain Parquet dimension, row counts only),
-so the check stays cheap next to the fact scan even on a huge table.
-Beyond the bound the join is a shuffle join; AQE still switches it to a
-broadcast join if the side turns out small at run time, and splits a
-skewed partition (one key with a third of all rows) into several tasks.
-Where AQE is off (or on request) hot keys are salted instead: found on a
-sample, their fact rows spread over several buckets, their dimension rows
-copied per bucket.
+"""Joins against dimension tables (clubs, players, competitions).
+
+They are joined plainly: the planner broadcasts a dimension where its
+statistics, or the sizes AQE measures, stay below
+``spark.sql.autoBroadcastJoinThreshold``. Otherwise it is a shuffle join, and
+AQE splits a skewed partition (one key with a third of all rows) into several
+tasks. Where AQE is off, or on request, the rows of hot keys are joined apart
+(``split_join``): hot keys are found by one pass of a frequent-items sketch,
+which tasks merge, and are few by construction.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Per-task memory a broadcast side may take.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def estimated_row_bytes(schema: T.StructType) -> int:
-    """A plain width estimate: fixed-width types by size, text as 48 bytes."""
-    width = 16
-    for field in schema.fields:
-        t = field.dataType
-        if isinstance(t, (T.StringType, T.BinaryType)):
-            width += 48
-        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
-            width += 128
-        elif isinstance(t, (T.ByteType, T.BooleanType)):
-            width += 1
-        elif isinstance(t, (T.ShortType,)):
-            width += 2
-        elif isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-            width += 4
-        else:
-            width += 8
-    return width
-
-
-def row_bound(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
-    return max(1, max_bytes // estimated_row_bytes(df.schema))
-
-
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded work to find out)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` when its measured size fits ``max_bytes``, else ``df``."""
-    return F.broadcast(df) if is_bounded(df, row_bound(df, max_bytes)) else df
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_bytes: int = DEFAULT_BROADCAST_BYTES, skew: str = "auto",
-                   salt_buckets: int = 16) -> DataFrame:
-    """Join a large fact table to a dimension; no job runs while the frame is built.
-
-    ``dim`` should already be projected to the columns the join needs. The
-    planner broadcasts it where its statistics, or the sizes AQE measures,
-    stay below ``spark.sql.autoBroadcastJoinThreshold``; nothing is forced.
-    A hot key of a shuffle join is handled by AQE's skew-join split
-    (``skew="aqe"``) or by salting the hot keys (``skew="salt"``, see
-    ``salted_join``); ``"auto"`` salts only when AQE is off in the session.
-    ``max_bytes`` bounds what the salted join broadcasts.
+
+from kickledger.session import materialize
+
+HOT_SHARE = 0.01          # a key of this share of all rows is hot, so there are at most a hundred
+TRACKED_KEYS = 10_000     # of the sketch: counts are right to well below a thousandth of all rows
+HOT_DIMENSION_ROWS = 100_000
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner", skew: str = "auto") -> DataFrame:
+    """Join a large fact table to a dimension.
+
+    ``dim`` should already be projected to the columns the join needs. A hot
+    key of a shuffle join is handled by AQE's skew-join split
+    (``skew="aqe"``; no job runs while the frame is built) or by
+    ``split_join`` (``skew="split"``, which looks for hot keys at once);
+    ``"auto"`` splits only when AQE is off in the session.
     """
     if skew == "auto":
         aqe = fact.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-        skew = "aqe" if aqe else "salt"
-    if skew == "salt" and isinstance(on, str) and how in ("inner", "left"):
-        return salted_join(fact, dim, on, how, salt_buckets)
+        skew = "aqe" if aqe else "split"
+    if skew == "split" and isinstance(on, str) and how in ("inner", "left"):
+        return split_join(fact, dim, on, how)
     return fact.join(dim, on, how)
 
 
-def hot_keys(fact: DataFrame, key: str, fraction: float = 0.01, share: float = 0.01,
-             max_keys: int = 1000, seed: int = 7) -> DataFrame:
-    """Keys that hold at least ``share`` of a sample's rows (at most ``max_keys``).
+def hot_keys(fact: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+    """Keys that hold at least ``share`` of all rows, stored: no sample, one pass over the key column.
 
-    One sampled aggregation; the result is bounded by ``max_keys`` (a key
-    can only pass the share test if it is one of the few largest).
+    The sketch's counts are off by a few rows in ``TRACKED_KEYS``, far less
+    than the share asks for, so no hot key is missed; a key just below it may
+    be among them, which changes no result. At most ``1 / share`` keys.
     """
-    sample = fact.select(key).where(F.col(key).isNotNull()).sample(fraction=fraction, seed=seed)
-    counts = sample.groupBy(key).agg(F.count("*").alias("n"))
-    total = sample.agg(F.count("*")).scalar()
-    return (counts.where(F.col("n") >= F.lit(share) * total)
-            .orderBy(F.desc("n"), F.asc(key)).limit(max_keys).select(key))
-
-
-def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", buckets: int = 16,
-                hot: DataFrame | None = None) -> DataFrame:
-    """Shuffle join where the rows of hot keys are spread over ``buckets`` tasks.
-
-    Fact rows of a hot key get a salt from a hash of the whole row
-    (deterministic, so a retried task sends each row to the same bucket);
-    the dimension rows of hot keys are copied once per bucket. Other keys
-    keep salt 0 and join as usual, so only the hot keys' dimension rows are
-    multiplied. Results equal a plain join.
+    most = max(1, math.ceil(1 / share))
+    rows = fact.where(F.col(key).isNotNull())
+    found = rows.agg(F.expr(f"approx_top_k(`{key}`, {most}, {TRACKED_KEYS})").alias("top"), F.count("*").alias("n"))
+    items = found.select(F.explode("top").alias("item"), "n")
+    return materialize(items.where(F.col("item.count") >= F.lit(share) * F.col("n"))
+                       .select(F.col("item.item").alias(key)), "hot-keys")
+
+
+def split_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", buckets: int = 16,
+               hot: DataFrame | None = None, max_hot_rows: int = HOT_DIMENSION_ROWS) -> DataFrame:
+    """Join in which the fact rows of hot keys don't meet in one task; results equal a plain join.
+
+    A hot key's dimension rows, if there are no more than ``max_hot_rows``
+    (counted), are broadcast, and its fact rows stay in the tasks they are
+    in. Beyond that its fact rows are stored with a number each and spread
+    by it over ``buckets`` tasks, to which its dimension rows are copied:
+    the number tells alike rows apart, and being stored it is the same for a
+    task that runs again. All other rows meet in a shuffle join.
     """
     hot = hot_keys(fact, key) if hot is None else hot
-    flagged = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))  # at most max_keys rows
-    f = fact.join(flagged, key, "left")
-    f = f.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]),
-                                                              F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
-    d = dim.join(flagged, key, "left")
-    d = d.withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                        .otherwise(F.array(F.lit(0)))))
-    joined = f.drop("_hot").join(d.drop("_hot"), [key, "_salt"], how)
-    return joined.drop("_salt")
+    keys = F.broadcast(hot.select(key))                      # at most 1 / share rows
+    hot_dim = materialize(dim.join(keys, key, "left_semi"), "hot-dimension")
+    hot_fact = fact.join(keys, key, "left_semi")
+    rest = fact.join(keys, key, "left_anti").join(dim, key, how)
+    if hot_dim.count() <= max_hot_rows:
+        met = hot_fact.join(F.broadcast(hot_dim), key, how)
+    else:
+        stored = materialize(hot_fact.withColumn("_row", F.monotonically_increasing_id()), "hot-rows")
+        salted = stored.withColumn("_salt", F.pmod(F.col("_row"), F.lit(buckets)).cast("int")).drop("_row")
+        copies = hot_dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+        met = salted.join(copies, [key, "_salt"], how).drop("_salt")
+    return rest.unionByName(met)
 
 
 def keep_members(df: DataFrame, members: DataFrame, on, bounded: bool = False) -> DataFrame:

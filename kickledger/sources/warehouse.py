@@ -23,7 +23,7 @@ import datetime as _dt
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,21 +69,33 @@ def whole_months(start: str, end: str) -> tuple[str, str]:
     return start, end
 
 
-def month_folders(spark: SparkSession, path: str) -> set[str]:
-    """Month keys of the folders under ``path``; at most one per calendar month."""
+def month_files(spark: SparkSession, path: str) -> dict[str, frozenset[str]]:
+    """Month keys of the folders under ``path`` with the names of their files: one listing, no job."""
     jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/{PARTITION_COLUMN}=*")
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/{PARTITION_COLUMN}=*/*")
     found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    return {status.getPath().getName().split("=", 1)[1] for status in found}
+    names: dict[str, set[str]] = {}
+    for status in found:
+        file = status.getPath()
+        names.setdefault(file.getParent().getName().split("=", 1)[1], set()).add(file.getName())
+    return {month: frozenset(files) for month, files in names.items()}
+
+
+def month_folders(spark: SparkSession, path: str) -> set[str]:
+    """Month keys of the folders under ``path``; at most one per calendar month."""
+    return set(month_files(spark, path))
 
 
 def write_months(rows: DataFrame, path: str, cluster: bool = True) -> set[str]:
-    """Write month folders, replacing those present in ``rows``; returns their keys, observed on the write."""
-    seen = Observation()
-    observed = rows.observe(seen, F.collect_set(F.col(PARTITION_COLUMN).cast("string")).alias("months"))
-    (cluster_by_month(observed, enabled=cluster).write.mode("overwrite")
+    """Write month folders, replacing those present in ``rows``; returns their keys.
+
+    They are the months whose files are others than before: every write names
+    its files anew, so nothing has to be counted while rows are written.
+    """
+    before = month_files(rows.sparkSession, path)
+    (cluster_by_month(rows, enabled=cluster).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COLUMN).parquet(path))
-    return set(seen.get.get("months") or ())
+    return {month for month, files in month_files(rows.sparkSession, path).items() if files != before.get(month)}
 
 
 def clear_month(spark: SparkSession, path: str, schema: T.StructType, month: str) -> None:
@@ -186,9 +198,9 @@ class Warehouse:
         ``on_empty="delete"`` months of the range that ``df`` does not hold
         are cleared, so the range ends up holding exactly ``df``'s rows of
         it. ``day_key`` says the table keys months as ``YYYY-MM-01`` rather
-        than ``YYYY-MM``. The months written are observed on the write
-        itself; ``df`` is computed once, and may read this very table, since
-        the new files take the old ones' place only when the job commits.
+        than ``YYYY-MM``. The months written are read off the table's files;
+        ``df`` is computed once, and may read this very table, since the new
+        files take the old ones' place only when the job commits.
         """
         if on_empty not in ("delete", "keep"):
             raise ValueError(f"on_empty must be 'delete' or 'keep', not {on_empty!r}")

@@ -27,7 +27,7 @@ def test_top_players_fold_then_join(spark):
     assert small.count("HashAggregate") >= 4  # folded per (player, club), then per (player, name, club)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # Spark's own size rule off, too
     try:
-        large = plan_of(reports.player_valuation_stats(v, p, c, max_broadcast_bytes=1))
+        large = plan_of(reports.player_valuation_stats(v, p, c))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in large and large.count("HashAggregate") >= 4
