@@ -1,8 +1,9 @@
 """SimHash near-duplicates by covering locality-sensitive hashing.
 
 Fingerprints come from Arrow batches; everything else is DataFrame work on
-distinct fingerprints (one node per fingerprint, named by its smallest
-doc_id, so copies never multiply).
+distinct fingerprints. A node is a fingerprint, so copies never multiply and
+ids of documents play no part in linking; the smallest doc_id of a component
+is taken at the end.
 
 Covering family for radius r: bit i of 64 gets a nonzero vector m(i) of
 r + 1 bits, and table v (v = 1 .. 2**(r+1) - 1) keeps the bits with
@@ -13,8 +14,10 @@ the pair meets there. No pair within the radius is missed.
 Buckets are bounded before anything is gathered: buckets of more than
 ``bucket_rows`` fingerprints are split by a second, independent covering
 family (again no pair is missed), and what is still larger is cut into
-hash blocks that meet block pair by block pair. A bucket's members are
-linked as stars (member to the smallest member it connects to), at most one
+hash blocks that meet block pair by block pair. Such a bucket's members agree
+in all bits that either mask keeps: it holds at most 2**f fingerprints, f
+being the bits that neither keeps (``free_bits``: 20 for a radius of three),
+however large the corpus. A bucket's members are linked as stars (member to the smallest member it connects to), at most one
 edge per member, never all pairs. Components follow by large-star /
 small-star rounds over stored edge tables.
 """
@@ -35,7 +38,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 BUCKET_ROWS = 256
 SEED = 42
-_NO_ID = 1 << 62   # nodes whose rows all lack an id are numbered from here
+HOT_ROWS = 10_000   # a fingerprint of more rows than this, and of a thousandth of all rows, is joined by broadcast
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -85,6 +88,11 @@ def covering_masks(radius: int, seed: int) -> list[int]:
     return [sum(1 << i for i in range(64) if bin(int(vectors[i]) & v).count("1") % 2) for v in range(1, top)]
 
 
+def free_bits(radius: int) -> int:
+    """The most bits that a mask of the first family and one of the second both leave out."""
+    return max(64 - bin(a | b).count("1") for a in covering_masks(radius, 1) for b in covering_masks(radius, 2))
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
@@ -181,8 +189,9 @@ def near_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: in
                bucket_rows: int = BUCKET_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_sha256, fp, component, component_id) per row: rows linked at ``max_bits`` differing bits or fewer.
 
-    Links count transitively; ``component`` numbers a component, and is its
-    smallest doc_id, ``component_id``, where one of its rows has an id.
+    Links count transitively; ``component`` is the component's smallest
+    fingerprint (as a signed long), ``component_id`` its smallest doc_id. Any
+    long may be an id.
 
     Null, empty and blank texts have fingerprint zero and link like any
     other. Repeated rows share a fingerprint. A row without an id links too;
@@ -190,13 +199,18 @@ def near_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: in
     An empty table gives no rows.
     """
     rows = materialize(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least")).select(
-        "fp", F.coalesce("least", F.lit(_NO_ID) + F.shiftrightunsigned(F.xxhash64("fp"), 3)).alias("node"))
-    nodes = materialize(nodes, "simhash-nodes")
+    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    nodes = materialize(nodes.withColumn("node", F.col("fp")), "simhash-nodes")
     linked = components(edges(nodes, max_bits, bucket_rows))
-    named = nodes.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    return rows.join(named, "fp").select("doc_id", "text_sha256", "fp", "component", F.when(
-        F.col("component") < F.lit(_NO_ID), F.col("component")).alias("component_id"))
+    named = nodes.join(linked, "node", "left").select("fp", "least", "n", F.coalesce("component", "fp").alias("component"))
+    named = materialize(named, "simhash-components")
+    firsts = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.select("fp", "n", "component").join(firsts, "component")
+    # Fingerprints of very many rows, fewer than a thousand of them, leave those rows where they are.
+    bound = max(HOT_ROWS, int(nodes.agg(F.sum("n")).first()[0] or 0) // 1000)
+    hot = F.broadcast(materialize(named.filter(F.col("n") > bound).drop("n"), "simhash-hot"))
+    apart = rows.join(hot.select("fp"), "fp", "left_anti").join(named.filter(F.col("n") <= bound).drop("n"), "fp")
+    return rows.join(hot, "fp").unionByName(apart).select("doc_id", "text_sha256", "fp", "component", "component_id")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
