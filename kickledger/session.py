@@ -9,6 +9,7 @@ setting, as in tests, gets a temporary folder of its own.
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,12 +28,15 @@ SESSION_DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app_name: str = "kickledger", extra: dict | None = None) -> SparkSession:
+def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app_name: str = "kickledger",
+                  extra: dict | None = None, scratch: str | None = None) -> SparkSession:
+    """A session for local runs and tests; ``scratch`` names the shared folder (``spark.checkpoint.dir``)."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    if scratch:
+        conf["spark.checkpoint.dir"] = scratch
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -67,6 +71,24 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}/kickledger/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def expire(spark: SparkSession, hours: float, folder: str | None = None) -> list[str]:
+    """Delete what this library stored under the shared folder and nobody changed for ``hours``; returns the names.
+
+    Only its own folder ``<shared>/kickledger`` is looked at (or ``folder``).
+    Run it when no job that may still read those frames is running.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/kickledger")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    oldest = (time.time() - hours * 3600) * 1000
+    gone = []
+    for status in fs.listStatus(root) if fs.exists(root) else []:
+        if status.getModificationTime() < oldest:
+            fs.delete(status.getPath(), True)
+            gone.append(status.getPath().getName())
+    return sorted(gone)
+
+
 def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     """Compute ``df`` once into a Parquet table in the shared folder and read it back.
 
@@ -77,7 +99,7 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     stores the rows (an eager ``checkpoint()`` of an unpersisted frame
     computes it twice). Each call leaves one small folder under the shared
     checkpoint folder; the returned DataFrame reads it lazily, so it is not
-    removed here. Expire that scratch area by age, as for checkpoints.
+    removed here; ``expire`` clears them by age.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)

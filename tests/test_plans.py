@@ -1,5 +1,7 @@
 """Physical plan checks: pushdown, pruning, join strategy, no Python in the hot path."""
 
+from pyspark.sql import functions as F
+
 from kickledger.operators import pages, reports, rollups
 from kickledger.sources import testdata as td
 from tests.conftest import SF_SMOKE
@@ -23,8 +25,8 @@ def test_top_players_fold_then_join(spark):
     v, p, c = td.valuations(spark, SF_SMOKE), td.players(spark, SF_SMOKE), td.clubs(spark, SF_SMOKE)
     small = plan_of(reports.top_players(reports.player_valuation_stats(v, p, c)))
     assert "TakeOrderedAndProject" in small
-    assert small.count("BroadcastHashJoin") == 2
-    assert small.count("HashAggregate") >= 4  # folded per (player, club), then per (player, name, club)
+    assert small.count("BroadcastHashJoin") == 4  # two for pairs that are groups by themselves, two for the others
+    assert small.count("HashAggregate") >= 4  # folded per (player, club), then, where names repeat, by name
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # Spark's own size rule off, too
     try:
         large = plan_of(reports.player_valuation_stats(v, p, c))
@@ -33,6 +35,21 @@ def test_top_players_fold_then_join(spark):
     assert "SortMergeJoin" in large and large.count("HashAggregate") >= 4
 
 
+def test_only_repeated_names_meet_again(spark):
+    """Pairs of unrepeated names pass the second shuffle by: it carries no row where no name repeats."""
+    v = spark.range(2000).selectExpr("id % 50 AS player_id", "id % 7 AS current_club_id", "CAST(id AS DOUBLE) AS market_value")
+    p = spark.range(50).selectExpr("id AS player_id", "concat('p', id % 49) AS name")
+    for names, merged in (("concat('c', id)", 0), ("concat('c', id % 6)", 100)):
+        c = spark.range(7).selectExpr("id AS club_id", f"{names} AS name")
+        stats = reports.player_valuation_stats(v, p, c)
+        want = v.join(p, "player_id").join(c.selectExpr("club_id AS current_club_id", "name AS club_name"), "current_club_id") \
+            .groupBy("player_id", "name", "club_name").agg(F.avg("market_value"), F.max("market_value"), F.min("market_value"))
+        got = stats.select("player_id", "name", "club_name", "avg_valuation", "max_valuation", "min_valuation")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        groups = got.groupBy("club_name").count().where("club_name = 'c0'").first()["count"]
+        assert groups == 50 and got.count() == (350 if not merged else 300)
+
+
 def test_no_python_outside_link_extraction(spark):
     from kickledger.plans import catalog
     for name in ("league_valuation_evolution", "club_valuation_evolution", "first_league_total",

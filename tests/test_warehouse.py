@@ -103,3 +103,18 @@ def test_command_line_needs_raw_for_ingest():
 
     with pytest.raises(SystemExit):
         main(["ingest", "--warehouse", "/nowhere"])
+
+
+def test_expire_clears_only_old_folders(spark, scratch):
+    import os
+    import time
+
+    from kickledger.session import expire
+
+    for name in ("old", "new"):
+        spark.range(3).write.parquet(f"{scratch}/{name}")
+    path = scratch.replace("file:", "")
+    long_ago = time.time() - 50 * 3600
+    os.utime(f"{path}/old", (long_ago, long_ago))
+    assert expire(spark, 48, scratch) == ["old"] and os.listdir(path) == ["new"]
+    assert expire(spark, 48, scratch) == [] and expire(spark, 1, scratch + "-absent") == []
