@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import contextlib
 import datetime as _dt
+import json
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -212,10 +213,10 @@ class Warehouse:
             in_range = _month_keys(*whole_months(start, end), day_key)
             key = F.col(PARTITION_COLUMN)
             rows = rows.where((key >= F.lit(in_range[0])) & (key <= F.lit(in_range[-1])) if in_range else F.lit(False))
+        self.finish_pending(name)
         candidates = self.stored_months(name) & set(in_range) if on_empty == "delete" else set()
         written = write_months(rows, self.location(name), cluster)
-        for key in sorted(candidates - written):
-            self._clear_month(name, rows.schema, key)
+        self._clear_months(name, candidates - written)
 
     def replace_month(self, name: str, df: DataFrame, month: str, on_empty: str = "delete") -> None:
         """Replace one month with the rows of ``df`` that belong to it."""
@@ -223,12 +224,45 @@ class Warehouse:
         rows = rows.where(F.col(PARTITION_COLUMN) == F.lit(month))
         if on_empty not in ("delete", "keep"):
             raise ValueError(f"on_empty must be 'delete' or 'keep', not {on_empty!r}")
+        self.finish_pending(name)
         written = write_months(rows, self.location(name), cluster=False)
         if on_empty == "delete" and not written and month in self.stored_months(name):
-            self._clear_month(name, rows.schema, month)
-
-    def _clear_month(self, name: str, schema: T.StructType, month: str) -> None:
-        clear_month(self.spark, self.location(name), schema, month)
+            self._clear_months(name, {month})
+
+    # Months are cleared after the new rows are committed. What is to be cleared is recorded first, with the files
+    # the months hold, so that a run that stops between the two is finished by the table's next write.
+    def _pending(self, name: str):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_pending/{name}.json")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _clear_months(self, name: str, months: set[str]) -> None:
+        if not months:
+            return
+        files = month_files(self.spark, self.location(name))
+        fs, path = self._pending(name)
+        out = fs.create(path, True)
+        out.write(bytearray(json.dumps({m: sorted(files.get(m, ())) for m in sorted(months)}).encode()))
+        out.close()
+        self.finish_pending(name)
+
+    def finish_pending(self, name: str) -> list[str]:
+        """Clear the months that an earlier replace left to be cleared; returns them.
+
+        A month whose files are no longer those recorded was written since
+        and stays. Called by every replace of the table.
+        """
+        fs, path = self._pending(name)
+        if not fs.exists(path):
+            return []
+        text = "".join(r[0] for r in self.spark.read.option("wholetext", True).text(path.toString()).collect())
+        stored, cleared = month_files(self.spark, self.location(name)), []
+        for month, files in (json.loads(text) if text else {}).items():  # no text: it stopped while the record was made
+            if stored.get(month) == frozenset(files):
+                clear_month(self.spark, self.location(name), self.read(name).schema, month)
+                cleared.append(month)
+        fs.delete(path, False)
+        return cleared
 
 
 def month_keys(start: str, end: str, day_key: bool = False) -> list[str]:

@@ -118,3 +118,42 @@ def test_expire_clears_only_old_folders(spark, scratch):
     os.utime(f"{path}/old", (long_ago, long_ago))
     assert expire(spark, 48, scratch) == ["old"] and os.listdir(path) == ["new"]
     assert expire(spark, 48, scratch) == [] and expire(spark, 1, scratch + "-absent") == []
+
+
+def test_a_replace_that_stops_before_clearing_is_finished_by_the_next_write(spark, scratch, monkeypatch):
+    import pytest
+
+    from kickledger.sources import warehouse as module
+
+    wh = Warehouse(spark, scratch)
+    ddl = "domestic_competition_id string, total_valuation float, min_valuation float, max_valuation float, " \
+          "player_count int, partition_date string"
+
+    def rows(*months):
+        return spark.createDataFrame([("L", 1.0, 1.0, 1.0, 1, m) for m in months], ddl)
+
+    def stored():
+        return sorted(r.partition_date for r in wh.read("league_valuation_evolution").collect())
+
+    table = "league_valuation_evolution"
+    wh.create_table(table)
+    months = ["2020-01-01", "2020-02-01", "2020-03-01", "2020-04-01"]
+    wh.replace_months(table, rows(*months))
+    clear, calls = module.clear_month, []
+
+    def stops(*args):
+        if calls:
+            raise RuntimeError("lost")
+        calls.append(args)
+        clear(*args)
+
+    monkeypatch.setattr(module, "clear_month", stops)
+    with pytest.raises(RuntimeError):
+        wh.replace_months(table, rows("2020-01-01"), on_empty="delete", start="2020-01-01", end="2020-05-01", day_key=True)
+    assert stored() == ["2020-01-01", "2020-03-01", "2020-04-01"]
+    monkeypatch.setattr(module, "clear_month", clear)
+    # Something else writes one of the months that were to go; the next replace clears the other, and only it.
+    module.write_months(rows("2020-04-01"), wh.location(table))
+    wh.replace_months(table, rows("2020-06-01"))
+    assert stored() == ["2020-01-01", "2020-04-01", "2020-06-01"]
+    assert wh.finish_pending(table) == []
