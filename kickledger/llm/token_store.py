@@ -13,7 +13,8 @@ let all lanes of a block advance together, one id each per step.
 
 from __future__ import annotations
 
-import re
+import functools
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,135 +29,206 @@ from . import common
 MAX_BITS = 18
 BLOCK_IDS = 1 << 17
 LANE_IDS = 128
-CHUNK_UNITS = 200_000
-KNOWN_UNITS = 700_000
+CHUNK_CHARS = 4_000_000
+KNOWN_UNITS = 600_000       # units a worker remembers, and bytes of them
+KNOWN_BYTES = 16 << 20
 JOINED_UNITS = 256
 END_ID = 2
 
-_SPLIT = re.compile(r"(?<=\S) (?=\S)")
-_MARKS = ".,"
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+# Classes of characters. Where a character's class may depend on the Unicode version it is UNSURE.
+OTHER, LETTER, NUMBER, BLANK, SPACE, UNSURE = range(6)
+_SURE = 0x250               # below here letters and numbers have not changed for decades
 
 
-def units_of(text: str) -> list:
-    """A text's parts between single spaces; the first, which no space precedes, as a tuple.
+@functools.cache
+def _classes() -> np.ndarray:
+    table = np.full(0x110000, UNSURE, np.uint8)
+    for c in (*range(0x21, 0x7F), *range(0xA1, _SURE)):
+        kind = unicodedata.category(chr(c))[0]
+        table[c] = LETTER if kind == "L" else NUMBER if kind == "N" else OTHER
+    table[[9, 10, 13]] = BLANK
+    table[32] = SPACE
+    return table
 
-    Byte-level pre-tokenization always parts before a space between two
-    non-space characters, so parts encode independently, each with the space
-    before it.
-    """
-    if not text:
-        return []
-    even = not (text[:1].isspace() or text[-1:].isspace() or "  " in text or " \n" in text or "\n " in text
-                or _OTHER_SPACE.search(text))
-    units = text.split(" ") if even else _SPLIT.split(text)
-    units[0] = (units[0],)
-    return units
-
-
-class _Places(dict):
-    """Unit to its number; a unit not seen before gets the next number and waits in ``fresh``."""
 
-    def __init__(self, *args):
-        super().__init__(*args)
-        self.fresh: list = []
+def unit_starts(chars: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
+    """Which characters begin a unit: the parts that byte-level pre-tokenization encodes one by one.
 
-    def __missing__(self, unit) -> int:
-        self[unit] = at = len(self)
-        self.fresh.append(unit)
-        return at
+    A unit is a run of letters, of numbers or of other marks with the space
+    before it, a contraction, or white space: of several blanks all but the
+    last, which, if it is a space, belongs to what follows. Pre-tokenization
+    always parts before a space between two characters that are no blanks;
+    where an unsure character stands between two such places, all from one
+    to the next is one unit. ``chars`` are the code points of joined texts.
+    """
+    n = len(chars)
+    kind = _classes()[chars]
+    first = np.zeros(n + 1, bool)
+    first[text_starts] = True
+    first = first[:n]
+    before = np.empty(n, np.uint8)
+    before[0], before[1:] = BLANK, kind[:-1]
+    before[first] = BLANK               # a text begins like a line, but see ``joined`` below
+    after = np.empty(n, np.uint8)
+    after[-1], after[:-1] = BLANK, kind[1:]
+    after[np.flatnonzero(first)[1:] - 1] = BLANK
+    ends = np.zeros(n, bool)            # last character of its text
+    ends[-1], ends[:-1] = True, first[1:]
+    white, white_before, white_after = ((k == BLANK) | (k == SPACE) for k in (kind, before, after))
+    white_before &= ~first
+    joined = np.zeros(n, bool)          # a space stands before it that belongs to it
+    joined[1:] = (kind[:-1] == SPACE) & ~white[1:] & ~first[1:]
+    start = ~white & ~joined & (white_before | (kind != before))
+    # Of a run of blanks: its first, and its last if something follows it.
+    start |= white & (~white_before | (~white_after & ~ends))
+    start |= first
+    quote = np.flatnonzero((chars == 0x27) & start)
+    if len(quote):
+        wide = np.concatenate([chars, np.zeros(2, chars.dtype)])
+        text = np.cumsum(first)
+        text = np.concatenate([text, [-1, -1]])
+        one, two = wide[quote + 1], wide[quote + 2]
+        same, same2 = text[quote + 1] == text[quote], text[quote + 2] == text[quote]
+        short = np.isin(one, list(map(ord, "stmd"))) & same
+        pair = one.astype(np.int64) << 32 | two
+        long = np.isin(pair, [ord(a) << 32 | ord(b) for a, b in ("re", "ve", "ll")]) & same2
+        for hit, size in ((short, 2), (long, 3)):
+            at = quote[hit]
+            for k in range(1, size):
+                start[at + k] = False
+            at = at[at + size < n] + size
+            start[at] = True
+    if (kind == UNSURE).any():
+        sure = ~white & (kind != UNSURE)
+        cut = first.copy()
+        cut[1:-1] |= (kind[1:-1] == SPACE) & sure[:-2] & sure[2:] & ~first[1:-1] & ~first[2:]
+        places = np.flatnonzero(cut)
+        odd = np.logical_or.reduceat(kind == UNSURE, places)
+        start &= cut | ~np.repeat(odd, np.diff(np.append(places, n)))
+    return start
 
 
 class UnitEncoder:
-    """Encodes texts with the tokenizers library; a unit seen before is taken from a bounded table."""
+    """Encodes texts with the tokenizers library; a unit seen before is taken from a bounded table.
+
+    The table keeps the units that most chunks hold when it is full.
+    """
 
     def __init__(self, tokenizer_json: str, known: dict):
         from tokenizers import Tokenizer
 
-        self.tokenizer = known.get("tokenizer") or Tokenizer.from_str(tokenizer_json)
         self.known = known
         if "tokenizer" not in known:
-            spaced = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
-            spaced[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("Ġ")]] = True
-            known.update(tokenizer=self.tokenizer, spaced=spaced)
+            known["tokenizer"] = tokenizer = Tokenizer.from_str(tokenizer_json)
+            vocabulary = tokenizer.get_vocab()
+            spaced = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), bool)
+            spaced[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+            known.update(spaced=spaced, line=vocabulary.get("Ċ", -1),
+                         added=[t.content for t in tokenizer.get_added_tokens_decoder().values()])
+        self.tokenizer = known["tokenizer"]
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids with the end id after each text, ids per text)."""
         known = self.known
-        if "at" not in known or len(known["at"]) > KNOWN_UNITS:
-            known.update(at=_Places({None: 0}), ids=np.array([end_id], np.int32), starts=np.zeros(1, np.int64),
-                         sizes=np.ones(1, np.int64))
-        at, units, ends = known["at"], [], []
-        for text in texts:
-            units += units_of(text)
-            units.append(None)
-            ends.append(len(units))
-        try:
-            index = np.fromiter(map(at.__getitem__, units), np.int64, len(units))
-            if at.fresh:
-                flat, starts, sizes = self._encode_units(at.fresh)
-                known["starts"] = np.concatenate([known["starts"], starts + len(known["ids"])])
-                known["sizes"] = np.concatenate([known["sizes"], sizes])
-                known["ids"] = np.concatenate([known["ids"], flat])
-                at.fresh = []
-        except BaseException:
-            del known["at"]      # units with numbers but without ids: the table starts anew
-            raise
-        sizes = known["sizes"][index]
-        ids = known["ids"][_ranges(known["starts"][index], sizes)]
-        return ids, np.diff(np.append(0, np.cumsum(sizes)[np.array(ends, np.int64) - 1]))
-
-    def _encode_units(self, units: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, where a unit's ids start, how many they are) of distinct units, the newest of the table.
-
-        Units of one run of non-space characters are joined, many to a call:
-        only a unit's first token begins with a space, so the ids show where
-        the next unit begins. A word with one stop or comma after it takes
-        the ids of the word and of the mark, which are always parted.
+        whole = "".join(texts)
+        chars = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        text_starts = np.cumsum(sizes) - sizes
+        if len(chars):
+            start = unit_starts(chars, text_starts[sizes > 0])
+            if any(token in whole for token in known["added"]):   # such texts are one unit each
+                for k, text in enumerate(texts):
+                    if any(token in text for token in known["added"]):
+                        start[text_starts[k] + 1:text_starts[k] + sizes[k]] = False
+            starts = np.flatnonzero(start)
+            width = (1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)).astype(np.int64)
+            places = np.append(np.cumsum(width) - width, width.sum())
+            data = whole.encode()
+            units = pa.Array.from_buffers(pa.large_binary(), len(starts), [
+                None, pa.py_buffer(places[np.append(starts, len(chars))]), pa.py_buffer(data)]).dictionary_encode()
+            numbers = self._numbers(units.dictionary.to_pylist(), end_id)
+            index = numbers[units.indices.to_numpy(zero_copy_only=False)]
+        else:
+            starts, index = np.empty(0, np.int64), np.empty(0, np.int64)
+            self._numbers([], end_id)
+        # The end id, unit 0 of the table, follows the units of each text.
+        index = np.insert(index, np.searchsorted(starts, text_starts + sizes), 0)
+        counts = known["sizes"][index]
+        ids = known["ids"][_ranges(known["starts"][index], counts)]
+        last = np.searchsorted(starts, text_starts + sizes) + np.arange(len(texts))
+        return ids, np.diff(np.append(0, np.cumsum(counts)[last])) if len(texts) else np.empty(0, np.int64)
+
+    def _numbers(self, units: list[bytes], end_id: int) -> np.ndarray:
+        """Table numbers of distinct units; those not seen before are encoded and added."""
+        known = self.known
+        if "at" not in known:
+            known.update(at={None: 0}, ids=np.array([end_id], np.int32), starts=np.zeros(1, np.int64),
+                         sizes=np.ones(1, np.int64), seen=np.full(1, 1 << 40), bytes=0)
+        elif len(known["at"]) > KNOWN_UNITS or known["bytes"] > KNOWN_BYTES:
+            self._forget()
+        at = known["at"]
+        numbers = np.fromiter((at.get(u, -1) for u in units), np.int64, len(units))
+        fresh = np.flatnonzero(numbers < 0)
+        if len(fresh):
+            new = [units[k] for k in fresh.tolist()]
+            flat, starts, sizes = self._encode_units([u.decode() for u in new])
+            numbers[fresh] = np.arange(len(known["sizes"]), len(known["sizes"]) + len(new))
+            known["starts"] = np.concatenate([known["starts"], starts + len(known["ids"])])
+            known["sizes"] = np.concatenate([known["sizes"], sizes])
+            known["ids"] = np.concatenate([known["ids"], flat])
+            known["seen"] = np.concatenate([known["seen"], np.zeros(len(new), np.int64)])
+            known["bytes"] += sum(map(len, new))
+            at.update(zip(new, numbers[fresh].tolist()))
+        known["seen"][numbers] += 1
+        return numbers
+
+    def _forget(self) -> None:
+        """Keep the units that were met in most chunks, a third of the table at most, and none that was met once."""
+        known = self.known
+        least = max(2, int(np.partition(known["seen"], -(KNOWN_UNITS // 3))[-(KNOWN_UNITS // 3)]) + 1
+                    if len(known["seen"]) > KNOWN_UNITS // 3 else 2)
+        kept = np.flatnonzero(known["seen"] >= least)
+        place = np.full(len(known["seen"]), -1, np.int64)
+        place[kept] = np.arange(len(kept))
+        known["at"] = {u: p for u, n in known["at"].items() if (p := int(place[n])) >= 0 and (u is None or len(u) < 256)}
+        sizes = known["sizes"][kept]
+        known["ids"] = known["ids"][_ranges(known["starts"][kept], sizes)]
+        known.update(starts=np.cumsum(sizes) - sizes, sizes=sizes, seen=known["seen"][kept] // 2 + 1,
+                     bytes=sum(len(u or b"") for u in known["at"]))
+        known["seen"][0] = 1 << 40
+
+    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where a unit's ids start, how many they are) of distinct units.
+
+        Units that begin with a space are joined, many to a call: only a
+        unit's first token begins with a space, so the ids show where the
+        next unit begins. Others are joined by line feeds, which are tokens
+        of their own. White space and what is unsure is encoded by itself.
         """
-        known, at = self.known, self.known["at"]
-        old = len(known["sizes"])
-        ended = [k for k, u in enumerate(units) if type(u) is str and u[-1:] in _MARKS and u[:-1].isalpha()]
-        is_plain = np.ones(len(units), bool)
-        is_plain[ended] = False
-        plain = np.flatnonzero(is_plain)
-        bare: dict[str, int] = {}            # words that only a mark has followed so far
-        words = [units[k][:-1] for k in ended]
-        slots = np.array([at[w] if w in at else -1 - bare.setdefault(w, len(bare)) for w in words], np.int64)
-        run = [*(units[k] for k in plain.tolist()), *bare, *((m,) for m in _MARKS)]
-        flat, heads, counts = self._encode_runs(run)
-        # Slots: units known before, then this run.
-        new = slots >= old
-        slots[new] = old + (np.cumsum(is_plain) - 1)[slots[new] - old]
-        slots[slots < 0] = old + len(plain) - 1 - slots[slots < 0]
-        marks = np.array([_MARKS.index(units[k][-1]) for k in ended], np.int64) + old + len(run) - len(_MARKS)
-        pairs = np.stack([slots, marks], 1).ravel()
-        firsts = np.concatenate([known["starts"] + len(flat), heads])[pairs]
-        lengths = np.concatenate([known["sizes"], counts])[pairs]
-        added = np.concatenate([flat, known["ids"]])[_ranges(firsts, lengths)]
-        starts, sizes = np.empty(len(units), np.int64), np.empty(len(units), np.int64)
-        starts[plain], sizes[plain] = heads[:len(plain)], counts[:len(plain)]
-        sizes[ended] = lengths.reshape(-1, 2).sum(1)
-        starts[ended] = len(flat) + np.cumsum(sizes[ended]) - sizes[ended]
-        return np.concatenate([flat, added]), starts, sizes
-
-    def _encode_runs(self, units: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        fits = np.fromiter((type(u) is str and (u.isalpha() or u.split() == [u]) for u in units), bool, len(units))
-        plain, odd = np.flatnonzero(fits).tolist(), np.flatnonzero(~fits).tolist()
-        texts = [" " + " ".join([units[k] for k in plain[at:at + JOINED_UNITS]]) for at in range(0, len(plain), JOINED_UNITS)]
-        texts += [units[k][0] if type(units[k]) is tuple else " " + units[k] for k in odd]
+        known = self.known
+        # Printable and below _SURE: nothing unsure, no line feed; no second space: one run with the space before it.
+        kind = [2 if not u.isprintable() or not (u.isascii() or max(u) < chr(_SURE)) or (space := u.rfind(" ")) > 0
+                or len(u) <= -~space else 0 if space == 0 else 1 for u in units]
+        if known["line"] < 0:
+            kind = [2 if x == 1 else x for x in kind]
+        groups = [[k for k, x in enumerate(kind) if x == g] for g in range(3)]
+        texts = [("" if g == 0 else "\n").join([units[k] for k in groups[g][at:at + JOINED_UNITS]])
+                 for g in (0, 1) for at in range(0, len(groups[g]), JOINED_UNITS)]
+        texts += [units[k] for k in groups[2]]
         found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        joined = len(texts) - len(odd)
-        flat = np.concatenate([np.empty(0, np.int32), *found])
-        heads = self.known["spaced"][flat]
-        done = sum(map(len, found[:joined]))
-        heads[done:] = False
-        heads[done + np.cumsum([0, *map(len, found[joined:])])[:-1].astype(np.int64)] = True
-        heads = np.flatnonzero(heads)
-        assert len(heads) == len(units), "a tokenizer that joins across spaces isn't supported"
-        sizes = np.diff(np.append(heads, len(flat)))
-        back = np.argsort(np.array(plain + odd, np.int64))
-        return flat, heads[back], sizes[back]
+        calls = [-(-len(groups[g]) // JOINED_UNITS) for g in (0, 1)]
+        spaced = np.concatenate([np.empty(0, np.int32), *found[:calls[0]]])
+        heads = np.flatnonzero(known["spaced"][spaced])
+        lined = np.concatenate([np.empty(0, np.int32), *[x for f in found[calls[0]:sum(calls)] for x in (f, [known["line"]])]])
+        line = np.flatnonzero(lined == known["line"])
+        alone = found[sum(calls):]
+        assert len(heads) == len(groups[0]) and len(line) == len(groups[1]), "a tokenizer that joins units isn't supported"
+        sizes = np.concatenate([np.diff(np.append(heads, len(spaced))), np.diff(np.append(-1, line)) - 1,
+                                np.fromiter(map(len, alone), np.int64, len(alone))]).astype(np.int64)
+        flat = np.concatenate([spaced, lined[lined != known["line"]], *alone]).astype(np.int32)
+        starts = np.cumsum(sizes) - sizes
+        back = np.argsort(np.array([k for g in groups for k in g], np.int64))
+        return flat, starts[back], sizes[back]
 
 
 def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -180,7 +252,7 @@ def tokenize(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID, id_col:
             texts, out, at = batch.column(1).to_pylist(), [], 0
             while at < len(texts):
                 end, size = at, 0
-                while end < len(texts) and size < CHUNK_UNITS * 6:
+                while end < len(texts) and size < CHUNK_CHARS:
                     size += len(texts[end])
                     end += 1
                 ids, sizes = encoder.encode(texts[at:end], end_id)
