@@ -298,3 +298,34 @@ def test_empty_tables(spark, docs, items):
     assert collocations.collocations(docs.limit(0)).count() == 0
     assert mixing.mix(docs.limit(0)).count() == 0
     assert lexical.ranked(docs.limit(0), items).count() == 0 and lexical.ranked(docs, items.limit(0)).count() == 0
+
+
+def test_sources_are_numbered_over_many_ranges(spark):
+    names = [f"s{k * 7919 % 1000:04d}" for k in range(1000)] + ["", "é", "\U0001F600", "￿", None]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        found = mixing.numbered(spark.createDataFrame([(n,) for n in names], "source string").repartition(5))
+        got = {r.source: r.place for r in found.collect()}
+        assert spark.read.parquet(*found.inputFiles()).select("range").distinct().count() > 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    order = sorted((n for n in names if n is not None), key=lambda n: n.encode()) + [None]
+    assert got == {n: k for k, n in enumerate(order)}
+
+
+def test_water_filling_of_very_many_sources(spark):
+    rows = [(f"s{k:05d}", int(3 ** (k % 17)), 1) for k in range(300)]
+    sized = spark.createDataFrame(rows, "source string, source_size long, weight long")
+    got = {r.source: (r.target, r.wanted) for r in mixing.water_fill(sized).collect()}
+    total, caps = sum(s for _, s, _ in rows), {n: 2 * s for n, s, _ in rows}
+    clamped = set()
+    while True:
+        share = (Fraction(3, 2) * total - sum(caps[n] for n in clamped)) / (len(rows) - len(clamped))
+        above = {n for n in caps if n not in clamped and share > caps[n]}
+        if not above:
+            break
+        clamped |= above
+    assert got == {n: (float(caps[n]), caps[n]) if n in clamped else (float(share), math.floor(share)) for n in caps}
+    assert len(clamped) > 100 and sum(t for t, _ in got.values()) == pytest.approx(1.5 * total)

@@ -322,10 +322,10 @@ HEADERS = [
      '"License"); you may not use this file except in compliance with the License. You may obtain a copy of the License '
      'at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n'),
     ("Apache-2.0", "<Apache2Ref>", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0-or-later", "<Gpl3Plus>", "This program is free software: you can redistribute it and/or modify it under the "
+    ("GPL-3.0-or-later", "<GPL-3.0-or-later>", "This program is free software: you can redistribute it and/or modify it under the "
      "terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the "
      "License, or (at your option) any later version."),
-    ("GPL-2.0-or-later", "<Gpl2Plus>", "This program is free software; you can redistribute it and/or modify it under the "
+    ("GPL-2.0-or-later", "<GPL-2.0-or-later>", "This program is free software; you can redistribute it and/or modify it under the "
      "terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the "
      "License, or (at your option) any later version."),
     ("GPL-3.0", "<Gpl3Ref>", "This work is licensed under the GNU General Public License, version 3."),
@@ -337,7 +337,29 @@ HEADERS = [
     ("CC-BY-SA-4.0", "<CcBySa4Ref>", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-4.0", "<CcBy4Ref>", "Licensed under CC BY 4.0."),
     ("Proprietary", "<AllRights>", "All rights reserved."),
+    ("GPL-2.0", "<Gpl2Ref>", "This work is licensed under the GNU General Public License, version 2."),
+    ("MPL-2.0", "<Mpl2Ref>", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
+     "of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("EPL-2.0", "<Epl2Ref>", "This program and the accompanying materials are made available under the terms of the Eclipse "
+     "Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("EPL-1.0", "<Epl1Ref>", "This program and the accompanying materials are made available under the terms of the Eclipse "
+     "Public License v1.0 which accompanies this distribution."),
+    ("Unlicense", "<UnlicenseRef>", "This is free and unencumbered software released into the public domain."),
+    ("CC0-1.0", "<Cc0Ref>", "CC0 1.0 Universal"),
+    ("CC0-1.0", "<Cc0Waiver>", "To the extent possible under law, A. Writer has waived all copyright and related or "
+     "neighboring rights to this work."),
+    *[(name, f"<Spdx-{name}>", f"SPDX-License-Identifier: {name}") for name in licenses.SPDX],
 ]
+GNU = ("{who} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public License as "
+       "published by the Free Software Foundation, {version}.")
+for _short, _kind, _v in (("GPL", "General", "1.0"), ("GPL", "General", "2.0"), ("GPL", "General", "3.0"), ("AGPL", "Affero General", "3.0"),
+                          ("LGPL", "Lesser General", "2.1"), ("LGPL", "Lesser General", "3.0"), ("LGPL", "Library General", "2.0")):
+    _n = _v.removesuffix(".0")
+    for _end, _version in (("or-later", f"either version {_n} of the License, or (at your option) any later version"),
+                           ("or-later", f"either version {_n}, or (at your option) any later version"),
+                           ("only", f"version {_n} of the License")):
+        HEADERS.append((f"{_short}-{_v}-{_end}", f"<{_short}-{_v}-{_end}>",
+                        GNU.format(who="This library", kind=_kind, version=_version)))
 BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
        "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this "
        "list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above "
@@ -352,12 +374,46 @@ def licenses_of(spark, texts):
 
 def test_every_licence_rule_on_its_official_header(spark):
     assert {name for name, _ in licenses.RULES} == {name for name, _, _ in HEADERS}
+    assert len(licenses.SPDX) + len(HEADERS) < len(licenses.SENTENCES) < 200
     assert {"".join(f"<{i}>" for i in rule) for _, rule in licenses.RULES} <= {ids for _, ids, _ in HEADERS}
     got = licenses_of(spark, [text.format(bsd=BSD) for _, _, text in HEADERS])
     assert [(got[k].licenses, got[k].sequence, got[k].n_unknown) for k in range(len(HEADERS))] \
         == [(name, ids, 0) for name, ids, _ in HEADERS]
 
 
+BESIDE = [
+    ("BSD-2-Clause", "Copyright (c) 2020, A. Writer. All rights reserved.\n\n" + BSD),
+    ("", "This work is not licensed under the MIT License."), ("", "It is no longer released under the MIT License."),
+    ("", "It was never licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "It is not licensed under the MIT License. Licensed under the Apache License, Version 2.0."),
+    ("GPL-3.0-or-later", GNU.format(who="Foo Bar 2", kind="General",
+                                    version="either version 3 of the License, or (at your option) any later version")),
+    ("GPL-2.0-only", "You may use it. It is free software; you can redistribute it and/or modify it under the terms of the GNU "
+     "General Public License version 2 as published by the Free Software Foundation."),
+    ("LGPL-2.1-only", "/* SPDX-License-Identifier: LGPL-2.1-only */"), ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0\n"),
+    ("MIT,Proprietary"[:3], "All rights reserved. Released under the MIT License."), ("Proprietary", "x All Rights Reserved x"),
+    ("MIT", "Licensed\x01under the MIT License"), ("", "licensed under the mit licenses"), ("", "unlicensed under the mit license"),
+    ("", "Licensed under the MIT. 3 License"[:22]), ("", "É all righTs reservedé"[:8]), ("", ""), ("", "\x01 \x01"), ("", " ")]
+
+
+def test_licences_beside_denials_and_reserved_rights(spark):
+    got = licenses_of(spark, [text for _, text in BESIDE])
+    assert [got[k].licenses for k in range(len(BESIDE))] == [name for name, _ in BESIDE]
+
+
+def test_the_sql_states_the_same_licence_rules(spark):
+    import duckdb
+    import pandas as pd
+
+    texts = [t.format(bsd=BSD) for _, _, t in HEADERS] + [t for _, t in BESIDE]
+    texts += [f"Some, words; here\n{a} And {b}" for a, b in zip(texts, texts[1:])] + [t.replace(" ", "\n# ") for t in texts]
+    got = licenses_of(spark, texts)
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    want = con.execute(licenses.OP2_SQL).fetchall()
+    assert sorted(map(tuple, got.values())) == sorted(want)
+
+
 @pytest.mark.parametrize("mark", ["", " * ", "# "])
 def test_licences_do_not_depend_on_line_wrapping(spark, mark):
     def wrapped(text, width):
