@@ -13,6 +13,7 @@ size, independent of the corpus), carried as an array literal.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,18 @@ HEX = r"[0-9a-f]{16,}"          # equals [0-9a-f]+ with failing matches of under
 KINDS = ["assign", "access", "hex", "markov"]
 
 SHORTEST = 16
+
+# Twins of the characters below 0x80, and the base patterns with a twin allowed for each character.
+_TWIN = 0x10F000
+PLAIN, TWINS = "".join(map(chr, range(1, 128))), "".join(chr(_TWIN + c) for c in range(1, 128))
+TWIN_CLASS = rf"[\x{{{_TWIN:X}}}-\x{{{_TWIN + 127:X}}}]"
+HEX_OR_TWIN = (rf"[0-9a-f\x{{{_TWIN + 0x30:X}}}-\x{{{_TWIN + 0x39:X}}}\x{{{_TWIN + 0x61:X}}}-\x{{{_TWIN + 0x66:X}}}]"
+               "{16,}")
+ACCESS_OR_TWIN = "".join(rf"[{c}\x{{{_TWIN + ord(c):X}}}]" for c in "AKIA") + (
+    rf"[A-Z0-9\x{{{_TWIN + 0x41:X}}}-\x{{{_TWIN + 0x5A:X}}}\x{{{_TWIN + 0x30:X}}}-\x{{{_TWIN + 0x39:X}}}]" "{14,}")
+BLOCK = 64                      # matches
+SPANS = "array<struct<start:int,end:int,found:string>>"
+
 RUN = rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"  # what the Markov models judge, less base spans
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SIZE = len(ALPHABET) + 1        # the last class is every other character
@@ -41,25 +54,56 @@ def _matches(text: Column, pattern: str) -> Column:
     ``split`` and ``regexp_extract_all`` walk the same matches, so the k-th
     match starts after k + 1 pieces and k matches.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    spans = F.aggregate(
-        F.arrays_zip(F.slice(pieces, 1, F.size(found)).alias("piece"), found.alias("found")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,found:string>>").alias("out")),
-        lambda s, m: F.struct(
-            (s["at"] + F.length(m["piece"]) + F.length(m["found"])).alias("at"),
-            F.concat(s["out"], F.array(F.struct(
-                (s["at"] + F.length(m["piece"])).alias("start"),
-                (s["at"] + F.length(m["piece"]) + F.length(m["found"])).alias("end"),
-                m["found"].alias("found")))).alias("out")),
-        lambda s: s["out"])
-    none = F.array().cast("array<struct<start:int,end:int,found:string>>")
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    def of(both: Column) -> Column:
+        # Places are running sums. Appending copies an array, so they are taken inside blocks, then shifted by the
+        # blocks before: the work stays near the number of matches, however many a text has.
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(both) - 1) / BLOCK).cast("int")),
+                             lambda k: F.slice(both, k * BLOCK + 1, BLOCK))
+        inside = F.transform(blocks, lambda block: F.aggregate(
+            block, F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out")),
+            lambda s, m: F.struct(
+                (s["at"] + F.length(m["piece"]) + F.length(m["found"])).alias("at"),
+                F.concat(s["out"], F.array(F.struct(
+                    (s["at"] + F.length(m["piece"])).alias("start"),
+                    (s["at"] + F.length(m["piece"]) + F.length(m["found"])).alias("end"),
+                    m["found"].alias("found")))).alias("out"))))
+        return _once(inside, shifted)
+
+    def shifted(inside: Column) -> Column:
+        firsts = F.aggregate(
+            inside, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda s, b: F.struct((s["at"] + b["at"]).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
+            lambda s: s["out"])
+        return _once(firsts, lambda firsts: F.flatten(F.transform(inside, lambda b, k: F.transform(b["out"], lambda m: F.struct(
+            (m["start"] + F.get(firsts, k)).alias("start"), (m["end"] + F.get(firsts, k)).alias("end"),
+            m["found"].alias("found"))))))
+
+    none = F.array().cast(SPANS)
+    return F.when(text.rlike(pattern), _once(_walk(text, pattern), lambda w: F.when(F.size(w["parts"]) > 0, _once(
+        w["parts"], of)).otherwise(none))).otherwise(none)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often and however deep inside loops it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _walk(text: Column, pattern: str) -> Column:
+    """struct(parts: array<struct(piece, found)>, last): each match with the piece before it, and the piece after all."""
+    both = F.struct(F.split(text, pattern, -1).alias("pieces"),
+                    F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
+    return _once(both, lambda b: F.struct(
+        F.transform(b["found"], lambda f, k: F.struct(F.get(b["pieces"], k).alias("piece"), f.alias("found"))).alias("parts"),
+        F.element_at(b["pieces"], -1).alias("last")))
+
+
+def _is_assignment(found: Column) -> Column:
+    return F.length(F.regexp_extract(found, ASSIGN, 2)) >= 12
 
 
 def base_spans(text: Column) -> Column:
     """array<struct(start, end, kind int)> of the base patterns, by start, then kind as listed."""
-    assign = F.filter(_matches(text, ASSIGN), lambda m: F.length(F.regexp_extract(m["found"], ASSIGN, 2)) >= 12)
+    assign = F.filter(_matches(text, ASSIGN), lambda m: _is_assignment(m["found"]))
 
     def of(spans: Column, kind: int) -> Column:
         return F.transform(spans, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"),
@@ -89,9 +133,11 @@ def train(samples: DataFrame) -> list[float]:
 
     ``samples`` holds (text, label): label 1 a random string, 0 an ordinary
     identifier. At most 2 x SIZE x SIZE counts reach the driver, whatever the
-    sample. Without samples every ratio is 0, so nothing is found.
+    sample. Where one class has no samples every ratio is 0, so nothing is found.
     """
     counts = {(r["label"], r["a"], r["b"]): r["n"] for r in transitions(samples).collect()}
+    if {label for label, _, _ in counts} != {0, 1}:
+        return [0.0] * (SIZE * SIZE)
     logs = []
     for label in (0, 1):
         pairs = [[counts.get((label, a, b), 0) for b in range(SIZE)] for a in range(SIZE)]
@@ -108,9 +154,9 @@ def sample_from(docs: DataFrame, limit: int = SAMPLE_DOCS) -> DataFrame:
     ``limit`` base-64 digests of counters, random by construction, for keys of
     mixed case. Label 0: distinct words of six letters or more of documents
     without such spans. At most ``limit`` documents are used, those with the
-    smallest id hashes.
+    smallest id hashes; documents without an id are not sampled.
     """
-    rows = common.ids_and_texts(docs)
+    rows = common.ids_and_texts(docs).filter(F.col("doc_id").isNotNull())
     chosen = common.few(rows.select("doc_id"), limit, "doc_id").distinct()
     rows = rows.join(F.broadcast(chosen), "doc_id")
     shaped = F.col("text").rlike(f"{ACCESS}|{HEX}|{ASSIGN}")
@@ -140,22 +186,26 @@ def score(found: Column, model: list[float]) -> Column:
     return total / (F.length(found) - 1)
 
 
-def uncovered(run: Column, base: Column) -> Column:
-    """array<struct(start, end, found)>: what base spans, sorted by start, leave of a run, in rests of SHORTEST or more."""
-    none = F.array().cast("array<struct<start:int,end:int,found:string>>")
+def _veiled(text: Column, pattern: str, covers: Callable[[Column], Column] | None = None) -> Column:
+    """Text in which each character of a match (that ``covers``) is replaced by its twin, all others staying in place."""
+    def veil(found: Column) -> Column:
+        twin = F.translate(found, PLAIN, TWINS)
+        return F.when(covers(found), twin).otherwise(found) if covers else twin
+
+    whole = _once(_walk(text, pattern), lambda w: F.concat(F.array_join(F.transform(
+        w["parts"], lambda m: F.concat(m["piece"], veil(m["found"]))), ""), w["last"]))
+    return F.when(text.rlike(pattern), whole).otherwise(text)
 
-    def rest(start: Column, end: Column) -> Column:
-        return F.when(end - start >= SHORTEST, F.array(F.struct(
-            start.alias("start"), end.alias("end"),
-            F.substring(run["found"], start - run["start"] + 1, end - start).alias("found")))).otherwise(none)
 
-    over = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-    parted = F.aggregate(
-        over, F.struct(run["start"].alias("at"), none.alias("out")),
-        lambda s, b: F.struct(F.greatest(s["at"], b["end"]).alias("at"),
-                              F.concat(s["out"], rest(s["at"], b["start"])).alias("out")),
-        lambda s: F.concat(s["out"], rest(s["at"], run["end"])))
-    return F.when(F.size(over) > 0, parted).otherwise(F.array(run))
+def uncovered(text: Column) -> Column:
+    """Text with all characters of base spans veiled: what is left of a run keeps its place and characters.
+
+    Twins are 128 private characters, one per character below 0x80; those a
+    text holds itself become a control character first, which no pattern takes. Veiling must not hide a match of
+    another base pattern, so those patterns take a twin for its character.
+    """
+    clean = F.when(text.rlike(TWIN_CLASS), F.regexp_replace(text, TWIN_CLASS, "\u0001")).otherwise(text)
+    return _veiled(_veiled(_veiled(clean, ASSIGN, _is_assignment), HEX_OR_TWIN), ACCESS_OR_TWIN)
 
 
 def scan(docs: DataFrame, model: list[float], margin: float = MARGIN, id_col: str = "doc_id",
@@ -168,9 +218,10 @@ def scan(docs: DataFrame, model: list[float], margin: float = MARGIN, id_col: st
     rows give a row each; an empty table gives none.
     """
     rows = common.ids_and_texts(docs, id_col, text_col)
-    based = rows.select("doc_id", base_spans(F.col("text")).alias("base"), _matches(F.col("text"), RUN).alias("runs"))
-    rests = F.flatten(F.transform("runs", lambda r: uncovered(r, F.col("base"))))
-    based = based.select("doc_id", "base", rests.alias("rests"))
+    based = rows.select("doc_id", "text", base_spans(F.col("text")).alias("base"))
+    based = based.select("doc_id", "base", F.when(F.size("base") > 0, uncovered(F.col("text"))).otherwise(
+        F.col("text")).alias("rest"))
+    based = based.select("doc_id", "base", _matches(F.col("rest"), RUN).alias("rests"))
     fresh = F.filter("rests", lambda r: score(r["found"], model) > margin)
     return based.select("doc_id", "base", F.transform(fresh, lambda r: F.struct(
         r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end"))).alias("added"))
