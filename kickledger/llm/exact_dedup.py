@@ -2,12 +2,14 @@
 
 Every row becomes a digest entry: a 64-bit digest to sort and exchange by,
 and what verifies it (SHA-256 and byte length). Rows are dealt over R runs
-by a hash of their id. Each run folds its equal entries into one (the id
-that stays, the number of rows), then runs merge in rounds: in round k the
-runs whose numbers agree after dropping k base-F digits exchange and merge
-into one, F at a time, so log_F(R) rounds leave one run with one entry per
-text. Every level groups by digest AND verification, so a collision of the
-short digest never joins different texts.
+by a hash of their id. A run lies in digest ranges, each range sorted in one
+task: equal entries stand side by side and fold into one (the id that stays,
+the number of rows) as they are read. Runs merge in rounds: in round k the
+runs whose numbers agree after dropping k base-F digits exchange range by
+range and merge in digest order into one, F at a time, so log_F(R) rounds
+leave one run with one entry per text, still in ranges. Every level compares
+digest AND verification, so a collision of the short digest never joins
+different texts.
 
 A text with a third of all rows sends at most one entry per run and level,
 so no task receives its rows; the answer returns to the rows by a join on
@@ -25,6 +27,7 @@ from ..session import materialize
 from . import common
 
 FAN_IN = 8
+RANGE_BITS = 16   # leading digest bits that name a range: how far a run, the last one too, spreads over tasks
 _ENTRY = ["digest", "text_sha256", "n_bytes"]
 
 
@@ -44,9 +47,17 @@ def digests(docs: DataFrame, runs: int, id_col: str = "doc_id", text_col: str =
     ).withColumn("run", F.pmod(F.xxhash64("doc_id", "row"), F.lit(runs)).cast("int"))
 
 
-def _fold(entries: DataFrame, keep: str, by: list[str]) -> DataFrame:
+def _merged(entries: DataFrame, keep: str) -> DataFrame:
+    """Entries of one run number meet, range by range, sorted by digest; equal neighbours fold.
+
+    The aggregation takes over the partitioning and the order: no further
+    exchange, no hash table, one pass over sorted entries.
+    """
     best = F.max if keep == "largest" else F.min
-    return entries.groupBy(*by).agg(best("stays").alias("stays"), F.sum("n").alias("n"))
+    key = ["run", "range", *_ENTRY]
+    sorted_runs = entries.withColumn("range", F.shiftrightunsigned("digest", 64 - RANGE_BITS)) \
+        .repartition("run", "range").sortWithinPartitions(*key)
+    return sorted_runs.groupBy(*key).agg(best("stays").alias("stays"), F.sum("n").alias("n")).drop("range")
 
 
 def tree_merge(rows: DataFrame, runs: int, fan_in: int, keep: str) -> DataFrame:
@@ -55,11 +66,10 @@ def tree_merge(rows: DataFrame, runs: int, fan_in: int, keep: str) -> DataFrame:
     ``stays`` is struct(doc_id, row). Null ids order below all others, so
     with ``largest`` a row with an id wins over rows without one.
     """
-    entries = _fold(rows.select("run", *_ENTRY, F.struct("doc_id", "row").alias("stays"),
-                                F.lit(1).cast("long").alias("n")), keep, ["run", *_ENTRY])
+    entries = _merged(rows.select("run", *_ENTRY, F.struct("doc_id", "row").alias("stays"),
+                                  F.lit(1).cast("long").alias("n")), keep)
     while runs > 1:
-        entries = entries.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-        entries = _fold(entries, keep, ["run", *_ENTRY])
+        entries = _merged(entries.withColumn("run", F.floor(F.col("run") / fan_in).cast("int")), keep)
         runs = max(1, runs // fan_in)
     return entries.drop("run")
 
