@@ -38,6 +38,7 @@ TOP = 2000
 CHUNK_BYTES = 8 << 20
 BYTES_PER_PART = 8 << 20
 MAX_PARTS = 20_000
+RANK_PARTS = 64
 _WIDE = "decimal(38,0)"
 
 #: Bytes of a text to bytes of a chunk: letters lower, tab a blank, the marks that end a piece a line feed.
@@ -303,7 +304,12 @@ def collocations(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_C
     scored = wide.withColumn("score", F.expr("up div down")).groupBy("lang", "phrase", "a").agg(
         F.min(F.struct("score", "k", "l", "r")).alias("low")).select(
         "lang", "phrase", "a", "low.l", "low.r", "low.score")
-    place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
+    # The best of each part of a language first, so no task receives all candidates of a language.
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
+    scored = scored.withColumn("part", part).withColumn("place", F.row_number().over(
+        W.partitionBy("lang", "part").orderBy(*order))).filter(F.col("place") <= top).drop("part", "place")
+    place = F.row_number().over(W.partitionBy("lang").orderBy(*order))
     totals = found.filter("words = 0").select("lang", F.col("f").alias("n"))
     return scored.withColumn("rank", place).filter(F.col("rank") <= top).join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
