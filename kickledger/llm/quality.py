@@ -54,6 +54,7 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     base = np.zeros((n, _CLASSES + 10))
     base[:, :_CLASSES] = kinds / per_byte
     base[:, _CLASSES] = np.log1p(sizes) / 5
+    base[:, _CLASSES + 8] = np.log1p(1) / 5      # lines without words, whatever stands beside them
     if len(starts):
         length = stops - starts
         inside = np.repeat(starts, length)
