@@ -29,7 +29,7 @@ from . import common
 MAX_BITS = 18
 BLOCK_IDS = 1 << 17
 LANE_IDS = 128
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
 KNOWN_UNITS = 600_000       # units a worker remembers, and bytes of them
 KNOWN_BYTES = 16 << 20
 JOINED_UNITS = 256
@@ -237,7 +237,11 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def tokenize(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """(doc_id, ids binary) per row: little-endian unsigned ids of 16 bits, or of 32 for a larger vocabulary."""
+    """(doc_id, ids binary) per row: little-endian unsigned ids of 16 bits, or of 32 for a larger vocabulary.
+
+    A null text counts as empty: the end id alone. Repeated rows give a row
+    each, an empty table none.
+    """
     rows = common.ids_and_texts(docs, id_col, text_col)
     with open(tokenizer_file, encoding="utf-8") as f:
         sent = rows.sparkSession.sparkContext.broadcast(f.read())
@@ -367,7 +371,7 @@ def unpack(bits: bytes, checkpoints: np.ndarray, n: int, symbols: np.ndarray, si
 
 
 _BLOCK = "part int, seq int, first_id long, doc_ids array<long>, doc_counts array<long>, n_ids long, " \
-         "checkpoints array<int>, bits binary"
+         "checkpoints array<long>, bits binary"
 
 
 def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS,
@@ -408,7 +412,7 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID,
 
         schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("first_id", pa.int64()),
                             ("doc_ids", pa.list_(pa.int64())), ("doc_counts", pa.list_(pa.int64())),
-                            ("n_ids", pa.int64()), ("checkpoints", pa.list_(pa.int32())), ("bits", pa.binary())])
+                            ("n_ids", pa.int64()), ("checkpoints", pa.list_(pa.int64())), ("bits", pa.binary())])
         for batch in batches:
             for doc_id, x in zip(batch.column(0).to_pylist(), batch.column(1)):
                 held.append((doc_id, np.frombuffer(x.as_buffer(), kind)))
