@@ -22,6 +22,8 @@ look-around and ``OP2_SQL`` states the same rules.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -149,6 +151,10 @@ def _pattern(sentences: list[list[str]]) -> str:
 #: A known sentence in the laid-out words; a sentence end may stand between each two words.
 KNOWN = _pattern([s.split() for s in SENTENCES])
 
+# Every known sentence holds one of these, so words without any are not searched by pattern.
+MARKERS = ("licens", "software", "rights", "redistribut", "public", "cc0", "copyright")
+assert all(any(m in s for m in MARKERS) for s in SENTENCES)
+
 
 def cut_sentences(text: Column) -> Column:
     """array<string> of the normalised, non-empty sentences of a text, as its marks and empty lines cut it."""
@@ -181,7 +187,8 @@ def sentences(words: Column) -> Column:
         F.transform(F.split(p["rest"], BREAK, -1), _plain),
         F.array(F.coalesce(_plain(F.replace(p["known"], F.lit(BREAK), F.lit(""))), F.lit(""))))))
     whole = F.transform(F.split(words, BREAK, -1), _plain)
-    return F.filter(F.when(words.rlike(KNOWN), parted).otherwise(whole), lambda s: s != "")
+    marked = functools.reduce(Column.__or__, [F.contains(words, F.lit(m)) for m in MARKERS])
+    return F.filter(F.when(marked & words.rlike(KNOWN), parted).otherwise(whole), lambda s: s != "")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
