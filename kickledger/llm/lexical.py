@@ -17,8 +17,8 @@ first. For an item with threshold t, its lowest kept score so far:
 - what survives is rescored exactly in 64-bit integers.
 
 Bounds in floating point get a relative slack; equal scores are never cut.
-Texts are read once; document counts need no texts. Items go in blocks of
-bounded size, since a block's terms and weights travel to every task.
+Items go in blocks of bounded size, since a block's terms and weights travel
+to every task; texts are read once a block, and searched as stored vectors.
 """
 
 from __future__ import annotations
