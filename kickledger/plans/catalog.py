@@ -1183,4 +1183,4 @@ def q_humanize_scaled(spark, sf):
     return _rollup(spark, sf).select(
         "domestic_competition_id", "partition_date",
         text.humanize(F.col("total_valuation") * 12345, 1_000_000_000).alias("total_billions"),
-        text.humanize(F.col("player_count") * 500000, 1_000_000).alias("count_millions"))
+        text.humanize(F.col("player_count").cast("bigint") * 500000, 1_000_000).alias("count_millions"))
