@@ -78,11 +78,54 @@ def kind_of(state: int) -> str:
     return "long" if state == LONG else "double"
 
 
-def _layout_reads(cell: Column, layout: str) -> Column:
-    shaped = cell.rlike(LAYOUTS[layout])
+def _month_fits(cell: Column, layout: str) -> Column | None:
+    """Is the month of a cell of this layout's shape 12 at most? None for layouts whose month is no number beside the day.
+
+    A date that can't be is costly to find by parsing: it is an error there.
+    """
+    day_first = layout.startswith("d")
+    sep = layout.lstrip("Md")[:1] if layout[0] in "Md" and "MMM" not in layout else ""
+    if not sep:
+        return None
+    number = F.substring_index(F.substring_index(cell, sep, 2), sep, -1) if day_first else F.substring_index(cell, sep, 1)
+    return F.length(number).between(1, 2) & (F.lpad(number, 2, "0") <= "12")
+
+
+def _layout_reads(cell: Column, layout: str, shaped: Column | None = None) -> Column:
+    """Does the layout read the cell? ``shaped``: what is known to hold of it, by default that its shape is tried."""
+    shaped = cell.rlike(LAYOUTS[layout]) if shaped is None else shaped
+    fits = _month_fits(cell, layout)
+    shaped = shaped if fits is None else shaped & fits
     return F.coalesce(F.when(shaped, to_timestamp_or_null(cell, layout).isNotNull()), F.lit(False))
 
 
+def _layout_bits(cell: Column) -> Column:
+    """The layouts that read a cell, one bit each, in the order of LAYOUTS.
+
+    Cells of the usual layout are tried against no other; a cell has one
+    shape, so no others are tried once one fits.
+    """
+    names = list(LAYOUTS)
+    bits = F.when(_layout_reads(cell, DATE_FORMAT), F.lit(1 << names.index(DATE_FORMAT)))
+    others = [name for name in names if name != DATE_FORMAT]
+    for mark in ("/", ".", ","):  # a cell with the mark has no shape without it
+        marked = [name for name in others if mark in name]
+        bits = bits.when(cell.contains(mark), _bits_by_shape(cell, marked))
+        others = [name for name in others if name not in marked]
+    return bits.otherwise(_bits_by_shape(cell, others))
+
+
+def _bits_by_shape(cell: Column, layouts: list[str]) -> Column:
+    names, bits = list(LAYOUTS), F
+    for shape in dict.fromkeys(LAYOUTS[name] for name in layouts):
+        read = F.lit(0)
+        for name in layouts:
+            if LAYOUTS[name] == shape:
+                read = read + F.when(_layout_reads(cell, name, F.lit(True)), F.lit(1 << names.index(name))).otherwise(F.lit(0))
+        bits = bits.when(cell.rlike(shape), read)
+    return bits.otherwise(F.lit(0))
+
+
 @dataclass
 class DateLayout:
     """What is known of a date column: cells that are not missing, those each layout reads, and the first cell."""
@@ -170,6 +213,26 @@ def _numbered(df: DataFrame, names: list[str], with_place: bool) -> DataFrame:
         return df.select(*cells, F.lit("").alias("file"), F.lit(0).cast("long").alias("offset"), row)
 
 
+def _apart(cell: Column, of) -> Column:
+    """``of(cell)``, for expressions of very many branches.
+
+    Inlined into the loop that reads the rows, such a one makes a method too
+    large for the JVM to compile, and every row is interpreted. The body of a
+    lambda stays out of that loop.
+    """
+    return F.get(F.transform(F.array(cell), of), 0)
+
+
+def _here(cell: Column, missing: tuple[str, ...]) -> Column:
+    return cell.isNotNull() & ~cell.isin(*missing) if missing else cell.isNotNull()
+
+
+def _first_cell(df: DataFrame, name: str, file: str, missing: tuple[str, ...]) -> str:
+    """The first cell of ``file`` that is not missing: splits of one file are read in order, and no further than to it."""
+    rows = df.where(F.col("_metadata.file_path") == F.lit(file)) if file else df
+    return rows.select(F.col(f"`{name}`").alias("cell")).where(_here(F.col("cell"), missing)).first().cell
+
+
 def profile(df: DataFrame, columns: list[str] | None = None, date_columns: list[str] | None = None,
             missing: tuple[str, ...] = MISSING_MARKERS) -> Profile:
     """States of the text ``columns`` and ``date_columns`` of ``df``: one pass over just these columns, one row back."""
@@ -178,28 +241,32 @@ def profile(df: DataFrame, columns: list[str] | None = None, date_columns: list[
         return Profile({}, {})
     wanted = list(dict.fromkeys([*columns, *date_columns]))
     placed = _numbered(df, wanted, bool(date_columns))
-    aggs, names = [], list(LAYOUTS)
-    for k, name in enumerate(columns):
-        aggs.append(F.bit_or(cell_class(F.col(f"c{wanted.index(name)}"), missing)).alias(f"class_{k}"))
+    names = list(LAYOUTS)
+    classes = [F.bit_or(_apart(F.col(f"c{wanted.index(name)}"), lambda cell: cell_class(cell, missing))).alias(f"class_{k}")
+               for k, name in enumerate(columns)]
+    if not date_columns:
+        row = placed.agg(*classes).first()
+        return Profile({name: row[f"class_{k}"] or 0 for k, name in enumerate(columns)}, {})
     for k, name in enumerate(date_columns):
         cell = F.col(f"c{wanted.index(name)}")
-        here = cell.isNotNull() & ~cell.isin(*missing) if missing else cell.isNotNull()
-        iso = _layout_reads(cell, DATE_FORMAT)
-        # Only cells that are not of the usual shape are tried against the other layouts.
-        reads = F.when(iso, F.lit(1))
-        others = F.lit(0)
-        for j, layout in enumerate(names):
-            if layout != DATE_FORMAT:
-                others = others + F.when(_layout_reads(cell, layout), F.lit(1 << j)).otherwise(F.lit(0))
-        placed = placed.withColumn(f"reads_{k}", F.when(here, reads.otherwise(others)))
-        bits = F.col(f"reads_{k}")
-        aggs.append(F.count(bits).alias(f"cells_{k}"))
-        aggs += [F.count(F.when(bits.bitwiseAND(F.lit(1 << j)) != 0, 1)).alias(f"votes_{k}_{j}")
+        placed = placed.withColumn(f"reads_{k}", F.when(_here(cell, missing), _apart(cell, _layout_bits)))
+    # Rows fold by split and layouts first, all in numbers: a minimum of structs with text would be taken row by row.
+    reads = [f"reads_{k}" for k in range(len(date_columns))]
+    folded = placed.groupBy("file", "offset", F.shiftright("row", 33).alias("task"), *reads).agg(
+        *classes, F.count("*").alias("n"), F.min("row").alias("row"))
+    aggs = [F.bit_or(f"class_{k}").alias(f"class_{k}") for k in range(len(columns))]
+    for k, bits in enumerate(reads):
+        seen = F.col(bits).isNotNull()
+        aggs.append(F.sum(F.when(seen, F.col("n"))).alias(f"cells_{k}"))
+        aggs += [F.sum(F.when(F.col(bits).bitwiseAND(F.lit(1 << j)) != 0, F.col("n"))).alias(f"votes_{k}_{j}")
                  for j in range(len(names))]
-        aggs.append(F.min(F.when(bits.isNotNull(), F.struct("file", "offset", "row", cell.alias("cell"), bits.alias("reads"))))
-                    .alias(f"first_{k}"))
-    row = placed.agg(*aggs).first()
-    dates = {name: DateLayout(row[f"cells_{k}"], {layout: row[f"votes_{k}_{j}"] for j, layout in enumerate(names)},
-                              tuple(row[f"first_{k}"]) if row[f"first_{k}"] is not None else None)
-             for k, name in enumerate(date_columns)}
+        aggs.append(F.min(F.when(seen, F.struct("file", "offset", "row", F.col(bits).alias("reads")))).alias(f"first_{k}"))
+    row = folded.agg(*aggs).first()
+    dates = {}
+    for k, name in enumerate(date_columns):
+        first = row[f"first_{k}"]
+        if first is not None:
+            first = (first.file, first.offset, first.row, _first_cell(df, name, first.file, missing), first.reads)
+        dates[name] = DateLayout(row[f"cells_{k}"] or 0,
+                                 {layout: row[f"votes_{k}_{j}"] or 0 for j, layout in enumerate(names)}, first)
     return Profile({name: row[f"class_{k}"] or 0 for k, name in enumerate(columns)}, dates)

@@ -123,3 +123,26 @@ def test_command_line_options_reach_the_loader(spark, scratch):
     assert str(read("appearances").first().date) == "2020-01-02 00:00:00"  # month first, as its only cell allows
     with pytest.raises(SystemExit):
         cli.main(["ingest", "--raw", raw, "--warehouse", root, "--types", "games.code=number"])
+
+
+def test_layouts_fold_by_number_and_read_as_their_parser(spark):
+    """No minimum of structs over the rows (a sort aggregate); bits equal those of trying every layout on every cell."""
+    from pyspark.sql import functions as F
+
+    from kickledger.functions.coerce import to_timestamp_or_null
+
+    cells = ["1/2/2020", "13/2/2020", "2/13/2020", "13/13/2020", "31/2/2020", "0/1/2020", "1/0/2020", "00/01/2020", "29/2/2019",
+             "12/12/2020 10:00:00", "13/12/2020 24:00:00", "1.2.2020", "31.12.2020 23:59:59", "1-2-2020", "31-1-2020", "2020/1/2",
+             "20200102", "20201301", "Jan 2, 2020", "2 Jan 2020", "2020-01-02T10:00:00", "2020-01-02 10:00", "2020-02-30", "2020-01-02",
+             "x", "1/2/20200", "12 /1/2020", "٣/1/2020"]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    names = list(infer.LAYOUTS)
+    iso = names.index("yyyy-MM-dd")
+    tried = [F.coalesce(F.when(F.col("c").rlike(infer.LAYOUTS[n]), to_timestamp_or_null("c", n).isNotNull()), F.lit(False))
+             for n in names]
+    rows = df.select("c", infer._layout_bits(F.col("c")).alias("bits"), *[t.alias(f"t{j}") for j, t in enumerate(tried)]).collect()
+    for r in rows:
+        assert r.bits == (1 << iso if r[f"t{iso}"] else sum(1 << j for j in range(len(names)) if r[f"t{j}"])), r.c
+    date = infer.profile(df, [], ["c"]).dates["c"]
+    assert date.cells == len(cells) and date.first[3:] == (cells[0], rows[0].bits)
+    assert date.votes == {n: sum(r.bits >> j & 1 for r in rows) for j, n in enumerate(names)}
