@@ -105,22 +105,36 @@ def add(wh: Warehouse, valuations: DataFrame, batch: str, start: str, end: str,
         return []
     kept = stored.where(F.col(PARTITION_COLUMN).isin(months) & ~F.col(BATCH_COLUMN).eqNullSafe(F.lit(batch)))
     if fold_earlier is not None:
-        kept = kept.withColumn(BATCH_COLUMN, F.when(
-            F.col(BATCH_COLUMN).startswith(fold_earlier), F.lit(f"{fold_earlier}folded")).otherwise(F.col(BATCH_COLUMN)))
-    merged = merge(kept.unionByName(new))
-    write_months(merged.select([f.name for f in STATE_SCHEMA.fields]), wh.location(table))
+        kept = _folded(kept, fold_earlier)
+    # Each tag has one row per key, and kept rows have other tags than the new ones: nothing is left to merge.
+    rows = kept.unionByName(new)
+    write_months(rows.select([f.name for f in STATE_SCHEMA.fields]), wh.location(table))
     return months
 
 
+def _folded(kept: DataFrame, prefix: str) -> DataFrame:
+    """The rows of the batches named by ``prefix`` under one tag, one per key; rows of other batches as they are."""
+    tag = F.col(BATCH_COLUMN)
+    earlier = F.coalesce(tag.startswith(prefix), F.lit(False))
+    several = len(kept.where(earlier).select(BATCH_COLUMN).distinct().take(2)) > 1
+    one_tag = kept.where(earlier).withColumn(BATCH_COLUMN, F.lit(f"{prefix}folded"))
+    if several:
+        one_tag = merge(one_tag).select(kept.columns)
+    return kept.where(~earlier).unionByName(one_tag)
+
+
 def _with_club(state: DataFrame, clubs: DataFrame) -> DataFrame:
     names = clubs.select(F.col("club_id").cast("long").alias("current_club_id"), F.col("name").alias("club_name"),
                          "domestic_competition_id")
-    untagged = merge(state, ["current_club_id", "competition_id", PARTITION_COLUMN])
-    return join_dimension(untagged, names, "current_club_id")
+    return join_dimension(state, names, "current_club_id")
 
 
 def league_rollup(state: DataFrame, clubs: DataFrame) -> DataFrame:
-    """``rollups.league_valuation_evolution`` of the rows the state was taken from."""
+    """``rollups.league_valuation_evolution`` of the rows the state was taken from.
+
+    State rows of a league and month fold in the tasks that read them,
+    whatever their club and tag, so only leagues and months are shuffled.
+    """
     rows = _with_club(state, clubs).where(F.col("domestic_competition_id").isNotNull())
     return rows.groupBy("domestic_competition_id", PARTITION_COLUMN).agg(
         F.coalesce(rollups.merged_total("value"), F.lit(0.0)).alias("total_valuation"),
@@ -131,7 +145,8 @@ def league_rollup(state: DataFrame, clubs: DataFrame) -> DataFrame:
 
 def club_rollup(state: DataFrame, clubs: DataFrame) -> DataFrame:
     """``rollups.club_valuation_evolution`` of the rows the state was taken from."""
-    rows = _with_club(state, clubs).where(F.col("club_name").isNotNull())
+    untagged = merge(state, ["current_club_id", "competition_id", PARTITION_COLUMN])
+    rows = _with_club(untagged, clubs).where(F.col("club_name").isNotNull())
     return rollups.club_totals(rows.withColumn("month", F.to_date(F.concat(PARTITION_COLUMN, F.lit("-01")))))
 
 

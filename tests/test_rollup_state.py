@@ -130,3 +130,24 @@ def test_backfill_of_changed_months_leaves_other_files_alone(spark, scratch, clu
     assert pipeline.backfill_changed(wh, more, renamed, START, END) == ["2020-01", "2020-03", "2020-05"]
     with pytest.raises(ValueError):
         pipeline.backfill_changed(wh, more, clubs, "2020-01-02", END)
+
+
+def test_league_rollup_shuffles_no_state_rows_and_adding_merges_none(spark, scratch, clubs, monkeypatch):
+    """One shuffle, by league and month; a batch under a tag of its own is added without a merge of all state rows."""
+    wh = Warehouse(spark, scratch)
+    rows = spark.createDataFrame([(1, dt.date(2020, 1, 3), 5.0, 10, "A"), (2, dt.date(2020, 1, 4), 7.0, 20, None)],
+                                 "player_id long, date date, market_value double, current_club_id long, competition_id string")
+    merges = []
+    plain = rollup_state.merge
+    monkeypatch.setattr(rollup_state, "merge", lambda *a, **k: merges.append(1) or plain(*a, **k))
+    for batch in ("a", "b", "b"):
+        rollup_state.add(wh, rows, batch, "2020-01-01", "2020-02-01")
+    assert not merges and rollup_state.read_state(wh).count() == 4
+    for k in range(4):
+        rollup_state.add(wh, rows, f"s-{k}", "2020-01-01", "2020-02-01", fold_earlier="s-")
+    state = rollup_state.read_state(wh)
+    assert {(r.load_batch, r["count"]) for r in state.groupBy("load_batch").count().collect()} == {
+        ("a", 2), ("b", 2), ("s-folded", 2), ("s-3", 2)}
+    assert sum(r.n for r in state.collect()) == 2 * (1 + 1 + 4)
+    plan = rollup_state.league_rollup(state, clubs)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate") == 2 and "current_club_id" not in plan.split("HashAggregate")[1]
