@@ -30,12 +30,24 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def apart(cell: Column, of) -> Column:
+    """``of(cell)``, for expressions of very many branches, and for those that few cells need.
+
+    Inlined into the loop that reads the rows, such a one makes a method too
+    large for the JVM to compile, and every row is interpreted. The body of a
+    lambda stays out of that loop.
+    """
+    return F.get(F.transform(F.array(cell), of), 0)
+
+
 def _iso_date_or_null(text: Column) -> Column:
     """``yyyy-MM-dd`` text to a date without a formatter: the exact shape is
-    checked with string functions (ten characters, dashes at 5 and 8, digits
-    elsewhere), the calendar by the cast (2015-02-30 is NULL)."""
+    checked with string functions (ten characters, dashes at 5 and 8, a digit
+    at the end), the rest by the cast (2015-02-30 is NULL). The cast takes
+    nothing but digits before and between such dashes, but a blank or a 'T'
+    after a day of one digit, so the last character is looked at."""
     shaped = ((F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
-              & (F.translate(text, "0123456789", "") == "--"))
+              & F.substring(text, 10, 1).between("0", "9"))
     return F.when(shaped, text.try_cast("date"))
 
 
@@ -72,18 +84,20 @@ def to_long_or_null(col, on_fraction: str = "null") -> Column:
     shapes ('1e3', '5.') go through double. A fractional value is NULL, or
     raises a task error with ``on_fraction="raise"``.
     """
-    text = F.trim(_c(col).cast("string"))
-    direct = text.try_cast("bigint")      # clean cells need no pattern
-    as_double = text.try_cast("double")
-    whole = (as_double == F.floor(as_double)) & (as_double >= -_TWO_63) & (as_double < _TWO_63)
-    if on_fraction == "raise":
-        fallback = F.when(whole, as_double.cast("bigint")).when(
-            as_double.isNotNull(), F.raise_error(F.lit("fractional value for an integer column")))
-    elif on_fraction == "null":
-        fallback = F.when(whole, as_double.cast("bigint"))
-    else:
+    if on_fraction not in ("null", "raise"):
         raise ValueError(f"on_fraction must be 'null' or 'raise', not {on_fraction!r}")
-    return F.coalesce(direct, F.when(text.rlike(NUMBER_PATTERN), fallback))
+
+    def by_pattern(text: Column) -> Column:
+        as_double = text.try_cast("double")
+        whole = (as_double == F.floor(as_double)) & (as_double >= -_TWO_63) & (as_double < _TWO_63)
+        fallback = F.when(whole, as_double.cast("bigint"))
+        if on_fraction == "raise":
+            fallback = fallback.when(as_double.isNotNull(),
+                                     F.raise_error(F.lit("fractional value for an integer column")))
+        return F.when(text.rlike(NUMBER_PATTERN), fallback)
+
+    text = F.trim(_c(col).cast("string"))
+    return F.coalesce(text.try_cast("bigint"), apart(text, by_pattern))      # clean cells need no pattern
 
 
 def to_loader_double(col) -> Column:

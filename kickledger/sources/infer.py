@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kickledger.functions.coerce import DATE_FORMAT, MISSING_MARKERS, NUMBER_PATTERN, to_timestamp_or_null
+from kickledger.functions.coerce import DATE_FORMAT, MISSING_MARKERS, NUMBER_PATTERN, apart, to_date_or_null, to_timestamp_or_null
 
 MISSING, LONG, WIDE, DOUBLE, BOOLEAN, TEXT = (1 << k for k in range(6))
 
@@ -52,14 +52,30 @@ LAYOUTS = {
 }
 
 
+def _class_by_pattern(cell: Column) -> Column:
+    return (F.when(cell.rlike(WHOLE_PATTERN), F.when(F.trim(cell).try_cast("bigint").isNotNull(), F.lit(LONG))
+                   .otherwise(F.lit(WIDE)))
+            .when(cell.rlike(NUMBER_PATTERN) | cell.rlike(INFINITE_PATTERN), F.lit(DOUBLE))
+            .when(cell.isin(*TRUTH_VALUES), F.lit(BOOLEAN)).otherwise(F.lit(TEXT)))
+
+
 def cell_class(cell: Column, missing: tuple[str, ...] = MISSING_MARKERS) -> Column:
-    """The class bit of a text cell."""
+    """The class bit of a text cell.
+
+    Most cells show their class without a pattern: digits alone, digits
+    followed by what no number goes on with, or a first letter that begins
+    neither an infinity nor a truth value. The patterns are for the others.
+    """
     gone = cell.isNull() | cell.isin(*missing) if missing else cell.isNull()
+    first, rest = F.ascii(cell), F.ltrim(cell, F.lit("0123456789"))
+    begun = first.between(ord("0"), ord("9"))
+    goes_on = F.ascii(rest).isin(*map(ord, ".eE \t\n\x0b\f\r"))
+    letter = first.between(ord("A"), ord("Z")) | first.between(ord("a"), ord("z"))
     return (F.when(gone, F.lit(MISSING))
-            .when(cell.rlike(WHOLE_PATTERN), F.when(F.trim(cell).try_cast("bigint").isNotNull(), F.lit(LONG))
-                  .otherwise(F.lit(WIDE)))
-            .when(cell.rlike(NUMBER_PATTERN) | cell.rlike(INFINITE_PATTERN), F.lit(DOUBLE))
-            .when(cell.isin(*TRUTH_VALUES), F.lit(BOOLEAN)).otherwise(F.lit(TEXT)))
+            .when(begun & (rest == ""), F.when(F.length(cell) <= 18, F.lit(LONG)).otherwise(apart(cell, _class_by_pattern)))
+            .when(begun & ~goes_on, F.lit(TEXT))
+            .when(letter & ~first.isin(*map(ord, "iItTfF")), F.lit(TEXT))
+            .otherwise(apart(cell, _class_by_pattern)))
 
 
 def kind_of(state: int) -> str:
@@ -102,12 +118,16 @@ def _layout_reads(cell: Column, layout: str, shaped: Column | None = None) -> Co
 def _layout_bits(cell: Column) -> Column:
     """The layouts that read a cell, one bit each, in the order of LAYOUTS.
 
-    Cells of the usual layout are tried against no other; a cell has one
-    shape, so no others are tried once one fits.
+    Cells of the usual layout are tried against no other, and stay in the
+    loop that reads the rows.
     """
-    names = list(LAYOUTS)
-    bits = F.when(_layout_reads(cell, DATE_FORMAT), F.lit(1 << names.index(DATE_FORMAT)))
-    others = [name for name in names if name != DATE_FORMAT]
+    usual = F.lit(1 << list(LAYOUTS).index(DATE_FORMAT))
+    return F.when(to_date_or_null(cell).isNotNull(), usual).otherwise(apart(cell, _other_layout_bits))
+
+
+def _other_layout_bits(cell: Column) -> Column:
+    """The bits of a cell that the usual layout does not read: it has one shape, so no others are tried once one fits."""
+    bits, others = F, [name for name in LAYOUTS if name != DATE_FORMAT]
     for mark in ("/", ".", ","):  # a cell with the mark has no shape without it
         marked = [name for name in others if mark in name]
         bits = bits.when(cell.contains(mark), _bits_by_shape(cell, marked))
@@ -213,16 +233,6 @@ def _numbered(df: DataFrame, names: list[str], with_place: bool) -> DataFrame:
         return df.select(*cells, F.lit("").alias("file"), F.lit(0).cast("long").alias("offset"), row)
 
 
-def _apart(cell: Column, of) -> Column:
-    """``of(cell)``, for expressions of very many branches.
-
-    Inlined into the loop that reads the rows, such a one makes a method too
-    large for the JVM to compile, and every row is interpreted. The body of a
-    lambda stays out of that loop.
-    """
-    return F.get(F.transform(F.array(cell), of), 0)
-
-
 def _here(cell: Column, missing: tuple[str, ...]) -> Column:
     return cell.isNotNull() & ~cell.isin(*missing) if missing else cell.isNotNull()
 
@@ -242,14 +252,14 @@ def profile(df: DataFrame, columns: list[str] | None = None, date_columns: list[
     wanted = list(dict.fromkeys([*columns, *date_columns]))
     placed = _numbered(df, wanted, bool(date_columns))
     names = list(LAYOUTS)
-    classes = [F.bit_or(_apart(F.col(f"c{wanted.index(name)}"), lambda cell: cell_class(cell, missing))).alias(f"class_{k}")
+    classes = [F.bit_or(cell_class(F.col(f"c{wanted.index(name)}"), missing)).alias(f"class_{k}")
                for k, name in enumerate(columns)]
     if not date_columns:
         row = placed.agg(*classes).first()
         return Profile({name: row[f"class_{k}"] or 0 for k, name in enumerate(columns)}, {})
     for k, name in enumerate(date_columns):
         cell = F.col(f"c{wanted.index(name)}")
-        placed = placed.withColumn(f"reads_{k}", F.when(_here(cell, missing), _apart(cell, _layout_bits)))
+        placed = placed.withColumn(f"reads_{k}", F.when(_here(cell, missing), _layout_bits(cell)))
     # Rows fold by split and layouts first, all in numbers: a minimum of structs with text would be taken row by row.
     reads = [f"reads_{k}" for k in range(len(date_columns))]
     folded = placed.groupBy("file", "offset", F.shiftright("row", 33).alias("task"), *reads).agg(

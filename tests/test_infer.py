@@ -1,6 +1,7 @@
 import warnings
 
 import pytest
+from pyspark.sql import functions as F
 
 from kickledger.sources import infer, ingest
 from kickledger.sources.infer import BOOLEAN, DOUBLE, LONG, MISSING, TEXT, WIDE
@@ -146,3 +147,15 @@ def test_layouts_fold_by_number_and_read_as_their_parser(spark):
     date = infer.profile(df, [], ["c"]).dates["c"]
     assert date.cells == len(cells) and date.first[3:] == (cells[0], rows[0].bits)
     assert date.votes == {n: sum(r.bits >> j & 1 for r in rows) for j, n in enumerate(names)}
+
+
+def test_cells_without_a_pattern_have_the_class_and_the_date_the_patterns_give(spark):
+    cells = ["12", " 12", "12 ", "+12", "012345678901234567", "9223372036854775807", "9223372036854775808", "1.5", "5.", "1e5",
+             "1d", "12\x01", "12\t", "1-URGENT", "1é", "inf", "Iceland", "True", "tRue", "False", "abc", "é", "", "nan", "1.#IND",
+             "2020-01-01", "2020-01-1 ", "2020-01-1T", "2020-1-1  ", "\t020-01-01", "+202-01-01", "2015-02-30", "2020-01-0１"]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    rows = df.select("c", infer.cell_class(F.col("c"), ()).alias("got"),
+                     infer._class_by_pattern(F.col("c")).alias("pattern"),
+                     infer._layout_bits(F.col("c")).alias("bits")).collect()
+    assert [r.got for r in rows] == [r.pattern for r in rows]
+    assert [r.c for r in rows if r.bits] == ["2020-01-01"]

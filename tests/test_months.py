@@ -69,3 +69,9 @@ def test_half_open_and_closed_month_predicates(spark):
     m = F.lit("2024-01-01")
     out = df.select(months.half_open_month("ts", m).alias("h"), months.closed_month("ts", m).alias("c")).collect()
     assert [(r.h, r.c) for r in out] == [(True, False), (False, False)]
+
+
+def test_month_key_is_the_formatters_for_every_year(spark):
+    days = spark.range(-800000, 3700000, 2999).select(
+        F.date_add(F.lit("1970-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    assert days.where(~F.date_format("d", "yyyy-MM").eqNullSafe(months.month_key("d"))).count() == 0
