@@ -19,7 +19,7 @@ from kickledger.functions import coerce, months, text
 from kickledger.operators import pages as page_ops
 from kickledger.operators import reports, rollup_state, rollups
 from kickledger.plans import pipeline
-from kickledger.session import materialize, shared_path
+from kickledger.session import materialize, shared_path, together
 from kickledger.sources import ingest
 from kickledger.sources import testdata as td
 from kickledger.sources.warehouse import Warehouse
@@ -871,12 +871,12 @@ STORED_PIPELINE_VIEWS = {
 
 def write_raw_csvs(spark: SparkSession, sf: str, raw_dir: str) -> None:
     """The six raw datasets as CSV files with a header, derived from the given tables."""
-    for dataset, (table, columns) in RAW_CSV_SPARK.items():
-        df = td.table(spark, sf, table).select([F.expr(e).alias(n) for n, e in columns.items()])
-        df.write.mode("overwrite").option("header", True).csv(f"{raw_dir}/{pipeline.RAW_FILES[dataset]}")
+    frames = {dataset: td.table(spark, sf, table).select([F.expr(e).alias(n) for n, e in columns.items()])
+              for dataset, (table, columns) in RAW_CSV_SPARK.items()}
     comp = td.competitions(spark, sf).withColumn("url", F.concat(F.lit("https://leagues.example/"),
                                                                  F.col("competition_id")))
-    comp.write.mode("overwrite").option("header", True).csv(f"{raw_dir}/{pipeline.RAW_FILES['competitions']}")
+    together(*[lambda dataset=dataset, df=df: df.write.mode("overwrite").option("header", True).csv(
+        f"{raw_dir}/{pipeline.RAW_FILES[dataset]}") for dataset, df in (frames | {"competitions": comp}).items()])
 
 
 @register("pipeline_first_league_total", report_sql("total_valuation", 5, STORED_PIPELINE_VIEWS))
@@ -1123,17 +1123,11 @@ def q_csv_layout_found(spark, sf):
     return parts
 
 
-_PIPELINE_RUNS: dict[tuple[str, str], pipeline.RunResult] = {}
-
-
 def _pipeline_result(spark, sf) -> pipeline.RunResult:
-    """One run of the whole pipeline per session and folder: its three reports come from the same warehouse."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _PIPELINE_RUNS:
-        raw_dir = shared_path(spark, "raw")
-        write_raw_csvs(spark, sf, raw_dir)
-        _PIPELINE_RUNS[key] = pipeline.run(spark, raw_dir, shared_path(spark, "warehouse"), td.START, td.END, td.CUTOFF)
-    return _PIPELINE_RUNS[key]
+    """One run of the whole pipeline, from the tables as they are now: no run is kept for another query of the session."""
+    raw_dir = shared_path(spark, "raw")
+    write_raw_csvs(spark, sf, raw_dir)
+    return pipeline.run(spark, raw_dir, shared_path(spark, "warehouse"), td.START, td.END, td.CUTOFF)
 
 
 @register("pipeline_first_league_max", report_sql("max_valuation", 7, STORED_PIPELINE_VIEWS))

@@ -1,5 +1,8 @@
 """The whole pipeline, in dependency order, as a handful of Spark jobs.
 
+Steps that need nothing of each other (the six raw datasets, the two month
+splits, base and static tables, the two rollups) run side by side.
+
 raw CSV files -> typed Parquet -> month folders -> base tables (month
 replace) -> static tables (first load wins) -> league and club rollups (all
 months of the range in one job each) -> reports. Every step hands over
@@ -10,6 +13,7 @@ a lost executor only costs the tasks of the step that was running.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +21,7 @@ from pyspark.sql import functions as F
 from kickledger.functions.months import CALENDAR_END, CALENDAR_START, in_window, month_key, with_month
 from kickledger.operators import pages as page_ops
 from kickledger.operators import reports, rollup_state, rollups
+from kickledger.session import together
 from kickledger.sources import digests, ingest
 from kickledger.sources.warehouse import Warehouse, whole_months
 
@@ -131,13 +136,16 @@ def ingest_raw(spark: SparkSession, wh: Warehouse, raw_dir: str, null_strings: s
     raw_dir = raw_dir.rstrip("/")
     options = dict(options or {})
     types = options.pop("types", {})
-    for dataset, file_name in RAW_FILES.items():
+
+    def load(dataset: str, file_name: str) -> None:
         if raw_format == "parquet":
             file_name = file_name.rsplit(".", 1)[0] + ".parquet"
         df = ingest.load_dataset(spark, f"{raw_dir}/{file_name}", dataset, null_strings, fmt=raw_format,
                                  types=types.get(dataset), **options)
         ingest.write_parquet(df, wh.location(f"raw/{dataset}"))
 
+    together(*[partial(load, *item) for item in RAW_FILES.items()])
+
 
 def raw_table(wh: Warehouse, dataset: str) -> DataFrame:
     return wh.spark.read.parquet(wh.location(f"raw/{dataset}"))
@@ -145,10 +153,10 @@ def raw_table(wh: Warehouse, dataset: str) -> DataFrame:
 
 def split_months(wh: Warehouse, closed: bool = False) -> None:
     """Month folders of the valuations and appearances (one job each)."""
-    ingest.split_by_month(rename_raw_valuations(raw_table(wh, "player_valuations")), "date",
-                          wh.location("raw/valuation_partitions"), closed=closed)
-    ingest.split_by_month(raw_table(wh, "appearances"), "date",
-                          wh.location("raw/appearance_partitions"), closed=closed)
+    together(lambda: ingest.split_by_month(rename_raw_valuations(raw_table(wh, "player_valuations")), "date",
+                                           wh.location("raw/valuation_partitions"), closed=closed),
+             lambda: ingest.split_by_month(raw_table(wh, "appearances"), "date",
+                                           wh.location("raw/appearance_partitions"), closed=closed))
 
 
 def load_base_tables(wh: Warehouse, start: str, end: str, closed: bool = False) -> None:
@@ -161,22 +169,19 @@ def load_base_tables(wh: Warehouse, start: str, end: str, closed: bool = False)
     """
     spark = wh.spark
     whole_months(start, end)
-    wh.create_table("player_valuations")
-    wh.replace_months("player_valuations",
-                      valuation_load_rows(ingest.read_months(spark, wh.location("raw/valuation_partitions")),
-                                          start, end, closed),
-                      on_empty="delete", start=start, end=end, cluster=False)
-    wh.create_table("player_appearances")
-    wh.replace_months("player_appearances",
-                      appearance_load_rows(ingest.read_months(spark, wh.location("raw/appearance_partitions")),
-                                           start, end, closed),
-                      on_empty="delete", start=start, end=end, cluster=False)
+
+    def load(name: str, folder: str, rows_of) -> None:
+        wh.create_table(name)
+        wh.replace_months(name, rows_of(ingest.read_months(spark, wh.location(folder)), start, end, closed),
+                          on_empty="delete", start=start, end=end, cluster=False)
+
+    together(partial(load, "player_valuations", "raw/valuation_partitions", valuation_load_rows),
+             partial(load, "player_appearances", "raw/appearance_partitions", appearance_load_rows))
 
 
 def load_static_tables(wh: Warehouse, refresh: bool = False) -> None:
     """Competitions, players, clubs, games: the first load wins unless ``refresh``."""
-    for name in STATIC_TABLES:
-        wh.ctas_if_absent(name, raw_table(wh, name), refresh=refresh)
+    together(*[lambda name=name: wh.ctas_if_absent(name, raw_table(wh, name), refresh=refresh) for name in STATIC_TABLES])
 
 
 def rollup_months(wh: Warehouse, start: str, end: str, changed_only: bool = False) -> None:
@@ -185,8 +190,8 @@ def rollup_months(wh: Warehouse, start: str, end: str, changed_only: bool = Fals
     if changed_only:
         backfill_changed(wh, valuations, clubs, start, end)
         return
-    backfill_league_rollup(wh, valuations, clubs, start, end)
-    backfill_club_rollup(wh, valuations, clubs, start, end)
+    together(lambda: backfill_league_rollup(wh, valuations, clubs, start, end),
+             lambda: backfill_club_rollup(wh, valuations, clubs, start, end))
 
 
 def build_reports(wh: Warehouse, cutoff: str = "2025-01-01", logo_ids: DataFrame | None = None,
@@ -221,7 +226,6 @@ def run(spark: SparkSession, raw_dir: str, warehouse_root: str, start: str = CAL
     wh = Warehouse(spark, warehouse_root)
     ingest_raw(spark, wh, raw_dir, null_strings, raw_format, options)
     split_months(wh, closed)
-    load_base_tables(wh, start, end, closed)
-    load_static_tables(wh)
+    together(lambda: load_base_tables(wh, start, end, closed), lambda: load_static_tables(wh))
     rollup_months(wh, start, end)
     return build_reports(wh, cutoff, logo_ids, out_dir)

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from kickledger.plans import catalog, pipeline
@@ -66,3 +67,31 @@ def test_pipeline_from_parquet_raw_files(spark):
     a = pipeline.run(spark, csv_dir, shared_path(spark, "wh"), td.START, td.END, td.CUTOFF)
     b = pipeline.run(spark, pq_dir, shared_path(spark, "wh"), td.START, td.END, td.CUTOFF, raw_format="parquet")
     assert sorted(map(tuple, a.first_league_total.collect())) == sorted(map(tuple, b.first_league_total.collect()))
+
+
+def test_no_pipeline_run_is_kept_for_another_query(spark, monkeypatch):
+    from kickledger.plans import catalog
+
+    ran = []
+    monkeypatch.setattr(catalog, "write_raw_csvs", lambda *_: None)
+    monkeypatch.setattr(catalog.pipeline, "run", lambda *_: ran.append(1) or pipeline.RunResult(None, 1, 2, 3, 4))
+    for name in ("pipeline_first_league_total", "pipeline_first_league_max", "pipeline_top100"):
+        catalog.QUERIES[name](spark, "/none")
+    assert len(ran) == 3
+
+
+def test_steps_together_overlap_and_raise_their_error():
+    import threading
+
+    from kickledger.session import together
+
+    met = threading.Barrier(2, timeout=20)
+    assert sorted(together(met.wait, met.wait)) == [0, 1]
+    ended = []
+
+    def failing():
+        raise ValueError("first")
+
+    with pytest.raises(ValueError, match="first"):
+        together(failing, lambda: ended.append(1))
+    assert ended == [1]
