@@ -1161,10 +1161,15 @@ def q_extract_logo_src(spark, sf):
 @register("binary_files", "SELECT page_id, octet_length(encode(html)) AS length, md5(html) AS digest FROM pages")
 def q_binary_files(spark, sf):
     """One file per page, read back as bytes with its length."""
-    path = shared_path(spark, "binary-files")
-    td.pages(spark, sf).select("page_id", "html").write.partitionBy("page_id").option("lineSep", "\u0001").text(path)
+    # A row's number tells rows of one page apart; the byte after each text, that empty ones are files with a length.
+    path = ingest.write_files(td.pages(spark, sf).select(
+        F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.lit("_"),
+                 F.monotonically_increasing_id().cast("string"), F.lit(".txt")).alias("name"),
+        F.concat(F.coalesce("html", F.lit("")), F.lit("\u0001")).cast("binary").alias("content")),
+        "name", "content", shared_path(spark, "binary-files"))
     files = ingest.read_binary_files(spark, path, "*.txt")
-    return files.select(F.col("page_id").cast("long").alias("page_id"), (F.col("length") - 1).alias("length"),
+    page_id = F.regexp_extract("path", r"([^/_]+)_[0-9]+\.txt$", 1).try_cast("long")
+    return files.select(page_id.alias("page_id"), (F.col("length") - 1).alias("length"),
                         F.md5(F.expr("substring(content, 1, CAST(length AS INT) - 1)")).alias("digest"))
 
 

@@ -9,6 +9,10 @@ these columns) unless they are given.
 
 from __future__ import annotations
 
+import uuid
+import zlib
+
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,6 +125,39 @@ def read_months(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return df.withColumn("partition_date", F.col("partition_date").cast("string"))
 
 
+SHELVES = 256  # folders that written files are dealt to by their names, so that none holds all and tasks list them
+
+
+def write_files(df: DataFrame, name_col: str, content_col: str, path: str) -> str:
+    """One file per row, ``<path>/shelf=<n>/<name>`` with the bytes of the content column.
+
+    Each task writes the rows it has, row by row. A table writer with a
+    partition per file would make a folder and two files for each, and its
+    commit would move them one after the other. A file takes its name when
+    it is whole, so a task that runs again, or twice at once, leaves the
+    same files. Names must differ; files without a byte are not listed by
+    Spark's readers.
+    """
+    def write(rows) -> None:
+        store, root = arrow_fs.FileSystem.from_uri(path)
+        made: set[str] = set()
+        for name, content in rows:
+            if not name or "/" in name:
+                raise ValueError(f"no file name: {name!r}")
+            whole = f"{root}/shelf={zlib.crc32(name.encode()) % SHELVES}/{name}"
+            folder, _, last = whole.rpartition("/")
+            started = f"{folder}/.{last}.{uuid.uuid4().hex}"  # readers pass over names that begin with a dot
+            if folder not in made:
+                store.create_dir(folder, recursive=True)
+                made.add(folder)
+            with store.open_output_stream(started) as out:
+                out.write(content)
+            store.move(started, whole)
+
+    df.select(name_col, content_col).foreachPartition(write)
+    return path
+
+
 def read_binary_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Files as rows (``path``, ``modificationTime``, ``length``, ``content``).
 

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from kickledger.functions import text
@@ -66,3 +67,27 @@ def test_parquet_raw_input_is_typed_directly(spark, scratch):
     typed = ingest.load_dataset(spark, path, "player_valuations").orderBy("player_id").collect()
     assert [(r.market_value_in_eur, r.current_club_id) for r in typed] == [(1000, 7), (None, None), (None, 9)]
     assert str(typed[0].date) == "2020-01-02 00:00:00" and typed[2].date is None
+
+
+def test_written_files_are_whole_and_alike_however_often_written(spark, scratch):
+    rows = [("a.txt", b"x"), ("b.txt", b"\x00\xff\n\x01"), ("é b%20.txt", b"y" * 70000)]
+    df = spark.createDataFrame(rows, "name string, content binary").repartition(3)
+    for _ in range(2):
+        assert ingest.write_files(df, "name", "content", scratch) == scratch
+    files = ingest.read_binary_files(spark, scratch, "*.txt").select("length", "content").collect()
+    assert sorted(bytes(f.content) for f in files) == sorted(content for _, content in rows)
+    assert all(f.length == len(f.content) for f in files)
+
+
+def test_a_file_needs_a_name_of_its_own_folder(spark, scratch):
+    with pytest.raises(Exception, match="no file name"):
+        ingest.write_files(spark.createDataFrame([("../x", b"")], "name string, content binary"), "name", "content", scratch)
+
+
+def test_pages_without_text_or_with_one_id_keep_their_files(spark, scratch):
+    from kickledger.plans import catalog
+
+    spark.createDataFrame([(7, "one"), (7, "two"), (None, "three"), (-8, ""), (9, None)], "page_id long, html string") \
+        .coalesce(1).write.parquet(f"{scratch}/pages.parquet")
+    got = sorted(((r.page_id, r.length) for r in catalog.QUERIES["binary_files"](spark, scratch).collect()), key=str)
+    assert got == [(-8, 0), (7, 3), (7, 3), (9, 0), (None, 5)]
