@@ -1167,7 +1167,7 @@ def q_binary_files(spark, sf):
                  F.monotonically_increasing_id().cast("string"), F.lit(".txt")).alias("name"),
         F.concat(F.coalesce("html", F.lit("")), F.lit("\u0001")).cast("binary").alias("content")),
         "name", "content", shared_path(spark, "binary-files"))
-    files = ingest.read_binary_files(spark, path, "*.txt")
+    files = ingest.read_binary_files(spark, path, "*.txt", tasks=512)
     page_id = F.regexp_extract("path", r"([^/_]+)_[0-9]+\.txt$", 1).try_cast("long")
     return files.select(page_id.alias("page_id"), (F.col("length") - 1).alias("length"),
                         F.md5(F.expr("substring(content, 1, CAST(length AS INT) - 1)")).alias("digest"))

@@ -158,16 +158,19 @@ def write_files(df: DataFrame, name_col: str, content_col: str, path: str) -> st
     return path
 
 
-def read_binary_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def read_binary_files(spark: SparkSession, path: str, glob: str | None = None, tasks: int | None = None) -> DataFrame:
     """Files as rows (``path``, ``modificationTime``, ``length``, ``content``).
 
     File content is read only when the ``content`` column is used, so a
-    listing (which logos exist) costs no data reads.
+    listing (which logos exist) costs no data reads. Spark counts 4 MB for
+    opening a file, so a task reads a few small ones; with ``tasks`` no more
+    tasks than that share the files, without a shuffle.
     """
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path)
+    files = reader.load(path)
+    return files.coalesce(tasks) if tasks else files
 
 
 def stored_ids(spark: SparkSession, folder: str, suffix: str = ".png") -> DataFrame:

@@ -91,3 +91,10 @@ def test_pages_without_text_or_with_one_id_keep_their_files(spark, scratch):
         .coalesce(1).write.parquet(f"{scratch}/pages.parquet")
     got = sorted(((r.page_id, r.length) for r in catalog.QUERIES["binary_files"](spark, scratch).collect()), key=str)
     assert got == [(-8, 0), (7, 3), (7, 3), (9, 0), (None, 5)]
+
+
+def test_many_small_files_are_read_by_few_tasks(spark, scratch):
+    df = spark.range(200).selectExpr("concat(id, '.txt') AS name", "CAST(CAST(id AS STRING) AS BINARY) AS content")
+    files = ingest.read_binary_files(spark, ingest.write_files(df, "name", "content", scratch), "*.txt", tasks=3)
+    assert files.rdd.getNumPartitions() <= 3
+    assert sorted(int(f.content) for f in files.select("content").collect()) == list(range(200))
